@@ -8,6 +8,7 @@ from siltstone.functions.predicates import (
     named,
     negative,
     null_names,
+    quoted,
     zero,
 )
 
@@ -19,6 +20,7 @@ __all__ = [
     "negative",
     "null_names",
     "percent_valid",
+    "quoted",
     "status",
     "zero",
 ]

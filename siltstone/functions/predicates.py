@@ -3,21 +3,24 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
-from functools import reduce
-from operator import or_
 
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 
+def quoted(name: str) -> str:
+    """A column name for use in an expression, dots and hyphens included."""
+    return "`" + name.replace("`", "``") + "`"
+
+
 def named(name: str) -> Column:
-    """A top-level column by its exact name, dots and hyphens included."""
-    return F.col("`" + name.replace("`", "``") + "`")
+    """A top-level column by its exact name."""
+    return F.col(quoted(name))
 
 
 def any_null(columns: Sequence[str]) -> Column:
     """True where at least one of ``columns`` is null."""
-    return reduce(or_, (named(c).isNull() for c in columns), F.lit(False))
+    return F.expr(" OR ".join(f"{quoted(c)} IS NULL" for c in columns) or "FALSE")
 
 
 def blank(key: str) -> Column:
@@ -44,4 +47,5 @@ def broken_rule(key: str, measure: str) -> Column:
 
 def null_names(columns: Sequence[str]) -> Column:
     """Array of the names of the null columns of a row, in column order."""
-    return F.array_compact(F.array(*[F.when(named(c).isNull(), F.lit(c)) for c in columns]))
+    flags = F.array(*[F.when(named(c).isNull(), F.lit(c)) for c in columns])
+    return F.array_compact(flags)

@@ -17,10 +17,11 @@ from siltstone.functions import (
     named,
     negative,
     percent_valid,
+    quoted,
     status,
     zero,
 )
-from siltstone.operators.profile import invalid_groups
+from siltstone.operators.profile import MASK_BITS, invalid_groups
 
 MESSAGE_ROWS = 20
 
@@ -29,8 +30,20 @@ class QualityGateError(ValueError):
     """A report violates an enabled gate."""
 
 
-def _sum(name: str) -> Column:
-    return F.coalesce(F.sum(name), F.lit(0)).alias(name)
+def _aliases(columns: Sequence[str], prefix: str) -> list[str]:
+    return [f"{quoted(c)} AS {prefix}_{i}" for i, c in enumerate(columns)]
+
+
+def _batch_names(by: Sequence[str]) -> list[str]:
+    return [f"by_{i} AS {quoted(b)}" for i, b in enumerate(by)]
+
+
+def _total(*names: str) -> list[str]:
+    return [f"coalesce(sum({n}), 0) AS {n}" for n in names]
+
+
+def _exprs(texts: Sequence[str]) -> list[Column]:
+    return [F.expr(text) for text in texts]
 
 
 def graded(counts: DataFrame, total: str, duplicates: str, invalid: str) -> DataFrame:
@@ -50,52 +63,41 @@ def quality_report(df: DataFrame, key: Sequence[str], by: Sequence[str] = ()) ->
     nulls adds to none). Both collapse equal keys or rows before they shuffle,
     and the final step adds up one row per task and batch.
     """
-    batch = [F.col(f"by_{i}") for i in range(len(by))]
+    batch = [f"by_{i}" for i in range(len(by))]
+    keys = [f"key_{i}" for i in range(len(key))]
     keyed = (
-        df.select(
-            *[named(b).alias(f"by_{i}") for i, b in enumerate(by)],
-            *[named(k).alias(f"key_{i}") for i, k in enumerate(key)],
-        )
-        .groupBy(*batch, *[f"key_{i}" for i in range(len(key))])
-        .agg(F.count(F.lit(1)).alias("copies"))
+        df.selectExpr(*_aliases(by, "by"), *_aliases(key, "key"))
+        .groupBy(*batch, *keys)
+        .agg(F.expr("count(1) AS copies"))
         .groupBy(*batch)
-        .agg(
-            F.coalesce(F.sum("copies"), F.lit(0)).alias("records"),
-            F.count_if(F.col("copies") > 1).alias("duplicates"),
-        )
+        .agg(*_exprs(["sum(copies) AS records", "count_if(copies > 1) AS duplicates"]))
     )
-    nulls = [f"nulls_{i}" for i in range(len(df.columns))]
+    masks = [f"mask_{j}" for j in range(-(-len(df.columns) // MASK_BITS))]
     broken = (
         invalid_groups(df, by)
         .groupBy(*batch)
         .agg(
-            F.count(F.lit(1)).alias("null_records"),
-            F.sum("copies").alias("invalid_row_total"),
-            *[F.sum(F.col("copies") * F.col("nulls")[i]).alias(n) for i, n in enumerate(nulls)],
+            *_exprs(["count(1) AS null_records", "sum(copies) AS invalid_row_total"]),
+            *_exprs([f"bit_or({m}) AS {m}" for m in masks]),
         )
     )
     counts = (
         keyed.unionByName(broken, allowMissingColumns=True)
         .groupBy(*batch)
         .agg(
-            *map(_sum, ["records", "duplicates", "null_records", "invalid_row_total"]),
-            *map(_sum, nulls),
-        )
-        .withColumn("valid_records", F.col("records") - F.col("null_records"))
-        .withColumn(
-            "columns_with_null",
-            sum(((F.col(n) > 0).cast("int") for n in nulls), F.lit(0)),
+            *_exprs(_total("records", "duplicates", "null_records", "invalid_row_total")),
+            *_exprs([f"coalesce(bit_or({m}), 0) AS {m}" for m in masks]),
         )
     )
-    return graded(counts, "records", "duplicates", "null_records").select(
-        *[F.col(f"by_{i}").alias(b) for i, b in enumerate(by)],
+    return graded(counts, "records", "duplicates", "null_records").selectExpr(
+        *_batch_names(by),
         "records",
-        "valid_records",
+        "records - null_records AS valid_records",
         "null_records",
         "duplicates",
         "quality",
         "status",
-        "columns_with_null",
+        " + ".join(f"bit_count({m})" for m in masks) + " AS columns_with_null",
         "invalid_row_total",
     )
 
@@ -105,22 +107,34 @@ def rule_report(df: DataFrame, key: str, measure: str, by: Sequence[str] = ()) -
 
     Unlike ``quality_report`` this counts invalid rows, not distinct ones.
     """
-    batch = [F.col(f"by_{i}") for i in range(len(by))]
-    sums = ["total", "null_keys", "negative_totals", "zero_totals", "invalid_records"]
+    batch = [f"by_{i}" for i in range(len(by))]
+    sums = _total("total", "null_keys", "negative_totals", "zero_totals", "invalid_records")
     counts = (
-        df.groupBy(*[named(b).alias(f"by_{i}") for i, b in enumerate(by)], named(key).alias("key"))
+        df.select(
+            *_exprs(_aliases(by, "by")),
+            named(key).alias("key"),
+            blank(key).alias("blank"),
+            negative(measure).alias("negative"),
+            zero(measure).alias("zero"),
+            broken_rule(key, measure).alias("broken"),
+        )
+        .groupBy(*batch, "key")
         .agg(
-            F.count(F.lit(1)).alias("total"),
-            F.count_if(blank(key)).alias("null_keys"),
-            F.count_if(negative(measure)).alias("negative_totals"),
-            F.count_if(zero(measure)).alias("zero_totals"),
-            F.count_if(broken_rule(key, measure)).alias("invalid_records"),
+            *_exprs(
+                [
+                    "count(1) AS total",
+                    "count_if(blank) AS null_keys",
+                    "count_if(negative) AS negative_totals",
+                    "count_if(zero) AS zero_totals",
+                    "count_if(broken) AS invalid_records",
+                ]
+            )
         )
         .groupBy(*batch)
-        .agg(F.count_if(F.col("total") > 1).alias("duplicate_keys"), *map(_sum, sums))
+        .agg(*_exprs(["count_if(total > 1) AS duplicate_keys", *sums]))
     )
-    return graded(counts, "total", "duplicate_keys", "invalid_records").select(
-        *[F.col(f"by_{i}").alias(b) for i, b in enumerate(by)],
+    return graded(counts, "total", "duplicate_keys", "invalid_records").selectExpr(
+        *_batch_names(by),
         "total",
         "duplicate_keys",
         "null_keys",

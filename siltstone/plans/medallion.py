@@ -17,7 +17,6 @@ from datetime import datetime
 
 from pyspark import StorageLevel
 from pyspark.sql import DataFrame, Row, SparkSession
-from pyspark.sql import functions as F
 
 from siltstone.operators.aggregate import count_by, members_by, total_by
 from siltstone.operators.contract import check_contract
@@ -111,12 +110,13 @@ def _maintain(
     spark: SparkSession, path: str, version: int, retention_hours: float | None, run: Run
 ) -> tuple[int, int]:
     """Compact what was just written, drop expired versions, count the files."""
-    compacted = snapshots.compact(spark, path, at=run.at)
-    version = version if compacted is None else compacted
+    files, crowded = snapshots.file_layout(spark, path)
+    if crowded:
+        version = snapshots.compact(spark, path, at=run.at)
+        files, _ = snapshots.file_layout(spark, path)
     if retention_hours is not None:
         snapshots.remove_expired(spark, path, retention_hours, run.at, dry_run=False)
-    files = snapshots.file_inventory(spark, path).filter(F.col("version") == version)
-    return version, files.count()
+    return version, files
 
 
 def _report_frame(spark: SparkSession, report: DataFrame, row: Row) -> DataFrame:

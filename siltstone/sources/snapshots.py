@@ -51,12 +51,7 @@ def commits(spark: SparkSession, path: str) -> DataFrame:
 
 
 def is_snapshot_table(spark: SparkSession, path: str) -> bool:
-    try:
-        return not commits(spark, path).isEmpty()
-    except AnalysisException as error:
-        if error.getCondition() == "PATH_NOT_FOUND":
-            return False
-        raise
+    return current_commit(spark, path) is not None
 
 
 def history(spark: SparkSession, path: str, limit: int = 10) -> DataFrame:
@@ -70,9 +65,19 @@ def history_view(spark: SparkSession, path: str, limit: int = 10) -> DataFrame:
 
 def current_commit(spark: SparkSession, path: str) -> Row | None:
     """The newest history row, ``None`` where there is no snapshot table."""
-    if not is_snapshot_table(spark, path):
-        return None
-    return history(spark, path, 1).first()
+    try:
+        return history(spark, path, 1).first()
+    except AnalysisException as error:
+        if error.getCondition() == "PATH_NOT_FOUND":
+            return None
+        raise
+
+
+def _existing(spark: SparkSession, path: str) -> Row:
+    commit = current_commit(spark, path)
+    if commit is None:
+        raise ValueError(f"{path} is not a snapshot table")
+    return commit
 
 
 def commit_as_of(spark: SparkSession, path: str, timestamp: datetime | str) -> Row:
@@ -116,9 +121,7 @@ def read_snapshot(
     elif timestamp is not None:
         commit = commit_as_of(spark, path, timestamp)
     else:
-        commit = current_commit(spark, path)
-        if commit is None:
-            raise ValueError(f"{path} is not a snapshot table")
+        commit = _existing(spark, path)
     return _read_commit(spark, path, commit)
 
 
@@ -176,7 +179,20 @@ def write_snapshot(
     ``cluster=False`` leaves out the shuffle by partition columns, for rows
     that are laid out already.
     """
-    commit = current_commit(df.sparkSession, path)
+    return _replace(
+        current_commit(df.sparkSession, path), df, path, partition_by, unique_keys, at, cluster
+    )
+
+
+def _replace(
+    commit: Row | None,
+    df: DataFrame,
+    path: str,
+    partition_by: Sequence[str],
+    unique_keys: Sequence[str] | None,
+    at: datetime | str | None,
+    cluster: bool = True,
+) -> int:
     version, operation = (0, "CREATE") if commit is None else (commit["version"] + 1, "OVERWRITE")
     rows = clustered(df, partition_by) if cluster else df
     return _commit(rows, path, version, operation, partition_by, {}, unique_keys, at)
@@ -199,12 +215,20 @@ def merge_snapshot(
     when the history knows). The common case, unique on both sides, is a plain
     write of the source for a sync merge.
     """
-    spark = source.sparkSession
-    commit = current_commit(spark, path)
-    if commit is None:
-        raise ValueError(f"{path} is not a snapshot table")
-    target = _read_commit(spark, path, commit)
+    commit = _existing(source.sparkSession, path)
+    return _merge_into(commit, source, path, keys, delete_unmatched, source_keys_unique, at)
+
 
+def _merge_into(
+    commit: Row,
+    source: DataFrame,
+    path: str,
+    keys: Sequence[str],
+    delete_unmatched: bool,
+    source_keys_unique: bool,
+    at: datetime | str | None,
+) -> int:
+    target = _read_commit(source.sparkSession, path, commit)
     source_unique = source_keys_unique or merging.repeated_keys(source, keys).isEmpty()
     if not source_unique:
         conflicts = merging.merge_conflicts(target, source, keys).limit(MESSAGE_ROWS).collect()
@@ -242,41 +266,54 @@ def write_or_merge(
     at: datetime | str | None = None,
 ) -> int:
     """Create the table on the first run, merge into it on later ones."""
-    if is_snapshot_table(df.sparkSession, path):
-        return merge_snapshot(df, path, keys, delete_unmatched, source_keys_unique, at)
-    return write_snapshot(df, path, partition_by, keys if source_keys_unique else None, at)
+    commit = current_commit(df.sparkSession, path)
+    if commit is not None:
+        return _merge_into(commit, df, path, keys, delete_unmatched, source_keys_unique, at)
+    return _replace(None, df, path, partition_by, keys if source_keys_unique else None, at)
 
 
 # -- maintenance --------------------------------------------------------------
 
 
-def file_inventory(spark: SparkSession, path: str) -> DataFrame:
-    """Live files: ``(version, file_path, file_size)``, from listings alone.
-
-    Files of unfinished writes are left out, as no history row names them.
-    """
-    files = (
+def _listed(spark: SparkSession, folder: str) -> DataFrame:
+    """Parquet files under a folder, from listings alone: contents unread."""
+    return (
         spark.read.format("binaryFile")
         .option("recursiveFileLookup", True)
         .option("pathGlobFilter", "*.parquet")
-        .load(f"{path}/data")
-        .select(
-            F.regexp_extract("path", r"/(data/[0-9]{8}-[0-9a-f]{12})/", 1).alias("location"),
-            F.col("path").alias("file_path"),
-            F.col("length").alias("file_size"),
-        )
+        .load(folder)
+        .selectExpr("path AS file_path", "length AS file_size")
     )
+
+
+def file_inventory(spark: SparkSession, path: str) -> DataFrame:
+    """Live files of all versions: ``(version, file_path, file_size)``.
+
+    Files of unfinished writes are left out, as no history row names them.
+    """
+    location = F.regexp_extract("file_path", r"/(data/[0-9]{8}-[0-9a-f]{12})/", 1)
+    files = _listed(spark, f"{path}/data").withColumn("location", location)
     versions = commits(spark, path).select("version", "location")
     return files.join(versions, "location").select("version", "file_path", "file_size")
 
 
-def _has_small_files(spark: SparkSession, path: str, version: int, small_bytes: int) -> bool:
-    small = file_inventory(spark, path).filter(
-        (F.col("version") == version) & (F.col("file_size") < small_bytes)
+def file_layout(
+    spark: SparkSession, path: str, small_bytes: int = SMALL_FILE_BYTES
+) -> tuple[int, bool]:
+    """Files of the current version, and whether it is worth compacting: some
+    folder holds two or more files smaller than ``small_bytes``."""
+    return _layout(spark, path, _existing(spark, path), small_bytes)
+
+
+def _layout(spark: SparkSession, path: str, commit: Row, small_bytes: int) -> tuple[int, bool]:
+    row = (
+        _listed(spark, f"{path}/{commit['location']}")
+        .groupBy(F.regexp_replace("file_path", "/[^/]*$", "").alias("folder"))
+        .agg(F.expr("count(1) AS files"), F.expr(f"count_if(file_size < {small_bytes}) AS small"))
+        .selectExpr("coalesce(sum(files), 0) AS files", "coalesce(max(small), 0) AS small")
+        .first()
     )
-    folder = F.regexp_replace("file_path", "/[^/]*$", "")
-    per_folder = small.groupBy(folder.alias("folder")).agg(F.count(F.lit(1)).alias("files"))
-    return not per_folder.filter("files > 1").isEmpty()
+    return row["files"], row["small"] > 1
 
 
 def compact(
@@ -287,15 +324,13 @@ def compact(
 ) -> int | None:
     """Rewrite the current version with fewer files, rows unchanged.
 
-    Does nothing and returns ``None`` unless some folder holds two or more
-    small files: tables written with partition columns are already clustered.
-    The size of the new files follows
+    Does nothing and returns ``None`` where ``file_layout`` finds no use in
+    it: tables written with partition columns are clustered already. The size
+    of the new files follows
     ``spark.sql.adaptive.advisoryPartitionSizeInBytes``.
     """
-    commit = current_commit(spark, path)
-    if commit is None:
-        raise ValueError(f"{path} is not a snapshot table")
-    if not _has_small_files(spark, path, commit["version"], small_bytes):
+    commit = _existing(spark, path)
+    if not _layout(spark, path, commit, small_bytes)[1]:
         return None
     rows = _read_commit(spark, path, commit)
     partition_by = commit["partition_by"]
