@@ -21,7 +21,6 @@ import uuid
 from collections.abc import Sequence
 from datetime import datetime
 
-from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, Observation, Row, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
@@ -29,6 +28,7 @@ from pyspark.sql.types import StructType
 from siltstone.functions import named
 from siltstone.operators import merge as merging
 from siltstone.operators.enrich import moment
+from siltstone.sources import folders
 from siltstone.sources.layout import clustered
 
 HISTORY_SCHEMA = (
@@ -65,12 +65,9 @@ def history_view(spark: SparkSession, path: str, limit: int = 10) -> DataFrame:
 
 def current_commit(spark: SparkSession, path: str) -> Row | None:
     """The newest history row, ``None`` where there is no snapshot table."""
-    try:
-        return history(spark, path, 1).first()
-    except AnalysisException as error:
-        if error.getCondition() == "PATH_NOT_FOUND":
-            return None
-        raise
+    if not folders.exists(spark, f"{path}/history"):
+        return None
+    return history(spark, path, 1).first()
 
 
 def _existing(spark: SparkSession, path: str) -> Row:
@@ -94,12 +91,10 @@ def commit_as_of(spark: SparkSession, path: str, timestamp: datetime | str) -> R
 
 def _read_commit(spark: SparkSession, path: str, commit: Row) -> DataFrame:
     schema = StructType.fromJson(json.loads(commit["columns"]))
-    try:
-        data = spark.read.schema(schema).parquet(f"{path}/{commit['location']}")
-    except AnalysisException as error:
-        if error.getCondition() == "PATH_NOT_FOUND":
-            raise ValueError(f"version {commit['version']} of {path} was removed") from error
-        raise
+    location = f"{path}/{commit['location']}"
+    if not folders.exists(spark, location):
+        raise ValueError(f"version {commit['version']} of {path} was removed")
+    data = spark.read.schema(schema).parquet(location)
     return data.select([named(c) for c in schema.fieldNames()])
 
 
@@ -378,14 +373,11 @@ def remove_expired(
     is as long as the number of commits.
     """
     expired = expired_versions(spark, path, retention_hours, now).collect()
-    jvm = spark.sparkContext._jvm
     removed = []
     for row in expired:
-        folder = jvm.org.apache.hadoop.fs.Path(f"{path}/{row['location']}")
-        files = folder.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
-        if not files.exists(folder):
-            continue
-        if not dry_run:
-            files.delete(folder, True)
-        removed.append(row["version"])
+        location = f"{path}/{row['location']}"
+        if folders.exists(spark, location):
+            removed.append(row["version"])
+            if not dry_run:
+                folders.delete(spark, location)
     return sorted(removed)
