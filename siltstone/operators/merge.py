@@ -23,8 +23,8 @@ from pyspark.sql import functions as F
 
 from siltstone.functions import any_null, named
 
-# A repeated target key is written out by several tasks, this many copies each.
-COPIES_PER_TASK = 1_000_000
+# A target key with more copies than this is written out by several tasks.
+COPIES_PER_BLOCK = 100_000
 
 
 class MergeConflict(ValueError):
@@ -83,31 +83,35 @@ def written_rows(
     source: DataFrame,
     keys: Sequence[str],
     repeated: DataFrame | None,
-    copies_per_task: int = COPIES_PER_TASK,
+    copies_per_block: int = COPIES_PER_BLOCK,
 ) -> DataFrame:
     """The source once per target row it matches, and once if it matches none.
 
     ``repeated`` holds the target keys found on several rows (``None`` for
-    none, and then this is the source as it is). Only the rows with such a key
-    are multiplied, and a key with very many copies is spread over tasks in
-    blocks before it is, so no task writes out a hot key alone.
+    none, and then this is the source as it is). Rows without such a key pass
+    as they are. The others are cut into blocks of copies, the blocks dealt out
+    to the shuffle's tasks, and only then written out, so a hot key is no
+    task's alone. The task number is given because AQE would merge these
+    small-looking partitions again.
     """
     if repeated is None:
         return source
-    once = source.join(repeated, _same_key(keys), "left_anti")
-    one = F.lit(1).cast("long")
-    per_task = F.lit(copies_per_task)
-    remainder = F.pmod(F.col("_copies") - 1, per_task) + 1
-    in_block = F.when(F.col("_block") == F.col("_blocks"), remainder).otherwise(per_task)
+    keyless = source.filter(any_null(keys))
+    # One filter in front of both joins, so that they can share one shuffle.
+    keyed = source.filter(~any_null(keys))
+    once = keyed.join(repeated, _same_key(keys), "left_anti")
+    tasks = int(source.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    blocks = f"(_copies + {copies_per_block - 1}) DIV {copies_per_block}"
+    in_block = f"least({copies_per_block}L, _copies - (_block - 1) * {copies_per_block})"
     many = (
-        source.join(repeated, _same_key(keys), "inner")
-        .withColumn("_blocks", F.ceil(F.col("_copies") / per_task))
-        .withColumn("_block", F.explode(F.sequence(one, F.col("_blocks"))))
-        .withColumn("_in_block", in_block.cast("long"))
-        .repartition(*_key_columns(keys), "_block")
-        .withColumn("_copy", F.explode(F.sequence(one, F.col("_in_block"))))
+        keyed.join(repeated, _same_key(keys), "inner")
+        .withColumn("_block", F.expr(f"explode(sequence(1L, {blocks}))"))
+        .withColumn("_in_block", F.expr(in_block))
+        .repartition(tasks, *_key_columns(keys), "_block")
+        .withColumn("_copy", F.expr("explode(sequence(1L, _in_block))"))
+        .select([named(c) for c in source.columns])
     )
-    return once.unionByName(many.select([named(c) for c in source.columns]))
+    return keyless.unionByName(once).unionByName(many)
 
 
 def unmatched_rows(target: DataFrame, source: DataFrame, keys: Sequence[str]) -> DataFrame:
