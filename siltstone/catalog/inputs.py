@@ -45,27 +45,16 @@ def places(spark: SparkSession, sf_dir: str) -> DataFrame:
     customers = table(spark, sf_dir, "customer")
     nations = table(spark, sf_dir, "nation")
     regions = table(spark, sf_dir, "region")
-    state = F.struct(
-        F.col("n_name").alias("name"),
-        F.concat(F.lit("N"), F.col("n_nationkey").cast("string")).alias("code"),
-        F.struct(F.col("r_name").alias("name")).alias("region"),
-    )
-    county = F.struct(
-        F.col("r_regionkey").alias("id"),
-        F.col("c_mktsegment").alias("name"),
-        F.when(F.col("c_acctbal") >= 0, state).alias("state"),
-    )
-    district = F.struct(
-        F.col("n_nationkey").alias("id"), F.col("c_mktsegment").alias("name"), county.alias("county")
+    state = (
+        "IF(c_acctbal >= 0, named_struct('name', n_name, 'code', 'N' || n_nationkey, "
+        "'region', named_struct('name', r_name)), NULL)"
     )
+    county = f"named_struct('id', r_regionkey, 'name', c_mktsegment, 'state', {state})"
+    district = f"named_struct('id', n_nationkey, 'name', c_mktsegment, 'county', {county})"
     return (
-        customers.join(nations, F.col("c_nationkey") == F.col("n_nationkey"))
-        .join(regions, F.col("n_regionkey") == F.col("r_regionkey"))
-        .select(
-            F.col("c_custkey").alias("id"),
-            F.col("c_name").alias("name"),
-            district.alias("district"),
-        )
+        customers.join(nations, F.expr("c_nationkey = n_nationkey"))
+        .join(regions, F.expr("n_regionkey = r_regionkey"))
+        .selectExpr("c_custkey AS id", "c_name AS name", f"{district} AS district")
     )
 
 
@@ -111,20 +100,12 @@ SLICE_SQL = f"SELECT lang, source, quality, toxic FROM ({LABELLED_SQL})"
 
 
 def totals(spark: SparkSession, sf_dir: str) -> DataFrame:
-    segment, balance = F.col("c_mktsegment"), F.col("c_acctbal")
-    key = (
-        F.when(segment == "BUILDING", None)
-        .when(segment == "MACHINERY", F.lit("  "))
-        .otherwise(F.col("c_name"))
-    )
-    total = (
-        F.when(balance < 0, F.lit(-1))
-        .when(balance < 1000, F.lit(0))
-        .when(balance > 9000, None)
-        .otherwise(F.col("c_custkey") + 1)
-    )
-    return table(spark, sf_dir, "customer").select(
-        F.col("c_custkey").alias("id"), key.alias("code"), total.cast("long").alias("total")
+    return table(spark, sf_dir, "customer").selectExpr(
+        "c_custkey AS id",
+        "CASE WHEN c_mktsegment = 'BUILDING' THEN NULL WHEN c_mktsegment = 'MACHINERY' THEN '  ' "
+        "ELSE c_name END AS code",
+        "CASE WHEN c_acctbal < 0 THEN -1L WHEN c_acctbal < 1000 THEN 0L "
+        "WHEN c_acctbal > 9000 THEN NULL ELSE c_custkey + 1 END AS total",
     )
 
 

@@ -5,6 +5,7 @@ from siltstone.functions.predicates import (
     any_null,
     blank,
     broken_rule,
+    literal,
     named,
     negative,
     null_names,
@@ -16,6 +17,7 @@ __all__ = [
     "any_null",
     "blank",
     "broken_rule",
+    "literal",
     "named",
     "negative",
     "null_names",

@@ -13,6 +13,11 @@ def quoted(name: str) -> str:
     return "`" + name.replace("`", "``") + "`"
 
 
+def literal(text: str) -> str:
+    """A string literal for use in an expression."""
+    return "'" + text.replace("\\", "\\\\").replace("'", "\\'") + "'"
+
+
 def named(name: str) -> Column:
     """A top-level column by its exact name."""
     return F.col(quoted(name))
@@ -25,15 +30,15 @@ def any_null(columns: Sequence[str]) -> Column:
 
 def blank(key: str) -> Column:
     """Null, empty or spaces only; ``trim`` leaves tabs, so a tab is a value."""
-    return named(key).isNull() | (F.trim(named(key)) == "")
+    return F.expr(f"{quoted(key)} IS NULL OR trim({quoted(key)}) = ''")
 
 
 def negative(measure: str) -> Column:
-    return named(measure) < 0
+    return F.expr(f"{quoted(measure)} < 0")
 
 
 def zero(measure: str) -> Column:
-    return named(measure) == 0
+    return F.expr(f"{quoted(measure)} = 0")
 
 
 def broken_rule(key: str, measure: str) -> Column:
@@ -42,10 +47,10 @@ def broken_rule(key: str, measure: str) -> Column:
     Three-valued: a null measure with a good key compares to null and so is
     not counted as broken.
     """
-    return blank(key) | (named(measure) <= 0)
+    return blank(key) | F.expr(f"{quoted(measure)} <= 0")
 
 
 def null_names(columns: Sequence[str]) -> Column:
     """Array of the names of the null columns of a row, in column order."""
-    flags = F.array(*[F.when(named(c).isNull(), F.lit(c)) for c in columns])
-    return F.array_compact(flags)
+    flags = [f"IF({quoted(c)} IS NULL, {literal(c)}, NULL)" for c in columns]
+    return F.expr(f"array_compact(array({', '.join(flags)}))")

@@ -13,7 +13,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
-from siltstone.functions import named
+from siltstone.functions import named, quoted
 
 STAMP_FORMAT = "yyyy-MM-dd HH:mm:ss"
 
@@ -66,13 +66,19 @@ def with_run_stamp(
     return df.withColumns({stamp_column: stamp, "run_id": F.lit(run_id)})
 
 
+def _field(path: str) -> str:
+    """A dotted path with each part quoted, unless it brings its own quotes."""
+    return path if "`" in path else ".".join(map(quoted, path.split(".")))
+
+
 def flatten(df: DataFrame, columns: Mapping[str, str]) -> DataFrame:
     """Select nested fields as flat columns: ``{new name: dotted path}``.
 
     A null parent gives null children. Only the listed leaves are read from
-    Parquet, however wide the structs are.
+    Parquet, however wide the structs are. A name with a dot in it has to be
+    put in backticks, and then all parts that need them.
     """
-    return df.select([F.col(path).alias(name) for name, path in columns.items()])
+    return df.selectExpr(*[f"{_field(path)} AS {quoted(n)}" for n, path in columns.items()])
 
 
 def struct_leaves(schema: StructType, separator: str = "_") -> dict[str, str]:
@@ -88,7 +94,7 @@ def struct_leaves(schema: StructType, separator: str = "_") -> dict[str, str]:
 
     leaves = list(walk(schema, ()))
     flat = {
-        separator.join(path): ".".join("`" + part.replace("`", "``") + "`" for part in path)
+        separator.join(path): ".".join(map(quoted, path))
         for path in leaves
     }
     if len(flat) < len(leaves):

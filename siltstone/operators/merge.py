@@ -21,7 +21,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from siltstone.functions import any_null, named
+from siltstone.functions import any_null, named, quoted
 
 # A target key with more copies than this is written out by several tasks.
 COPIES_PER_BLOCK = 100_000
@@ -72,7 +72,15 @@ def as_target(target: DataFrame, source: DataFrame) -> DataFrame:
     absent = [c for c in target.columns if c not in source.columns]
     if absent:
         raise ValueError("source lacks columns of the target: " + ", ".join(absent))
-    return source.select([named(f.name).cast(f.dataType).alias(f.name) for f in target.schema])
+    types = {f.name: f.dataType for f in source.schema}
+    return source.select(
+        [
+            quoted(f.name)
+            if types[f.name] == f.dataType
+            else named(f.name).cast(f.dataType).alias(f.name)
+            for f in target.schema
+        ]
+    )
 
 
 def _same_key(keys: Sequence[str]) -> list[Column]:
@@ -109,7 +117,7 @@ def written_rows(
         .withColumn("_in_block", F.expr(in_block))
         .repartition(tasks, *_key_columns(keys), "_block")
         .withColumn("_copy", F.expr("explode(sequence(1L, _in_block))"))
-        .select([named(c) for c in source.columns])
+        .select([quoted(c) for c in source.columns])
     )
     return keyless.unionByName(once).unionByName(many)
 

@@ -114,7 +114,7 @@ def invalid_row_detail(df: DataFrame, key: Sequence[str]) -> DataFrame:
         invalid_rows(df)
         .groupBy(*map(named, key), names, *cells)
         .agg(F.count(F.lit(1)).alias("copies"))
-        .select(*map(named, key), "null_columns")
+        .select(*map(quoted, key), "null_columns")
     )
 
 

@@ -48,9 +48,9 @@ def _exprs(texts: Sequence[str]) -> list[Column]:
 
 def graded(counts: DataFrame, total: str, duplicates: str, invalid: str) -> DataFrame:
     """Add ``quality`` and ``status`` to a frame of counts."""
-    quality = percent_valid(named(total) - named(invalid), named(total))
+    quality = percent_valid(f"{total} - {invalid}", total)
     return counts.withColumn("quality", quality).withColumn(
-        "status", status(named(duplicates), named(invalid), F.col("quality"))
+        "status", status(duplicates, invalid, "quality")
     )
 
 
@@ -151,13 +151,9 @@ def gate(
 ) -> DataFrame:
     """Add ``violations`` to a quality report: the enabled gates each batch
     breaks, comma-joined, empty for none. Both gates are off by default."""
-    broken = F.array_compact(
-        F.array(
-            F.when(F.lit(fail_on_nulls) & (F.col("null_records") > 0), F.lit("nulls")),
-            F.when(F.lit(fail_on_duplicates) & (F.col("duplicates") > 0), F.lit("duplicates")),
-        )
-    )
-    return report.withColumn("violations", F.array_join(broken, ", "))
+    nulls = f"IF({fail_on_nulls} AND null_records > 0, 'nulls', NULL)"
+    duplicates = f"IF({fail_on_duplicates} AND duplicates > 0, 'duplicates', NULL)"
+    return report.withColumn("violations", F.expr(f"concat_ws(', ', {nulls}, {duplicates})"))
 
 
 def check_gate(gated: DataFrame) -> None:

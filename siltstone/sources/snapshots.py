@@ -25,17 +25,17 @@ from pyspark.sql import DataFrame, Observation, Row, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
-from siltstone.functions import named
+from siltstone.functions import quoted
 from siltstone.operators import merge as merging
 from siltstone.operators.enrich import moment
 from siltstone.sources import folders
 from siltstone.sources.layout import clustered
 
-HISTORY_SCHEMA = (
-    "commit_ts timestamp, operation string, parameters map<string,string>, n_rows bigint, "
-    "location string, columns string, partition_by array<string>, unique_keys array<string>, "
-    "version bigint"
+ENTRY_SCHEMA = (
+    "operation string, parameters map<string,string>, n_rows bigint, location string, "
+    "columns string, partition_by array<string>, unique_keys array<string>"
 )
+HISTORY_SCHEMA = f"version bigint, commit_ts timestamp, {ENTRY_SCHEMA}"
 
 RETENTION_HOURS = 168
 SMALL_FILE_BYTES = 32 * 1024 * 1024
@@ -95,7 +95,7 @@ def _read_commit(spark: SparkSession, path: str, commit: Row) -> DataFrame:
     if not folders.exists(spark, location):
         raise ValueError(f"version {commit['version']} of {path} was removed")
     data = spark.read.schema(schema).parquet(location)
-    return data.select([named(c) for c in schema.fieldNames()])
+    return data.select([quoted(c) for c in schema.fieldNames()])
 
 
 def read_snapshot(
@@ -143,18 +143,16 @@ def _commit(
         .partitionBy(*partition_by)
         .parquet(f"{path}/{location}")
     )
-    entry = spark.range(1).select(
-        moment(at).alias("commit_ts"),
-        F.lit(operation).alias("operation"),
-        F.from_json(F.lit(json.dumps(parameters)), "map<string,string>").alias("parameters"),
-        F.lit(written.get["rows"]).cast("long").alias("n_rows"),
-        F.lit(location).alias("location"),
-        F.lit(df.schema.json()).alias("columns"),
-        F.lit(list(partition_by)).cast("array<string>").alias("partition_by"),
-        F.lit(None if unique_keys is None else list(unique_keys))
-        .cast("array<string>")
-        .alias("unique_keys"),
+    row = (
+        operation,
+        parameters,
+        written.get["rows"],
+        location,
+        df.schema.json(),
+        list(partition_by),
+        None if unique_keys is None else list(unique_keys),
     )
+    entry = spark.createDataFrame([row], ENTRY_SCHEMA).withColumn("commit_ts", moment(at))
     entry.coalesce(1).write.mode("errorifexists").parquet(f"{path}/history/version={version}")
     return version
 
