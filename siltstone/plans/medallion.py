@@ -25,6 +25,7 @@ from siltstone.operators.filters import check_not_empty, require_fields
 from siltstone.operators.reports import check_gate, gate, quality_report, rule_report
 from siltstone.sources import ledger, snapshots
 from siltstone.sources.landing import read_json
+from siltstone.sources.rows import as_frame, one_row
 from siltstone.sources.tables import read_parquet, read_table, write_partitioned
 
 VERSION = "1.0.0"
@@ -61,7 +62,8 @@ class RefinedSpec:
     the new names. ``contract`` lists the raw columns that must be there. The
     gates are off unless set. ``storage_level`` keeps the refined rows for the
     report and the write; without it both read raw Parquet, pruned to what
-    they use. ``repartition`` spreads few large raw files over more tasks.
+    they use. ``repartition`` spreads the rows of few large raw files over
+    more tasks, once they are flat and filtered.
     ``retention_hours`` deletes versions replaced longer ago; ``None``, the
     default, deletes nothing.
     """
@@ -116,14 +118,10 @@ def _maintain(
         files, _ = snapshots.file_layout(spark, path)
     if retention_hours is not None:
         snapshots.remove_expired(spark, path, retention_hours, run.at, dry_run=False)
+        snapshots.remove_unfinished(spark, path, retention_hours, dry_run=False)
     return version, files
 
 
-def _report_frame(spark: SparkSession, report: DataFrame, row: Row) -> DataFrame:
-    """The report row already computed, as a frame to store."""
-    return spark.createDataFrame([row], report.schema)
-
-
 def _audited(
     spark: SparkSession, name: str, run: Run, ledger_path: str | None, load: Callable[[], LoadResult]
 ) -> LoadResult:
@@ -149,8 +147,15 @@ def _append_audit(
     start: float,
     outcome: tuple[str, int, float],
 ) -> None:
-    frame = spark.createDataFrame([outcome], "status string, records bigint, quality double")
-    frame = frame.select("records", "quality", "status")
+    status, records, quality = outcome
+    frame = one_row(
+        spark,
+        {
+            "records": (records, "bigint"),
+            "quality": (quality, "double"),
+            "status": (status, "string"),
+        },
+    )
     audit = ledger.audit_rows(frame, name, time.monotonic() - start, VERSION, run.at)
     ledger.append_audit(audit, f"{ledger_path}/audit", name, run.run_id)
 
@@ -203,15 +208,15 @@ def load_refined(
         if spec.contract:
             check_contract(raw, spec.contract)
         check_not_empty(raw, raw_path)
-        if spec.repartition:
-            raw = raw.repartition(spec.repartition)
         rows = refined_rows(raw, spec)
+        if spec.repartition:
+            rows = rows.repartition(spec.repartition)
         if spec.storage_level is not None:
             rows = rows.persist(spec.storage_level)
         try:
             frame = gate(quality_report(rows, spec.key), spec.fail_on_nulls, spec.fail_on_duplicates)
             report = frame.first()
-            stored = _report_frame(spark, frame, report)
+            stored = as_frame(spark, report, frame.schema)
             if ledger_path:
                 ledger.append_quality(stored, f"{ledger_path}/quality", "refined", run.run_id)
             check_gate(stored)
@@ -275,7 +280,7 @@ def load_aggregate(
             frame = rule_report(rows, spec.key, spec.measure)
             report = frame.first()
             if ledger_path:
-                stored = _report_frame(spark, frame, report)
+                stored = as_frame(spark, report, frame.schema)
                 ledger.append_rules(stored, f"{ledger_path}/rules", "aggregate", run.run_id)
             version = snapshots.write_or_merge(
                 rows,

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from datetime import UTC, datetime
+
 from py4j.java_gateway import JavaObject
 from pyspark.sql import SparkSession
 
@@ -19,3 +21,12 @@ def exists(spark: SparkSession, path: str) -> bool:
 def delete(spark: SparkSession, path: str) -> None:
     files, folder = _resolve(spark, path)
     files.delete(folder, True)
+
+
+def children(spark: SparkSession, path: str) -> dict[str, datetime]:
+    """Names directly under a folder, with the time each was last changed."""
+    files, folder = _resolve(spark, path)
+    return {
+        entry.getPath().getName(): datetime.fromtimestamp(entry.getModificationTime() / 1000, UTC)
+        for entry in files.listStatus(folder)
+    }

@@ -19,7 +19,7 @@ from __future__ import annotations
 import json
 import uuid
 from collections.abc import Sequence
-from datetime import datetime
+from datetime import UTC, datetime, timedelta
 
 from pyspark.sql import DataFrame, Observation, Row, SparkSession
 from pyspark.sql import functions as F
@@ -30,15 +30,19 @@ from siltstone.operators import merge as merging
 from siltstone.operators.enrich import moment
 from siltstone.sources import folders
 from siltstone.sources.layout import clustered
+from siltstone.sources.rows import one_row
 
-ENTRY_SCHEMA = (
-    "operation string, parameters map<string,string>, n_rows bigint, location string, "
-    "columns string, partition_by array<string>, unique_keys array<string>"
+HISTORY_SCHEMA = (
+    "version bigint, commit_ts timestamp, operation string, parameters map<string,string>, "
+    "n_rows bigint, location string, columns string, partition_by array<string>, "
+    "unique_keys array<string>"
 )
-HISTORY_SCHEMA = f"version bigint, commit_ts timestamp, {ENTRY_SCHEMA}"
 
 RETENTION_HOURS = 168
-SMALL_FILE_BYTES = 32 * 1024 * 1024
+# A folder is worth compacting with this many files smaller than this. Both are
+# well below what a rebalanced write leaves, or it would be compacted again.
+SMALL_FILE_BYTES = 8 * 1024 * 1024
+SMALL_FILES = 4
 MESSAGE_ROWS = 20
 
 
@@ -143,17 +147,27 @@ def _commit(
         .partitionBy(*partition_by)
         .parquet(f"{path}/{location}")
     )
-    row = (
-        operation,
-        parameters,
-        written.get["rows"],
-        location,
-        df.schema.json(),
-        list(partition_by),
-        None if unique_keys is None else list(unique_keys),
+    unique = None if unique_keys is None else json.dumps(list(unique_keys))
+    entry = one_row(
+        spark,
+        {
+            "operation": (operation, "string"),
+            "parameters": (json.dumps(parameters), "string"),
+            "n_rows": (written.get["rows"], "bigint"),
+            "location": (location, "string"),
+            "columns": (df.schema.json(), "string"),
+            "partition_by": (json.dumps(list(partition_by)), "string"),
+            "unique_keys": (unique, "string"),
+        },
+    ).withColumns(
+        {
+            "commit_ts": moment(at),
+            "parameters": F.from_json("parameters", "map<string,string>"),
+            "partition_by": F.from_json("partition_by", "array<string>"),
+            "unique_keys": F.from_json("unique_keys", "array<string>"),
+        }
     )
-    entry = spark.createDataFrame([row], ENTRY_SCHEMA).withColumn("commit_ts", moment(at))
-    entry.coalesce(1).write.mode("errorifexists").parquet(f"{path}/history/version={version}")
+    entry.write.mode("errorifexists").parquet(f"{path}/history/version={version}")
     return version
 
 
@@ -294,7 +308,7 @@ def file_layout(
     spark: SparkSession, path: str, small_bytes: int = SMALL_FILE_BYTES
 ) -> tuple[int, bool]:
     """Files of the current version, and whether it is worth compacting: some
-    folder holds two or more files smaller than ``small_bytes``."""
+    folder holds several files smaller than ``small_bytes``."""
     return _layout(spark, path, _existing(spark, path), small_bytes)
 
 
@@ -306,7 +320,7 @@ def _layout(spark: SparkSession, path: str, commit: Row, small_bytes: int) -> tu
         .selectExpr("coalesce(sum(files), 0) AS files", "coalesce(max(small), 0) AS small")
         .first()
     )
-    return row["files"], row["small"] > 1
+    return row["files"], row["small"] >= SMALL_FILES
 
 
 def compact(
@@ -379,3 +393,30 @@ def remove_expired(
             if not dry_run:
                 folders.delete(spark, location)
     return sorted(removed)
+
+
+def remove_unfinished(
+    spark: SparkSession,
+    path: str,
+    retention_hours: float = RETENTION_HOURS,
+    now: datetime | None = None,
+    dry_run: bool = True,
+) -> list[str]:
+    """Delete data folders no history row names, left by writes that failed.
+
+    Only those unchanged for ``retention_hours``, so that a write under way is
+    left alone. Returns the folder names; with ``dry_run``, the default,
+    nothing is deleted.
+    """
+    _existing(spark, path)
+    named = {row["location"] for row in commits(spark, path).select("location").collect()}
+    before = (now or datetime.now(UTC)) - timedelta(hours=retention_hours)
+    found = [
+        f"data/{name}"
+        for name, changed in folders.children(spark, f"{path}/data").items()
+        if f"data/{name}" not in named and changed < before
+    ]
+    if not dry_run:
+        for location in found:
+            folders.delete(spark, f"{path}/{location}")
+    return sorted(found)

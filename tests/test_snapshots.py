@@ -1,5 +1,5 @@
 from collections import Counter
-from datetime import datetime
+from datetime import UTC, datetime, timedelta
 
 import pytest
 from pyspark.sql import functions as F
@@ -112,6 +112,13 @@ def test_unfinished_writes_are_not_seen(spark, tmp_path):
     assert snapshots.read_snapshot(spark, path).count() == 1
     assert {r.version for r in snapshots.file_inventory(spark, path).collect()} == {0}
     assert snapshots.write_snapshot(df, path) == 1
+    orphan = ["data/00000001-0123456789ab"]
+    assert snapshots.remove_unfinished(spark, path) == []
+    later = datetime.now(UTC) + timedelta(hours=169)
+    assert snapshots.remove_unfinished(spark, path, now=later) == orphan
+    assert snapshots.remove_unfinished(spark, path, now=later, dry_run=False) == orphan
+    assert snapshots.remove_unfinished(spark, path, now=later) == []
+    assert snapshots.read_snapshot(spark, path, version=0).count() == 1
 
 
 def test_a_version_is_committed_once(spark, tmp_path):
@@ -137,6 +144,21 @@ def test_compaction_only_where_it_helps(spark, tmp_path):
     assert {r.version: r["count"] for r in counts} == {0: 36, 1: 3}
 
 
+def test_a_clustered_write_is_not_compacted_again(spark, tmp_path):
+    """Not even when a hot partition value came out as several files."""
+    path = str(tmp_path / "t")
+    key = "spark.sql.adaptive.advisoryPartitionSizeInBytes"
+    before = spark.conf.get(key)
+    spark.conf.set(key, "1MB")
+    try:
+        df = spark.range(0, 120_000, 1, 8).selectExpr("1 AS part", "sha2(id || '', 512) AS v")
+        snapshots.write_snapshot(df, path, ["part"])
+        files, crowded = snapshots.file_layout(spark, path, small_bytes=128 * 1024)
+        assert files > 4 and not crowded
+    finally:
+        spark.conf.set(key, before)
+
+
 def test_a_table_without_partitions_is_compacted(spark, tmp_path):
     path = str(tmp_path / "t")
     snapshots.write_snapshot(spark.range(100).repartition(8), path)
