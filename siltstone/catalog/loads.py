@@ -105,7 +105,8 @@ def gold_views(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Both regional views of the loaded aggregate, as one frame."""
     rows = _aggregate(spark, sf_dir)
     places = totals_view(rows, ["region_name"], "total_places")
-    return places.join(members_view(rows, ["region_name"], "state_code", "total_states"), "region_name")
+    states = members_view(rows, ["region_name"], "state_code", "total_states")
+    return places.join(states, "region_name")
 
 
 def medallion_end_to_end(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -123,7 +123,11 @@ def _maintain(
 
 
 def _audited(
-    spark: SparkSession, name: str, run: Run, ledger_path: str | None, load: Callable[[], LoadResult]
+    spark: SparkSession,
+    name: str,
+    run: Run,
+    ledger_path: str | None,
+    load: Callable[[], LoadResult],
 ) -> LoadResult:
     """Run a load and store what came of it; a failure is stored and raised."""
     start = time.monotonic()
@@ -214,7 +218,8 @@ def load_refined(
         if spec.storage_level is not None:
             rows = rows.persist(spec.storage_level)
         try:
-            frame = gate(quality_report(rows, spec.key), spec.fail_on_nulls, spec.fail_on_duplicates)
+            frame = quality_report(rows, spec.key)
+            frame = gate(frame, spec.fail_on_nulls, spec.fail_on_duplicates)
             report = frame.first()
             stored = as_frame(spark, report, frame.schema)
             if ledger_path:
