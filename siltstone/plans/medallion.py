@@ -60,7 +60,8 @@ class RefinedSpec:
 
     ``columns`` maps new names to dotted paths, ``required`` and ``key`` use
     the new names. ``contract`` lists the raw columns that must be there. The
-    gates are off unless set. ``storage_level`` keeps the refined rows for the
+    gates are off unless set; with ``batch_by`` they are also asked of every
+    batch, and the reports per batch are stored. ``storage_level`` keeps the refined rows for the
     report and the write; without it both read raw Parquet, pruned to what
     they use. ``repartition`` spreads the rows of few large raw files over
     more tasks, once they are flat and filtered.
@@ -76,6 +77,7 @@ class RefinedSpec:
     delete_unmatched: bool = True
     fail_on_nulls: bool = False
     fail_on_duplicates: bool = False
+    batch_by: Sequence[str] = ()
     storage_level: StorageLevel | None = None
     repartition: int | None = None
     retention_hours: float | None = None
@@ -192,6 +194,21 @@ def refined_rows(raw: DataFrame, spec: RefinedSpec) -> DataFrame:
     return require_fields(flatten(raw, spec.columns), spec.required)
 
 
+def _check_batches(
+    rows: DataFrame, spec: RefinedSpec, run: Run, ledger_path: str | None
+) -> None:
+    """Gate and store the reports per batch; only the report rows are kept."""
+    report = quality_report(rows, spec.key, spec.batch_by)
+    gated = gate(report, spec.fail_on_nulls, spec.fail_on_duplicates)
+    gated = gated.persist(StorageLevel.MEMORY_AND_DISK)
+    try:
+        if ledger_path:
+            ledger.append_quality(gated, f"{ledger_path}/batches", "refined", run.run_id)
+        check_gate(gated)
+    finally:
+        gated.unpersist()
+
+
 def load_refined(
     spark: SparkSession,
     raw_path: str,
@@ -225,6 +242,8 @@ def load_refined(
             if ledger_path:
                 ledger.append_quality(stored, f"{ledger_path}/quality", "refined", run.run_id)
             check_gate(stored)
+            if spec.batch_by:
+                _check_batches(rows, spec, run, ledger_path)
             version = snapshots.write_or_merge(
                 rows,
                 path,

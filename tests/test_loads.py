@@ -99,6 +99,20 @@ def test_a_gate_keeps_the_load_out(spark, raw, tmp_path):
     assert not snapshots.is_snapshot_table(spark, path)
 
 
+def test_batches_are_reported_and_gated(spark, raw, tmp_path):
+    path, ledgers = str(tmp_path / "refined"), str(tmp_path / "ledger")
+    spec = replace(REFINED, batch_by=["state_code"])
+    load_refined(spark, raw, path, spec, RUN, ledgers)
+    schema = "state_code string, records bigint, null_records bigint, status string"
+    schema = StructType.fromDDL(schema)
+    found = ledger.read_runs(spark, f"{ledgers}/batches", schema).collect()
+    assert {(r.state_code, r.records, r.null_records, r.status) for r in found} == {
+        ("VE", 2, 0, "SUCCESS"),
+        ("MO", 1, 1, "CRITICAL"),
+    }
+    assert not spark.sparkContext._jsc.getPersistentRDDs()
+
+
 def test_aggregate_load_and_views(spark, raw, tmp_path):
     refined, path = str(tmp_path / "refined"), str(tmp_path / "aggregate")
     load_refined(spark, raw, refined, REFINED, RUN)

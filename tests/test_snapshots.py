@@ -263,3 +263,19 @@ def test_scratch_folder_is_the_shared_one(spark):
     shared = spark.conf.get("spark.checkpoint.dir")
     one, two = scratch.scratch_path(spark, "x"), scratch.scratch_path(spark, "x")
     assert one.startswith(shared) and two.startswith(shared) and one != two
+
+
+def test_a_local_folder_stands_in_only_for_a_local_session():
+    class Session:
+        def __init__(self, **settings):
+            self.conf = self
+            self.settings = settings
+
+        def get(self, key, default):
+            return self.settings.get(key.removeprefix("spark.").replace(".", "_"), default)
+
+    one = scratch.shared_folder(Session(master="local[2]"))
+    assert one == scratch.shared_folder(Session(master="local[2]"))
+    assert scratch.shared_folder(Session(master="yarn", checkpoint_dir="hdfs:/c")) == "hdfs:/c"
+    with pytest.raises(ValueError, match="spark.checkpoint.dir"):
+        scratch.shared_folder(Session(master="yarn"))
