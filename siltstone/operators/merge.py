@@ -96,30 +96,35 @@ def written_rows(
     """The source once per target row it matches, and once if it matches none.
 
     ``repeated`` holds the target keys found on several rows (``None`` for
-    none, and then this is the source as it is). Rows without such a key pass
-    as they are. The others are cut into blocks of copies, the blocks dealt out
-    to the shuffle's tasks, and only then written out, so a hot key is no
-    task's alone. The task number is given because AQE would merge these
-    small-looking partitions again.
+    none, and then this is the source as it is). A row with a few copies is
+    multiplied where it is. A row with very many is cut into blocks of copies,
+    the blocks are dealt out to the shuffle's tasks, and only then written out,
+    so a hot key is no task's alone. The task number is given because AQE would
+    merge these small-looking partitions again.
     """
     if repeated is None:
         return source
     keyless = source.filter(any_null(keys))
     # One filter in front of both joins, so that they can share one shuffle.
     keyed = source.filter(~any_null(keys))
-    once = keyed.join(repeated, _same_key(keys), "left_anti")
+    few = (
+        keyed.join(repeated, _same_key(keys), "left_outer")
+        .withColumn("_copies", F.expr("coalesce(_copies, 1L)"))
+        .filter(f"_copies <= {copies_per_block}")
+        .withColumn("_copy", F.expr("explode(sequence(1L, _copies))"))
+    )
     tasks = int(source.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     blocks = f"(_copies + {copies_per_block - 1}) DIV {copies_per_block}"
     in_block = f"least({copies_per_block}L, _copies - (_block - 1) * {copies_per_block})"
     many = (
-        keyed.join(repeated, _same_key(keys), "inner")
+        keyed.join(repeated.filter(f"_copies > {copies_per_block}"), _same_key(keys), "inner")
         .withColumn("_block", F.expr(f"explode(sequence(1L, {blocks}))"))
         .withColumn("_in_block", F.expr(in_block))
         .repartition(tasks, *_key_columns(keys), "_block")
         .withColumn("_copy", F.expr("explode(sequence(1L, _in_block))"))
-        .select([quoted(c) for c in source.columns])
     )
-    return keyless.unionByName(once).unionByName(many)
+    columns = [quoted(c) for c in source.columns]
+    return keyless.unionByName(few.select(columns)).unionByName(many.select(columns))
 
 
 def unmatched_rows(target: DataFrame, source: DataFrame, keys: Sequence[str]) -> DataFrame:

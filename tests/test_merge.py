@@ -95,6 +95,16 @@ def test_blocks_cover_odd_counts(spark):
         assert rows(written) == Counter({(k, "s"): k for k in range(1, 8)})
 
 
+def test_only_hot_keys_are_dealt_out(spark):
+    source = spark.createDataFrame([(1, "s"), (2, "s"), (3, "s")], SCHEMA)
+    target = spark.createDataFrame([(k, "t") for k in (1, 1, 2)], SCHEMA)
+    repeated = merge.repeated_keys(target, ["k"])
+    written = merge.written_rows(source, ["k"], repeated, copies_per_block=2)
+    assert rows(written) == Counter({(1, "s"): 2, (2, "s"): 1, (3, "s"): 1})
+    hot = merge.written_rows(source, ["k"], repeated, copies_per_block=1)
+    assert rows(hot) == rows(written)
+
+
 def test_unique_targets_need_no_join_to_sync(spark):
     target, source = frames(spark, [(1, "t"), (2, "t")], [(2, "s"), (3, "s")])
     result = merge.merge(target, source, ["k"], target_keys_unique=True)
