@@ -2,7 +2,11 @@
 
 Each stage takes the session, the documents its predecessor kept and the
 folder of the tables, and returns a frame; ``run`` writes it as Parquet in the
-shared folder and rereads it as the next stage's documents.
+shared folder and rereads it as the next stage's documents. All but the last
+return the columns they were given, whatever these are called. Rows without a
+``doc_id`` cannot be told apart from others by it: they pass the two
+deduplicating stages. Null texts are empty and stay null; an empty table gives
+an empty result.
 """
 
 from __future__ import annotations
@@ -10,17 +14,42 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from siltstone.llm import exact, packing
+from siltstone.llm import exact, packing, secrets, setsketch, toxicity
 from siltstone.llm.shared import ship, stored
 
-COLUMNS = ["doc_id", "text", "lang", "source", "n_chars"]
+
+def toxicity_filter(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents that the classifier calls toxic go; it learns from the labelled ones."""
+    ship(spark)
+    return toxicity.reject_toxic(docs, spark.read.parquet(f"{sf_dir}/labels.parquet"))
 
 
 def exact_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Of documents with the same text the one with the largest id stays."""
+    """Of documents with the same text the one with the largest id stays, and of its repeated rows one."""
+    ship(spark)
+    found = exact.exact_duplicates(docs).filter("kept OR doc_id IS NULL")
+    kept = found.select(F.col("doc_id").alias("_id"), F.col("text_sha256").alias("_sha")).distinct()
+    same = F.col("_id").eqNullSafe(F.col("doc_id")) & (F.col("_sha") == F.sha2(F.coalesce("text", F.lit("")), 256))
+    once = docs.join(kept, same, "left_semi")
+    named = once.filter("doc_id IS NOT NULL").dropDuplicates(["doc_id"])
+    return named.union(once.filter("doc_id IS NULL"))
+
+
+def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Of documents that hang together by near-equal texts the one with the least id stays."""
+    ship(spark)
+    kept = setsketch.near_duplicates(docs).filter("kept").select(F.col("doc_id").alias("_id")).distinct()
+    return docs.join(kept, F.col("_id").eqNullSafe(F.col("doc_id")), "left_semi")
+
+
+def secret_masking(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Every document stays, its secrets replaced by a mark; ``n_chars`` follows."""
     ship(spark)
-    kept = exact.exact_duplicates(docs).filter("kept").select("doc_id")
-    return docs.join(kept, "doc_id", "left_semi").select(*COLUMNS)
+    masked = secrets.mask_secrets(docs)
+    if "n_chars" not in docs.columns:
+        return masked
+    kind = docs.schema["n_chars"].dataType
+    return masked.withColumn("n_chars", F.coalesce(F.length("text").cast(kind), "n_chars"))
 
 
 def best_fit_packing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -29,7 +58,13 @@ def best_fit_packing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataF
     return packing.pack(docs)
 
 
-STAGES = [("exact dedup", exact_dedup), ("best-fit packing", best_fit_packing)]
+STAGES = [
+    ("toxicity", toxicity_filter),
+    ("exact dedup", exact_dedup),
+    ("MinHash near-dedup", near_dedup),
+    ("secret scans", secret_masking),
+    ("best-fit packing", best_fit_packing),
+]
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:

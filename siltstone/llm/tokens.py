@@ -107,6 +107,10 @@ class Words:
         totals = np.concatenate([[0], np.cumsum(counts)])
         return flat[expanded(begins[at], counts)], totals[bounds]
 
+    def encode_bytes(self, text: bytes) -> np.ndarray:
+        """The ids of one text."""
+        return np.frombuffer(b"".join(self._word_ids([w.decode() for w in text.split()])), "<u2")
+
     def decode(self, ids: np.ndarray) -> bytes:
         """What the library's ``decode(ids, skip_special_tokens=False)`` returns, in UTF-8.
 

@@ -233,3 +233,18 @@ def toxicity(documents: DataFrame, labels: DataFrame, label: str = "toxic", samp
     folded = chosen.withColumn("held_out", F.coalesce(F.expr("crc32(cast(doc_id AS string)) % 3 = 1"), F.lit(False)))
     kind = chosen.schema["doc_id"].dataType.simpleString()
     return folded.mapInArrow(_scores(model), f"doc_id {kind}, held_out boolean, score double, predicted int")
+
+
+def reject_toxic(
+    documents: DataFrame, labels: DataFrame, label: str = "toxic", sample: int = SAMPLE, threshold: float = THRESHOLD
+) -> DataFrame:
+    """The rows whose score is below the threshold, with all their columns."""
+    model = train(documents.select("doc_id", F.col("text").cast("string").alias("text")), labels, label, sample)
+
+    def task(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        features = Features(model.hashes)
+        for batch in batches:
+            for part in text_slices(batch, "text", 8 << 20):
+                yield part.filter(pa.array(model.scores(part.column("text"), features) < threshold))
+
+    return documents.mapInArrow(task, documents.schema)
