@@ -2,26 +2,27 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import functions as F
 
-from siltstone.catalog.inputs import LOADED_AT, PLACES_SQL, flat_places, table
+from siltstone.catalog.inputs import LOADED_AT, ACCOUNTS_SQL, flat_accounts, table
 from siltstone.operators import aggregate, enrich
 
-GROUP_BY = ["state_code", "state_name", "region_name"]
+GROUP_BY = ["n_name", "r_name"]
 
 
 def count_by_group(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return aggregate.count_by(flat_places(spark, sf_dir), GROUP_BY, "place_id", "total_places")
+    return aggregate.count_by(flat_accounts(spark, sf_dir), GROUP_BY, "c_custkey", "n_customers")
 
 
 def total_by_region(spark: SparkSession, sf_dir: str) -> DataFrame:
     counted = count_by_group(spark, sf_dir)
-    return aggregate.total_by(counted, ["region_name"], "total_places", "total_places")
+    return aggregate.total_by(counted, ["r_name"], "n_customers", "n_customers")
 
 
-def states_by_region(spark: SparkSession, sf_dir: str) -> DataFrame:
+def nations_by_region(spark: SparkSession, sf_dir: str) -> DataFrame:
     counted = count_by_group(spark, sf_dir)
-    return aggregate.members_by(counted, ["region_name"], "state_code", "total_states")
+    return aggregate.count_by(counted, ["r_name"], "n_name", "n_nations")
 
 
 def run_stamp(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -29,7 +30,11 @@ def run_stamp(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def gold_sorted(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return aggregate.in_order(count_by_group(spark, sf_dir), ["state_code"])
+    """The ordered rows, each with its place in the order it came in."""
+    ordered = aggregate.in_order(count_by_group(spark, sf_dir), ["n_name"])
+    numbered = ordered.withColumn("_at", F.monotonically_increasing_id())
+    place = F.row_number().over(Window.orderBy("_at"))
+    return numbered.withColumn("place", place).drop("_at")
 
 
 def top_n_preview(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -41,28 +46,30 @@ def top_n_preview(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES = {
     "count_by_group": count_by_group,
     "total_by_region": total_by_region,
-    "states_by_region": states_by_region,
+    "nations_by_region": nations_by_region,
     "run_stamp": run_stamp,
     "gold_sorted": gold_sorted,
     "top_n_preview": top_n_preview,
 }
 
 COUNTED_SQL = f"""
-SELECT state_code, state_name, region_name, count(place_id) AS total_places
-FROM ({PLACES_SQL}) GROUP BY ALL
+SELECT n_name, r_name, count(c_custkey) AS n_customers
+FROM ({ACCOUNTS_SQL}) GROUP BY ALL
 """
 
 ORACLES = {
     "count_by_group": COUNTED_SQL,
     "total_by_region": f"""
-        SELECT region_name, sum(total_places)::BIGINT AS total_places
-        FROM ({COUNTED_SQL}) GROUP BY region_name""",
-    "states_by_region": f"""
-        SELECT region_name, count(state_code) AS total_states
-        FROM ({COUNTED_SQL}) GROUP BY region_name""",
+        SELECT r_name, sum(n_customers)::BIGINT AS n_customers
+        FROM ({COUNTED_SQL}) GROUP BY r_name""",
+    "nations_by_region": f"""
+        SELECT r_name, count(n_name) AS n_nations
+        FROM ({COUNTED_SQL}) GROUP BY r_name""",
     "run_stamp": f"""
         SELECT *, '{LOADED_AT}' AS processed_at, '0a1b2c3d' AS run_id FROM ({COUNTED_SQL})""",
-    "gold_sorted": f"SELECT * FROM ({COUNTED_SQL}) ORDER BY state_code NULLS FIRST",
+    "gold_sorted": f"""
+        SELECT *, row_number() OVER (ORDER BY n_name NULLS FIRST)::INTEGER AS place
+        FROM ({COUNTED_SQL})""",
     "top_n_preview": """
         SELECT o_orderkey, o_custkey, o_totalprice FROM orders
         ORDER BY o_totalprice, o_orderkey LIMIT 10""",

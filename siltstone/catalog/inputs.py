@@ -1,7 +1,8 @@
 """Input frames the queries share, all derived from whole tables.
 
-``PLACES``      customers as nested records, four structs deep. Customers with
-                a negative balance have no state, so refined loads drop them.
+``ACCOUNTS``    customers as nested records: who they are, their account, and
+                where they are at home. Those with a negative balance have no
+                home, so refined loads drop them.
 ``LABELLED``    documents left-joined to labels: most documents have none.
 ``TOTALS``      one measure per customer, with blank, null, zero and negative
                 values in it.
@@ -11,29 +12,24 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
-from siltstone.operators.enrich import flatten
+from siltstone.operators.enrich import flatten, struct_leaves
 from siltstone.sources.scratch import scratch_path
 
 LOADED_AT = "2025-01-15 10:30:00"
 
-PLACE_SCHEMA = (
-    "id bigint, name string, "
-    "district struct<id: int, name: string, "
-    "county: struct<id: int, name: string, "
-    "state: struct<name: string, code: string, region: struct<name: string>>>>"
+# customer -> nation -> region, each level with the columns its table has.
+_REGION = StructType().add("r_regionkey", "integer").add("r_name", "string")
+_NATION = StructType().add("n_nationkey", "integer").add("n_name", "string").add("region", _REGION)
+_ACCOUNT = StructType().add("c_acctbal", "double").add("c_mktsegment", "string")
+ACCOUNT_SCHEMA = (
+    StructType().add("c_custkey", "long").add("c_name", "string").add("account", _ACCOUNT).add("nation", _NATION)
 )
-
-FLAT_COLUMNS = {
-    "place_id": "id",
-    "place_name": "name",
-    "district_id": "district.id",
-    "district_name": "district.name",
-    "county_id": "district.county.id",
-    "county_name": "district.county.name",
-    "state_name": "district.county.state.name",
-    "state_code": "district.county.state.code",
-    "region_name": "district.county.state.region.name",
+# Every leaf under its own name.
+ACCOUNT_LEAVES = {
+    path.replace("`", "").split(".")[-1]: path
+    for path in struct_leaves(ACCOUNT_SCHEMA).values()
 }
 
 
@@ -41,44 +37,41 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
-def places(spark: SparkSession, sf_dir: str) -> DataFrame:
+def accounts(spark: SparkSession, sf_dir: str) -> DataFrame:
     customers = table(spark, sf_dir, "customer")
     nations = table(spark, sf_dir, "nation")
     regions = table(spark, sf_dir, "region")
-    state = (
-        "IF(c_acctbal >= 0, named_struct('name', n_name, 'code', 'N' || n_nationkey, "
-        "'region', named_struct('name', r_name)), NULL)"
-    )
-    county = f"named_struct('id', r_regionkey, 'name', c_mktsegment, 'state', {state})"
-    district = f"named_struct('id', n_nationkey, 'name', c_mktsegment, 'county', {county})"
+    region = F.struct("r_regionkey", "r_name").alias("region")
     return (
         customers.join(nations, F.expr("c_nationkey = n_nationkey"))
         .join(regions, F.expr("n_regionkey = r_regionkey"))
-        .selectExpr("c_custkey AS id", "c_name AS name", f"{district} AS district")
-    )
+        .select(
+            "c_custkey", "c_name", F.struct("c_acctbal", "c_mktsegment").alias("account"),
+            F.when(F.col("c_acctbal") >= 0, F.struct("n_nationkey", "n_name", region)).alias("nation"),
+        )
+    )
 
 
-def landed_places(spark: SparkSession, sf_dir: str) -> str:
-    """The places written as JSON lines; returns the folder."""
+def landed_accounts(spark: SparkSession, sf_dir: str) -> str:
+    """The accounts written as JSON lines; returns the folder."""
     path = scratch_path(spark, "landing")
-    places(spark, sf_dir).write.json(path)
+    accounts(spark, sf_dir).write.json(path)
     return path
 
 
-PLACES_SQL = """
-SELECT c_custkey AS place_id, c_name AS place_name,
-       n_nationkey AS district_id, c_mktsegment AS district_name,
-       r_regionkey AS county_id, c_mktsegment AS county_name,
-       CASE WHEN c_acctbal >= 0 THEN n_name END AS state_name,
-       CASE WHEN c_acctbal >= 0 THEN concat('N', n_nationkey) END AS state_code,
-       CASE WHEN c_acctbal >= 0 THEN r_name END AS region_name
+ACCOUNTS_SQL = """
+SELECT c_custkey, c_name, c_acctbal, c_mktsegment,
+       CASE WHEN c_acctbal >= 0 THEN n_nationkey END AS n_nationkey,
+       CASE WHEN c_acctbal >= 0 THEN n_name END AS n_name,
+       CASE WHEN c_acctbal >= 0 THEN r_regionkey END AS r_regionkey,
+       CASE WHEN c_acctbal >= 0 THEN r_name END AS r_name
 FROM customer JOIN nation ON c_nationkey = n_nationkey
               JOIN region ON n_regionkey = r_regionkey
 """
 
 
-def flat_places(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return flatten(places(spark, sf_dir), FLAT_COLUMNS)
+def flat_accounts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return flatten(accounts(spark, sf_dir), ACCOUNT_LEAVES)
 
 
 def labelled(spark: SparkSession, sf_dir: str) -> DataFrame:

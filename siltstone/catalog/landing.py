@@ -6,41 +6,74 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from siltstone.catalog.inputs import (
-    FLAT_COLUMNS,
+    ACCOUNT_LEAVES,
     LOADED_AT,
-    PLACE_SCHEMA,
-    PLACES_SQL,
-    flat_places,
-    landed_places,
-    places,
+    ACCOUNT_SCHEMA,
+    ACCOUNTS_SQL,
+    flat_accounts,
+    landed_accounts,
+    accounts,
     table,
 )
 from siltstone.operators import enrich, filters
+from siltstone.plans import RawSpec, Run, load_raw
 from siltstone.sources import landing, tables
 from siltstone.sources.scratch import scratch_path
 
 
 def json_landing_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
-    landed = landing.read_json(spark, landed_places(spark, sf_dir), PLACE_SCHEMA)
-    return enrich.flatten(landed, FLAT_COLUMNS)
+    landed = landing.read_json(spark, landed_accounts(spark, sf_dir), ACCOUNT_SCHEMA)
+    return enrich.flatten(landed, ACCOUNT_LEAVES)
 
 
-def indented_array_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Orders as records of a pretty-printed JSON array, split by record."""
+ORDER_SCHEMA = "key bigint, customer struct<id: bigint>, status string"
+
+
+def _indented_orders(spark: SparkSession, sf_dir: str) -> str:
+    """Orders as a pretty-printed JSON array, an empty record before every finished one."""
     path = scratch_path(spark, "array")
     fields = [
         F.concat(F.lit('    "key": '), F.col("o_orderkey")),
         F.concat(F.lit('    "customer": {\n      "id": '), F.col("o_custkey"), F.lit("\n    }")),
         F.concat(F.lit('    "status": "'), F.col("o_orderstatus"), F.lit('"')),
     ]
-    record = F.concat(F.lit("  {\n"), F.concat_ws(",\n", *fields), F.lit("\n  },"))
+    before = F.when(F.col("o_orderstatus") == "F", "  {},\n").otherwise("")
+    record = F.concat(before, F.lit("  {\n"), F.concat_ws(",\n", *fields), F.lit("\n  },"))
     table(spark, sf_dir, "orders").select(record.alias("value")).write.text(path)
-    schema = "key bigint, customer struct<id: bigint>, status string"
-    return landing.read_indented_array(spark, path, schema).select(
+    return path
+
+
+def indented_array_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Records of a pretty-printed array, empty ones among them, split by record."""
+    return landing.read_indented_array(spark, _indented_orders(spark, sf_dir), ORDER_SCHEMA).select(
         "key", F.col("customer.id").alias("customer_id"), "status"
     )
 
 
+def indented_array_load(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The same file through the raw load, which counts what it wrote."""
+    path = scratch_path(spark, "raw")
+    spec = RawSpec(ORDER_SCHEMA, "orders", layout="indented")
+    result = load_raw(spark, _indented_orders(spark, sf_dir), path, spec, Run("1", LOADED_AT))
+    raw = tables.read_parquet(spark, path)
+    return raw.select(
+        "key", F.col("customer.id").alias("customer_id"), "status", "year", F.lit(result.records).cast("long").alias("n_loaded")
+    )
+
+
+def malformed_load(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Events as JSON lines of which some are cut off: left out, counted, and within the limit."""
+    landed, path = scratch_path(spark, "broken"), scratch_path(spark, "raw")
+    line = F.to_json(F.struct("event_id", "event_type"))
+    cut = F.when(F.col("event_type") == "error", F.substring(line, 1, 12)).otherwise(line)
+    events = table(spark, sf_dir, "events")
+    events.select(cut.alias("value")).write.text(landed)
+    spec = RawSpec("event_id bigint, event_type string", "events", max_malformed=events.count())
+    result = load_raw(spark, landed, path, spec, Run("1", LOADED_AT))
+    raw = tables.read_parquet(spark, path)
+    return raw.select("event_id", "event_type", F.lit(result.malformed).alias("n_left_out"))
+
+
 def parquet_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     path = scratch_path(spark, "orders")
     orders = enrich.with_date_parts(table(spark, sf_dir, "orders"), "o_orderdate")
@@ -67,11 +100,11 @@ def partition_date_columns(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def flatten_structs(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return flat_places(spark, sf_dir)
+    return flat_accounts(spark, sf_dir)
 
 
 def flatten_by_schema(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return enrich.flatten_all(places(spark, sf_dir))
+    return enrich.flatten_all(accounts(spark, sf_dir))
 
 
 def partitioned_overwrite(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -95,12 +128,14 @@ def _two_overwrites(spark: SparkSession, sf_dir: str, mode: str) -> DataFrame:
 
 
 def rejected_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return filters.rejected_rows(flat_places(spark, sf_dir), ["state_code"])
+    return filters.rejected_rows(flat_accounts(spark, sf_dir), ["n_name"])
 
 
 QUERIES = {
     "json_landing_scan": json_landing_scan,
     "indented_array_scan": indented_array_scan,
+    "indented_array_load": indented_array_load,
+    "malformed_load": malformed_load,
     "parquet_scan": parquet_scan,
     "bronze_enrich": bronze_enrich,
     "source_file_column": source_file_column,
@@ -112,13 +147,21 @@ QUERIES = {
     "rejected_rows": rejected_rows,
 }
 
+_ARRAY = """
+    SELECT o_orderkey AS key, o_custkey AS customer_id, o_orderstatus AS status FROM orders
+    UNION ALL
+    SELECT NULL, NULL, NULL FROM orders WHERE o_orderstatus = 'F'"""
 _YEAR_MONTH = "year(o_orderdate)::INTEGER AS year, month(o_orderdate)::INTEGER AS month"
 
 ORACLES = {
-    "json_landing_scan": PLACES_SQL,
-    "indented_array_scan": (
-        "SELECT o_orderkey AS key, o_custkey AS customer_id, o_orderstatus AS status FROM orders"
-    ),
+    "json_landing_scan": ACCOUNTS_SQL,
+    "indented_array_scan": _ARRAY,
+    "indented_array_load": f"""
+        SELECT *, 2025::INTEGER AS year, count(*) OVER () AS n_loaded FROM ({_ARRAY})""",
+    "malformed_load": """
+        SELECT event_id, event_type,
+               (SELECT count(*) FROM events WHERE event_type = 'error')::INTEGER AS n_left_out
+        FROM events WHERE event_type <> 'error'""",
     "parquet_scan": f"SELECT *, {_YEAR_MONTH} FROM orders",
     "bronze_enrich": (
         f"SELECT *, TIMESTAMP '{LOADED_AT}' AS ingestion_timestamp, "
@@ -128,14 +171,12 @@ ORACLES = {
     "partition_date_columns": (
         "SELECT event_id, ts, year(ts)::INTEGER AS year, month(ts)::INTEGER AS month FROM events"
     ),
-    "flatten_structs": PLACES_SQL,
+    "flatten_structs": ACCOUNTS_SQL,
     "flatten_by_schema": f"""
-        SELECT place_id AS id, place_name AS name, district_id, district_name,
-               county_id AS district_county_id, county_name AS district_county_name,
-               state_name AS district_county_state_name,
-               state_code AS district_county_state_code,
-               region_name AS district_county_state_region_name
-        FROM ({PLACES_SQL})""",
+        SELECT c_custkey, c_name, c_acctbal AS account_c_acctbal, c_mktsegment AS account_c_mktsegment,
+               n_nationkey AS nation_n_nationkey, n_name AS nation_n_name,
+               r_regionkey AS nation_region_r_regionkey, r_name AS nation_region_r_name
+        FROM ({ACCOUNTS_SQL})""",
     "partitioned_overwrite": f"""
         SELECT o_orderkey, o_orderstatus, o_orderdate, {_YEAR_MONTH} FROM orders
         WHERE o_orderstatus = 'F' AND year(o_orderdate) >= 2000""",
@@ -146,5 +187,5 @@ ORACLES = {
         SELECT * FROM finished
         UNION ALL
         SELECT * FROM dated WHERE (year, month) NOT IN (SELECT (year, month) FROM finished)""",
-    "rejected_rows": f"SELECT * FROM ({PLACES_SQL}) WHERE state_code IS NULL",
+    "rejected_rows": f"SELECT * FROM ({ACCOUNTS_SQL}) WHERE n_name IS NULL",
 }

@@ -1,5 +1,5 @@
-"""Merges: earlier and later urgent orders per customer, and line prices per
-order as a target whose keys repeat."""
+"""Merges: earlier and later orders per customer, line prices per order as a
+target whose keys repeat, and keys of two names."""
 
 from __future__ import annotations
 
@@ -13,9 +13,9 @@ TURN = "1998-01-01"
 
 
 def _customers(spark: SparkSession, sf_dir: str, period: Column) -> DataFrame:
-    urgent = table(spark, sf_dir, "orders").filter(F.col("o_orderpriority") == "1-URGENT")
     return (
-        urgent.filter(period)
+        table(spark, sf_dir, "orders")
+        .filter(period)
         .groupBy("o_custkey")
         .agg(F.count(F.lit(1)).alias("n_orders"), F.max("o_totalprice").alias("top_price"))
     )
@@ -71,18 +71,38 @@ def merge_cardinality_conflicts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return merge.merge_conflicts(_orders(spark, sf_dir), _lines(spark, sf_dir), ["order_key"])
 
 
+def _line_totals(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Per order, what its lines come to, under the lines' names."""
+    return table(spark, sf_dir, "lineitem").groupBy("l_orderkey").agg(F.max("l_extendedprice").alias("price"))
+
+
+def merge_key_pairs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The key is called order_key in the target and l_orderkey in the source."""
+    orders, lines = _orders(spark, sf_dir), _line_totals(spark, sf_dir)
+    return merge.merge(orders, lines, [("order_key", "l_orderkey")], delete_unmatched=False)
+
+
+def merge_with_condition(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Orders take their dearest line's price where that is below their own."""
+    orders, lines = _orders(spark, sf_dir), _line_totals(spark, sf_dir)
+    pair = [("order_key", "l_orderkey")]
+    return merge.merge(orders, lines, pair, delete_unmatched=False, condition="source.price < target.price")
+
+
 QUERIES = {
     "merge_sync": merge_sync,
     "merge_upsert": merge_upsert,
     "merge_actions": merge_actions,
     "merge_update_kinds": merge_update_kinds,
     "merge_repeated_targets": merge_repeated_targets,
+    "merge_key_pairs": merge_key_pairs,
+    "merge_with_condition": merge_with_condition,
     "merge_cardinality_conflicts": merge_cardinality_conflicts,
 }
 
 _GROUPED = """
     SELECT o_custkey, count(*) AS n_orders, max(o_totalprice) AS top_price FROM orders
-    WHERE o_orderpriority = '1-URGENT' AND o_orderdate {} TIMESTAMP '{}' GROUP BY o_custkey"""
+    WHERE o_orderdate {} TIMESTAMP '{}' GROUP BY o_custkey"""
 _WITH = f"WITH earlier AS ({_GROUPED.format('<', TURN)}), later AS ({_GROUPED.format('>=', TURN)})"
 
 ORACLES = {
@@ -110,6 +130,23 @@ ORACLES = {
     "merge_repeated_targets": """
         SELECT o_orderkey AS order_key, o_totalprice AS price
         FROM orders LEFT JOIN lineitem ON l_orderkey = o_orderkey""",
+    "merge_key_pairs": """
+        SELECT o_orderkey AS order_key, coalesce(price, o_totalprice) AS price
+        FROM orders LEFT JOIN (
+            SELECT l_orderkey, max(l_extendedprice) AS price FROM lineitem GROUP BY l_orderkey)
+        ON l_orderkey = o_orderkey
+        UNION ALL
+        SELECT l_orderkey, max(l_extendedprice) FROM lineitem
+        WHERE l_orderkey NOT IN (SELECT o_orderkey FROM orders) GROUP BY l_orderkey""",
+    "merge_with_condition": """
+        WITH lines AS (SELECT l_orderkey, max(l_extendedprice) AS price FROM lineitem GROUP BY l_orderkey),
+        sided AS (
+            SELECT o_orderkey, o_totalprice, l_orderkey, price, price < o_totalprice AS met
+            FROM orders FULL JOIN lines ON l_orderkey = o_orderkey)
+        SELECT o_orderkey AS order_key, CASE WHEN met THEN price ELSE o_totalprice END AS price
+        FROM sided WHERE o_orderkey IS NOT NULL
+        UNION ALL
+        SELECT l_orderkey, price FROM sided WHERE l_orderkey IS NOT NULL AND NOT coalesce(met, FALSE)""",
     "merge_cardinality_conflicts": """
         SELECT l_orderkey AS order_key, count(*) AS copies FROM lineitem
         WHERE l_orderkey IN (SELECT o_orderkey FROM orders)

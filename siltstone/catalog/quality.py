@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from siltstone.catalog.inputs import (
     LABELLED_SQL,
@@ -17,7 +18,7 @@ from siltstone.catalog.inputs import (
     table,
     totals,
 )
-from siltstone.operators import filters, profile, reports
+from siltstone.operators import contract, filters, profile, reports
 from siltstone.sources import ledger
 from siltstone.sources.scratch import scratch_path
 
@@ -137,7 +138,31 @@ def audit_record(spark: SparkSession, sf_dir: str) -> DataFrame:
     return ledger.audit_rows(report, "totals", 1.2345, "1.0.0", LOADED_AT, records="total")
 
 
+def contract_columns(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Customers held against the columns of suppliers, under customer names."""
+    customers, suppliers = table(spark, sf_dir, "customer"), table(spark, sf_dir, "supplier")
+    declared = [name.replace("s_", "c_", 1) for name in suppliers.columns]
+    return contract.contract_report(customers, declared)
+
+
+def non_empty_guard(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Events that pass the guard, and those no event is among, which do not."""
+    events = table(spark, sf_dir, "events")
+    counts = []
+    for kind in ("known", "unknown"):
+        rows = events.filter(F.col("event_id").isNotNull() if kind == "known" else F.col("event_id").isNull())
+        try:
+            filters.check_not_empty(rows, kind)
+            passed = True
+        except ValueError:
+            passed = False
+        counts.append(rows.agg(F.lit(kind).alias("kind"), F.lit(passed).alias("passed"), F.count(F.lit(1)).alias("n_rows")))
+    return counts[0].unionByName(counts[1])
+
+
 QUERIES = {
+    "contract_columns": contract_columns,
+    "non_empty_guard": non_empty_guard,
     "required_field_filter": required_field_filter,
     "dropped_row_accounting": dropped_row_accounting,
     "any_null_rows": any_null_rows,
@@ -227,10 +252,17 @@ _GATED = _quality_sql(SLICE_SQL, SLICE, "quality", by="source")
 _STORED = "records, valid_records, duplicates, null_records, quality, status"
 _AUDIT = (
     "source, 'labelled' AS pipeline, status, records, quality, 12.35::DOUBLE AS duration, "
-    "'refined' AS stage"
+    "'refined' AS stage, 1::INTEGER AS attempt"
 )
 
 ORACLES = {
+    "contract_columns": """
+        SELECT unnest(['c_suppkey', 'c_custkey', 'c_mktsegment']) AS column_name,
+               unnest(['missing', 'extra', 'extra']) AS side, count(*) AS n_rows
+        FROM customer""",
+    "non_empty_guard": """
+        SELECT 'known' AS kind, TRUE AS passed, count(event_id) AS n_rows FROM events
+        UNION ALL SELECT 'unknown', FALSE, count(*) - count(event_id) FROM events""",
     "required_field_filter": f"SELECT * FROM ({LABELLED_SQL}) WHERE quality IS NOT NULL",
     "dropped_row_accounting": f"""
         SELECT count(*) AS rows_in, count(quality) AS rows_kept,

@@ -114,10 +114,23 @@ def compact(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def file_inventory(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Per version its files, those that hold rows, and the rows in them."""
     path = _scattered_orders(spark, sf_dir)
-    files = snapshots.file_inventory(spark, path)
-    counts = files.groupBy().pivot("version", [0, 1]).count()
-    return counts.select((F.col("1") < F.col("0")).alias("fewer_files"))
+    files = snapshots.file_inventory(spark, path).groupBy("version").agg(F.count(F.lit(1)).alias("n_files"))
+    read = [
+        snapshots.read_snapshot(spark, path, version=v)
+        .select(F.lit(v).cast("bigint").alias("version"), F.input_file_name().alias("file"))
+        for v in (0, 1)
+    ]
+    held = read[0].unionByName(read[1]).groupBy("version").agg(
+        F.countDistinct("file").alias("n_files_with_rows"), F.count(F.lit(1)).alias("n_rows")
+    )
+    counted = files.join(held, "version", "left")
+    # How many files there are depends on the session; what must hold does not.
+    return counted.select(
+        "version", "n_rows", (F.col("n_files") == F.col("n_files_with_rows")).alias("all_hold_rows"),
+        F.expr("version = 0 OR n_files <= 3").alias("one_a_status"),
+    )
 
 
 def _history(spark: SparkSession, sf_dir: str) -> str:
@@ -128,8 +141,10 @@ def _history(spark: SparkSession, sf_dir: str) -> str:
 
 def history_view(spark: SparkSession, sf_dir: str) -> DataFrame:
     path = _history(spark, sf_dir)
-    newest = snapshots.history(spark, path, limit=2)
-    return newest.select("version", "operation", "n_rows", "parameters.keys")
+    newest = snapshots.history_view(spark, path, limit=2)
+    details = snapshots.commits(spark, path).select("version", "n_rows", "parameters.keys")
+    at = F.date_format("commit_ts", "yyyy-MM-dd HH:mm:ss").alias("committed")
+    return newest.join(details, "version").select("version", "operation", at, "n_rows", "keys")
 
 
 def expired_versions(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -178,12 +193,14 @@ ORACLES = {
         SELECT l_orderkey, l_extendedprice FROM lineitem
         WHERE l_orderkey NOT IN (SELECT o_orderkey FROM later)""",
     "compact": "SELECT * FROM orders",
-    "file_inventory": "SELECT TRUE AS fewer_files",
+    "file_inventory": """
+        SELECT unnest([0, 1])::BIGINT AS version, count(*) AS n_rows, TRUE AS all_hold_rows,
+               TRUE AS one_a_status FROM orders""",
     "history_view": f"""
-        SELECT 2::BIGINT AS version, 'MERGE' AS operation,
+        SELECT 2::BIGINT AS version, 'MERGE' AS operation, '{WEDNESDAY}' AS committed,
                (SELECT count(*) FROM customer) AS n_rows, 'c_custkey' AS keys
         UNION ALL
-        SELECT 1::BIGINT, 'OVERWRITE', (SELECT count(*) FROM ({_SOLVENT})), NULL""",
+        SELECT 1::BIGINT, 'OVERWRITE', '{TUESDAY}', (SELECT count(*) FROM ({_SOLVENT})), NULL""",
     "expired_versions": """
         SELECT 0::BIGINT AS version, count(*) AS n_rows, 'CREATE' AS operation FROM customer""",
 }

@@ -15,7 +15,8 @@ from siltstone.functions import named
 
 
 def count_by(df: DataFrame, keys: Sequence[str], counted: str, alias: str = "total") -> DataFrame:
-    """Rows per key with a non-null ``counted`` column."""
+    """Rows per key with a non-null ``counted`` column. On a grouped table that
+    is the number of its groups per coarser key."""
     return df.groupBy(*map(named, keys)).agg(F.count(named(counted)).alias(alias))
 
 
@@ -24,11 +25,6 @@ def total_by(df: DataFrame, keys: Sequence[str], measure: str, alias: str) -> Da
     return df.groupBy(*map(named, keys)).agg(F.sum(named(measure)).alias(alias))
 
 
-def members_by(df: DataFrame, keys: Sequence[str], member: str, alias: str) -> DataFrame:
-    """Grouped rows per coarser key; counts rows, not distinct members."""
-    return count_by(df, keys, member, alias)
-
-
 def in_order(df: DataFrame, keys: Sequence[str]) -> DataFrame:
     """Ascending, nulls first. Sort where the rows are read, not before a
     write: a table keeps no order across files."""

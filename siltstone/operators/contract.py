@@ -6,6 +6,7 @@ from collections.abc import Sequence
 from dataclasses import dataclass
 
 from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
 
@@ -46,3 +47,14 @@ def check_contract(df: DataFrame, expected: Sequence[str] | StructType) -> list[
         if wrong:
             raise ContractError("; ".join(wrong))
     return difference.extra
+
+
+def contract_report(df: DataFrame, expected: Sequence[str]) -> DataFrame:
+    """``(column_name, side, n_rows)``: a row for each missing or extra column,
+    with the number of rows that are concerned."""
+    difference = column_difference(df, expected)
+    sides = [(name, "missing") for name in difference.missing] + [(name, "extra") for name in difference.extra]
+    rows = F.array(*[F.struct(F.lit(n).alias("column_name"), F.lit(s).alias("side")) for n, s in sides])
+    empty = F.array().cast("array<struct<column_name: string, side: string>>")
+    counted = df.agg(F.count(F.lit(1)).alias("n_rows"))
+    return counted.select(F.inline(rows if sides else empty), "n_rows")

@@ -4,14 +4,19 @@ Clauses of the *sync* merge: a matched target row takes the source row's
 values, an unmatched source row is inserted, and a target row without a source
 row is deleted. ``delete_unmatched=False`` keeps those rows (upsert).
 
-Keys match by ``=`` on columns of one name on both sides: a null key matches
-nothing, so null-key source rows are inserted and null-key target rows count
-as unmatched. The result has the target's columns and types; a source must
-bring them all.
-
-A sync merge never needs the target's values, only how often each key repeats
-there, so the target is read for its key columns alone and counted before it
-shuffles.
+Keys match by ``=``: a null key matches nothing, so null-key source rows are
+inserted and null-key target rows count as unmatched. A key is a column name,
+or a pair of the target's name and the source's. ``condition`` adds a
+predicate over ``target.*`` and ``source.*`` columns that matching rows meet
+as well; the join is still one by key. The result has the target's columns and
+types; a source must bring them all.
+
+Several source rows that match one target row are a conflict. ``merge`` fails
+on one when its result is computed; ``merge_conflicts`` lists them beforehand.
+
+A sync merge without a condition never needs the target's values, only how
+often each key repeats there, so the target is read for its key columns alone
+and counted before it shuffles.
 """
 
 from __future__ import annotations
@@ -23,14 +28,26 @@ from pyspark.sql import functions as F
 
 from siltstone.functions import any_null, named, quoted
 
-# A target key with more copies than this is written out by several tasks.
+#: A target key with more copies than this is written out by several tasks.
 COPIES_PER_BLOCK = 100_000
 
+Key = str | tuple[str, str]
+
 
 class MergeConflict(ValueError):
     """Several source rows match one target row."""
 
 
+def paired(source: DataFrame, keys: Sequence[Key]) -> tuple[DataFrame, list[str]]:
+    """The source with the target's key names, and those names."""
+    for key in keys:
+        if not isinstance(key, str) and key[0] != key[1]:
+            if key[0] in source.columns:
+                source = source.drop(named(key[0]))
+            source = source.withColumnRenamed(key[1], key[0])
+    return source, [key if isinstance(key, str) else key[0] for key in keys]
+
+
 def _key_columns(keys: Sequence[str]) -> list[str]:
     if not keys:
         raise ValueError("a merge needs at least one key")
@@ -50,11 +67,12 @@ def repeated_keys(df: DataFrame, keys: Sequence[str]) -> DataFrame:
     return _counted(df.filter(~any_null(keys)), keys, "_copies").filter("_copies > 1")
 
 
-def merge_conflicts(target: DataFrame, source: DataFrame, keys: Sequence[str]) -> DataFrame:
+def merge_conflicts(target: DataFrame, source: DataFrame, keys: Sequence[Key]) -> DataFrame:
     """Source keys that repeat and exist in the target, with their ``copies``.
 
     Both sides are reduced to one row per key before they are joined.
     """
+    source, keys = paired(source, keys)
     columns = _key_columns(keys)
     present = _counted(target, keys, "_target_rows")
     return (
@@ -104,11 +122,14 @@ def written_rows(
     """
     if repeated is None:
         return source
+    # The counts come out of an aggregate by key. Behind an expression the join no longer takes them
+    # as dealt by key and shuffles both sides itself, and only such a join is split where a key is hot.
+    columns = _key_columns(keys)
+    counts = repeated.select(*[F.expr(f"IF(_copies > 0, {c}, NULL)").alias(c) for c in columns], "_copies")
     keyless = source.filter(any_null(keys))
-    # One filter in front of both joins, so that they can share one shuffle.
     keyed = source.filter(~any_null(keys))
     few = (
-        keyed.join(repeated, _same_key(keys), "left_outer")
+        keyed.join(counts, _same_key(keys), "left_outer")
         .withColumn("_copies", F.expr("coalesce(_copies, 1L)"))
         .filter(f"_copies <= {copies_per_block}")
         .withColumn("_copy", F.expr("explode(sequence(1L, _copies))"))
@@ -117,14 +138,14 @@ def written_rows(
     blocks = f"(_copies + {copies_per_block - 1}) DIV {copies_per_block}"
     in_block = f"least({copies_per_block}L, _copies - (_block - 1) * {copies_per_block})"
     many = (
-        keyed.join(repeated.filter(f"_copies > {copies_per_block}"), _same_key(keys), "inner")
+        keyed.join(counts.filter(f"_copies > {copies_per_block}"), _same_key(keys), "inner")
         .withColumn("_block", F.expr(f"explode(sequence(1L, {blocks}))"))
         .withColumn("_in_block", F.expr(in_block))
-        .repartition(tasks, *_key_columns(keys), "_block")
+        .repartition(tasks, *columns, "_block")
         .withColumn("_copy", F.expr("explode(sequence(1L, _in_block))"))
     )
-    columns = [quoted(c) for c in source.columns]
-    return keyless.unionByName(few.select(columns)).unionByName(many.select(columns))
+    kept = [quoted(c) for c in source.columns]
+    return keyless.unionByName(few.select(kept)).unionByName(many.select(kept))
 
 
 def unmatched_rows(target: DataFrame, source: DataFrame, keys: Sequence[str]) -> DataFrame:
@@ -139,18 +160,41 @@ def unmatched_rows(target: DataFrame, source: DataFrame, keys: Sequence[str]) ->
 def merge(
     target: DataFrame,
     source: DataFrame,
-    keys: Sequence[str],
+    keys: Sequence[Key],
     delete_unmatched: bool = True,
     target_keys_unique: bool = False,
+    source_keys_unique: bool = False,
+    condition: str | None = None,
+    copies_per_block: int = COPIES_PER_BLOCK,
 ) -> DataFrame:
     """The target after the merge, as a lazy frame.
 
     ``target_keys_unique=True`` states that no non-null key repeats in the
-    target; a sync merge then is the source, and no join is planned. Conflicts
-    are not looked for here: see ``merge_conflicts``.
+    target; a sync merge then needs no join. ``source_keys_unique=True``
+    states the same of the source, and leaves out the check for conflicts.
+    """
+    if condition is not None:
+        return _merge_where(target, source, keys, delete_unmatched, condition)
+    renamed, names = paired(source, keys)
+    repeated = None if target_keys_unique else repeated_keys(target, names)
+    merged = merge_repeated(target, renamed, names, repeated, delete_unmatched, copies_per_block)
+    if source_keys_unique:
+        return merged
+    return _guarded(merged, merge_conflicts(target, renamed, names).select(F.to_json(F.struct("*")).alias("conflict")))
+
+
+def _guarded(merged: DataFrame, conflicts: DataFrame) -> DataFrame:
+    """The rows, with a branch that yields none and fails at the first conflict.
+
+    The failure stands in a filter, which no choice of columns prunes away,
+    and behind an aggregate, through which no filter is pushed to rows that
+    are no conflicts yet.
     """
-    repeated = None if target_keys_unique else repeated_keys(target, keys)
-    return merge_repeated(target, source, keys, repeated, delete_unmatched)
+    first = conflicts.agg(F.count(F.lit(1)).alias("n"), F.min("conflict").alias("conflict"))
+    message = F.concat(F.lit("several source rows match a target row: "), "conflict")
+    failing = first.filter(F.when(F.col("n") > 0, F.raise_error(message).cast("boolean")).otherwise(F.lit(False)))
+    empty = [F.lit(None).cast(f.dataType).alias(f.name) for f in merged.schema]
+    return merged.unionByName(failing.select(*empty))
 
 
 def merge_repeated(
@@ -159,20 +203,48 @@ def merge_repeated(
     keys: Sequence[str],
     repeated: DataFrame | None,
     delete_unmatched: bool = True,
+    copies_per_block: int = COPIES_PER_BLOCK,
 ) -> DataFrame:
-    """``merge`` with the target's repeated keys already at hand."""
+    """``merge`` with the target's repeated keys at hand and conflicts ruled out."""
     incoming = as_target(target, source)
-    written = written_rows(incoming, keys, repeated)
+    written = written_rows(incoming, keys, repeated, copies_per_block)
     if delete_unmatched:
         return written
     return unmatched_rows(target, incoming, keys).unionByName(written)
 
 
-def merge_actions(target: DataFrame, source: DataFrame, keys: Sequence[str]) -> DataFrame:
+def _merge_where(
+    target: DataFrame, source: DataFrame, keys: Sequence[Key], delete_unmatched: bool, condition: str
+) -> DataFrame:
+    """A merge whose rows match by key and by a condition."""
+    pairs = [key if isinstance(key, tuple) else (key, key) for key in keys]
+    _key_columns([t for t, _ in pairs])
+    on = F.expr(condition)
+    for of_target, of_source in pairs:
+        on = on & (F.col(f"target.{quoted(of_target)}") == F.col(f"source.{quoted(of_source)}"))
+    numbered = target.withColumn("_row", F.monotonically_increasing_id()).alias("target")
+    given = source.alias("source")
+    renamed, _ = paired(source, keys)
+    names = {of_target: of_source for of_target, of_source in pairs}
+    as_given = [
+        F.col(f"source.{quoted(names.get(f.name, f.name))}").cast(f.dataType).alias(f.name) for f in target.schema
+    ]
+    as_target(target, renamed)
+    matched = numbered.join(given, on)
+    written = matched.select(as_given).unionByName(given.join(target.alias("target"), on, "left_anti").select(as_given))
+    if not delete_unmatched:
+        written = target.alias("target").join(given, on, "left_anti").unionByName(written)
+    twice = matched.groupBy("_row", *[F.col(f"target.{quoted(t)}").alias(f"_key_{i}") for i, (t, _) in enumerate(pairs)])
+    twice = twice.agg(F.count(F.lit(1)).alias("copies")).filter("copies > 1").drop("_row")
+    return _guarded(written, twice.select(F.to_json(F.struct("*")).alias("conflict")))
+
+
+def merge_actions(target: DataFrame, source: DataFrame, keys: Sequence[Key]) -> DataFrame:
     """Rows per action of a sync merge: ``(action, n_rows)``, three rows.
 
     Both sides are counted per key before the join, so a hot key is one row.
     """
+    source, keys = paired(source, keys)
     target_rows, source_rows = F.col("_target_rows"), F.col("_source_rows")
 
     def rows(condition: Column, counted: Column) -> Column:
@@ -196,7 +268,8 @@ def update_kinds(
     """Matched target rows by whether a column outside ``ignore`` changes.
 
     Tells rows with new values from rows that only carry a new run stamp:
-    ``(kind, n_rows)`` with the kinds ``changed`` and ``same``.
+    ``(kind, n_rows)`` with the kinds ``changed`` and ``same``. A matched
+    target row is counted once; where source rows conflict over it, it fails.
     """
     incoming = as_target(target, source)
     compared = [c for c in target.columns if c not in {*ignore, *keys}]
@@ -208,9 +281,10 @@ def update_kinds(
     same = F.lit(True)
     for i in range(len(compared)):
         same = same & F.col(f"_target_{i}").eqNullSafe(F.col(f"_source_{i}"))
+    conflicts = merge_conflicts(target, incoming, keys).select(F.to_json(F.struct("*")).alias("conflict"))
+    matched = cells(target, "_target").join(cells(incoming, "_source"), _key_columns(keys), "inner")
     return (
-        cells(target, "_target")
-        .join(cells(incoming, "_source"), _key_columns(keys), "inner")
+        _guarded(matched, conflicts)
         .agg(F.count_if(~same).alias("changed"), F.count_if(same).alias("same"))
         .unpivot([], ["changed", "same"], "kind", "n_rows")
     )

@@ -158,6 +158,8 @@ def gate(
 
 def check_gate(gated: DataFrame) -> None:
     """Raise when a batch of a gated report has violations."""
-    shown = gated.filter("violations <> ''").limit(MESSAGE_ROWS).collect()
+    violating = gated.filter("violations <> ''")
+    shown = violating.limit(MESSAGE_ROWS).collect()
     if shown:
-        raise QualityGateError("; ".join(str(row.asDict()) for row in shown))
+        listed = "; ".join(str(row.asDict()) for row in shown)
+        raise QualityGateError(f"{len(shown)} of {violating.count()} batches that break a gate: {listed}")

@@ -1,4 +1,9 @@
-"""Folders on whatever file system Spark is set up for."""
+"""Folders on whatever file system Spark is set up for.
+
+The DataFrame API has no call for this, so it goes through the session's JVM;
+a Spark Connect session has none, and the tables of this package need a
+classic session.
+"""
 
 from __future__ import annotations
 
@@ -30,3 +35,12 @@ def children(spark: SparkSession, path: str) -> dict[str, datetime]:
         entry.getPath().getName(): datetime.fromtimestamp(entry.getModificationTime() / 1000, UTC)
         for entry in files.listStatus(folder)
     }
+
+
+def parquet_files(spark: SparkSession, path: str) -> int:
+    """Parquet files under a folder, in one pass over its listing."""
+    files, folder = _resolve(spark, path)
+    found, count = files.listFiles(folder, True), 0
+    while found.hasNext():
+        count += found.next().getPath().getName().endswith(".parquet")
+    return count

@@ -4,38 +4,74 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.types import StructType
+from pyspark.sql.types import ArrayType, BooleanType, StringType, StructField, StructType
+
+MALFORMED = "_malformed"
+_END = "_end_of_chunk"
 
 
 def read_json(
-    spark: SparkSession, path: str, schema: StructType | str | None = None, multi_line: bool = False
+    spark: SparkSession,
+    path: str,
+    schema: StructType | str | None = None,
+    multi_line: bool = False,
+    keep_malformed: bool = False,
 ) -> DataFrame:
     """JSON records, one per line or one array per line.
 
-    Give the schema: without it Spark reads the files once more to infer one.
-    ``multi_line`` parses files as whole documents, one task per file; use it
-    for many moderate files, and ``read_indented_array`` for large ones.
+    Text that is no record of the schema fails the read. ``keep_malformed``
+    keeps it instead, as a row of nulls with the text in ``_malformed``, which
+    is null in all other rows; it needs a schema. Without a schema Spark reads
+    the files once more to infer one. ``multi_line`` parses files as whole
+    documents, one task per file; use it for many moderate files, and
+    ``read_indented_array`` for large ones.
     """
     reader = spark.read.option("multiLine", multi_line)
+    if keep_malformed:
+        schema = StructType([*_struct(schema).fields, StructField(MALFORMED, StringType())])
+        reader = reader.option("mode", "PERMISSIVE").option("columnNameOfCorruptRecord", MALFORMED)
+    else:
+        reader = reader.option("mode", "FAILFAST")
     if schema is not None:
         reader = reader.schema(schema)
     return reader.json(path)
 
 
+def _struct(schema: StructType | str) -> StructType:
+    return schema if isinstance(schema, StructType) else StructType.fromDDL(schema)
+
+
 def read_indented_array(
     spark: SparkSession, path: str, schema: StructType | str, indent: int = 2
 ) -> DataFrame:
     """A pretty-printed JSON array of objects, read by many tasks.
 
-    In a file written with a fixed indent, only the end of a record has a line
-    of ``indent`` spaces and a closing brace (a line break inside a string is
-    escaped), so that line separates records and the file can be split.
-    Raises on a record that does not parse.
+    In a file written with a fixed indent, a line of ``indent`` spaces and a
+    closing brace ends a record of several lines (a line break inside a string
+    is escaped), so that line separates chunks and the file can be split. A
+    chunk may hold more than one record, ``{}`` or compact ones among them:
+    each is parsed as an array with a mark behind its last record, and a chunk
+    whose mark is not reached fails the read, as does any other text that is
+    no record. So every record is returned or none is, whatever the layout.
     """
     close = "\n" + " " * indent + "}"
-    lines = spark.read.option("lineSep", close).text(path)
-    # What lies between two closing braces: ",\n  {...", "[\n  {..." or the final "\n]".
-    start = F.instr("value", "{")
-    record = F.concat(F.expr("substring(value, instr(value, '{'))"), F.lit("}"))
-    parsed = F.from_json(record, schema, {"mode": "FAILFAST"})
-    return lines.filter(start > 0).select(parsed.alias("record")).select("record.*")
+    chunks = spark.read.option("lineSep", close).text(path)
+    # A file's last chunk brings the array's own end and lacks no brace.
+    body = "substring(value, instr(value, '{'))"
+    open_end = f"IF(value RLIKE '\\\\]\\\\s*$', regexp_replace({body}, '\\\\]\\\\s*$', ''), concat({body}, '}}'))"
+    marked = F.concat(F.lit("["), F.expr(open_end), F.lit(f',{{"{_END}":true}}]'))
+    element = StructType([*_struct(schema).fields, StructField(_END, BooleanType())])
+    records = F.from_json(marked, ArrayType(element), {"mode": "FAILFAST"})
+    stray = F.expr(
+        "IF(instr(value, '{') = 0, value, substring(value, 1, instr(value, '{') - 1))"
+    ).rlike("[^\\s,\\[\\]]")
+    failed = F.raise_error(F.concat(F.lit("no indented array of records: "), F.substring("value", 1, 200)))
+    checked = F.when(~stray & F.coalesce(F.element_at("records", -1)[_END], F.lit(False)), F.col("records")).otherwise(
+        failed
+    )
+    parsed = chunks.filter(F.col("value").rlike("[^\\s,\\[\\]]")).select("value", records.alias("records"))
+    return (
+        parsed.select(checked.alias("records"))
+        .select(F.inline(F.expr("slice(records, 1, size(records) - 1)")))
+        .drop(_END)
+    )

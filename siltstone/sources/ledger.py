@@ -2,7 +2,8 @@
 
 Rows are kept under ``stage=.../run_id=...``. A run that is repeated replaces
 its own rows and no others, so a retry leaves no second copy; two runs never
-meet, however close in time.
+meet, however close in time. Audit rows are kept per attempt of a run as well:
+a retry with the next attempt number leaves the failed one on record.
 """
 
 from __future__ import annotations
@@ -15,7 +16,7 @@ from pyspark.sql.types import StringType, StructType
 
 from siltstone.operators.enrich import STAMP_FORMAT, moment
 
-# The parts of a quality report that are stored.
+# The parts of a quality report that are stored.
 QUALITY_COLUMNS = (
     "records",
     "valid_records",
@@ -28,14 +29,21 @@ PARTITIONS = ("stage", "run_id")
 
 
 def append_run(
-    df: DataFrame, path: str, stage: str, run_id: str, file_format: str = "parquet"
+    df: DataFrame,
+    path: str,
+    stage: str,
+    run_id: str,
+    file_format: str = "parquet",
+    attempt: int | None = None,
 ) -> StructType:
     """Store the rows of one stage of one run; returns the table's schema."""
     rows = df.withColumns({"stage": F.lit(stage), "run_id": F.lit(run_id)})
+    if attempt is not None:
+        rows = rows.withColumn("attempt", F.lit(attempt))
     (
         rows.write.mode("overwrite")
         .option("partitionOverwriteMode", "dynamic")
-        .partitionBy(*PARTITIONS)
+        .partitionBy(*PARTITIONS, *([] if attempt is None else ["attempt"]))
         .format(file_format)
         .save(path)
     )
@@ -91,9 +99,14 @@ def audit_rows(
 
 
 def append_audit(
-    audit: DataFrame, path: str, stage: str, run_id: str, file_format: str = "parquet"
+    audit: DataFrame,
+    path: str,
+    stage: str,
+    run_id: str,
+    file_format: str = "parquet",
+    attempt: int = 1,
 ) -> StructType:
     """Store audit rows: version and timestamp are left out, and the time
     taken is called ``duration``."""
     stored = audit.drop("version", "timestamp").withColumnRenamed("execution_time", "duration")
-    return append_run(stored, path, stage, run_id, file_format)
+    return append_run(stored, path, stage, run_id, file_format, attempt)

@@ -21,6 +21,7 @@ import uuid
 from collections.abc import Sequence
 from datetime import UTC, datetime, timedelta
 
+from pyspark import StorageLevel
 from pyspark.sql import DataFrame, Observation, Row, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
@@ -38,9 +39,10 @@ HISTORY_SCHEMA = (
     "unique_keys array<string>"
 )
 
+# Hours a replaced version is kept, and commits the history shows.
 RETENTION_HOURS = 168
-# A folder is worth compacting with this many files smaller than this. Both are
-# well below what a rebalanced write leaves, or it would be compacted again.
+HISTORY_ROWS = 10
+# Defaults of ``compact``: a folder is worth it with so many files smaller than so much.
 SMALL_FILE_BYTES = 8 * 1024 * 1024
 SMALL_FILES = 4
 MESSAGE_ROWS = 20
@@ -58,20 +60,31 @@ def is_snapshot_table(spark: SparkSession, path: str) -> bool:
     return current_commit(spark, path) is not None
 
 
-def history(spark: SparkSession, path: str, limit: int = 10) -> DataFrame:
+def history(spark: SparkSession, path: str, limit: int = HISTORY_ROWS) -> DataFrame:
     """The last ``limit`` commits, newest first."""
     return commits(spark, path).orderBy(F.col("version").desc()).limit(limit)
 
 
-def history_view(spark: SparkSession, path: str, limit: int = 10) -> DataFrame:
+def history_view(spark: SparkSession, path: str, limit: int = HISTORY_ROWS) -> DataFrame:
     return history(spark, path, limit).select("version", "commit_ts", "operation")
 
 
 def current_commit(spark: SparkSession, path: str) -> Row | None:
-    """The newest history row, ``None`` where there is no snapshot table."""
-    if not folders.exists(spark, f"{path}/history"):
+    """The newest history row, ``None`` where there is no snapshot table.
+
+    The newest version is read off the folder names, so one file is opened
+    however many commits there are.
+    """
+    folder = f"{path}/history"
+    if not folders.exists(spark, folder):
         return None
-    return history(spark, path, 1).first()
+    versions = [int(n.removeprefix("version=")) for n in folders.children(spark, folder) if n.startswith("version=")]
+    return _commit_row(spark, path, max(versions)) if versions else None
+
+
+def _commit_row(spark: SparkSession, path: str, version: int) -> Row | None:
+    rows = spark.read.schema(HISTORY_SCHEMA).option("basePath", f"{path}/history")
+    return rows.parquet(f"{path}/history/version={version}").first()
 
 
 def _existing(spark: SparkSession, path: str) -> Row:
@@ -114,9 +127,9 @@ def read_snapshot(
     were written with, partition columns included.
     """
     if version is not None:
-        commit = commits(spark, path).filter(F.col("version") == version).first()
-        if commit is None:
+        if not folders.exists(spark, f"{path}/history/version={version}"):
             raise ValueError(f"{path} has no version {version}")
+        commit = _commit_row(spark, path, version)
     elif timestamp is not None:
         commit = commit_as_of(spark, path, timestamp)
     else:
@@ -208,10 +221,11 @@ def _replace(
 def merge_snapshot(
     source: DataFrame,
     path: str,
-    keys: Sequence[str],
+    keys: Sequence[merging.Key],
     delete_unmatched: bool = True,
     source_keys_unique: bool = False,
     at: datetime | str | None = None,
+    copies_per_block: int = merging.COPIES_PER_BLOCK,
 ) -> int:
     """Merge into the current version and commit the result as the next one.
 
@@ -223,50 +237,59 @@ def merge_snapshot(
     write of the source for a sync merge.
     """
     commit = _existing(source.sparkSession, path)
-    return _merge_into(commit, source, path, keys, delete_unmatched, source_keys_unique, at)
+    return _merge_into(commit, source, path, keys, delete_unmatched, source_keys_unique, at, copies_per_block)
 
 
 def _merge_into(
     commit: Row,
     source: DataFrame,
     path: str,
-    keys: Sequence[str],
+    keys: Sequence[merging.Key],
     delete_unmatched: bool,
     source_keys_unique: bool,
     at: datetime | str | None,
+    copies_per_block: int = merging.COPIES_PER_BLOCK,
 ) -> int:
+    source, keys = merging.paired(source, keys)
     target = _read_commit(source.sparkSession, path, commit)
     source_unique = source_keys_unique or merging.repeated_keys(source, keys).isEmpty()
     if not source_unique:
-        conflicts = merging.merge_conflicts(target, source, keys).limit(MESSAGE_ROWS).collect()
-        if conflicts:
-            shown = ", ".join(str(row.asDict()) for row in conflicts)
-            raise merging.MergeConflict(f"several source rows match a row of {path}: {shown}")
+        conflicts = merging.merge_conflicts(target, source, keys)
+        shown = conflicts.limit(MESSAGE_ROWS).collect()
+        if shown:
+            listed = ", ".join(str(row.asDict()) for row in shown)
+            raise merging.MergeConflict(
+                f"several source rows match a row of {path}, {conflicts.count()} keys in all: {listed}"
+            )
 
     repeated = None
     if sorted(commit["unique_keys"] or []) != sorted(keys):
-        repeated = merging.repeated_keys(target, keys)
-        if repeated.isEmpty():
-            repeated = None
-
-    partition_by = commit["partition_by"]
-    merged = merging.merge_repeated(target, source, keys, repeated, delete_unmatched)
-    return _commit(
-        clustered(merged, partition_by),
-        path,
-        commit["version"] + 1,
-        "MERGE",
-        partition_by,
-        {"keys": ",".join(keys), "delete_unmatched": str(delete_unmatched).lower()},
-        keys if source_unique and repeated is None else None,
-        at,
-    )
+        # Asked whether it has rows and then joined: the stored keys are counted once for both.
+        repeated = merging.repeated_keys(target, keys).persist(StorageLevel.MEMORY_AND_DISK)
+    try:
+        several = None if repeated is None or repeated.isEmpty() else repeated
+        partition_by = commit["partition_by"]
+        merged = merging.merge_repeated(target, source, keys, several, delete_unmatched, copies_per_block)
+        return _commit(
+            # Also without partition columns: what a merge leaves in each task may be a few rows.
+            clustered(merged, partition_by) if partition_by else merged.hint("rebalance"),
+            path,
+            commit["version"] + 1,
+            "MERGE",
+            partition_by,
+            {"keys": ",".join(keys), "delete_unmatched": str(delete_unmatched).lower()},
+            keys if source_unique and several is None else None,
+            at,
+        )
+    finally:
+        if repeated is not None:
+            repeated.unpersist()
 
 
 def write_or_merge(
     df: DataFrame,
     path: str,
-    keys: Sequence[str],
+    keys: Sequence[merging.Key],
     partition_by: Sequence[str] = (),
     delete_unmatched: bool = True,
     source_keys_unique: bool = False,
@@ -276,6 +299,7 @@ def write_or_merge(
     commit = current_commit(df.sparkSession, path)
     if commit is not None:
         return _merge_into(commit, df, path, keys, delete_unmatched, source_keys_unique, at)
+    df, keys = merging.paired(df, keys)
     return _replace(None, df, path, partition_by, keys if source_keys_unique else None, at)
 
 
@@ -304,40 +328,46 @@ def file_inventory(spark: SparkSession, path: str) -> DataFrame:
     return files.join(versions, "location").select("version", "file_path", "file_size")
 
 
-def file_layout(
-    spark: SparkSession, path: str, small_bytes: int = SMALL_FILE_BYTES
-) -> tuple[int, bool]:
-    """Files of the current version, and whether it is worth compacting: some
-    folder holds several files smaller than ``small_bytes``."""
-    return _layout(spark, path, _existing(spark, path), small_bytes)
+def file_count(spark: SparkSession, path: str) -> int:
+    """Files of the current version, from its listing."""
+    return folders.parquet_files(spark, f"{path}/{_existing(spark, path)['location']}")
+
+
+def crowded_folders(
+    spark: SparkSession, path: str, small_bytes: int = SMALL_FILE_BYTES, small_files: int = SMALL_FILES
+) -> DataFrame:
+    """Folders of the current version with ``small_files`` or more files below
+    ``small_bytes``: ``(folder, files, small)``."""
+    return _crowded(spark, path, _existing(spark, path), small_bytes, small_files)
 
 
-def _layout(spark: SparkSession, path: str, commit: Row, small_bytes: int) -> tuple[int, bool]:
-    row = (
+def _crowded(spark: SparkSession, path: str, commit: Row, small_bytes: int, small_files: int) -> DataFrame:
+    return (
         _listed(spark, f"{path}/{commit['location']}")
         .groupBy(F.regexp_replace("file_path", "/[^/]*$", "").alias("folder"))
         .agg(F.expr("count(1) AS files"), F.expr(f"count_if(file_size < {small_bytes}) AS small"))
-        .selectExpr("coalesce(sum(files), 0) AS files", "coalesce(max(small), 0) AS small")
-        .first()
+        .filter(F.col("small") >= small_files)
     )
-    return row["files"], row["small"] >= SMALL_FILES
 
 
 def compact(
     spark: SparkSession,
     path: str,
     small_bytes: int = SMALL_FILE_BYTES,
+    small_files: int = SMALL_FILES,
     at: datetime | str | None = None,
 ) -> int | None:
     """Rewrite the current version with fewer files, rows unchanged.
 
-    Does nothing and returns ``None`` where ``file_layout`` finds no use in
-    it: tables written with partition columns are clustered already. The size
-    of the new files follows
+    A version is one folder, so all of it is rewritten. Nothing happens, and
+    ``None`` is returned, unless some folder holds ``small_files`` or more
+    files below ``small_bytes``; ``small_files=0`` always rewrites. Writes of
+    this package are rebalanced and leave no such folder, so no load asks for
+    it by itself. The size of the new files follows
     ``spark.sql.adaptive.advisoryPartitionSizeInBytes``.
     """
     commit = _existing(spark, path)
-    if not _layout(spark, path, commit, small_bytes)[1]:
+    if small_files and _crowded(spark, path, commit, small_bytes, small_files).isEmpty():
         return None
     rows = _read_commit(spark, path, commit)
     partition_by = commit["partition_by"]

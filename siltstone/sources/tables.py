@@ -13,15 +13,17 @@ from siltstone.sources.layout import clustered
 
 
 def read_parquet(
-    spark: SparkSession, path: str, schema: StructType | str | None = None
+    spark: SparkSession, path: str, schema: StructType | str | None = None, merge_schema: bool = False
 ) -> DataFrame:
     """A Parquet table with its partition columns, which come last.
 
     Partition values are text in the path; without a schema their types are
-    guessed again, so that ``01`` returns as the integer 1.
+    guessed again, so that ``01`` returns as the integer 1. Without a schema
+    the columns are those of one file; ``merge_schema`` takes those of all
+    files, for tables whose later partitions brought new ones.
     """
-    reader = spark.read if schema is None else spark.read.schema(schema)
-    return reader.parquet(path)
+    reader = spark.read.option("mergeSchema", merge_schema)
+    return (reader if schema is None else reader.schema(schema)).parquet(path)
 
 
 def write_partitioned(

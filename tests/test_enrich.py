@@ -1,3 +1,5 @@
+import json
+from collections import Counter
 from datetime import datetime
 
 import pytest
@@ -7,26 +9,22 @@ from siltstone.plans.medallion import RefinedSpec, refined_rows
 from siltstone.sources import landing
 
 BRONZE = (
-    "id int, name string, district struct<id: int, name: string, county: struct<id: int, "
-    "name: string, state: struct<name: string, code: string, region: struct<name: string>>>>, "
-    "`nearby-town` string, ingestion_timestamp timestamp, source_system string, "
+    "key int, name string, made struct<year: int, by: struct<name: string, place: struct<town: string, "
+    "`post-code`: string>>>, ingestion_timestamp timestamp, source_system string, "
     "file_name string, year int, month int"
 )
 ROWS = [
-    (1, "Ardon", (10, "North", (100, "Coast", ("Vell", "VE", ("East",))))),
-    (2, "Brask", (20, "South", (200, "Hills", ("Morn", "MO", ("West",))))),
-    (3, "Crail", (30, "Edge", (300, "Plain", None))),
+    (1, "Ardon", (1910, ("North & Co", ("Vell", "V1")))),
+    (2, "Brask", (1920, ("South & Co", ("Morn", "M1")))),
+    (3, "Crail", (1930, ("Edge & Co", None))),
 ]
 COLUMNS = {
-    "place_id": "id",
-    "place_name": "name",
-    "district_id": "district.id",
-    "district_name": "district.name",
-    "county_id": "district.county.id",
-    "county_name": "district.county.name",
-    "state_name": "district.county.state.name",
-    "state_code": "district.county.state.code",
-    "region_name": "district.county.state.region.name",
+    "key": "key",
+    "name": "name",
+    "made_in": "made.year",
+    "maker": "made.by.name",
+    "town": "made.by.place.town",
+    "post_code": "made.by.place.post-code",
     "ingestion_timestamp": "ingestion_timestamp",
     "source_system": "source_system",
 }
@@ -34,7 +32,7 @@ COLUMNS = {
 
 @pytest.fixture
 def bronze(spark):
-    rows = [(*r, None, None, "src", "places.json", 2025, 1) for r in ROWS]
+    rows = [(*r, None, "src", "pots.json", 2025, 1) for r in ROWS]
     return spark.createDataFrame(rows, BRONZE)
 
 
@@ -72,18 +70,18 @@ def test_enrich_works_on_a_stream(spark, tmp_path):
 
 
 def test_refined_rows_flatten_and_drop(bronze):
-    spec = RefinedSpec(columns=COLUMNS, required=["state_code"], key=["place_id"])
+    spec = RefinedSpec(columns=COLUMNS, required=["town"], key=["key"])
     result = refined_rows(bronze, spec)
     assert set(result.columns) == set(COLUMNS)
-    rows = {r.place_id: r for r in result.collect()}
+    rows = {r.key: r for r in result.collect()}
     assert set(rows) == {1, 2}
-    assert (rows[1].state_code, rows[1].region_name) == ("VE", "East")
+    assert (rows[1].town, rows[1].post_code) == ("Vell", "V1")
 
 
 def test_null_parent_gives_null_children(bronze):
-    row = enrich.flatten(bronze, COLUMNS).filter("place_id = 3").first()
-    assert row.county_name == "Plain"
-    assert row.state_name is None and row.region_name is None
+    row = enrich.flatten(bronze, COLUMNS).filter("key = 3").first()
+    assert row.maker == "Edge & Co"
+    assert row.town is None and row.post_code is None
 
 
 def test_blank_required_field_passes(spark):
@@ -95,8 +93,8 @@ def test_blank_required_field_passes(spark):
 
 def test_flatten_all_follows_the_schema(bronze):
     flat = enrich.flatten_all(bronze)
-    assert "district_county_state_region_name" in flat.columns
-    assert "nearby-town" in flat.columns
+    assert "made_by_place_town" in flat.columns
+    assert "made_by_place_post-code" in flat.columns
     assert flat.count() == 3
 
 
@@ -109,11 +107,11 @@ def test_flatten_all_refuses_colliding_names(spark):
 
 def test_flatten_reads_only_the_leaves(spark, bronze, tmp_path):
     bronze.write.parquet(str(tmp_path / "b"))
-    flat = enrich.flatten(spark.read.parquet(str(tmp_path / "b")), {"code": COLUMNS["state_code"]})
-    plan = flat.filter("code IS NOT NULL")._jdf.queryExecution().toString()
-    schema = "ReadSchema: struct<district:struct<county:struct<state:struct<code:string>>>>"
+    flat = enrich.flatten(spark.read.parquet(str(tmp_path / "b")), {"town": COLUMNS["town"]})
+    plan = flat.filter("town IS NOT NULL")._jdf.queryExecution().toString()
+    schema = "ReadSchema: struct<made:struct<by:struct<place:struct<town:string>>>>"
     assert schema in plan
-    assert "PushedFilters: [IsNotNull(district.county.state.code)]" in plan
+    assert "PushedFilters: [IsNotNull(made.by.place.town)]" in plan
 
 
 ARRAY = """[
@@ -145,8 +143,6 @@ def test_indented_array_is_read_by_record(spark, tmp_path):
 
 
 def test_indented_array_is_split(spark, tmp_path):
-    import json
-
     records = [{"id": i, "name": "x" * 50} for i in range(2000)]
     (tmp_path / "a.json").write_text(json.dumps(records, indent=2))
     bytes_per_task = spark.conf.get("spark.sql.files.maxPartitionBytes")
@@ -163,7 +159,49 @@ def test_indented_array_is_split(spark, tmp_path):
         spark.conf.set("spark.sql.files.maxPartitionBytes", bytes_per_task)
 
 
-def test_indented_array_needs_multi_line_otherwise(spark, tmp_path):
+def test_an_array_read_as_lines_fails(spark, tmp_path):
     (tmp_path / "a.json").write_text(ARRAY)
-    rows = landing.read_json(spark, str(tmp_path), "id int").filter("id IS NOT NULL")
-    assert rows.isEmpty()
+    with pytest.raises(Exception, match="MALFORMED"):
+        landing.read_json(spark, str(tmp_path), "id int").collect()
+    kept = landing.read_json(spark, str(tmp_path), "id int", keep_malformed=True)
+    assert kept.columns == ["id", landing.MALFORMED]
+
+
+def _records(n):
+    return [{"id": i, "name": f'n}} ]{i}'} for i in range(n)]
+
+
+LAYOUTS = {
+    "indent 2": json.dumps(_records(5), indent=2),
+    "indent 4": json.dumps(_records(5), indent=4),
+    "one line": json.dumps(_records(5)),
+    "a record a line": "[\n" + ",\n".join(map(json.dumps, _records(5))) + "\n]\n",
+    "empty first": json.dumps([{}, *_records(5)], indent=2),
+    "empty last": json.dumps([*_records(5), {}], indent=2),
+    "no record": "[]\n",
+}
+
+
+@pytest.mark.parametrize("name", LAYOUTS)
+def test_every_record_of_an_array_is_kept(spark, tmp_path, name):
+    (tmp_path / "a.json").write_text(LAYOUTS[name])
+    rows = landing.read_indented_array(spark, str(tmp_path), "id int, name string").collect()
+    expected = json.loads(LAYOUTS[name])
+    assert Counter((r.id, r.name) for r in rows) == Counter((r.get("id"), r.get("name")) for r in expected)
+
+
+@pytest.mark.parametrize(
+    "text",
+    [
+        "\n".join(map(json.dumps, _records(3))),
+        json.dumps(_records(2)) + "\n" + json.dumps(_records(2)),
+        json.dumps(_records(3), indent=2) + "\nrest",
+        json.dumps(_records(3), indent=2).replace('"id": 1', '"id": 1 1'),
+        json.dumps([{"id": 1, "a": {"b": 1}}, {"id": 2, "a": {"b": 1}}], indent=1),
+    ],
+    ids=["lines", "two arrays", "text behind", "broken record", "nested at the indent"],
+)
+def test_what_is_no_such_array_is_refused(spark, tmp_path, text):
+    (tmp_path / "a.json").write_text(text)
+    with pytest.raises(Exception, match="MALFORMED|no indented array"):
+        landing.read_indented_array(spark, str(tmp_path), "id int, name string").collect()

@@ -107,7 +107,7 @@ def test_only_hot_keys_are_dealt_out(spark):
 
 def test_unique_targets_need_no_join_to_sync(spark):
     target, source = frames(spark, [(1, "t"), (2, "t")], [(2, "s"), (3, "s")])
-    result = merge.merge(target, source, ["k"], target_keys_unique=True)
+    result = merge.merge(target, source, ["k"], target_keys_unique=True, source_keys_unique=True)
     assert "Join" not in result._jdf.queryExecution().toString()
     assert rows(result) == rows(source)
 
@@ -167,3 +167,74 @@ def test_a_frame_can_be_merged_into_itself(spark):
     target, _ = frames(spark, TARGET, SOURCE)
     keyed = target.filter("k <> 2")
     assert rows(merge.merge(keyed, keyed, ["k"], delete_unmatched=False)) == rows(keyed)
+
+
+def _hot_source(spark):
+    """Half of the rows have one key that the target lacks."""
+    spread = F.expr("IF(id % 2 = 0, 7, 1000 + id)").cast("int").alias("k")
+    return spark.range(0, 400_000, 1, 8).select(spread, F.expr("sha2(id || '', 256)").alias("v"))
+
+
+def test_a_hot_source_key_is_spread_over_tasks(spark):
+    settings = {
+        "spark.sql.autoBroadcastJoinThreshold": "-1",
+        "spark.sql.adaptive.advisoryPartitionSizeInBytes": "256KB",
+        "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": "512KB",
+        "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "2",
+    }
+    before = {key: spark.conf.get(key, None) for key in settings}
+    for key, value in settings.items():
+        spark.conf.set(key, value)
+    try:
+        source = _hot_source(spark)
+        target = spark.range(4000).selectExpr("CAST(1001 + id % 2000 * 2 AS int) AS k", "'t' AS v")
+        written = merge.merge(target, source, ["k"], source_keys_unique=True)
+        # The largest value keeps the second column in the join.
+        counted = written.filter("k = 7").groupBy(F.spark_partition_id()).agg(F.count("v").alias("n"), F.max("v"))
+        per_task = [r["n"] for r in counted.collect()]
+        assert sum(per_task) == 200_000
+        assert max(per_task) < 80_000
+    finally:
+        for key, value in before.items():
+            if value is None:
+                spark.conf.unset(key)
+            else:
+                spark.conf.set(key, value)
+
+
+@pytest.mark.parametrize("delete_unmatched", [True, False])
+def test_a_conflict_fails_in_the_plan(spark, delete_unmatched):
+    target, source = frames(spark, [(1, "t"), (1, "t"), (1, "t")], [(1, "s"), (1, "s2")])
+    merged = merge.merge(target, source, ["k"], delete_unmatched)
+    for action in (merged.collect, merged.count, lambda: merged.select("v").collect()):
+        with pytest.raises(Exception, match="several source rows match a target row"):
+            action()
+    with pytest.raises(Exception, match="several source rows match"):
+        merge.update_kinds(target, source, ["k"]).collect()
+
+
+def test_keys_of_two_names(spark):
+    target = spark.createDataFrame(TARGET, SCHEMA)
+    source = spark.createDataFrame(SOURCE, "key int, v string")
+    expected = merge.merge(target, source.withColumnRenamed("key", "k"), ["k"], delete_unmatched=False)
+    assert rows(merge.merge(target, source, [("k", "key")], delete_unmatched=False)) == rows(expected)
+    # A column of the target's key name that is no key gives way.
+    both = source.withColumn("k", F.lit(99))
+    assert rows(merge.merge(target, both, [("k", "key")], delete_unmatched=False)) == rows(expected)
+    counted = merge.merge_actions(target, source, [("k", "key")])
+    assert {r.action: r.n_rows for r in counted.collect()} == {"update": 2, "insert": 4, "delete": 3}
+
+
+def test_a_condition_beside_the_key(spark):
+    target = spark.createDataFrame([(1, 5), (2, 5), (2, 1), (3, 5), (None, 5)], "k int, v int")
+    source = spark.createDataFrame([(1, 9), (2, 3), (4, 1), (None, 1)], "key int, v int")
+    pair, condition = [("k", "key")], "source.v > target.v"
+    synced = merge.merge(target, source, pair, condition=condition)
+    assert rows(synced) == Counter({(1, 9): 1, (2, 3): 1, (4, 1): 1, (None, 1): 1})
+    kept = merge.merge(target, source, pair, delete_unmatched=False, condition=condition)
+    assert rows(kept) == rows(synced) + Counter({(2, 5): 1, (3, 5): 1, (None, 5): 1})
+    plan = kept._jdf.queryExecution().executedPlan().toString()
+    assert "NestedLoop" not in plan and "Cartesian" not in plan
+    twice = source.union(spark.createDataFrame([(1, 8)], source.schema))
+    with pytest.raises(Exception, match="several source rows match a target row"):
+        merge.merge(target, twice, pair, condition=condition).collect()

@@ -56,7 +56,7 @@ def test_conflict_stops_before_the_write(spark, tmp_path):
     path = str(tmp_path / "t")
     snapshots.write_snapshot(frame(spark, (1, "a", "x")), path)
     twice = frame(spark, (1, "a", "y"), (1, "a", "z"))
-    with pytest.raises(MergeConflict, match="'k': 1, 'copies': 2"):
+    with pytest.raises(MergeConflict, match="1 keys in all: .'k': 1, 'copies': 2"):
         snapshots.write_or_merge(twice, path, ["k"])
     assert snapshots.commits(spark, path).count() == 1
     # Two source rows without a target row are both inserted ...
@@ -134,17 +134,21 @@ def test_compaction_only_where_it_helps(spark, tmp_path):
     path = str(tmp_path / "t")
     df = spark.range(1000).selectExpr("id", "id % 3 AS part").repartition(12, "id")
     snapshots.write_snapshot(df, path, ["part"], ["id"], cluster=False)
-    assert snapshots.file_layout(spark, path) == (36, True)
+    assert snapshots.file_count(spark, path) == 36
+    assert snapshots.crowded_folders(spark, path).count() == 3
+    assert snapshots.compact(spark, path, small_files=13) is None
+    assert snapshots.compact(spark, path, small_bytes=10) is None
     assert snapshots.compact(spark, path) == 1
-    assert snapshots.file_layout(spark, path) == (3, False)
+    assert snapshots.file_count(spark, path) == 3
     assert snapshots.compact(spark, path) is None
+    assert snapshots.compact(spark, path, small_files=0) == 2
     assert rows(snapshots.read_snapshot(spark, path)) == rows(df)
     assert snapshots.current_commit(spark, path)["unique_keys"] == ["id"]
     counts = snapshots.file_inventory(spark, path).groupBy("version").count().collect()
-    assert {r.version: r["count"] for r in counts} == {0: 36, 1: 3}
+    assert {r.version: r["count"] for r in counts} == {0: 36, 1: 3, 2: 3}
 
 
-def test_a_clustered_write_is_not_compacted_again(spark, tmp_path):
+def test_a_clustered_write_is_not_compacted(spark, tmp_path):
     """Not even when a hot partition value came out as several files."""
     path = str(tmp_path / "t")
     key = "spark.sql.adaptive.advisoryPartitionSizeInBytes"
@@ -153,17 +157,48 @@ def test_a_clustered_write_is_not_compacted_again(spark, tmp_path):
     try:
         df = spark.range(0, 120_000, 1, 8).selectExpr("1 AS part", "sha2(id || '', 512) AS v")
         snapshots.write_snapshot(df, path, ["part"])
-        files, crowded = snapshots.file_layout(spark, path, small_bytes=128 * 1024)
-        assert files > 4 and not crowded
+        assert snapshots.file_count(spark, path) > 4
+        assert snapshots.crowded_folders(spark, path, small_bytes=128 * 1024).isEmpty()
     finally:
         spark.conf.set(key, before)
 
 
+def test_a_small_upsert_writes_once_and_few_files(spark, tmp_path):
+    path = str(tmp_path / "t")
+    snapshots.write_snapshot(spark.range(0, 300_000, 1, 8).selectExpr("id AS k", "'x' AS v"), path, unique_keys=["k"])
+    delta = spark.range(0, 800, 1, 8).selectExpr("id * 1000 AS k", "'y' AS v")
+    snapshots.merge_snapshot(delta, path, ["k"], delete_unmatched=False)
+    assert [r.operation for r in snapshots.history(spark, path).collect()] == ["MERGE", "CREATE"]
+    assert snapshots.file_count(spark, path) == 1
+    assert snapshots.read_snapshot(spark, path).filter("v = 'y'").count() == 800
+
+
+def test_stored_keys_are_counted_once_for_a_merge(spark, tmp_path):
+    path = str(tmp_path / "t")
+    df = frame(spark, (1, "a", "x"), (1, "a", "x"), (2, "a", "x"))
+    snapshots.write_snapshot(df, path)
+    snapshots.merge_snapshot(frame(spark, (1, "b", "y"), (3, "b", "y")), path, ["k"], source_keys_unique=True)
+    assert rows(snapshots.read_snapshot(spark, path)) == Counter({(1, "b", "y"): 2, (3, "b", "y"): 1})
+    assert not spark.sparkContext._jsc.getPersistentRDDs()
+
+
+def test_the_current_version_is_found_in_the_listing(spark, tmp_path):
+    path = str(tmp_path / "t")
+    for n in range(12):
+        snapshots.write_snapshot(frame(spark, (n, "a", "x")), path, at=f"2025-01-{n + 1:02d}")
+    assert snapshots.current_commit(spark, path)["version"] == 11
+    assert snapshots.read_snapshot(spark, path).first()["k"] == 11
+    # The older commits are not opened: one that is damaged does no harm.
+    for file in (tmp_path / "t" / "history" / "version=3").glob("*.parquet"):
+        file.write_bytes(b"damaged")
+    assert snapshots.read_snapshot(spark, path).first()["k"] == 11
+
+
 def test_a_table_without_partitions_is_compacted(spark, tmp_path):
     path = str(tmp_path / "t")
     snapshots.write_snapshot(spark.range(100).repartition(8), path)
     assert snapshots.compact(spark, path) == 1
-    assert snapshots.file_layout(spark, path) == (1, False)
+    assert snapshots.file_count(spark, path) == 1
 
 
 def test_a_hot_partition_value_is_written_by_several_tasks(spark, tmp_path):
@@ -265,17 +300,24 @@ def test_scratch_folder_is_the_shared_one(spark):
     assert one.startswith(shared) and two.startswith(shared) and one != two
 
 
-def test_a_local_folder_stands_in_only_for_a_local_session():
+def test_scratch_of_an_application_can_be_removed(spark, tmp_path):
+    path = scratch.scratch_path(spark, "x")
+    spark.range(1).write.parquet(path)
+    other = path.replace(spark.sparkContext.applicationId, "earlier-run")
+    spark.range(1).write.parquet(other)
+    assert scratch.remove_scratch(spark, "earlier-run")
+    assert not scratch.remove_scratch(spark, "earlier-run")
+    assert spark.read.parquet(path).count() == 1
+
+
+def test_the_warehouse_stands_in_for_a_missing_setting():
     class Session:
         def __init__(self, **settings):
             self.conf = self
             self.settings = settings
 
-        def get(self, key, default):
+        def get(self, key, default=None):
             return self.settings.get(key.removeprefix("spark.").replace(".", "_"), default)
 
-    one = scratch.shared_folder(Session(master="local[2]"))
-    assert one == scratch.shared_folder(Session(master="local[2]"))
-    assert scratch.shared_folder(Session(master="yarn", checkpoint_dir="hdfs:/c")) == "hdfs:/c"
-    with pytest.raises(ValueError, match="spark.checkpoint.dir"):
-        scratch.shared_folder(Session(master="yarn"))
+    assert scratch.shared_folder(Session(sql_warehouse_dir="hdfs:/w")) == "hdfs:/w/_scratch"
+    assert scratch.shared_folder(Session(sql_warehouse_dir="hdfs:/w", checkpoint_dir="hdfs:/c/")) == "hdfs:/c"
