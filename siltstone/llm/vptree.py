@@ -38,11 +38,30 @@ def distances(rows: np.ndarray, query: np.ndarray) -> np.ndarray:
     return np.sqrt(total)
 
 
+def _few_copies(ids: np.ndarray, rows: np.ndarray, most: int) -> np.ndarray:
+    """Indexes of the rows without all but the ``most`` smallest ids of each vector."""
+    # Adding zero makes one of both signs of it.
+    keys = np.ascontiguousarray(rows + 0.0).view(np.dtype((np.void, rows.dtype.itemsize * rows.shape[1]))).ravel()
+    vector = np.unique(keys, return_inverse=True)[1].ravel()
+    order = np.lexsort((ids, vector))
+    same = vector[order]
+    heads = np.flatnonzero(np.append(True, same[1:] != same[:-1]))
+    number = np.arange(len(same)) - np.repeat(heads, np.diff(np.append(heads, len(same))))
+    return np.sort(order[number < most])
+
+
 class Tree:
-    """A vantage-point tree over rows, as nested tuples over index ranges of one permutation."""
+    """A vantage-point tree over rows, as nested tuples over index ranges of one permutation.
+
+    Of copies of one vector only the ``copies`` smallest ids are kept. With
+    one more than the neighbours asked for, no other copy can be among them.
+    """
 
-    def __init__(self, ids: np.ndarray, rows: np.ndarray) -> None:
-        self.ids, self.rows = ids, rows
+    def __init__(self, ids: np.ndarray, rows: np.ndarray, copies: int = NEIGHBOURS + 1) -> None:
+        kept = _few_copies(ids, rows, copies)
+        self.ids, self.rows = ids[kept], rows[kept]
+        self.squares = (self.rows * self.rows).sum(1)
+        ids = self.ids
         self.order = np.arange(len(ids))
         self.root = self._build(0, len(ids))
 
@@ -58,7 +77,7 @@ class Tree:
         self.order[start:stop], far = own[rank], far[rank]
         half = (stop - start) // 2
         if far[0] == far[-1]:
-            # Copies of one row: no half can be told from the other.
+            # All at one distance: no half can be told from the other.
             return (start, stop)
         ranges = np.array([[far[0], far[half - 1]], [far[half], far[-1]]])
         return (vantage, ranges, self._build(start, start + half), self._build(start + half, stop))
@@ -67,34 +86,69 @@ class Tree:
         """Ids and distances of the k nearest of each query, itself left out; -1 and infinity where there are fewer."""
         best = np.full((len(ids), k), np.inf)
         names = np.full((len(ids), k), np.iinfo(np.int64).max)
-        self._visit(self.root, np.arange(len(ids)), ids, query, best, names, factor)
+        every = np.arange(len(ids))
+        # Each query's own leaf first, so that there is a bound to prune by; then every node once for all queries.
+        met = np.full(len(ids), -1)
+        self._descend(self.root, every, ids, query, best, names, met)
+        self._visit(self.root, every, ids, query, best, names, met, factor)
         return np.where(np.isinf(best), -1, names), best
 
-    def _visit(self, node, active, ids, query, best, names, factor) -> None:
+    def _least(self, node, active, query) -> np.ndarray:
+        """Least possible distance of each query to either half, a little less for rounding."""
+        vantage, ranges = node[:2]
+        own = distances(self.rows[vantage][None], query[active])[0]
+        return np.maximum(np.maximum(ranges[:, :1] - own, own - ranges[:, 1:]), 0) * (1 - 1e-12) - 1e-12
+
+    def _descend(self, node, active, ids, query, best, names, met) -> None:
         if len(node) == 2:
+            met[active] = node[0]
+            self._leaf(node, active, ids, query, best, names)
+            return
+        nearer = self._least(node, active, query).argmin(0)
+        for side in (0, 1):
+            if (nearer == side).any():
+                self._descend(node[2 + side], active[nearer == side], ids, query, best, names, met)
+
+    def _visit(self, node, active, ids, query, best, names, met, factor) -> None:
+        if len(node) == 2:
+            self._leaf(node, active[met[active] != node[0]], ids, query, best, names)
+            return
+        least = self._least(node, active, query) * factor
+        for side in (0, 1):
+            mine = active[least[side] <= best[active, -1]]
+            if len(mine):
+                self._visit(node[2 + side], mine, ids, query, best, names, met, factor)
+
+    def _leaf(self, node, active, ids, query, best, names) -> None:
+        if len(active):
             for start in range(node[0], node[1], 4_096):
                 self._scan(self.order[start : min(start + 4_096, node[1])], active, ids, query, best, names)
-            return
-        vantage, ranges, *halves = node
-        own = distances(self.rows[vantage][None], query[active])[0]
-        # Least possible distance to each half, a little less for rounding.
-        least = np.maximum(np.maximum(ranges[:, :1] - own, own - ranges[:, 1:]), 0) * (1 - 1e-12) - 1e-12
-        nearer = least.argmin(0)
-        for turn in (0, 1):
-            for side in (0, 1):
-                mine = np.flatnonzero((nearer == side) == (turn == 0))
-                mine = mine[least[side, mine] * factor <= best[active[mine], -1]]
-                if len(mine):
-                    self._visit(halves[side], active[mine], ids, query, best, names, factor)
 
     def _scan(self, rows, active, ids, query, best, names) -> None:
-        found = distances(self.rows[rows], query[active]).T
-        found[self.ids[rows][None] == ids[active][:, None]] = np.inf
-        all_far = np.concatenate([best[active], found], 1)
-        all_ids = np.concatenate([names[active], np.broadcast_to(self.ids[rows], found.shape)], 1)
-        order = np.lexsort((all_ids, all_far))[:, : best.shape[1]]
-        best[active] = np.take_along_axis(all_far, order, 1)
-        names[active] = np.take_along_axis(all_ids, order, 1)
+        """Rows that may be among a query's best are picked by squares and products, and only these measured."""
+        own, asked = self.rows[rows], query[active]
+        squares = self.squares[rows] + (asked * asked).sum(1)[:, None]
+        # Far above what rounding can do to the difference.
+        bound = best[active, -1] ** 2
+        near = squares - 2 * (asked @ own.T) <= bound[:, None] * (1 + 1e-9) + 1e-9 * squares
+        near &= self.ids[rows] != ids[active][:, None]
+        q, r = np.nonzero(near)
+        if not len(q):
+            return
+        total = np.zeros(len(q))
+        for i in range(own.shape[1]):
+            apart = own[r, i] - asked[q, i]
+            total += apart * apart
+        k = best.shape[1]
+        changed = np.unique(q)
+        place = active[changed]
+        group = np.concatenate([np.searchsorted(changed, q), np.repeat(np.arange(len(changed)), k)])
+        far = np.concatenate([np.sqrt(total), best[place].ravel()])
+        name = np.concatenate([self.ids[rows][r], names[place].ravel()])
+        order = np.lexsort((name, far, group))
+        heads = np.searchsorted(group[order], np.arange(len(changed)))
+        first = order[heads[:, None] + np.arange(k)]
+        best[place], names[place] = far[first], name[first]
 
 
 def _search(k: int, factor: float, size: int):
@@ -119,11 +173,11 @@ def _search(k: int, factor: float, size: int):
                 if not ids:
                     continue
                 if tree is None:
-                    tree = Tree(np.concatenate(ids), np.concatenate(rows))
+                    tree = Tree(np.concatenate(ids), np.concatenate(rows), k + 1)
                 for at in range(start, stop, BATCH):
                     own = slice(at, min(at + BATCH, stop))
                     found, far = tree.search(names[own], values[own], k, factor)
-                    full = found >= 0 if (tree.ids >= 0).all() else ~np.isinf(far)
+                    full = ~np.isinf(far)
                     query = np.repeat(names[own], full.sum(1))
                     yield pa.RecordBatch.from_arrays(
                         [pa.array(query), pa.array(found[full]), pa.array(far[full])], ["query_id", "vec_id", "score"]
