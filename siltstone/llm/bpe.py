@@ -9,7 +9,8 @@ pieces on the words farther out, and the stretch doubles until they do or
 takes in a whole piece.
 
 Only fingerprints of all chunks are shuffled, and the ids of shared ones;
-texts are sent once, to meet what is known of their chunks.
+texts are sent compressed, once to the owners' tasks and once to meet what is
+known of their chunks.
 """
 
 from __future__ import annotations
@@ -19,6 +20,7 @@ from hashlib import blake2b, sha256
 
 import numpy as np
 import pyarrow as pa
+import zstandard
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -32,6 +34,8 @@ SPACING = 1_024
 LEAST = 128
 #: Words on either side of a join that are encoded again at first.
 AROUND = 2
+#: Compressed bytes of texts that a task unpacks together.
+SENT_BYTES = 1 << 20
 
 _U = np.uint64
 
@@ -67,14 +71,28 @@ def _chunks(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             yield pa.RecordBatch.from_arrays(columns, ["key", "begin", "stop", "digest"])
 
 
+def _compressed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """The rows with each text compressed, as it is sent."""
+    compressor = zstandard.ZstdCompressor(level=3)
+    for batch in batches:
+        for part in text_slices(batch, "text"):
+            packed = [compressor.compress(t) for t in part.column("text").cast(pa.binary()).to_pylist()]
+            names = [n for n in part.schema.names if n != "text"]
+            yield pa.RecordBatch.from_arrays([*(part.column(n) for n in names), pa.array(packed, pa.binary())], [*names, "packed"])
+
+
+def _raw(part: pa.RecordBatch) -> list[bytes]:
+    decompressor = zstandard.ZstdDecompressor()
+    return [decompressor.decompress(x) for x in part.column("packed").to_pylist()]
+
+
 def _encode_owned(path: str):
     def task(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         words = words_of(path)
         for batch in batches:
-            for part in text_slices(batch, "text"):
+            for part in text_slices(batch, "packed", SENT_BYTES):
                 digests, pieces = [], []
-                for text, owned in zip(part.column("text").to_pylist(), part.column("owned").to_pylist(), strict=True):
-                    data = text.encode()
+                for data, owned in zip(_raw(part), part.column("owned").to_pylist(), strict=True):
                     for chunk in owned:
                         digests.append(chunk["digest"])
                         pieces.append(data[chunk["begin"] : chunk["stop"]].decode())
@@ -138,23 +156,23 @@ def _finish(path: str):
         words = words_of(path)
         joiner = Joiner(words)
         for batch in batches:
-            for part in text_slices(batch, "text"):
+            for part in text_slices(batch, "packed", SENT_BYTES):
                 yield _finished(part, words, joiner)
 
     return task
 
 
 def _finished(part: pa.RecordBatch, words: Words, joiner: Joiner) -> pa.RecordBatch:
-    texts, shared = part.column("text").to_pylist(), part.column("shared").to_pylist()
+    texts, shared = _raw(part), part.column("shared").to_pylist()
     own: list[str] = []
     plans = []
-    for text, chunks in zip(texts, shared, strict=True):
+    for data, chunks in zip(texts, shared, strict=True):
         # The pieces of a text: (begin, stop, ids), ids None where they are encoded here.
         if not chunks:
             plans.append(None)
-            own.append(text)
+            own.append(data.decode())
             continue
-        data, at, plan = text.encode(), 0, []
+        at, plan = 0, []
         for chunk in sorted(chunks, key=lambda c: c["begin"]):
             if at < chunk["begin"]:
                 plan.append((at, chunk["begin"], None))
@@ -201,7 +219,9 @@ def encode(
         F.col(id_column).alias("doc_id"), F.coalesce(F.col(text_column).cast("string"), F.lit("")).alias("text")
     )
     kind = chosen.schema["doc_id"].dataType.simpleString()
-    keyed = chosen.withColumn("key", F.md5(F.concat_ws("|", F.col("doc_id").cast("string"), "text")))
+    keyed = chosen.select(
+        "doc_id", F.md5(F.concat_ws("|", F.col("doc_id").cast("string"), "text")).alias("key"), "text"
+    )
     chunks = keyed.select("key", "text").mapInArrow(_chunks, "key string, begin long, stop long, digest binary")
     chunks = stored(chunks, "chunks")
     shared = chunks.groupBy("digest").agg(F.count("*").alias("n"), F.min(F.struct("key", "begin")).alias("owner"))
@@ -213,9 +233,9 @@ def encode(
     )
     owned = uses.filter("own").groupBy("key").agg(F.collect_list(F.struct("begin", "stop", "digest")).alias("owned"))
     encoded = (
-        keyed.select("key", "text")
+        keyed.select("key", "text").mapInArrow(_compressed, "key string, packed binary")
         .join(owned, "key")
-        .select("text", "owned")
+        .select("packed", "owned")
         .mapInArrow(_encode_owned(path), "digest binary, ids binary")
         .groupBy("digest")
         .agg(F.first("ids").alias("ids"))
@@ -226,8 +246,9 @@ def encode(
         .agg(F.collect_list(F.struct("begin", "stop", "ids")).alias("shared"))
     )
     return (
-        keyed.join(known, "key", "left")
-        .select("doc_id", "text", "shared")
+        keyed.mapInArrow(_compressed, f"doc_id {kind}, key string, packed binary")
+        .join(known, "key", "left")
+        .select("doc_id", "packed", "shared")
         .mapInArrow(
             _finish(path),
             f"doc_id {kind}, n_tokens long, ids_sha256 string, decoded_sha256 string, n_shared long",
