@@ -1,29 +1,37 @@
-"""Pieces of texts that may repeat, dealt out so that equal windows meet.
+"""Windows of texts that repeat, found where equal ones meet.
 
 A window is ``width`` neighbouring symbols (bytes or words). Its anchor is the
 least hash of the ``gram``-symbol runs inside it, so equal windows have equal
 anchors, and one anchor serves a run of neighbouring windows. A window can
-only repeat if its anchor occurs in two runs; only runs whose anchor does are
-looked at further, or one with its anchor twice. Such a run is cut out as a piece: the symbols of all its
-windows, keyed by the anchor. Equal pieces become one row with its first
-place. A solver sees the distinct pieces of an anchor together and says which
-of their windows start earlier elsewhere; a copy of a piece has all its
-windows earlier in the first.
+only repeat if its anchor occurs in two runs, or twice in one; only runs whose
+anchor does are looked at further. Such a run is cut out as a piece: the
+symbols of all its windows, keyed by the anchor. Equal pieces are one, with
+the first of their places. A solver sees the distinct pieces of an anchor
+together and says which of their windows start earlier elsewhere; a copy of a
+piece has all its windows earlier in the first.
 
 An anchor found more than ``HOT`` times is replaced by the hash of the whole
-window, one piece a window, so its pieces are all equal and one row again.
-No text is shuffled to find repeated anchors, and texts are sent once.
+window, one piece a window, so its pieces are all equal and one again, and no
+group of pieces grows with the rows that share a line.
+
+Texts travel as compressed slices of whole rows, and what is known of a slice
+comes back to it by its number. Slices are stored first, so every reader sees
+the same rows under a number however often a task has to run. Anchors and
+pieces are sent as one block for each slice and part, not as rows.
 """
 
 from __future__ import annotations
 
 from collections.abc import Callable, Iterator
 from dataclasses import dataclass
+from functools import partial
 from hashlib import blake2b
 
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
+import zstandard
+from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -44,6 +52,11 @@ from siltstone.llm.textbytes import (
 PIECE_WINDOWS = 4_096
 #: Runs of an anchor beyond which its windows are dealt out one by one.
 HOT = 10_000
+#: Text bytes of a slice, and of one part: what a task holds of anchors or pieces grows with the latter.
+SLICE_BYTES = 1 << 20
+PART_BYTES = 32 << 20
+#: Bytes of pieces that are solved at once; one anchor's pieces are never split.
+SHARD_BYTES = 2 << 20
 
 _U = np.uint64
 
@@ -105,174 +118,291 @@ class Symbols:
         return out
 
 
-def _counted(symbols: Symbols):
-    def task(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            for part in text_slices(batch, "text"):
-                _, _, _, first, hashes = symbols.read(part.column("text"))
-                runs = symbols.runs(first, hashes)
-                anchor, number = np.unique(runs[3], return_inverse=True)
-                n = np.bincount(number, symbols.marks(first, hashes, runs), len(anchor)).astype(np.int64)
-                yield pa.RecordBatch.from_arrays([pa.array(anchor.view(np.int64)), pa.array(n)], ["anchor", "n"])
-
-    return task
-
-
-def _held(symbols: Symbols):
-    """Each text's distinct anchors."""
-
-    def task(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            for part in text_slices(batch, "text"):
-                _, _, _, first, hashes = symbols.read(part.column("text"))
-                text, _, _, anchor = symbols.runs(first, hashes)
-                order = np.lexsort((anchor, text))
-                text, anchor = text[order], anchor[order]
-                new = np.ones(len(text), bool)
-                new[1:] = (text[1:] != text[:-1]) | (anchor[1:] != anchor[:-1])
-                columns = [pa.array(anchor[new].view(np.int64)), part.column("doc").take(pa.array(text[new]))]
-                yield pa.RecordBatch.from_arrays(columns, ["anchor", "doc"])
-
-    return task
-
-
-def _cut(symbols: Symbols, with_pieces: bool):
-    """The runs whose anchors a text is told of, as pieces."""
-
-    def task(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            for part in text_slices(batch, "text"):
-                data, begins, ends, first, hashes = symbols.read(part.column("text"))
-                text, start, length, anchor = symbols.runs(first, hashes)
-                told = part.column("told")
-                counts = pc.list_value_length(told).to_numpy(zero_copy_only=False).astype(np.int64)
-                known = told.flatten()
-                known_anchor = known.field("anchor").to_numpy(zero_copy_only=False).view(_U)
-                known_hot = known.field("hot").to_numpy(zero_copy_only=False)
-                # Which runs are told of: look each one's (text, anchor) up among the known.
-                keys = _pair(np.repeat(np.arange(len(counts)), counts), known_anchor)
-                order = np.argsort(keys)
-                keys, known_hot = keys[order], known_hot[order]
-                own = _pair(text, anchor)
-                at = np.minimum(np.searchsorted(keys, own), max(len(keys) - 1, 0))
-                found = keys[at] == own if len(keys) else np.zeros(len(own), bool)
-                hot = found & known_hot[at] if len(keys) else found
-                if hot.any():
-                    windows = window_hashes(prefix_sums(hashes), symbols.width)
-                    single = np.repeat(text[hot], length[hot])
-                    offset = expanded(start[hot], length[hot])
-                    named = mixed(windows[first[single] + offset] ^ _U(symbols.width))
-                    cold = found & ~hot
-                    text, start = np.append(text[cold], single), np.append(start[cold], offset)
-                    anchor = np.append(anchor[cold], named)
-                    length = np.append(length[cold], np.ones(len(single), np.int64))
-                else:
-                    text, start, length, anchor = text[found], start[found], length[found], anchor[found]
-                at = first[text] + start
-                stop = at + length + symbols.width - 2
-                raw = data.tobytes()
-                pieces = [raw[a:b] for a, b in zip(begins[at], ends[stop], strict=True)] if len(at) else []
-                digests = np.array([_digest(p) for p in pieces], np.int64)
-                columns = [
-                    pa.array(anchor.view(np.int64)), pa.array(digests), part.column("doc").take(pa.array(text)),
-                    pa.array(start), pa.array(length),
-                ]
-                names = ["anchor", "digest", "doc", "start", "windows"]
-                if with_pieces:
-                    columns.append(pa.array(pieces, pa.binary()))
-                    names.append("piece")
-                yield pa.RecordBatch.from_arrays(columns, names)
-
-    return task
-
-
-def _pair(text: np.ndarray, anchor: np.ndarray) -> np.ndarray:
-    return mixed(anchor ^ mixed(text.astype(_U) + _U(1)))
-
-
-def _digest(piece: bytes) -> int:
-    return int.from_bytes(blake2b(piece, digest_size=8).digest(), "little", signed=True)
-
-
-def identified(documents: DataFrame, id_column: str, text_column: str) -> DataFrame:
-    """``doc`` and ``text`` of the rows with an id; ``doc`` is the id and a hash, which tells texts of one id apart."""
-    chosen = documents.select(
-        F.col(id_column).alias("id"), F.coalesce(F.col(text_column).cast("string"), F.lit("")).alias("text")
-    )
-    return chosen.select(F.struct("id", F.xxhash64("text").alias("hash")).alias("doc"), "text")
-
-
-def repeats(
-    texts: DataFrame,
-    symbols: Symbols,
-    solver: Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]],
-    copies: str,
-) -> DataFrame:
-    """``doc, runs``: for each text with windows that start earlier elsewhere, the runs of them.
-
-    The solver is given rows (anchor, digest, doc, start, piece) sorted by
-    anchor, all of an anchor in one task, and returns (anchor, digest, ranges):
-    the windows of each piece, counted from its begin, that start earlier.
-    ``copies`` is a condition under which a place of a piece other than its
-    first one (``first_doc, first_start``) starts later as a whole.
+@dataclass(frozen=True)
+class Repeats:
+    """What differs between the operators that remove repeated windows.
+
+    ``solve`` is given pieces, the ids of their documents and their first
+    windows' places in them; it returns a flag for each window of each piece,
+    one piece after the other: whether it starts earlier in another one.
+    ``later`` is a condition under which all windows of a place start later
+    than those of its piece's first place. ``finish`` makes the output columns
+    from texts and their runs of such windows.
     """
-    kind = texts.schema["doc"].dataType.simpleString()
-    often = (
-        texts.select("text").mapInArrow(_counted(symbols), "anchor long, n long")
-        .groupBy("anchor").agg(F.sum("n").alias("n")).filter("n > 1")
-        .select("anchor", F.expr(f"n > {HOT}").alias("hot"))
-    )
-    held = texts.filter("doc.id IS NOT NULL").mapInArrow(_held(symbols), f"anchor long, doc {kind}")
-    told = held.join(often, "anchor").groupBy("doc").agg(F.collect_list(F.struct("anchor", "hot")).alias("told"))
-    told = stored(told, "told")
-    met = texts.join(told, "doc").select("doc", "text", "told")
-    row = f"anchor long, digest long, doc {kind}, start long, windows long"
-    pieces = (
-        met.mapInArrow(_cut(symbols, True), f"{row}, piece binary")
-        .groupBy("anchor", "piece")
-        .agg(F.min(F.struct("doc", "start")).alias("place"), F.first("digest").alias("digest"))
-        .select("anchor", "digest", "place.doc", "place.start", "piece")
-    )
-    dealt = pieces.repartition("anchor").sortWithinPartitions("anchor")
-    solved = dealt.mapInArrow(
-        solver, f"anchor long, digest long, first_doc {kind}, first_start long, ranges array<struct<begin: long, stop: long>>"
-    )
-    places = met.mapInArrow(_cut(symbols, False), row)
-    whole = "array(struct(start AS begin, start + windows AS stop))"
-    shifted = "transform(ranges, r -> struct(start + r.begin AS begin, start + r.stop AS stop))"
-    runs = places.join(solved, ["anchor", "digest"]).select("doc", F.expr(f"IF({copies}, {whole}, {shifted})").alias("runs"))
-    return runs.filter("size(runs) > 0").groupBy("doc").agg(F.flatten(F.collect_list("runs")).alias("runs"))
-
-
-def finished(texts: DataFrame, runs: DataFrame, task, schema: str) -> DataFrame:
-    """Every text with its runs through the task; those without an id have none."""
-    named = texts.filter("doc.id IS NOT NULL").join(runs, "doc", "left")
-    nameless = texts.filter("doc.id IS NULL").select("doc", "text", F.lit(None).cast(runs.schema["runs"].dataType).alias("runs"))
-    return named.select("doc", "text", "runs").union(nameless).select(F.col("doc.id").alias("doc_id"), "text", "runs").mapInArrow(task, schema)
-
-
-def covered(runs: list | None, width: int) -> tuple[np.ndarray, np.ndarray]:
-    """Begin and end symbol of each stretch that the windows of the runs cover, apart and in order."""
-    if not runs:
-        return np.zeros(0, np.int64), np.zeros(0, np.int64)
-    begin = np.array([r["begin"] for r in runs], np.int64)
-    stop = np.array([r["stop"] for r in runs], np.int64) + width - 1
-    order = np.argsort(begin, kind="stable")
-    begin, reach = begin[order], np.maximum.accumulate(stop[order])
-    new = np.ones(len(begin), bool)
-    new[1:] = begin[1:] > reach[:-1]
-    heads = np.flatnonzero(new)
-    return begin[heads], reach[np.append(heads[1:] - 1, len(begin) - 1)]
-
-
-def ranges_of(flags: np.ndarray, bounds: np.ndarray) -> list[list[dict]]:
+
+    symbols: Symbols
+    solve: Callable[[list[bytes], list[tuple], np.ndarray], np.ndarray]
+    later: str
+    finish: Callable[[list[bytes], list[list[tuple[int, int]]]], list[pa.Array]]
+    columns: str
+
+    def apply(self, documents: DataFrame, id_column: str, text_column: str) -> DataFrame:
+        """One row per document: doc_id, and ``columns``."""
+        chosen = documents.select(
+            F.col(id_column).alias("id"), F.coalesce(F.col(text_column).cast("string"), F.lit("")).alias("text")
+        )
+        kind = chosen.schema["id"].dataType.simpleString()
+        # The condition is there so that the joins below can share one shuffle of the slices.
+        slices = stored(chosen.mapInArrow(_packed, "slice long, payload binary"), "slices").filter("slice IS NOT NULL")
+        total = chosen.agg(F.sum(F.octet_length("text"))).first()[0] or 0
+        parts = max(int(documents.sparkSession.conf.get("spark.sql.shuffle.partitions")), -(-total // PART_BYTES))
+
+        anchors = slices.mapInArrow(partial(_anchors, self.symbols, parts), "part int, slice long, anchors binary, counts binary")
+        told = (
+            anchors.repartition(parts, "part").sortWithinPartitions("part")
+            .mapInArrow(_repeated, "slice long, anchors binary, hot binary")
+            .groupBy("slice").agg(F.collect_list(F.struct("anchors", "hot")).alias("told"))
+        )
+        met = slices.join(stored(told, "told"), "slice")
+        pieces = met.mapInArrow(partial(_pieces, self.symbols, parts), "part int, pieces binary")
+        solved = pieces.repartition(parts, "part").sortWithinPartitions("part").mapInArrow(
+            partial(_solved, self.solve, self.symbols),
+            f"anchor long, digest long, first_id {kind}, first_slice long, first_doc int, first_start long, "
+            "ranges array<struct<begin: long, stop: long>>",
+        )
+        places = met.mapInArrow(
+            partial(_places, self.symbols), f"anchor long, digest long, id {kind}, slice long, doc int, start long, windows long"
+        )
+        whole = "array(struct(start AS begin, start + windows AS stop))"
+        shifted = "transform(ranges, r -> struct(start + r.begin AS begin, start + r.stop AS stop))"
+        runs = (
+            places.join(solved, ["anchor", "digest"])
+            .select("slice", "doc", F.expr(f"IF({self.later}, {whole}, {shifted})").alias("runs"))
+            .filter("size(runs) > 0")
+            .groupBy("slice")
+            .agg(F.collect_list(F.struct("doc", "runs")).alias("runs"))
+        )
+        return slices.join(runs, "slice", "left").select("payload", "runs").mapInArrow(
+            partial(_finished, self.finish, self.columns), f"doc_id {kind}, {self.columns}"
+        )
+
+
+_ZSTD = {"level": 3}
+
+
+def _pack(table: pa.Table) -> bytes:
+    sink = pa.BufferOutputStream()
+    with pa.ipc.new_stream(sink, table.schema) as writer:
+        writer.write_table(table)
+    return zstandard.ZstdCompressor(**_ZSTD).compress(sink.getvalue())
+
+
+def _unpack(payload: bytes) -> pa.Table:
+    return pa.ipc.open_stream(zstandard.ZstdDecompressor().decompress(payload)).read_all().combine_chunks()
+
+
+def _column(table: pa.Table, name: str) -> pa.Array:
+    return table.column(name).chunk(0) if table.num_rows else pa.array([], table.schema.field(name).type)
+
+
+def _packed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    number = TaskContext.get().partitionId() << 32
+    held: list[pa.RecordBatch] = []
+    size = 0
+
+    def slice_of() -> pa.RecordBatch:
+        table = pa.Table.from_batches(held)
+        kind = table.schema.field("id").type
+        table = pa.table({"id": table.column("id").cast(kind), "text": table.column("text").cast(pa.binary())})
+        return pa.RecordBatch.from_arrays([pa.array([number]), pa.array([_pack(table)], pa.binary())], ["slice", "payload"])
+
+    for batch in batches:
+        for part in text_slices(batch, "text", SLICE_BYTES):
+            held.append(part)
+            size += pc.sum(pc.binary_length(part.column("text"))).as_py() or 0
+            if size >= SLICE_BYTES:
+                yield slice_of()
+                held, size, number = [], 0, number + 1
+    if held:
+        yield slice_of()
+
+
+def _texts(table: pa.Table) -> pa.Array:
+    """The texts of a slice; of rows without an id, which take no part, empty ones."""
+    return pc.if_else(pc.is_valid(_column(table, "id")), _column(table, "text"), b"")
+
+
+def _blocks(parts: np.ndarray, count: int) -> Iterator[tuple[int, np.ndarray]]:
+    """Each part that occurs, and the indexes of its entries."""
+    order = np.argsort(parts, kind="stable")
+    bounds = np.searchsorted(parts[order], np.arange(count + 1))
+    for part in np.flatnonzero(np.diff(bounds)).tolist():
+        yield part, order[bounds[part] : bounds[part + 1]]
+
+
+def _anchors(symbols: Symbols, parts: int, batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """A slice's anchors by part, and how often each occurs in it, up to 255 times."""
+    for batch in batches:
+        for number, payload in zip(*(batch.column(c).to_pylist() for c in ("slice", "payload")), strict=True):
+            _, _, _, first, hashes = symbols.read(_texts(_unpack(payload)))
+            runs = symbols.runs(first, hashes)
+            anchor, at = np.unique(runs[3], return_inverse=True)
+            n = np.bincount(at, symbols.marks(first, hashes, runs), len(anchor))
+            n = np.minimum(n, 255).astype(np.uint8)
+            rows = [(p, anchor[i].tobytes(), n[i].tobytes()) for p, i in _blocks((anchor % _U(parts)).astype(np.int64), parts)]
+            columns = [
+                pa.array([r[0] for r in rows], pa.int32()), pa.array([number] * len(rows), pa.int64()),
+                pa.array([r[1] for r in rows], pa.binary()), pa.array([r[2] for r in rows], pa.binary()),
+            ]
+            yield pa.RecordBatch.from_arrays(columns, ["part", "slice", "anchors", "counts"])
+
+
+def _by_part(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.Table]:
+    """All rows of each part; rows come sorted by part."""
+    held: list[pa.RecordBatch] = []
+    for batch in batches:
+        part = batch.column("part").to_numpy()
+        start = 0
+        for cut in [*(np.flatnonzero(np.diff(part)) + 1).tolist(), batch.num_rows]:
+            if held and start < cut and held[-1].column("part")[-1].as_py() != part[start]:
+                yield pa.Table.from_batches(held)
+                held = []
+            if start < cut:
+                held.append(batch.slice(start, cut - start))
+            start = cut
+    if held:
+        yield pa.Table.from_batches(held)
+
+
+def _repeated(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """To each slice those of its anchors that occur more than once anywhere."""
+    for table in _by_part(batches):
+        blocks = [np.frombuffer(x, _U) for x in table.column("anchors").to_pylist()]
+        anchor, at = np.unique(np.concatenate(blocks), return_inverse=True)
+        n = np.bincount(at, np.frombuffer(b"".join(table.column("counts").to_pylist()), np.uint8))
+        often = n[at] > 1
+        bounds = np.cumsum([0, *map(len, blocks)])
+        own, hot = [], []
+        for block, low, high in zip(blocks, bounds, bounds[1:], strict=False):
+            keep = often[low:high]
+            own.append(block[keep].tobytes())
+            hot.append((n[at[low:high][keep]] > HOT).tobytes())
+        columns = [table.column("slice").combine_chunks(), pa.array(own, pa.binary()), pa.array(hot, pa.binary())]
+        kept = pa.RecordBatch.from_arrays(columns, ["slice", "anchors", "hot"])
+        yield kept.filter(pc.greater(pc.binary_length(kept.column("anchors")), 0))
+
+
+def _cut(symbols: Symbols, payload: bytes, told: list[dict]) -> tuple:
+    """Pieces of the runs whose anchors are told: table of the slice, document, first window, windows, anchor, bytes."""
+    table = _unpack(payload)
+    data, begins, ends, first, hashes = symbols.read(_texts(table))
+    text, start, length, anchor = symbols.runs(first, hashes)
+    known = np.frombuffer(b"".join(t["anchors"] for t in told), _U)
+    known_hot = np.frombuffer(b"".join(t["hot"] for t in told), bool)
+    order = np.argsort(known)
+    known, known_hot = known[order], known_hot[order]
+    at = np.minimum(np.searchsorted(known, anchor), len(known) - 1)
+    found = known[at] == anchor
+    hot = found & known_hot[at]
+    cold = found & ~hot
+    single = np.repeat(text[hot], length[hot])
+    offset = expanded(start[hot], length[hot])
+    text, start, length, anchor = (x[cold] for x in (text, start, length, anchor))
+    if len(single):
+        windows = window_hashes(prefix_sums(hashes), symbols.width)
+        named = mixed(windows[first[single] + offset] ^ _U(symbols.width))
+        text, start = np.append(text, single), np.append(start, offset)
+        length, anchor = np.append(length, np.ones(len(single), np.int64)), np.append(anchor, named)
+    at = first[text] + start
+    raw = data.tobytes()
+    stop = at + length + symbols.width - 2
+    pieces = [raw[a:b] for a, b in zip(begins[at].tolist(), ends[stop].tolist(), strict=True)] if len(at) else []
+    return table, text, start, length, anchor, pieces
+
+
+def _digests(pieces: list[bytes]) -> np.ndarray:
+    return np.frombuffer(b"".join(blake2b(p, digest_size=8).digest() for p in pieces), np.int64)
+
+
+def _met(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[int, bytes, list[dict]]]:
+    for batch in batches:
+        for i in range(batch.num_rows):
+            yield tuple(batch.column(c)[i].as_py() for c in ("slice", "payload", "told"))
+
+
+def _pieces(symbols: Symbols, parts: int, batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """A slice's distinct pieces by part, each with the first of its places there."""
+    for number, payload, told in _met(batches):
+        table, text, start, _, anchor, pieces = _cut(symbols, payload, told)
+        if not len(text):
+            continue
+        ids = _column(table, "id").take(pa.array(text))
+        cut = pa.table(
+            {
+                "anchor": pa.array(anchor.view(np.int64)), "digest": pa.array(_digests(pieces)), "id": ids,
+                "slice": pa.array(np.full(len(text), number)), "doc": pa.array(text.astype(np.int32)),
+                "start": pa.array(start), "piece": pa.array(pieces, pa.binary()),
+            }
+        )
+        cut = _firsts(cut)
+        part = (_column(cut, "anchor").to_numpy().view(_U) % _U(parts)).astype(np.int64)
+        rows = [(p, _pack(cut.take(pa.array(i)))) for p, i in _blocks(part, parts)]
+        columns = [pa.array([r[0] for r in rows], pa.int32()), pa.array([r[1] for r in rows], pa.binary())]
+        yield pa.RecordBatch.from_arrays(columns, ["part", "pieces"])
+
+
+def _firsts(cut: pa.Table) -> pa.Table:
+    """Of equal pieces the one at the first place; ordered by anchor."""
+    names = ["anchor", "digest", "id", "slice", "doc", "start"]
+    cut = cut.take(pc.sort_indices(cut.select(names), [(name, "ascending") for name in names])).combine_chunks()
+    anchor, digest = _column(cut, "anchor").to_numpy(), _column(cut, "digest").to_numpy()
+    new = np.ones(len(anchor), bool)
+    new[1:] = (anchor[1:] != anchor[:-1]) | (digest[1:] != digest[:-1])
+    return cut.filter(pa.array(new)).combine_chunks()
+
+
+def _places(symbols: Symbols, batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Every place of every piece."""
+    for number, payload, told in _met(batches):
+        table, text, start, length, anchor, pieces = _cut(symbols, payload, told)
+        if len(text):
+            columns = [
+                pa.array(anchor.view(np.int64)), pa.array(_digests(pieces)), _column(table, "id").take(pa.array(text)),
+                pa.array(np.full(len(text), number)), pa.array(text.astype(np.int32)), pa.array(start), pa.array(length),
+            ]
+            yield pa.RecordBatch.from_arrays(columns, ["anchor", "digest", "id", "slice", "doc", "start", "windows"])
+
+
+def _solved(solve, symbols: Symbols, batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    for rows in _by_part(batches):
+        cut = _firsts(pa.concat_tables([_unpack(x) for x in rows.column("pieces").to_pylist()]))
+        for shard in _shards(cut):
+            pieces = _column(shard, "piece").to_pylist()
+            docs = list(zip(*(_column(shard, c).to_pylist() for c in ("id", "slice", "doc")), strict=True))
+            start = _column(shard, "start").to_numpy()
+            flags = solve(pieces, docs, start)
+            if symbols.words:
+                windows = np.array([len(p.split()) for p in pieces]) - symbols.width + 1
+            else:
+                windows = np.array([len(p) for p in pieces]) - symbols.width + 1
+            bounds = np.concatenate([[0], np.cumsum(windows)])
+            kind = pa.list_(pa.struct([("begin", pa.int64()), ("stop", pa.int64())]))
+            columns = [
+                *(_column(shard, c) for c in ("anchor", "digest", "id", "slice", "doc", "start")),
+                pa.array(_ranges(flags, bounds), kind),
+            ]
+            names = ["anchor", "digest", "first_id", "first_slice", "first_doc", "first_start", "ranges"]
+            yield pa.RecordBatch.from_arrays(columns, names)
+
+
+def _shards(cut: pa.Table) -> Iterator[pa.Table]:
+    """Whole anchors together, in tables of about ``SHARD_BYTES`` of pieces."""
+    anchor = _column(cut, "anchor").to_numpy()
+    sizes = np.cumsum(pc.binary_length(_column(cut, "piece")).to_numpy(zero_copy_only=False).astype(np.int64))
+    ends = np.append(np.flatnonzero(np.diff(anchor)) + 1, len(anchor))
+    start = 0
+    for end in ends.tolist():
+        if sizes[end - 1] - (sizes[start - 1] if start else 0) >= SHARD_BYTES or end == len(anchor):
+            yield cut.slice(start, end - start).combine_chunks()
+            start = end
+
+
+def _ranges(flags: np.ndarray, bounds: np.ndarray) -> list[list[dict]]:
     """The runs of set flags of each stretch ``bounds[i]:bounds[i + 1]``, counted from its begin."""
     edge = np.zeros(len(flags) + 1, bool)
     edge[bounds] = True
-    previous = np.append(False, flags[:-1])
-    following = np.append(flags[1:], False)
-    heads = np.flatnonzero(flags & (~previous | edge[:-1]))
-    tails = np.flatnonzero(flags & (~following | edge[1:])) + 1
+    heads = np.flatnonzero(flags & (~np.append(False, flags[:-1]) | edge[:-1]))
+    tails = np.flatnonzero(flags & (~np.append(flags[1:], False) | edge[1:])) + 1
     owner = np.searchsorted(bounds, heads, side="right") - 1
     out: list[list[dict]] = [[] for _ in range(len(bounds) - 1)]
     for i, a, b in zip(owner.tolist(), (heads - bounds[owner]).tolist(), (tails - bounds[owner]).tolist(), strict=True):
@@ -280,26 +410,24 @@ def ranges_of(flags: np.ndarray, bounds: np.ndarray) -> list[list[dict]]:
     return out
 
 
-def shards(batches: Iterator[pa.RecordBatch], size: int) -> Iterator[pa.Table]:
-    """Whole anchors together, in tables of about ``size`` bytes of pieces."""
-    held: list[pa.RecordBatch] = []
-    total = 0
+def _finished(finish, columns: str, batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    names = ["doc_id", *(c.split()[0] for c in columns.split(","))]
     for batch in batches:
-        anchors = batch.column("anchor").to_numpy()
-        cuts = np.flatnonzero(anchors[1:] != anchors[:-1]) + 1
-        lengths = np.cumsum(pc.binary_length(batch.column("piece")).to_numpy(zero_copy_only=False).astype(np.int64))
-        start = 0
-        if held and len(anchors) and held[-1].column("anchor")[-1].as_py() != anchors[0]:
-            cuts = np.append(0, cuts)
-        for cut in cuts.tolist():
-            if total + (lengths[cut - 1] if cut else 0) - (lengths[start - 1] if start else 0) >= size:
-                if cut > start:
-                    held.append(batch.slice(start, cut - start))
-                if held:
-                    yield pa.Table.from_batches(held)
-                held, total, start = [], 0, cut
-        if start < batch.num_rows:
-            held.append(batch.slice(start))
-            total += int(lengths[-1] - (lengths[start - 1] if start else 0))
-    if held:
-        yield pa.Table.from_batches(held)
+        for i in range(batch.num_rows):
+            table = _unpack(batch.column("payload")[i].as_py())
+            runs: list[list[tuple[int, int]]] = [[] for _ in range(table.num_rows)]
+            for found in batch.column("runs")[i].as_py() or ():
+                runs[found["doc"]] += [(r["begin"], r["stop"]) for r in found["runs"]]
+            made = finish(_column(table, "text").to_pylist(), runs)
+            yield pa.RecordBatch.from_arrays([_column(table, "id"), *made], names)
+
+
+def covered(runs: list[tuple[int, int]], width: int) -> list[tuple[int, int]]:
+    """Begin and end symbol of each stretch that the windows of the runs cover, apart and in order."""
+    out: list[tuple[int, int]] = []
+    for begin, stop in sorted(runs):
+        if out and begin <= out[-1][1]:
+            out[-1] = out[-1][0], max(out[-1][1], stop + width - 1)
+        else:
+            out.append((begin, stop + width - 1))
+    return out

@@ -12,20 +12,18 @@ eight bytes at a step, as far as the length in question.
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from functools import partial
 from hashlib import sha256
 
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 
-from siltstone.llm.anchors import Symbols, covered, finished, identified, ranges_of, repeats, shards
-from siltstone.llm.textbytes import expanded, prefix_sums, span_hashes, text_slices
+from siltstone.llm.anchors import Repeats, Symbols, covered
+from siltstone.llm.textbytes import expanded, prefix_sums, span_hashes
 
 LENGTH = 100
 GRAM = 32
-#: Bytes of pieces that one suffix array is built over; one anchor's pieces are never split.
-SHARD_BYTES = 2 << 20
 #: A string of names with more symbols than this is sorted by doubling names, not by buckets.
 BUCKETS = 1_024
 
@@ -202,45 +200,25 @@ def earlier_windows(pieces: list[bytes], place: np.ndarray, width: int) -> tuple
     return earliest[starts] < own[starts], bounds
 
 
-def _solve(width: int):
-    def task(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for table in shards(batches, SHARD_BYTES):
-            table = table.combine_chunks()
-            docs = [(d["id"], d["hash"]) for d in table.column("doc").to_pylist()]
-            rank = {doc: i for i, doc in enumerate(sorted(set(docs)))}
-            place = np.array([rank[d] for d in docs], np.int64) << 40 | table.column("start").to_numpy()
-            flags, bounds = earlier_windows(table.column("piece").to_pylist(), place, width)
-            kind = pa.list_(pa.struct([("begin", pa.int64()), ("stop", pa.int64())]))
-            columns = [
-                *(table.column(c).chunk(0) for c in ("anchor", "digest", "doc", "start")),
-                pa.array(ranges_of(flags, bounds), kind),
-            ]
-            yield pa.RecordBatch.from_arrays(columns, ["anchor", "digest", "first_doc", "first_start", "ranges"])
-
-    return task
-
-
-def _finish(width: int):
-    def task(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            for part in text_slices(batch, "text"):
-                size, removed, spans, digests = [], [], [], []
-                for text, runs in zip(part.column("text").to_pylist(), part.column("runs").to_pylist(), strict=True):
-                    data = text.encode()
-                    begin, stop = covered(runs, width)
-                    kept, at = sha256(), 0
-                    for a, b in zip(begin.tolist(), stop.tolist(), strict=True):
-                        kept.update(data[at:a])
-                        at = b
-                    kept.update(data[at:])
-                    size.append(len(data))
-                    removed.append(int((stop - begin).sum()))
-                    spans.append(len(begin))
-                    digests.append(kept.hexdigest())
-                columns = [part.column("doc_id"), *(pa.array(x, pa.int64()) for x in (size, removed, spans)), pa.array(digests, pa.string())]
-                yield pa.RecordBatch.from_arrays(columns, ["doc_id", "n_bytes", "n_removed", "n_spans", "kept_sha256"])
-
-    return task
+def _solve(width: int, pieces: list[bytes], docs: list[tuple], start: np.ndarray) -> np.ndarray:
+    rank = {doc: i for i, doc in enumerate(sorted(set(docs)))}
+    return earlier_windows(pieces, np.array([rank[d] for d in docs], np.int64) << 40 | start, width)[0]
+
+
+def _finish(width: int, texts: list[bytes], runs: list[list[tuple[int, int]]]) -> list[pa.Array]:
+    removed, spans, digests = [], [], []
+    for text, own in zip(texts, runs, strict=True):
+        stretches = covered(own, width)
+        kept, at = sha256(), 0
+        for begin, stop in stretches:
+            kept.update(text[at:begin])
+            at = stop
+        kept.update(text[at:])
+        removed.append(sum(stop - begin for begin, stop in stretches))
+        spans.append(len(stretches))
+        digests.append(kept.hexdigest())
+    sizes = [len(text) for text in texts]
+    return [*(pa.array(x, pa.int64()) for x in (sizes, removed, spans)), pa.array(digests, pa.string())]
 
 
 def remove_repeated_bytes(
@@ -250,18 +228,15 @@ def remove_repeated_bytes(
 
     A byte goes if a string of ``length`` bytes that covers it also starts
     earlier: in a document with a smaller id, or before in the same one.
-    Strings are judged on the input. A null text is empty. Rows that repeat an
-    id and text are one document; rows that share only the id are ordered by a
-    hash of their text. A row without an id has no place in the order: it
-    keeps its text and takes nothing from others. An empty table gives no rows.
-    Columns besides the two named are not read.
+    Strings are judged on the input. A null text is empty. Rows that share an
+    id are documents one after the other. A row without an id has no place in
+    the order: it keeps its text and takes nothing from others. An empty table
+    gives no rows. Columns besides the two named are not read.
     """
-    texts = identified(documents, id_column, text_column)
-    runs = repeats(
-        texts.filter("doc.id IS NOT NULL"),
+    return Repeats(
         Symbols(length, min(GRAM, length), False),
-        _solve(length),
-        "struct(doc, start) <> struct(first_doc, first_start)",
-    )
-    kind = texts.schema["doc"].dataType["id"].dataType.simpleString()
-    return finished(texts, runs, _finish(length), f"doc_id {kind}, n_bytes long, n_removed long, n_spans long, kept_sha256 string")
+        partial(_solve, length),
+        "NOT (slice = first_slice AND doc = first_doc AND start = first_start)",
+        partial(_finish, length),
+        "n_bytes long, n_removed long, n_spans long, kept_sha256 string",
+    ).apply(documents, id_column, text_column)

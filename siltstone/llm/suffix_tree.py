@@ -14,18 +14,18 @@ cost one or two steps, not one for each word of a window.
 from __future__ import annotations
 
 from collections.abc import Iterator
+from functools import partial
 from hashlib import sha256
 
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 
-from siltstone.llm.anchors import Symbols, covered, finished, identified, ranges_of, repeats, shards
-from siltstone.llm.textbytes import expanded, text_slices, word_hashes, word_spans
+from siltstone.llm.anchors import Repeats, Symbols, covered
+from siltstone.llm.textbytes import expanded, word_hashes, word_spans
 
 WORDS = 50
 GRAM = 14
-SHARD_BYTES = 4 << 20
 #: Suffixes of one subtree; a group that is one sequence of a window's depth is never split.
 GROUP_SUFFIXES = 50_000
 
@@ -97,53 +97,31 @@ def earliest_places(words: np.ndarray, starts: np.ndarray, place: np.ndarray, de
     return least[starts]
 
 
-def _solve(depth: int):
-    def task(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for table in shards(batches, SHARD_BYTES):
-            table = table.combine_chunks()
-            pieces = table.column("piece").to_pylist()
-            data = np.frombuffer(b"".join(pieces), np.uint8)
-            offsets = np.concatenate([[0], np.cumsum([len(p) for p in pieces])]).astype(np.int64)
-            begins, ends, first = word_spans(data, offsets)
-            words = np.unique(word_hashes(data, begins, ends), return_inverse=True)[1]
-            windows = np.diff(first) - depth + 1
-            # Sequences count as earlier by the document alone, not by where they stand in it.
-            ids = [d["id"] for d in table.column("doc").to_pylist()]
-            rank = {doc: i for i, doc in enumerate(sorted(set(ids)))}
-            place = np.repeat(np.array([rank[i] for i in ids], np.int64), windows)
-            starts = expanded(first[:-1], windows)
-            flags = earliest_places(words, starts, place, depth, GROUP_SUFFIXES) < place
-            bounds = np.concatenate([[0], np.cumsum(windows)])
-            kind = pa.list_(pa.struct([("begin", pa.int64()), ("stop", pa.int64())]))
-            columns = [
-                *(table.column(c).chunk(0) for c in ("anchor", "digest", "doc", "start")),
-                pa.array(ranges_of(flags, bounds), kind),
-            ]
-            yield pa.RecordBatch.from_arrays(columns, ["anchor", "digest", "first_doc", "first_start", "ranges"])
-
-    return task
-
-
-def _finish(width: int):
-    def task(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            for part in text_slices(batch, "text"):
-                size, removed, digests = [], [], []
-                for text, runs in zip(part.column("text").to_pylist(), part.column("runs").to_pylist(), strict=True):
-                    words = text.encode().split()
-                    begin, stop = covered(runs, width)
-                    kept, at = [], 0
-                    for a, b in zip(begin.tolist(), stop.tolist(), strict=True):
-                        kept += words[at:a]
-                        at = b
-                    kept += words[at:]
-                    size.append(len(words))
-                    removed.append(len(words) - len(kept))
-                    digests.append(sha256(b" ".join(kept)).hexdigest())
-                columns = [part.column("doc_id"), pa.array(size, pa.int64()), pa.array(removed, pa.int64()), pa.array(digests, pa.string())]
-                yield pa.RecordBatch.from_arrays(columns, ["doc_id", "n_words", "n_removed", "kept_sha256"])
-
-    return task
+def _solve(depth: int, pieces: list[bytes], docs: list[tuple], start: np.ndarray) -> np.ndarray:
+    data = np.frombuffer(b"".join(pieces), np.uint8)
+    offsets = np.concatenate([[0], np.cumsum([len(p) for p in pieces])]).astype(np.int64)
+    begins, ends, first = word_spans(data, offsets)
+    words = np.unique(word_hashes(data, begins, ends), return_inverse=True)[1]
+    windows = np.diff(first) - depth + 1
+    # Sequences count as earlier by the document alone, not by where they stand in it.
+    rank = {key: i for i, key in enumerate(sorted({doc[0] for doc in docs}))}
+    place = np.repeat(np.array([rank[doc[0]] for doc in docs], np.int64), windows)
+    return earliest_places(words, expanded(first[:-1], windows), place, depth, GROUP_SUFFIXES) < place
+
+
+def _finish(width: int, texts: list[bytes], runs: list[list[tuple[int, int]]]) -> list[pa.Array]:
+    size, removed, digests = [], [], []
+    for text, own in zip(texts, runs, strict=True):
+        words = text.split()
+        kept, at = [], 0
+        for begin, stop in covered(own, width):
+            kept += words[at:begin]
+            at = stop
+        kept += words[at:]
+        size.append(len(words))
+        removed.append(len(words) - len(kept))
+        digests.append(sha256(b" ".join(kept)).hexdigest())
+    return [pa.array(size, pa.int64()), pa.array(removed, pa.int64()), pa.array(digests, pa.string())]
 
 
 def remove_repeated_words(
@@ -158,9 +136,10 @@ def remove_repeated_words(
     its text and takes nothing from others. An empty table gives no rows.
     Columns besides the two named are not read.
     """
-    texts = identified(documents, id_column, text_column)
-    runs = repeats(
-        texts.filter("doc.id IS NOT NULL"), Symbols(words, min(GRAM, words), True), _solve(words), "doc.id > first_doc.id"
-    )
-    kind = texts.schema["doc"].dataType["id"].dataType.simpleString()
-    return finished(texts, runs, _finish(words), f"doc_id {kind}, n_words long, n_removed long, kept_sha256 string")
+    return Repeats(
+        Symbols(words, min(GRAM, words), True),
+        partial(_solve, words),
+        "id > first_id",
+        partial(_finish, words),
+        "n_words long, n_removed long, kept_sha256 string",
+    ).apply(documents, id_column, text_column)
