@@ -28,6 +28,8 @@ LIMIT = 4096
 END_ID = 1
 #: Pieces a task packs together; their sizes are held in memory, their ids are not.
 TOGETHER = 100_000
+#: Bytes of text that are tokenized together.
+TEXT_BYTES = 3 << 20
 #: Bins at least this full are final at once.
 FULL = 0.98
 FAN_IN = 8
@@ -85,7 +87,7 @@ def _pack_locally(path: str, limit: int, end_id: int, id_column: str, text_colum
         ids, rows, kind = [], [], pa.int64()
         for batch in batches:
             kind = batch.schema.field(id_column).type
-            for part in text_slices(batch, text_column, 8 << 20):
+            for part in text_slices(batch, text_column, TEXT_BYTES):
                 tokens, bounds = words.encode(part.column(text_column))
                 for i, doc in enumerate(part.column(id_column).to_pylist()):
                     own = np.append(tokens[bounds[i] : bounds[i + 1]], end_id).astype("<u4")

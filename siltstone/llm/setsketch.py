@@ -13,9 +13,10 @@ sets.
 
 Texts with the same words are one class from the start. In a bucket the first
 rounds compare each class with one leader, and only with leaders of other
-components; pairs that are left between different components of a bucket are
-then compared in blocks. So a large group of near copies costs a comparison
-per copy and round, not one per pair, and no link between components is lost.
+components, as long as that links anything; pairs that are left between
+different components of a bucket are then compared in blocks, where only links
+leave the task. So a large group of near copies that hang together costs a
+comparison per copy and round, and no link between components is lost.
 A pair at similarity 0.85 shares no band with a probability of 4e-7.
 """
 
@@ -26,7 +27,6 @@ from collections.abc import Iterator
 from hashlib import blake2b
 
 import numpy as np
-import pandas as pd
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -41,9 +41,10 @@ REGISTERS = BANDS * ROWS
 BASE, RATE, TOP = 1.001, 20.0, 65_535
 #: Standard deviations of the estimate by which a pair may fall short and still be confirmed on full sets.
 SLACK = 5.0
+#: Rounds of one leader a bucket at most; they end with the first that links nothing.
 STAR_ROUNDS = 3
 #: Classes of one bucket that are compared with each other in one task.
-BLOCK = 1_024
+BLOCK = 512
 
 _U = np.uint64
 _RANDOM = np.random.default_rng(20_221)
@@ -146,9 +147,10 @@ def _bands(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
                 value = mixed(value * _STEP + sketch[:, :, i])
             columns = [
                 pa.array(value.ravel().view(np.int64)),
+                pa.array(np.tile(np.arange(BANDS, dtype=np.int32), part.num_rows)),
                 part.column("node").take(pa.array(np.repeat(np.arange(part.num_rows), BANDS))),
             ]
-            yield pa.RecordBatch.from_arrays(columns, ["bucket", "node"])
+            yield pa.RecordBatch.from_arrays(columns, ["bucket", "band", "node"])
 
 
 def _close(threshold: float):
@@ -157,6 +159,8 @@ def _close(threshold: float):
 
     def keep(a: np.ndarray, b: np.ndarray, n_a: np.ndarray, n_b: np.ndarray) -> np.ndarray:
         possible = np.minimum(n_a, n_b) >= threshold * np.maximum(n_a, n_b)
+        # Registers of this base agree about as often as members; far too few need no estimate.
+        possible[possible] = (a[possible] == b[possible]).mean(1) >= margin - 0.1
         possible[possible] = estimate(a[possible], b[possible], n_a[possible], n_b[possible]) >= margin
         return possible
 
@@ -177,31 +181,109 @@ def _estimated(threshold: float):
     return task
 
 
-def _across(threshold: float):
-    """Close pairs between different components of one block pair of a bucket."""
-    keep = _close(threshold)
+#: Pairs whose registers are compared at once.
+_TOGETHER = 1 << 14
+
+
+class _Sets:
+    """Full shingle sets of some rows, and which of the rows already hang together."""
+
+    def __init__(self, sets: list[np.ndarray], component: np.ndarray, percent: int) -> None:
+        self.sets, self.percent = sets, percent
+        self.component = component
+        self.up = list(range(int(component.max(initial=-1)) + 1))
+
+    def _top(self, i: int) -> int:
+        while self.up[i] != i:
+            self.up[i] = i = self.up[self.up[i]]
+        return i
+
+    def link(self, x: int, y: int) -> bool:
+        """Whether rows of two components are linked; if so, the two are one from then on."""
+        a, b = self._top(self.component[x]), self._top(self.component[y])
+        if a == b or not _similar(self.sets[x], self.sets[y], self.percent):
+            return False
+        self.up[a] = b
+        return True
+
+
+def _similar(x: np.ndarray, y: np.ndarray, percent: int) -> bool:
+    both = len(np.intersect1d(x, y, assume_unique=True))
+    return 100 * both >= percent * (len(x) + len(y) - both)
+
+
+def _across(width: int, percent: int):
+    """Links between different components of a bucket; rows come sorted by bucket and block pair.
+
+    A pair is looked at in the first band it shares, once wherever else it
+    meets, and confirmed where it is found: only links leave the task, and of
+    these only such as join two components of the table.
+    """
+    keep = _close(percent / 100)
+
+    def compared(table: pa.Table) -> pa.RecordBatch:
+        """The block pairs of a table that holds them whole."""
+        sketch = np.frombuffer(b"".join(table.column("registers").to_pylist()), "<u2").reshape(-1, REGISTERS)
+        bands = sketch.reshape(-1, BANDS, ROWS)
+        size = table.column("n_shingles").to_numpy().astype(float)
+        part = table.column("component").combine_chunks().dictionary_encode().indices.to_numpy()
+        band, pair, block = (table.column(c).to_numpy() for c in ("band", "pair", "block"))
+        texts = [normalised(t.encode()) for t in table.column("text").to_pylist()]
+        sets = _Sets(_shingle_sets(texts, width), part, percent)
+        heads = _heads(table)
+        links: list[tuple[int, int]] = []
+        waiting: list[np.ndarray] = []
+
+        def flush() -> None:
+            pairs = np.concatenate(waiting, 1)
+            waiting.clear()
+            for start in range(0, pairs.shape[1], _TOGETHER):
+                x, y = pairs[:, start : start + _TOGETHER]
+                first = (bands[x] == bands[y]).all(2).argmax(1) == band[x]
+                x, y = x[first], y[first]
+                close = keep(sketch[x], sketch[y], size[x], size[y])
+                links.extend((i, j) for i, j in zip(x[close].tolist(), y[close].tolist(), strict=True) if sets.link(i, j))
+
+        for start, stop in zip(heads, [*heads[1:], table.num_rows], strict=True):
+            if pair[start] >> 20 == pair[start] & 0xFFFFF:
+                x, y = np.triu_indices(stop - start, 1)
+            else:
+                first = block[start:stop] == pair[start] >> 20
+                x, y = (g.ravel() for g in np.meshgrid(np.flatnonzero(first), np.flatnonzero(~first)))
+            x, y = x + start, y + start
+            apart = part[x] != part[y]
+            waiting.append(np.stack([x[apart], y[apart]]))
+            if sum(w.shape[1] for w in waiting) > 8 * _TOGETHER:
+                flush()
+        if waiting:
+            flush()
+        x, y = np.array(links, np.int64).reshape(-1, 2).T
+        node = table.column("node").combine_chunks()
+        return pa.RecordBatch.from_arrays([node.take(pa.array(x)), node.take(pa.array(y))], ["x", "y"])
 
-    def task(frame: pd.DataFrame) -> pd.DataFrame:
-        frame = frame.sort_values("node", ignore_index=True)
-        sketch = np.frombuffer(b"".join(frame["registers"]), "<u2").reshape(-1, REGISTERS)
-        size = frame["n_shingles"].to_numpy(float)
-        group = pd.factorize(frame["component"])[0]
-        block, pair = frame["block"].to_numpy(), frame["pair"].iloc[0]
-        i, j = pair >> 20, pair & 0xFFFFF
-        out_a, out_b = [], []
-        for x in np.flatnonzero(block == i):
-            y = np.flatnonzero((block == j) & (group != group[x]))
-            y = y[y > x] if i == j else y
-            y = y[keep(np.repeat(sketch[x][None], len(y), 0), sketch[y], np.repeat(size[x], len(y)), size[y])]
-            out_a.extend([x] * len(y))
-            out_b.extend(y)
-        node = frame["node"]
-        a, b = node.iloc[out_a].reset_index(drop=True), node.iloc[out_b].reset_index(drop=True)
-        return pd.DataFrame({"a": np.maximum(a, b), "b": np.minimum(a, b)})
+    def task(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held: list[pa.RecordBatch] = []
+        for batch in batches:
+            for part in text_slices(batch, "text"):
+                table = pa.Table.from_batches([*held, part])
+                last = int(_heads(table)[-1])
+                if last:
+                    yield compared(table.slice(0, last))
+                held = table.slice(last).to_batches()
+        if held:
+            yield compared(pa.Table.from_batches(held))
 
     return task
 
 
+def _heads(table: pa.Table) -> np.ndarray:
+    """First row of each block pair."""
+    bucket, pair = table.column("bucket").to_numpy(), table.column("pair").to_numpy()
+    new = np.ones(table.num_rows, bool)
+    new[1:] = (bucket[1:] != bucket[:-1]) | (pair[1:] != pair[:-1])
+    return np.flatnonzero(new)
+
+
 def _confirm(width: int, percent: int):
     """Keeps pairs with 100 * intersection >= percent * union of their full shingle sets."""
 
@@ -218,9 +300,7 @@ def _confirm(width: int, percent: int):
         for batch in batches:
             keep = []
             for a, b, ta, tb in zip(*(batch.column(c).to_pylist() for c in ("a", "b", "ta", "tb")), strict=True):
-                x, y = own(a, ta), own(b, tb)
-                both = len(np.intersect1d(x, y, assume_unique=True))
-                keep.append(100 * both >= percent * (len(x) + len(y) - both))
+                keep.append(_similar(own(a, ta), own(b, tb), percent))
             yield batch.select(["a", "b"]).filter(pa.array(keep, pa.bool_()))
 
     return task
@@ -252,6 +332,17 @@ class _Classes:
         rows = pairs.join(texts.toDF("a", "ta"), "a").join(texts.toDF("b", "tb"), "b").select("a", "b", "ta", "tb")
         return stored(rows.mapInArrow(_confirm(self.width, self.percent), f"a {self.kind}, b {self.kind}"), "links")
 
+    def across(self, reached: DataFrame) -> DataFrame:
+        """Links between the components of a bucket: each pair of its blocks is a group of its own."""
+        sizes = reached.groupBy("bucket").agg(F.ceil(F.count("*") / BLOCK).alias("blocks"))
+        rows = reached.join(sizes, "bucket").withColumn("block", F.expr("pmod(xxhash64(node), blocks)"))
+        pairs = "transform(sequence(0L, blocks - 1), x -> shiftleft(least(x, block), 20) + greatest(x, block))"
+        rows = rows.withColumn("pair", F.explode(F.expr(pairs))).drop("blocks")
+        full = rows.join(self.classes.select("node", "n_shingles", "registers"), "node").join(self.texts, "node")
+        dealt = full.repartition("bucket", "pair").sortWithinPartitions("bucket", "pair", "node")
+        found = dealt.mapInArrow(_across(self.width, self.percent), f"x {self.kind}, y {self.kind}")
+        return found.select(F.greatest("x", "y").alias("a"), F.least("x", "y").alias("b"))
+
 
 def near_duplicates(
     documents: DataFrame,
@@ -288,9 +379,9 @@ def near_duplicates(
                 "n_shingles", "registers"),
         "classes",
     )
-    banded = classes.select("node", "registers").mapInArrow(_bands, f"bucket long, node {kind}")
+    banded = classes.select("node", "registers").mapInArrow(_bands, f"bucket long, band int, node {kind}")
     shared = banded.groupBy("bucket").agg(F.count("*").alias("n")).filter("n > 1")
-    buckets = stored(banded.join(shared, "bucket").select("bucket", "node"), "buckets")
+    buckets = stored(banded.join(shared, "bucket").select("bucket", "band", "node"), "buckets")
 
     meeting = classes.join(buckets.select("node").distinct(), "node", "left_semi")
     texts = chosen.join(
@@ -299,11 +390,10 @@ def near_duplicates(
     compared = _Classes(classes, stored(texts.dropDuplicates(["node"]), "texts"), width, percent)
 
     # Texts that share a node's id but not its words hang together through the node itself.
-    links = None
-    reached = buckets.select("bucket", "node", F.col("node").alias("component"))
-    tried = None
+    links = tried = None
+    reached = buckets.withColumn("component", F.col("node"))
     for turn in range(STAR_ROUNDS):
-        order = "node" if turn == 0 else f"struct(xxhash64(node, {turn}L), node)"
+        order = "node" if turn == 0 else f"struct(xxhash64(node, bucket, {turn}L), node)"
         leaders = reached.groupBy("bucket").agg(
             F.min_by("node", F.expr(order)).alias("leader"), F.min_by("component", F.expr(order)).alias("led")
         )
@@ -316,17 +406,20 @@ def near_duplicates(
         if tried is not None:
             pairs = pairs.join(tried, ["a", "b"], "left_anti")
         pairs = stored(pairs, "star")
-        found = compared.confirmed(compared.estimated(pairs))
         tried = pairs if tried is None else tried.union(pairs)
+        found = compared.confirmed(compared.estimated(pairs))
+        if turn and found.isEmpty():
+            break
         links = found if links is None else links.union(found)
-        reached, open_buckets = _open(buckets, links)
-        if open_buckets == 0:
+        joined = components(links)
+        reached = _open(buckets, joined)
+        if reached.isEmpty():
             break
-    else:
-        found = compared.confirmed(_block_pairs(reached, classes, tried, percent / 100, kind))
-        links = links.union(found)
+    if not reached.isEmpty():
+        found = stored(compared.across(reached), "links")
+        if not found.isEmpty():
+            joined = components(links.union(found))
 
-    joined = components(links)
     by_class = classes.join(joined, classes["node"] == joined["node"], "left").select(
         "class", F.coalesce("component", classes["node"]).alias("component_id")
     )
@@ -340,31 +433,10 @@ def near_duplicates(
     )
 
 
-def _open(buckets: DataFrame, links: DataFrame) -> tuple[DataFrame, int]:
-    """Members of the buckets that still hold several components, and how many such buckets there are."""
-    joined = components(links)
+def _open(buckets: DataFrame, joined: DataFrame) -> DataFrame:
+    """Members of the buckets that still hold several components."""
     members = buckets.join(joined, "node", "left").select(
-        "bucket", "node", F.coalesce("component", "node").alias("component")
+        "bucket", "band", "node", F.coalesce("component", "node").alias("component")
     )
     several = members.groupBy("bucket").agg(F.min("component").alias("l"), F.max("component").alias("g")).filter("l <> g")
-    reached = stored(members.join(several.select("bucket"), "bucket"), "open")
-    return reached, reached.select("bucket").distinct().count()
-
-
-def _block_pairs(reached: DataFrame, classes: DataFrame, tried: DataFrame, threshold: float, kind: str) -> DataFrame:
-    """Close pairs between components of a bucket: each pair of its blocks is a group of its own."""
-    sizes = reached.groupBy("bucket").agg(F.ceil(F.count("*") / BLOCK).alias("blocks"))
-    rows = reached.join(sizes, "bucket").withColumn("block", F.expr("pmod(xxhash64(node), blocks)"))
-    rows = rows.withColumn(
-        "pair",
-        F.explode(
-            F.expr(
-                "transform(sequence(0L, blocks - 1), x -> shiftleft(least(x, block), 20) + greatest(x, block))"
-            )
-        ),
-    )
-    rows = rows.join(classes.select("node", "n_shingles", "registers"), "node")
-    pairs = rows.select("bucket", "pair", "block", "node", "component", "n_shingles", "registers").groupBy("bucket", "pair")
-    return (
-        pairs.applyInPandas(_across(threshold), f"a {kind}, b {kind}").distinct().join(tried, ["a", "b"], "left_anti")
-    )
+    return stored(members.join(several.select("bucket"), "bucket"), "open")

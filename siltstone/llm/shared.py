@@ -23,6 +23,17 @@ def stored(frame: DataFrame, name: str) -> DataFrame:
     return spark.read.schema(frame.schema).parquet(path)
 
 
+_ROWS = "spark.sql.execution.arrow.maxRecordsPerBatch"
+_DEFAULT_ROWS, _FEW_ROWS = "10000", "1000"
+
+
 def ship(spark: SparkSession) -> None:
-    """Lets Python workers started from now on import this package from where the driver has it."""
+    """Readies a session for the Python tasks of this package.
+
+    Workers started from now on import it from where the driver has it. Rows
+    here hold whole texts, so Arrow batches get fewer rows than Spark's
+    default, unless the session has a number of its own.
+    """
     spark.sparkContext.environment.setdefault("PYTHONPATH", ROOT)
+    if spark.conf.get(_ROWS, _DEFAULT_ROWS) == _DEFAULT_ROWS:
+        spark.conf.set(_ROWS, _FEW_ROWS)

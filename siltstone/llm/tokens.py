@@ -19,7 +19,7 @@ import pyarrow.compute as pc
 from siltstone.llm.textbytes import expanded
 
 #: Words, and runs of letters, kept from slice to slice; about 150 bytes each.
-KEPT_WORDS = 300_000
+KEPT_WORDS = 150_000
 
 # One run of letters, perhaps with a comma or full stop: the library's pre-tokens are those two parts.
 # The letters are of Latin-1, composed already, with lower case one to one.

@@ -34,6 +34,9 @@ THRESHOLD = 0.7
 SMOOTHING = 0.5
 PENALTY = 0.5
 STEPS = 400
+#: Bytes of text that are scored together, and of which all n-grams are counted together.
+SCORED_BYTES = 3 << 20
+COUNTED_BYTES = 1 << 19
 
 _U = np.uint64
 
@@ -129,7 +132,7 @@ def training_sample(documents: DataFrame, labels: DataFrame, label: str, sample:
 def _presences(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """How many toxic and clean documents of a slice have each n-gram."""
     for batch in batches:
-        for part in text_slices(batch, "text"):
+        for part in text_slices(batch, "text", COUNTED_BYTES):
             label = part.column("label").to_numpy(zero_copy_only=False) > 0
             document, gram = document_grams(part.column("text"))
             hashes, number = np.unique(gram, return_inverse=True)
@@ -208,7 +211,7 @@ def _scores(model: Classifier):
     def task(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         features = Features(model.hashes)
         for batch in batches:
-            for part in text_slices(batch, "text", 8 << 20):
+            for part in text_slices(batch, "text", SCORED_BYTES):
                 score = model.scores(part.column("text"), features)
                 columns = [
                     *(part.column(c) for c in ("doc_id", "held_out")), pa.array(score),
@@ -244,7 +247,7 @@ def reject_toxic(
     def task(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         features = Features(model.hashes)
         for batch in batches:
-            for part in text_slices(batch, "text", 8 << 20):
+            for part in text_slices(batch, "text", SCORED_BYTES):
                 yield part.filter(pa.array(model.scores(part.column("text"), features) < threshold))
 
     return documents.mapInArrow(task, documents.schema)
