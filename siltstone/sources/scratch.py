@@ -17,7 +17,7 @@ def shared_folder(spark: SparkSession) -> str:
     A session without that setting uses a folder in its warehouse, which every
     executor has to reach as well. No machine-local folder is ever used.
     """
-    folder = spark.conf.get("spark.checkpoint.dir", "") or f"{spark.conf.get('spark.sql.warehouse.dir')}/_scratch"
+    folder = spark.conf.get("spark.checkpoint.dir", "") or f"{spark.conf.get('spark.sql.warehouse.dir')}/scratch"
     return folder.rstrip("/")
 
 

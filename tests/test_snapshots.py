@@ -319,5 +319,5 @@ def test_the_warehouse_stands_in_for_a_missing_setting():
         def get(self, key, default=None):
             return self.settings.get(key.removeprefix("spark.").replace(".", "_"), default)
 
-    assert scratch.shared_folder(Session(sql_warehouse_dir="hdfs:/w")) == "hdfs:/w/_scratch"
+    assert scratch.shared_folder(Session(sql_warehouse_dir="hdfs:/w")) == "hdfs:/w/scratch"
     assert scratch.shared_folder(Session(sql_warehouse_dir="hdfs:/w", checkpoint_dir="hdfs:/c/")) == "hdfs:/c"
