@@ -33,7 +33,9 @@ _ASSIGN = re.compile(
 _ACCESS = re.compile(r"AKIA[A-Z0-9]{16,}")
 _HEX = re.compile(r"[0-9a-f]{24,}")
 _TOKEN = re.compile(r"(?<![A-Za-z0-9_.-])[A-Za-z0-9_-]{8,}\.[A-Za-z0-9_-]{4,}\.[A-Za-z0-9_-]+")
-_ENCODED = re.compile(r"[A-Za-z0-9+/]{40,}={0,2}|[A-Za-z0-9_-]{40,}={0,2}|[0-9A-F]{40,}")
+# One class for both alphabets of base64, so that no run is cut at the first character of the other one.
+_ENCODED = re.compile(r"[A-Za-z0-9+/_-]{40,}={0,2}")
+_ALPHABETS = (re.compile(r"[A-Za-z0-9+/]{40,}={0,2}"), re.compile(r"[A-Za-z0-9_-]{40,}={0,2}"))
 _ARMOUR = re.compile(r"-----BEGIN ([A-Z0-9 ]*)KEY-----([A-Za-z0-9+/=\s]+?)-----END \1KEY-----")
 
 # What a text must hold for its kind to be looked for; whole texts are tested, in one pass each.
@@ -140,6 +142,18 @@ def is_signed_token(text: str) -> bool:
     return all(isinstance(p, dict) for p in parts) and isinstance(parts[0].get("alg"), str)
 
 
+def _key_spans(text: str) -> list[tuple[int, int]]:
+    """Encoded keys: a run as a whole, else those of its stretches in one alphabet."""
+    found = []
+    for run in _ENCODED.finditer(text):
+        if decodes_to_key(run[0]):
+            found.append(run.span())
+            continue
+        parts = {m.span() for alphabet in _ALPHABETS for m in alphabet.finditer(text, *run.span())} - {run.span()}
+        found += sorted((begin, end) for begin, end in parts if decodes_to_key(text[begin:end]))
+    return found
+
+
 def _spans(kind: str, text: str) -> list[tuple[int, int]]:
     if kind == "assign":
         return [m.span() for m in _ASSIGN.finditer(text) if len(m[2]) >= 6]
@@ -150,7 +164,7 @@ def _spans(kind: str, text: str) -> list[tuple[int, int]]:
     if kind == "token":
         return [m.span() for m in _TOKEN.finditer(text) if is_signed_token(m[0])]
     if kind == "key":
-        return [m.span() for m in _ENCODED.finditer(text) if decodes_to_key(m[0])]
+        return _key_spans(text)
     return [m.span() for m in _ARMOUR.finditer(text) if is_key(_from_base64("".join(m[2].split())) or b"")]
 
 

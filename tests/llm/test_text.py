@@ -232,6 +232,31 @@ def test_secret_report(documents):
     assert secrets.secret_report(documents([])).collect() == []
 
 
+def test_url_safe_keys_are_found_whole(documents):
+    """A first '-' or '_' behind character 40 must not end a key, nor must what stands beside it hide it."""
+    rng = random.Random(3)
+    rows, expected = [], {}
+    while len(rows) < 60:
+        key = _der(0x30, _der(2, b"\0") + _der(0x30, _der(6, b"\x2a\x86")) + _der(4, rng.randbytes(rng.randint(130, 900))))
+        text = base64.urlsafe_b64encode(key).decode()
+        first = min((text.find(c) for c in "-_" if c in text), default=0)
+        if first <= 40:
+            continue
+        before, after = [("k ", " x"), ("/path/", ""), ("", "/x"), ("é", "+")][len(rows) % 4]
+        expected[len(rows)] = (len(before), len(before) + len(text))
+        rows.append((len(rows), before + text + after))
+    plain = base64.b64encode(_keys()[1]).decode()
+    for before, after in (("id_", ""), ("", "-x"), ("a-", "_b")):
+        expected[len(rows)] = (len(before), len(before) + len(plain))
+        rows.append((len(rows), before + plain + after))
+    for r in secrets.secret_report(documents(rows)).collect():
+        begin, end = expected[r.doc_id]
+        assert (r.n_key, f"key:{begin}:{end}" in r.spans.split(",")) == (1, True)
+    for r in secrets.mask_secrets(documents(rows)).collect():
+        begin, end = expected[r.doc_id]
+        assert r.text == rows[r.doc_id][1][:begin] + "[secret]" + rows[r.doc_id][1][end:]
+
+
 def test_masking_replaces_secrets_alone(documents):
     rows = [(1, "a token = abcdefgh b"), (2, None), (3, "clean"), (None, "AKIA" + "B" * 16)]
     masked = secrets.mask_secrets(documents(rows))
