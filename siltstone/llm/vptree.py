@@ -39,11 +39,13 @@ def distances(rows: np.ndarray, query: np.ndarray) -> np.ndarray:
 
 
 def _few_copies(ids: np.ndarray, rows: np.ndarray, most: int) -> np.ndarray:
-    """Indexes of the rows without all but the ``most`` smallest ids of each vector."""
+    """Indexes of the rows without all but the ``most`` smallest ids of each vector, each id once."""
     # Adding zero makes one of both signs of it.
     keys = np.ascontiguousarray(rows + 0.0).view(np.dtype((np.void, rows.dtype.itemsize * rows.shape[1]))).ravel()
     vector = np.unique(keys, return_inverse=True)[1].ravel()
     order = np.lexsort((ids, vector))
+    repeated = (vector[order][1:] == vector[order][:-1]) & (ids[order][1:] == ids[order][:-1])
+    order = order[np.append(True, ~repeated)]
     same = vector[order]
     heads = np.flatnonzero(np.append(True, same[1:] != same[:-1]))
     number = np.arange(len(same)) - np.repeat(heads, np.diff(np.append(heads, len(same))))
@@ -53,7 +55,7 @@ def _few_copies(ids: np.ndarray, rows: np.ndarray, most: int) -> np.ndarray:
 class Tree:
     """A vantage-point tree over rows, as nested tuples over index ranges of one permutation.
 
-    Of copies of one vector only the ``copies`` smallest ids are kept. With
+    Rows that repeat an id with one vector count once, so they take one place. Of copies of one vector only the ``copies`` smallest ids are kept. With
     one more than the neighbours asked for, no other copy can be among them.
     """
 
@@ -146,6 +148,10 @@ class Tree:
         far = np.concatenate([np.sqrt(total), best[place].ravel()])
         name = np.concatenate([self.ids[rows][r], names[place].ravel()])
         order = np.lexsort((name, far, group))
+        # An id found at one distance by several of its vectors is one neighbour and takes one place.
+        last, then = order[:-1], order[1:]
+        repeated = (group[then] == group[last]) & (name[then] == name[last]) & (far[then] == far[last]) & np.isfinite(far[then])
+        order = order[np.append(True, ~repeated)]
         heads = np.searchsorted(group[order], np.arange(len(changed)))
         first = order[heads[:, None] + np.arange(k)]
         best[place], names[place] = far[first], name[first]
@@ -201,7 +207,7 @@ def nearest(
     own id. Rows without an id take no part, nor do vectors that are null,
     empty, zero or hold null or non-finite components. Where lengths differ, a
     query is compared with vectors of its own length. Rows that repeat an id
-    with one vector count once. An empty table gives no rows. Other columns
+    with one vector count once, as do vectors of one id at one distance. An empty table gives no rows. Other columns
     are not read.
     """
     chosen = vectors.select(

@@ -54,6 +54,20 @@ def test_vectors_that_take_no_part(spark):
     assert vptree.nearest(empty).collect() == []
 
 
+@pytest.mark.parametrize("shard_rows", [400, 40])
+def test_repeated_rows_take_one_place(spark, shard_rows):
+    """Near rows of one id, with one vector or several at one distance, among more than ten candidates."""
+    rows = [(0, [1.0, 0.0])] + [(i, [1.0 + i, 0.0]) for i in range(1, 40)]
+    rows += [(1, [2.0, 0.0])] * 15 + [(i, [2.0, 0.0]) for i in range(50, 53)] + [(2, [1.0, 2.0]), (2, [1.0, -2.0]), (2, [3.0, -0.0])]
+    rows += [(100, [30.0, 0.0])] * 2 + [(100, [5.0, 5.0]), (53, [30.0, 0.0]), (53, [30.0, 0.0])]
+    found = vptree.nearest(spark.createDataFrame(rows, "vec_id long, embedding array<double>"), shard_rows=shard_rows).collect()
+    for query in (0, 100):
+        pairs = {(float(np.hypot(*np.subtract(v, w))), i) for q, v in rows if q == query for i, w in rows if i != query}
+        own = sorted((r.rank, r.vec_id, r.score) for r in found if r.query_id == query)
+        assert [i for _, i, _ in own] == [i for _, i in sorted(pairs)[:10]]
+        assert np.allclose([far for *_, far in own], [far for far, _ in sorted(pairs)[:10]])
+
+
 MESSAGES = [
     (1, 0, "user", "Hello there\nsecond line"),
     (1, 1, "assistant", "On Monday X wrote:\n> Hello there\n> second line\n\nMy answer"),
