@@ -4,6 +4,7 @@ from datetime import UTC, datetime, timedelta
 import pytest
 from pyspark.sql import functions as F
 
+from siltstone.catalog import versions
 from siltstone.operators.merge import MergeConflict
 from siltstone.sources import ledger, scratch, snapshots, tables
 
@@ -148,6 +149,22 @@ def test_compaction_only_where_it_helps(spark, tmp_path):
     assert {r.version: r["count"] for r in counts} == {0: 36, 1: 3, 2: 3}
 
 
+@pytest.mark.parametrize(("small_bytes", "advisory"), [(10, "64m"), (snapshots.SMALL_FILE_BYTES, "16k")])
+def test_compaction_queries_hold_for_any_size(spark, monkeypatch, small_bytes, advisory):
+    """Large tables stood for by a limit below their files, and by files cut to a size below a status."""
+    monkeypatch.setattr(snapshots.compact, "__defaults__", (small_bytes, snapshots.SMALL_FILES, None))
+    name = "spark.sql.adaptive.advisoryPartitionSizeInBytes"
+    spark.conf.set(name, advisory)
+    try:
+        counted = versions.file_inventory(spark, "/root/testdata/sf0.01").collect()
+        n = spark.read.parquet("/root/testdata/sf0.01/orders.parquet").count()
+        assert sorted(map(tuple, counted)) == [(0, n, True, True), (1, n, True, True)]
+        path = versions._scattered_orders(spark, "/root/testdata/sf0.01")
+        assert snapshots.current_commit(spark, path)["operation"] == "OPTIMIZE"
+    finally:
+        spark.conf.unset(name)
+
+
 def test_a_clustered_write_is_not_compacted(spark, tmp_path):
     """Not even when a hot partition value came out as several files."""
     path = str(tmp_path / "t")
