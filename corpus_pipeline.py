@@ -25,14 +25,17 @@ def toxicity_filter(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFr
 
 
 def exact_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Of documents with the same text the one with the largest id stays, and of its repeated rows one."""
+    """Of documents with the same text the one with the largest id stays, and of its repeated rows one.
+
+    Different texts under one id are different documents, and all of them stay.
+    """
     ship(spark)
     found = exact.exact_duplicates(docs).filter("kept OR doc_id IS NULL")
     kept = found.select(F.col("doc_id").alias("_id"), F.col("text_sha256").alias("_sha")).distinct()
     same = F.col("_id").eqNullSafe(F.col("doc_id")) & (F.col("_sha") == F.sha2(F.coalesce("text", F.lit("")), 256))
     once = docs.join(kept, same, "left_semi")
-    named = once.filter("doc_id IS NOT NULL").dropDuplicates(["doc_id"])
-    return named.union(once.filter("doc_id IS NULL"))
+    named = once.filter("doc_id IS NOT NULL").withColumn("_sha", F.sha2(F.coalesce("text", F.lit("")), 256))
+    return named.dropDuplicates(["doc_id", "_sha"]).drop("_sha").union(once.filter("doc_id IS NULL"))
 
 
 def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

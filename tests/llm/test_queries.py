@@ -63,3 +63,12 @@ def test_stages_return_the_columns_they_get(spark, documents):
         assert docs.columns[:2] == ["doc_id", "text"] and len(docs.columns) == 8, name
     kept = {(r.doc_id, r.text) for r in docs.collect()}
     assert kept == {(1, "a [secret] b"), (2, None), (3, "x"), (None, "x"), (4, "y")}
+
+
+def test_different_texts_of_one_id_all_stay(spark, documents):
+    rows = [(1, "a"), (1, "b"), (1, "b"), (2, "b"), (3, None), (3, "c"), (3, "c"), (3, ""), (None, "a")]
+    docs = documents(rows)
+    found = corpus_pipeline.exact_dedup(spark, docs, SF_DIR)
+    assert found.columns == docs.columns
+    kept = sorted(((r.doc_id, r.text or "") for r in found.collect()), key=str)
+    assert kept == sorted([(1, "a"), (2, "b"), (3, ""), (3, "c"), (None, "a")], key=str)
