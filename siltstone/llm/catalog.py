@@ -9,6 +9,8 @@ from pyspark.sql import DataFrame, SparkSession
 from siltstone.llm import (
     bpe,
     exact,
+    lines,
+    merkle,
     packing,
     quotes,
     secrets,
@@ -16,6 +18,7 @@ from siltstone.llm import (
     suffix_array,
     suffix_tree,
     toxicity,
+    variants,
     vptree,
 )
 from siltstone.llm.shared import ship
@@ -66,6 +69,18 @@ def op10_minhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return setsketch.near_duplicates(_table(spark, sf_dir, "documents"))
 
 
+def op11_merkle_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return merkle.merkle_manifest(_table(spark, sf_dir, "documents"))
+
+
+def op12_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return lines.line_report(_table(spark, sf_dir, "documents"))
+
+
+def op13_spelling_variants(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return variants.spelling_variants(_table(spark, sf_dir, "documents"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     query.__name__: query for query in (
         op1_toxicity,
@@ -78,6 +93,9 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
         op8_quotation_linking,
         op9_substring_dedup,
         op10_minhash_near_dedup,
+        op11_merkle_manifest,
+        op12_line_dedup,
+        op13_spelling_variants,
     )
 }
 
