@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from siltstone.catalog.inputs import (
@@ -61,6 +61,35 @@ def indented_array_load(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+NOTED_SCHEMA = "key bigint, customer struct<id: bigint>, note string, tags array<string>"
+
+
+def _noted_orders(spark: SparkSession, sf_dir: str) -> str:
+    """Orders as four JSON arrays: on one line and indented by turns, lists last, brackets and escapes in strings."""
+    path = scratch_path(spark, "arrays")
+    note = F.concat(F.lit('a } b ] "c" { \\ [ '), "o_orderstatus")
+    tags = F.array("o_orderstatus", F.lit("}, {"), F.lit('\\"'))
+    record = F.struct(
+        F.col("o_orderkey").alias("key"), F.struct(F.col("o_custkey").alias("id")).alias("customer"),
+        note.alias("note"), tags.alias("tags"),
+    )
+    text = F.when(F.col("o_orderkey") % 3 == 0, F.to_json(record, {"pretty": "true"})).otherwise(F.to_json(record))
+    ordered = Window.partitionBy("chunk").orderBy("o_orderkey")
+    before = F.when(F.lag("o_orderkey").over(ordered).isNull(), "[").otherwise(",")
+    after = F.when(F.lead("o_orderkey").over(ordered).isNull(), "]").otherwise("")
+    orders = table(spark, sf_dir, "orders").withColumn("chunk", F.col("o_orderkey") % 4)
+    # No line breaks but those of indented records: each file is one array on a few very long lines.
+    orders.select(F.concat(before, text, after).alias("value"), "chunk").write.option("lineSep", " ").partitionBy("chunk").text(path)
+    return path
+
+
+def array_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Records of arrays of mixed layout, cut by their nesting."""
+    return landing.read_array(spark, _noted_orders(spark, sf_dir), NOTED_SCHEMA).select(
+        "key", F.col("customer.id").alias("customer_id"), "note", F.array_join("tags", "|").alias("tags")
+    )
+
+
 def malformed_load(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Events as JSON lines of which some are cut off: left out, counted, and within the limit."""
     landed, path = scratch_path(spark, "broken"), scratch_path(spark, "raw")
@@ -135,6 +164,7 @@ QUERIES = {
     "json_landing_scan": json_landing_scan,
     "indented_array_scan": indented_array_scan,
     "indented_array_load": indented_array_load,
+    "array_scan": array_scan,
     "malformed_load": malformed_load,
     "parquet_scan": parquet_scan,
     "bronze_enrich": bronze_enrich,
@@ -158,6 +188,9 @@ ORACLES = {
     "indented_array_scan": _ARRAY,
     "indented_array_load": f"""
         SELECT *, 2025::INTEGER AS year, count(*) OVER () AS n_loaded FROM ({_ARRAY})""",
+    "array_scan": r"""
+        SELECT o_orderkey AS key, o_custkey AS customer_id, 'a } b ] "c" { \ [ ' || o_orderstatus AS note,
+               o_orderstatus || '|}, {|\"' AS tags FROM orders""",
     "malformed_load": """
         SELECT event_id, event_type,
                (SELECT count(*) FROM events WHERE event_type = 'error')::INTEGER AS n_left_out

@@ -7,7 +7,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from siltstone.catalog.inputs import table
-from siltstone.operators import merge
+from siltstone.operators import merge, ranges
 
 TURN = "1998-01-01"
 
@@ -89,6 +89,39 @@ def merge_with_condition(spark: SparkSession, sf_dir: str) -> DataFrame:
     return merge.merge(orders, lines, pair, delete_unmatched=False, condition="source.price < target.price")
 
 
+def merge_small_delta(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The dearest orders, one more for each, into all of them; the others are not shuffled."""
+    orders = _orders(spark, sf_dir)
+    raised = orders.filter("price > 400000").withColumn("price", F.col("price") + 1)
+    new = raised.withColumn("order_key", -F.col("order_key"))
+    return merge.merge_delta(orders, raised.unionByName(new), ["order_key"])
+
+
+def _dated(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return table(spark, sf_dir, "orders").select(
+        F.col("o_orderkey").alias("order_key"), F.col("o_orderdate").alias("ordered"), F.col("o_totalprice").alias("price")
+    )
+
+
+def merge_date_ranges(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Orders of every other quarter take the number, last date and top price of their quarter; each range is of
+    many weekly bins, and a range a year on, which no order falls into, is inserted."""
+    orders = _dated(spark, sf_dir)
+    quarter = (F.year("ordered") * 4 + F.quarter("ordered")).cast("long")
+    quarters = orders.groupBy(quarter.alias("order_key")).agg(
+        F.min("ordered").alias("starts"), F.max("ordered").alias("ordered"), F.max("price").alias("price")
+    )
+    even = quarters.filter("order_key % 2 = 0").withColumn("ends", F.col("ordered"))
+    year = F.expr("INTERVAL 1 YEAR")
+    late = orders.agg(
+        F.lit(-1).cast("long").alias("order_key"), (F.max("ordered") + year).alias("starts"), (F.max("ordered") + year).alias("ordered"),
+        F.lit(0.0).alias("price"), (F.max("ordered") + year + year).alias("ends"),
+    )
+    return ranges.merge_ranges(
+        orders, even.unionByName(late), "ordered", ("starts", "ends"), width=7, delete_unmatched=False
+    )
+
+
 QUERIES = {
     "merge_sync": merge_sync,
     "merge_upsert": merge_upsert,
@@ -98,6 +131,8 @@ QUERIES = {
     "merge_key_pairs": merge_key_pairs,
     "merge_with_condition": merge_with_condition,
     "merge_cardinality_conflicts": merge_cardinality_conflicts,
+    "merge_small_delta": merge_small_delta,
+    "merge_date_ranges": merge_date_ranges,
 }
 
 _GROUPED = """
@@ -151,4 +186,18 @@ ORACLES = {
         SELECT l_orderkey AS order_key, count(*) AS copies FROM lineitem
         WHERE l_orderkey IN (SELECT o_orderkey FROM orders)
         GROUP BY l_orderkey HAVING count(*) > 1""",
+    "merge_small_delta": """
+        SELECT o_orderkey AS order_key, o_totalprice + CASE WHEN o_totalprice > 400000 THEN 1 ELSE 0 END AS price
+        FROM orders
+        UNION ALL
+        SELECT -o_orderkey, o_totalprice + 1 FROM orders WHERE o_totalprice > 400000""",
+    "merge_date_ranges": """
+        WITH dated AS (SELECT *, year(o_orderdate) * 4 + quarter(o_orderdate) AS q FROM orders),
+        quarters AS (
+            SELECT q, max(o_orderdate) AS last, max(o_totalprice) AS price FROM dated WHERE q % 2 = 0 GROUP BY q)
+        SELECT coalesce(quarters.q, o_orderkey)::BIGINT AS order_key, coalesce(last, o_orderdate) AS ordered,
+               coalesce(price, o_totalprice) AS price
+        FROM dated LEFT JOIN quarters ON dated.q = quarters.q
+        UNION ALL
+        SELECT -1, max(o_orderdate) + INTERVAL 1 YEAR, 0.0 FROM orders""",
 }

@@ -99,6 +99,19 @@ def write_or_upsert(spark: SparkSession, sf_dir: str) -> DataFrame:
     return snapshots.read_snapshot(spark, path)
 
 
+def write_or_merge_where(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Suppliers with twice their balance: taken where that is more than is stored, and inserted where it is less."""
+    path = scratch_path(spark, "conditional")
+    suppliers = table(spark, sf_dir, "supplier")
+    later = suppliers.withColumn("s_acctbal", F.col("s_acctbal") * 2).withColumnRenamed("s_suppkey", "key")
+    pair, condition = [("s_suppkey", "key")], "source.s_acctbal > target.s_acctbal"
+    snapshots.write_snapshot(suppliers, path, ["s_nationkey"], at=MONDAY)
+    snapshots.write_or_merge(later, path, pair, delete_unmatched=False, condition=condition, at=TUESDAY)
+    rows = snapshots.read_snapshot(spark, path)
+    recorded = snapshots.current_commit(spark, path)["parameters"]["condition"]
+    return rows.withColumn("condition", F.lit(recorded))
+
+
 def _scattered_orders(spark: SparkSession, sf_dir: str) -> str:
     """Orders written by many tasks, each with a file for every status, and
     then compacted."""
@@ -170,6 +183,7 @@ QUERIES = {
     "detect_format_scan": detect_format_scan,
     "write_or_merge": write_or_merge,
     "write_or_upsert": write_or_upsert,
+    "write_or_merge_where": write_or_merge_where,
     "compact": compact,
     "file_inventory": file_inventory,
     "history_view": history_view,
@@ -199,6 +213,13 @@ ORACLES = {
         UNION ALL
         SELECT l_orderkey, l_extendedprice FROM lineitem
         WHERE l_orderkey NOT IN (SELECT o_orderkey FROM later)""",
+    "write_or_merge_where": """
+        SELECT s_suppkey, s_name, s_nationkey, CASE WHEN s_acctbal > 0 THEN s_acctbal * 2 ELSE s_acctbal END AS s_acctbal,
+               'source.s_acctbal > target.s_acctbal' AS condition
+        FROM supplier
+        UNION ALL
+        SELECT s_suppkey, s_name, s_nationkey, s_acctbal * 2, 'source.s_acctbal > target.s_acctbal'
+        FROM supplier WHERE NOT s_acctbal > 0""",
     "compact": "SELECT * FROM orders",
     "file_inventory": """
         SELECT unnest([0, 1])::BIGINT AS version, count(*) AS n_rows, TRUE AS all_hold_rows,

@@ -14,22 +14,30 @@ types; a source must bring them all.
 Several source rows that match one target row are a conflict. ``merge`` fails
 on one when its result is computed; ``merge_conflicts`` lists them beforehand.
 
-A sync merge without a condition never needs the target's values, only how
-often each key repeats there, so the target is read for its key columns alone
-and counted before it shuffles.
+A merge is one pass: the sides are tagged, put together and shuffled once, by
+key, and each row is decided by what else has its key. A sync merge without a
+condition never needs the target's values, so it sends its keys alone. Rows of
+keys that are hot are dealt to many tasks, and the few rows of the other side
+are copied to all of these.
 """
 
 from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from siltstone.functions import any_null, named, quoted
 
 #: A target key with more copies than this is written out by several tasks.
 COPIES_PER_BLOCK = 100_000
+#: So many of the most frequent keys are looked at for having more copies than that.
+HOT_KEYS = 1_000
+#: Bits of the bitmap of keys: two megabytes.
+KEY_BITS = 1 << 24
+#: Source rows of a key that its target rows are compared with in place; beyond it a join does.
+CANDIDATES = 1_000
 
 Key = str | tuple[str, str]
 
@@ -101,60 +109,167 @@ def as_target(target: DataFrame, source: DataFrame) -> DataFrame:
     )
 
 
-def _same_key(keys: Sequence[str]) -> list[Column]:
-    return [named(k) == F.col(c) for k, c in zip(keys, _key_columns(keys), strict=True)]
+def hot_keys(df: DataFrame, keys: Sequence[str], least: int = COPIES_PER_BLOCK) -> DataFrame | None:
+    """Keys of more than ``least`` rows, as ``_key_0``...; ``None`` if there are none.
 
+    Only the ``HOT_KEYS`` most frequent are asked for: any other has fewer
+    than a thousandth of the rows. A job over the key columns finds them.
+    """
+    counted = _counted(df.filter(~any_null(keys)), keys, "_copies").filter(F.col("_copies") > least)
+    found = counted.orderBy(F.col("_copies").desc()).limit(HOT_KEYS).collect()
+    columns = _key_columns(keys)
+    schema = counted.select(*columns).schema
+    return df.sparkSession.createDataFrame([row[:-1] for row in found], schema) if found else None
+
+
+def _dealt(side: DataFrame, keys: Sequence[str], own: DataFrame | None, other: DataFrame | None) -> DataFrame:
+    """A side with ``_salt``: rows of its own hot keys are dealt out, those of the other's are copied to every salt.
+
+    Null keys match nothing, so each such row gets a salt for itself. The hot
+    keys are ``HOT_KEYS`` rows at most, which is what makes the broadcast safe.
+    """
+    columns = _key_columns(keys)
+    alone = " OR ".join(f"{c} IS NULL" for c in columns)
+    side = side.withColumn("_row", F.monotonically_increasing_id()).withColumn("_alone", F.expr(alone))
+    for hot, flag in ((own, "_hot"), (other, "_met")):
+        if hot is None:
+            side = side.withColumn(flag, F.lit(False))
+        else:
+            marked = F.broadcast(hot.withColumn(flag, F.lit(True)))
+            side = side.join(marked, columns, "left").withColumn(flag, F.coalesce(flag, F.lit(False)))
+    # Several salts for each task, as they are dealt to tasks by hash.
+    salts = 8 * int(side.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    salt = f"CASE WHEN _alone THEN _row WHEN _hot THEN _row % {salts} ELSE 0L END"
+    if other is None:
+        return side.withColumn("_salt", F.expr(salt))
+    return side.withColumn("_salt", F.expr(f"explode(IF(_met, sequence(0L, {salts - 1}L), array({salt})))"))
+
+
+def _sides(
+    target: DataFrame, source: DataFrame, keys: Sequence[str], target_values: bool, hot: tuple[DataFrame | None, DataFrame | None]
+) -> DataFrame:
+    """Both sides in one frame, dealt by key and salt: ``_incoming`` tells them apart, ``_values`` has their row.
 
-def written_rows(
+    Without ``target_values`` the target brings its keys alone.
+    """
+    incoming = as_target(target, source)
+    values = F.struct(*[quoted(c) for c in target.columns])
+    blank = F.lit(None).cast(target.select(values.alias("v")).schema["v"].dataType)
+    held = target.select(*_keys(target, keys), F.lit(False).alias("_incoming"), (values if target_values else blank).alias("_values"))
+    given = incoming.select(*_keys(incoming, keys), F.lit(True).alias("_incoming"), values.alias("_values"))
+    of_target, of_source = hot
+    # A target row under a key that is hot in the source conflicts, so it is not sent to all salts for it.
+    met = held if of_source is None else held.join(
+        F.broadcast(of_source.withColumn("_several", F.lit(True))), _key_columns(keys), "left"
+    )
+    several = F.lit(False) if of_source is None else F.coalesce("_several", F.lit(False))
+    held = _dealt(met.withColumn("_several", several), keys, of_target, None)
+    given = _dealt(given.withColumn("_several", F.lit(False)), keys, of_source, of_target)
+    return held.unionByName(given)
+
+
+def decided(
+    target: DataFrame,
     source: DataFrame,
     keys: Sequence[str],
-    repeated: DataFrame | None,
+    delete_unmatched: bool,
     copies_per_block: int = COPIES_PER_BLOCK,
+    target_keys_unique: bool = False,
 ) -> DataFrame:
-    """The source once per target row it matches, and once if it matches none.
-
-    ``repeated`` holds the target keys found on several rows (``None`` for
-    none, and then this is the source as it is). A row with a few copies is
-    multiplied where it is. A row with very many is cut into blocks of copies,
-    the blocks are dealt out to the shuffle's tasks, and only then written out,
-    so a hot key is no task's alone. The task number is given because AQE would
-    merge these small-looking partitions again.
+    """The merged rows, and beside them ``_conflict`` (a target row that several source rows match; it has to go
+    or to fail), ``_repeats`` (its key repeats on a side) and ``_key_0``....
+
+    One pass: the sides are tagged and shuffled together once, by key, and
+    what becomes of a row is decided by who else has its key. A sync merge
+    sends only keys of the target.
     """
-    if repeated is None:
-        return source
-    # The counts come out of an aggregate by key. Behind an expression the join no longer takes them
-    # as dealt by key and shuffles both sides itself, and only such a join is split where a key is hot.
-    columns = _key_columns(keys)
-    counts = repeated.select(*[F.expr(f"IF(_copies > 0, {c}, NULL)").alias(c) for c in columns], "_copies")
-    keyless = source.filter(any_null(keys))
-    keyed = source.filter(~any_null(keys))
-    few = (
-        keyed.join(counts, _same_key(keys), "left_outer")
-        .withColumn("_copies", F.expr("coalesce(_copies, 1L)"))
-        .filter(f"_copies <= {copies_per_block}")
-        .withColumn("_copy", F.expr("explode(sequence(1L, _copies))"))
+    hot = (
+        None if target_keys_unique else hot_keys(target, keys, copies_per_block),
+        hot_keys(as_target(target, source), keys, copies_per_block),
+    )
+    sides = _sides(target, source, keys, not delete_unmatched, hot)
+    if any(h is not None for h in hot):
+        # The task number is given because AQE would merge what is dealt out here again where rows are narrow.
+        tasks = int(target.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+        sides = sides.repartition(tasks, *_key_columns(keys), "_salt")
+    alike = Window.partitionBy(*_key_columns(keys), "_salt")
+    found = sides.select(
+        "*",
+        F.count_if("_incoming").over(alike).alias("_sources"),
+        F.count_if(~F.col("_incoming")).over(alike).alias("_targets"),
+        F.first(F.when(F.col("_incoming"), F.col("_values")), ignorenulls=True).over(alike).alias("_given"),
     )
-    tasks = int(source.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    blocks = f"(_copies + {copies_per_block - 1}) DIV {copies_per_block}"
-    in_block = f"least({copies_per_block}L, _copies - (_block - 1) * {copies_per_block})"
-    many = (
-        keyed.join(counts.filter(f"_copies > {copies_per_block}"), _same_key(keys), "inner")
-        .withColumn("_block", F.expr(f"explode(sequence(1L, {blocks}))"))
-        .withColumn("_in_block", F.expr(in_block))
-        .repartition(tasks, *columns, "_block")
-        .withColumn("_copy", F.expr("explode(sequence(1L, _in_block))"))
+    matched = "NOT _incoming AND NOT _alone AND _sources > 0"
+    kept = "IF(_incoming, _alone OR (_targets = 0 AND NOT _met), " + (
+        "NOT _alone AND (_sources > 0 OR _several))" if delete_unmatched else "true)"
     )
-    kept = [quoted(c) for c in source.columns]
-    return keyless.unionByName(few.select(kept)).unionByName(many.select(kept))
+    out = found.select(
+        F.expr(f"IF({matched}, _given, _values)").alias("_out"),
+        F.expr("NOT _incoming AND NOT _alone AND (_sources > 1 OR _several)").alias("_conflict"),
+        F.expr("NOT _alone AND (_sources > 1 OR _targets > 1 OR _hot OR _met)").alias("_repeats"),
+        F.expr(kept).alias("_kept"),
+        *_key_columns(keys),
+    ).filter("_kept")
+    return out.select(*[F.col("_out")[c].alias(c) for c in target.columns], "_conflict", "_repeats", *_key_columns(keys))
 
 
-def unmatched_rows(target: DataFrame, source: DataFrame, keys: Sequence[str]) -> DataFrame:
-    """Target rows without a source row; null-key rows are among them.
+def decided_where(
+    target: DataFrame,
+    source: DataFrame,
+    keys: Sequence[Key],
+    delete_unmatched: bool,
+    condition: str,
+    copies_per_block: int = COPIES_PER_BLOCK,
+) -> DataFrame | None:
+    """``decided`` with a condition beside the keys; ``None`` where a key is hot.
 
-    Only the source's keys are joined, so Spark broadcasts them when they are
-    small by its own size check, and the target then is not shuffled.
+    The source rows of a key come to its target rows as an array, which the
+    condition filters. That is for keys of up to ``CANDIDATES`` source rows.
     """
-    return target.join(source.select(_keys(source, keys)), _same_key(keys), "left_anti")
+    pairs = [key if isinstance(key, tuple) else (key, key) for key in keys]
+    names = [t for t, _ in pairs]
+    renamed, _ = paired(source, keys)
+    incoming = as_target(target, renamed)
+    if hot_keys(target, names, copies_per_block) is not None or hot_keys(incoming, names, CANDIDATES) is not None:
+        return None
+    of_source = {t: s for t, s in pairs}
+    types = target.schema
+    written = F.struct(*[named(of_source.get(f.name, f.name)).cast(f.dataType).alias(f.name) for f in types])
+    values = F.struct(*[quoted(c) for c in target.columns])
+    candidate = F.struct(*[quoted(c) for c in source.columns], F.col("_row"), F.col("_values").alias("_written"))
+    held = target.select(*_keys(target, names), F.lit(False).alias("_incoming"), values.alias("_values")).withColumns(
+        {"_row": F.monotonically_increasing_id(), "target": F.col("_values")}
+    )
+    given = source.select(
+        *[named(s).cast(types[t].dataType).alias(c) for (t, s), c in zip(pairs, _key_columns(names), strict=True)],
+        F.lit(True).alias("_incoming"), written.alias("_values"), F.monotonically_increasing_id().alias("_row"),
+        *[quoted(c) for c in source.columns],
+    )
+    given = given.select(*_key_columns(names), "_incoming", "_values", "_row", candidate.alias("_candidate"))
+    sides = held.unionByName(given, allowMissingColumns=True)
+    alone = " OR ".join(f"{c} IS NULL" for c in _key_columns(names))
+    sides = sides.withColumn("_alone", F.expr(alone)).withColumn("_salt", F.expr("IF(_alone, _row, 0L)"))
+    alike = Window.partitionBy(*_key_columns(names), "_salt")
+    candidates = F.when(~F.col("_incoming") & ~F.col("_alone"), F.collect_list("_candidate").over(alike))
+    hits = f"coalesce(filter(_candidates, source -> ({condition})), array())"
+    met = sides.withColumn("_candidates", candidates).drop("_candidate").withColumn("_hits", F.expr(hits)).drop("_candidates", "target")
+    met = met.withColumn("_taken", F.collect_set(F.expr("get(_hits, 0)._row")).over(alike))
+    kept = "IF(_incoming, NOT array_contains(_taken, _row), " + ("size(_hits) > 0)" if delete_unmatched else "true)")
+    out = met.filter(kept).select(
+        F.expr("IF(size(_hits) > 0, get(_hits, 0)._written, _values)").alias("_out"),
+        F.expr("size(_hits) > 1").alias("_conflict"),
+        F.lit(True).alias("_repeats"),
+        *_key_columns(names),
+    )
+    return out.select(*[F.col("_out")[c].alias(c) for c in target.columns], "_conflict", "_repeats", *_key_columns(names))
+
+
+def failing(rows: DataFrame, columns: Sequence[str]) -> DataFrame:
+    """The decided rows; a conflict among them fails. It stands in a filter, which no choice of columns prunes away."""
+    keys = [c for c in rows.columns if c.startswith("_key_")]
+    message = F.concat(F.lit("several source rows match a target row: "), F.to_json(F.struct(*keys)))
+    failed = F.when(F.col("_conflict"), F.raise_error(message).cast("boolean")).otherwise(F.lit(True))
+    return rows.filter(failed).select([quoted(c) for c in columns])
 
 
 def merge(
@@ -167,20 +282,24 @@ def merge(
     condition: str | None = None,
     copies_per_block: int = COPIES_PER_BLOCK,
 ) -> DataFrame:
-    """The target after the merge, as a lazy frame.
+    """The target after the merge, as a lazy frame that reads each side once.
 
+    Hot keys are looked for when this is called, by a job over key columns.
     ``target_keys_unique=True`` states that no non-null key repeats in the
-    target; a sync merge then needs no join. ``source_keys_unique=True``
-    states the same of the source, and leaves out the check for conflicts.
+    target, and ``source_keys_unique=True`` the same of the source. With both,
+    a sync merge is the source as it is.
     """
     if condition is not None:
-        return _merge_where(target, source, keys, delete_unmatched, condition)
+        rows = decided_where(target, source, keys, delete_unmatched, condition, copies_per_block)
+        if rows is None:
+            return _merge_where(target, source, keys, delete_unmatched, condition)
+        return failing(rows, target.columns)
     renamed, names = paired(source, keys)
-    repeated = None if target_keys_unique else repeated_keys(target, names)
-    merged = merge_repeated(target, renamed, names, repeated, delete_unmatched, copies_per_block)
-    if source_keys_unique:
-        return merged
-    return _guarded(merged, merge_conflicts(target, renamed, names).select(F.to_json(F.struct("*")).alias("conflict")))
+    if delete_unmatched and target_keys_unique and source_keys_unique:
+        _key_columns(names)
+        return as_target(target, renamed)
+    rows = decided(target, renamed, names, delete_unmatched, copies_per_block, target_keys_unique)
+    return failing(rows, target.columns)
 
 
 def _guarded(merged: DataFrame, conflicts: DataFrame) -> DataFrame:
@@ -197,22 +316,6 @@ def _guarded(merged: DataFrame, conflicts: DataFrame) -> DataFrame:
     return merged.unionByName(failing.select(*empty))
 
 
-def merge_repeated(
-    target: DataFrame,
-    source: DataFrame,
-    keys: Sequence[str],
-    repeated: DataFrame | None,
-    delete_unmatched: bool = True,
-    copies_per_block: int = COPIES_PER_BLOCK,
-) -> DataFrame:
-    """``merge`` with the target's repeated keys at hand and conflicts ruled out."""
-    incoming = as_target(target, source)
-    written = written_rows(incoming, keys, repeated, copies_per_block)
-    if delete_unmatched:
-        return written
-    return unmatched_rows(target, incoming, keys).unionByName(written)
-
-
 def _merge_where(
     target: DataFrame, source: DataFrame, keys: Sequence[Key], delete_unmatched: bool, condition: str
 ) -> DataFrame:
@@ -239,6 +342,51 @@ def _merge_where(
     return _guarded(written, twice.select(F.to_json(F.struct("*")).alias("conflict")))
 
 
+def may_match(target: DataFrame, source: DataFrame, keys: Sequence[str], bits: int = KEY_BITS) -> DataFrame:
+    """The target with ``_may_match``: false where no source row can have the key, true for the others and some more.
+
+    The source's keys are hashed into a bitmap of ``bits`` bits, which is what
+    is broadcast: ``bits`` / 8 bytes, however many rows there are.
+    """
+    incoming = as_target(target, source)
+
+    def place(df: DataFrame) -> Column:
+        return F.when(~any_null(keys), F.pmod(F.xxhash64(*[named(k) for k in keys]), F.lit(bits)) + 1)
+
+    marked = incoming.select(place(incoming).alias("_place")).filter("_place IS NOT NULL")
+    bitmaps = marked.groupBy(F.bitmap_bucket_number("_place").alias("_bucket")).agg(
+        F.bitmap_construct_agg(F.bitmap_bit_position("_place")).alias("_bitmap")
+    )
+    asked = target.withColumn("_place", place(target)).withColumn("_of_bucket", F.bitmap_bucket_number("_place"))
+    met = asked.join(F.broadcast(bitmaps), F.col("_of_bucket") == F.col("_bucket"), "left")
+    bit = "CAST(bitmap_bit_position(_place) AS INT)"
+    byte = f"CAST(conv(hex(substring(_bitmap, {bit} DIV 8 + 1, 1)), 16, 10) AS INT)"
+    held = F.expr(f"coalesce(shiftright({byte}, {bit} % 8) & 1 = 1, false)").alias("_may_match")
+    return met.select(*[quoted(c) for c in target.columns], held)
+
+
+def merge_delta(
+    target: DataFrame,
+    source: DataFrame,
+    keys: Sequence[Key],
+    bits: int = KEY_BITS,
+    copies_per_block: int = COPIES_PER_BLOCK,
+) -> DataFrame:
+    """An upsert (``merge(..., delete_unmatched=False)``) of few rows into many.
+
+    Target rows that no source row can match are not shuffled: a bitmap of the
+    source's keys tells them, at the price of reading the target twice. What
+    is shuffled follows the source, and the share of its keys in ``bits``.
+    """
+    renamed, names = paired(source, keys)
+    asked = may_match(target, renamed, names, bits)
+    columns = [quoted(c) for c in target.columns]
+    touched = asked.filter("_may_match").select(columns)
+    return asked.filter("NOT _may_match").select(columns).unionByName(
+        merge(touched, renamed, names, delete_unmatched=False, copies_per_block=copies_per_block)
+    )
+
+
 def merge_actions(target: DataFrame, source: DataFrame, keys: Sequence[Key]) -> DataFrame:
     """Rows per action of a sync merge: ``(action, n_rows)``, three rows.
 
@@ -271,20 +419,22 @@ def update_kinds(
     ``(kind, n_rows)`` with the kinds ``changed`` and ``same``. A matched
     target row is counted once; where source rows conflict over it, it fails.
     """
-    incoming = as_target(target, source)
     compared = [c for c in target.columns if c not in {*ignore, *keys}]
-
-    def cells(df: DataFrame, prefix: str) -> DataFrame:
-        values = [named(c).alias(f"{prefix}_{i}") for i, c in enumerate(compared)]
-        return df.select(*_keys(df, keys), *values)
-
+    hot = (hot_keys(target, keys), hot_keys(as_target(target, source), keys))
+    alike = Window.partitionBy(*_key_columns(keys), "_salt")
+    found = _sides(target, source, keys, True, hot).select(
+        *_key_columns(keys), "_incoming", "_alone", "_several", "_values",
+        F.count_if("_incoming").over(alike).alias("_sources"),
+        F.first(F.when(F.col("_incoming"), F.col("_values")), ignorenulls=True).over(alike).alias("_given"),
+    )
     same = F.lit(True)
-    for i in range(len(compared)):
-        same = same & F.col(f"_target_{i}").eqNullSafe(F.col(f"_source_{i}"))
-    conflicts = merge_conflicts(target, incoming, keys).select(F.to_json(F.struct("*")).alias("conflict"))
-    matched = cells(target, "_target").join(cells(incoming, "_source"), _key_columns(keys), "inner")
+    for c in compared:
+        same = same & F.col("_values")[c].eqNullSafe(F.col("_given")[c])
+    matched = found.filter("NOT _incoming AND NOT _alone AND (_sources > 0 OR _several)").select(
+        same.alias("same"), F.expr("_sources > 1 OR _several").alias("_conflict"), *_key_columns(keys)
+    )
     return (
-        _guarded(matched, conflicts)
-        .agg(F.count_if(~same).alias("changed"), F.count_if(same).alias("same"))
+        failing(matched, ["same"])
+        .agg(F.count_if(~F.col("same")).alias("changed"), F.count_if("same").alias("same"))
         .unpivot([], ["changed", "same"], "kind", "n_rows")
     )

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql.types import ArrayType, BooleanType, StringType, StructField, StructType
 
@@ -56,9 +56,10 @@ def read_indented_array(
     """
     close = "\n" + " " * indent + "}"
     chunks = spark.read.option("lineSep", close).text(path)
-    # A file's last chunk brings the array's own end and lacks no brace.
+    # A file's last chunk brings the array's own end and lacks no brace; a record may end in a list as well.
     body = "substring(value, instr(value, '{'))"
-    open_end = f"IF(value RLIKE '\\\\]\\\\s*$', regexp_replace({body}, '\\\\]\\\\s*$', ''), concat({body}, '}}'))"
+    ends = f"value RLIKE '\\\\]\\\\s*$' AND try_parse_json(concat('[', {body}, '}}]')) IS NULL"
+    open_end = f"IF({ends}, regexp_replace({body}, '\\\\]\\\\s*$', ''), concat({body}, '}}'))"
     marked = F.concat(F.lit("["), F.expr(open_end), F.lit(f',{{"{_END}":true}}]'))
     element = StructType([*_struct(schema).fields, StructField(_END, BooleanType())])
     records = F.from_json(marked, ArrayType(element), {"mode": "FAILFAST"})
@@ -75,3 +76,114 @@ def read_indented_array(
         .select(F.inline(F.expr("slice(records, 1, size(records) - 1)")))
         .drop(_END)
     )
+
+
+def _count(column: str, mark: str) -> Column:
+    return F.length(column) - F.length(F.replace(column, F.lit(mark), F.lit("")))
+
+
+def _pieces(spark: SparkSession, path: str) -> DataFrame:
+    """The files cut behind every closing brace, with what each piece does to a scanner that comes upon it.
+
+    ``_quotes`` is odd where a piece turns the inside of strings out.
+    ``_deeper_0`` and ``_deeper_1`` are the levels it goes down, begun outside
+    a string and inside one. The brace that ends it counts where it stands
+    outside.
+    """
+    files = spark.read.option("lineSep", "}").option("recursiveFileLookup", True).text(path)
+    pieces = files.select(
+        "value", F.col("_metadata.file_path").alias("_file"), F.col("_metadata.file_block_start").alias("_block"),
+        F.monotonically_increasing_id().alias("_at"),
+    )
+    # An escape and what it escapes are never cut apart: a brace is not escaped.
+    pieces = pieces.withColumn("_bare", F.regexp_replace("value", r"\\.", ""))
+    pieces = pieces.withColumn("_quotes", _count("_bare", '"') % 2)
+    string = '"[^"]*("|$)'
+    for begun, text in ((0, F.col("_bare")), (1, F.concat(F.lit('"'), "_bare"))):
+        pieces = pieces.withColumn("_out", F.regexp_replace(text, string, ""))
+        closed = F.when(F.col("_quotes") == begun, 1).otherwise(0)
+        deeper = _count("_out", "{") + _count("_out", "[") - _count("_out", "]") - closed
+        pieces = pieces.withColumn(f"_deeper_{begun}", deeper)
+    return pieces.drop("_bare", "_out")
+
+
+def _by_state(state: Column) -> Column:
+    return F.when(state == 0, F.col("_deeper_0")).otherwise(F.col("_deeper_1"))
+
+
+def _block_states(pieces: DataFrame) -> DataFrame:
+    """For each block of a file how its scan begins: inside a string or not, and at which level.
+
+    A block is summed up for either beginning, and the sums of the blocks
+    before it are added up: a row per block is all that meets in one task.
+    """
+    block = Window.partitionBy("_file", "_block").orderBy("_at").rowsBetween(Window.unboundedPreceding, -1)
+    turned = F.coalesce(F.sum("_quotes").over(block), F.lit(0)) % 2
+    sums = pieces.withColumn("_turned", turned).groupBy("_file", "_block").agg(
+        (F.sum("_quotes") % 2).alias("_turns"),
+        F.sum(_by_state(F.col("_turned"))).alias("_from_0"),
+        F.sum(_by_state(1 - F.col("_turned"))).alias("_from_1"),
+    )
+    before = Window.partitionBy("_file").orderBy("_block").rowsBetween(Window.unboundedPreceding, -1)
+    inside = sums.withColumn("_inside", F.coalesce(F.sum("_turns").over(before), F.lit(0)) % 2)
+    goes = F.when(F.col("_inside") == 0, F.col("_from_0")).otherwise(F.col("_from_1"))
+    return inside.withColumn("_goes", goes).select(
+        F.col("_file").alias("_of_file"), F.col("_block").alias("_of_block"), "_inside",
+        F.coalesce(F.sum("_goes").over(before), F.lit(0)).alias("_level"),
+        (F.col("_block") == F.max("_block").over(Window.partitionBy("_file"))).alias("_last_block"),
+    )
+
+
+def read_array(spark: SparkSession, path: str, schema: StructType | str) -> DataFrame:
+    """A JSON array of objects per file, of any layout, read by many tasks.
+
+    Compact on one line, indented or mixed; records may hold lists, objects,
+    escapes, and braces inside strings. Files are cut behind closing braces
+    and scanned in two passes: the first sums up what each block of a file
+    does to quotes and nesting, so that the second knows how its blocks begin
+    and cuts records where the nesting is back at the array's level. A record
+    that spans blocks is put together from its parts.
+
+    Every record is returned or the read fails: on elements that are no
+    objects, text between records, an array that does not end, a value that
+    does not fit the schema. An empty array and a blank file have no records.
+    """
+    pieces = _pieces(spark, path)
+    states = _block_states(pieces.drop("value"))
+    same = (F.col("_file") == F.col("_of_file")) & (F.col("_block") == F.col("_of_block"))
+    block = Window.partitionBy("_file", "_block").orderBy("_at")
+    upto, before = block.rowsBetween(Window.unboundedPreceding, 0), block.rowsBetween(Window.unboundedPreceding, -1)
+    known = pieces.join(states, same).drop("_of_file", "_of_block")
+    scanned = known.withColumn("_in", (F.coalesce(F.sum("_quotes").over(before), F.lit(0)) + F.col("_inside")) % 2)
+    scanned = scanned.withColumn("_depth", F.col("_level") + F.sum(_by_state(F.col("_in"))).over(upto))
+    scanned = scanned.withColumn("_last", F.col("_last_block") & F.lead("_at").over(block).isNull())
+    ends = ((F.col("_in") + F.col("_quotes")) % 2 == 0) & (F.col("_depth") == 1) & ~F.col("_last")
+    scanned = scanned.withColumn("_ends", ends)
+    scanned = scanned.withColumn("_number", F.coalesce(F.sum(F.col("_ends").cast("int")).over(before), F.lit(0)))
+    text = "array_join(array_sort(collect_list(struct(_at, value))).value, '}')"
+    parts = scanned.groupBy("_file", "_block", "_number").agg(
+        F.bool_or("_ends").alias("_ended"),
+        F.bool_or("_last").alias("_final"),
+        F.expr(f"concat({text}, IF(bool_or(_last), '', '}}'))").alias("_text"),
+    )
+    # Whole records begin behind another one's end in the same block; what else there is are two parts a block.
+    whole = "_number > 0 AND _ended"
+    of_file = Window.partitionBy("_file").orderBy("_block", "_number").rowsBetween(Window.unboundedPreceding, -1)
+    spanning = parts.filter(f"NOT ({whole})").withColumn("_record", F.coalesce(F.sum(F.col("_ended").cast("int")).over(of_file), F.lit(0)))
+    joined = spanning.groupBy("_file", "_record").agg(
+        F.expr("array_join(array_sort(collect_list(struct(_block, _number, _text)))._text, '')").alias("_text"),
+        F.bool_or("_ended").alias("_ended"),
+        F.min(F.struct("_block", "_number")).alias("_begin"),
+    )
+    first = "_begin._block = 0 AND _begin._number = 0"
+    records = parts.filter(whole).select("_text", F.lit(True).alias("_ended"), F.lit(False).alias("_first")).unionByName(
+        joined.select("_text", "_ended", F.expr(first).alias("_first"))
+    )
+    mark = F.when(F.col("_first"), F.lit("[")).otherwise(F.lit(","))
+    opened = F.regexp_extract("_text", r"^\uFEFF?\s*([\[,])\s*\{", 1) == mark
+    closed = F.col("_text").rlike(r"^\s*\]\s*$") & ~F.col("_first") | F.col("_text").rlike(r"^(\s*\[\s*\])?\s*$") & F.col("_first")
+    failed = F.raise_error(F.concat(F.lit("no array of records: "), F.substring("_text", 1, 200))).cast("boolean")
+    kept = F.when(F.col("_ended") & opened, True).when(~F.col("_ended") & closed, False).otherwise(failed)
+    body = F.expr("substring(_text, instr(_text, '{'))")
+    parsed = records.filter(kept).select(F.from_json(body, _struct(schema), {"mode": "FAILFAST"}).alias("_parsed"))
+    return parsed.select("_parsed.*")

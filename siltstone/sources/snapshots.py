@@ -21,7 +21,6 @@ import uuid
 from collections.abc import Sequence
 from datetime import UTC, datetime, timedelta
 
-from pyspark import StorageLevel
 from pyspark.sql import DataFrame, Observation, Row, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
@@ -140,6 +139,20 @@ def read_snapshot(
 # -- writing ------------------------------------------------------------------
 
 
+def _write(df: DataFrame, path: str, version: int, partition_by: Sequence[str]) -> tuple[str, int]:
+    """The rows in a folder no history row names yet: its place, and how many they are."""
+    location = f"data/{version:08d}-{uuid.uuid4().hex[:12]}"
+    written = Observation()
+    # Observed behind the last shuffle: a retried task is then counted once.
+    (
+        df.observe(written, F.count(F.lit(1)).alias("rows"))
+        .write.mode("errorifexists")
+        .partitionBy(*partition_by)
+        .parquet(f"{path}/{location}")
+    )
+    return location, written.get["rows"]
+
+
 def _commit(
     df: DataFrame,
     path: str,
@@ -150,23 +163,30 @@ def _commit(
     unique_keys: Sequence[str] | None,
     at: datetime | str | None,
 ) -> int:
-    spark = df.sparkSession
-    location = f"data/{version:08d}-{uuid.uuid4().hex[:12]}"
-    written = Observation()
-    # Observed behind the last shuffle: a retried task is then counted once.
-    (
-        df.observe(written, F.count(F.lit(1)).alias("rows"))
-        .write.mode("errorifexists")
-        .partitionBy(*partition_by)
-        .parquet(f"{path}/{location}")
-    )
+    location, n_rows = _write(df, path, version, partition_by)
+    return _record(df, path, version, operation, partition_by, parameters, unique_keys, at, location, n_rows)
+
+
+def _record(
+    df: DataFrame,
+    path: str,
+    version: int,
+    operation: str,
+    partition_by: Sequence[str],
+    parameters: dict[str, str],
+    unique_keys: Sequence[str] | None,
+    at: datetime | str | None,
+    location: str,
+    n_rows: int,
+) -> int:
+    """The history row of rows that are written; with it the version is there."""
     unique = None if unique_keys is None else json.dumps(list(unique_keys))
     entry = one_row(
-        spark,
+        df.sparkSession,
         {
             "operation": (operation, "string"),
             "parameters": (json.dumps(parameters), "string"),
-            "n_rows": (written.get["rows"], "bigint"),
+            "n_rows": (n_rows, "bigint"),
             "location": (location, "string"),
             "columns": (df.schema.json(), "string"),
             "partition_by": (json.dumps(list(partition_by)), "string"),
@@ -226,18 +246,21 @@ def merge_snapshot(
     source_keys_unique: bool = False,
     at: datetime | str | None = None,
     copies_per_block: int = merging.COPIES_PER_BLOCK,
+    condition: str | None = None,
 ) -> int:
     """Merge into the current version and commit the result as the next one.
 
-    Raises ``MergeConflict`` before anything is written when several source
-    rows match one target row. The questions that decide the plan are asked
-    first, each over key columns alone: do source keys repeat (skipped when
-    ``source_keys_unique`` states they do not), and do stored keys (skipped
-    when the history knows). The common case, unique on both sides, is a plain
-    write of the source for a sync merge.
+    Each side is read once, and whether several source rows match one target
+    row is observed while the result is written. If so, ``MergeConflict`` is
+    raised, the rows just written are removed and no history row is, so there
+    is no such version. ``condition`` stands beside the keys, as in
+    ``merge.merge``. A sync merge without one, where the history knows the
+    stored keys as unique and the source's are (which a job over its key
+    columns tells, unless ``source_keys_unique`` states it), is a plain write
+    of the source.
     """
     commit = _existing(source.sparkSession, path)
-    return _merge_into(commit, source, path, keys, delete_unmatched, source_keys_unique, at, copies_per_block)
+    return _merge_into(commit, source, path, keys, delete_unmatched, source_keys_unique, at, copies_per_block, condition)
 
 
 def _merge_into(
@@ -249,41 +272,60 @@ def _merge_into(
     source_keys_unique: bool,
     at: datetime | str | None,
     copies_per_block: int = merging.COPIES_PER_BLOCK,
+    condition: str | None = None,
 ) -> int:
-    source, keys = merging.paired(source, keys)
+    renamed, names = merging.paired(source, keys)
     target = _read_commit(source.sparkSession, path, commit)
-    source_unique = source_keys_unique or merging.repeated_keys(source, keys).isEmpty()
-    if not source_unique:
+    stored_unique = sorted(commit["unique_keys"] or []) == sorted(names)
+    version, partition_by = commit["version"] + 1, commit["partition_by"]
+    parameters = {"keys": ",".join(names), "delete_unmatched": str(delete_unmatched).lower()}
+    rows = None
+    if condition is not None:
+        parameters["condition"] = condition
+        rows = merging.decided_where(target, source, keys, delete_unmatched, condition, copies_per_block)
+    elif not (
+        delete_unmatched and stored_unique and (source_keys_unique or merging.repeated_keys(renamed, names).isEmpty())
+    ):
+        rows = merging.decided(target, renamed, names, delete_unmatched, copies_per_block, stored_unique)
+    if rows is None:
+        # Nothing to decide, or, with a condition over hot keys, a conflict fails the write itself.
+        merged = merging.as_target(target, renamed) if condition is None else merging.merge(
+            target, source, keys, delete_unmatched, condition=condition, copies_per_block=copies_per_block
+        )
+        unique = names if condition is None else None
+        return _commit(_laid_out(merged, partition_by), path, version, "MERGE", partition_by, parameters, unique, at)
+
+    verdict = Observation()
+    watched = rows.observe(
+        verdict, F.count_if("_conflict").alias("conflicts"), F.count_if("_repeats").alias("repeats")
+    ).select([quoted(c) for c in target.columns])
+    location, n_rows = _write(_laid_out(watched, partition_by), path, version, partition_by)
+    if verdict.get["conflicts"]:
+        folders.delete(source.sparkSession, f"{path}/{location}")
+        raise _conflict(rows, target, renamed, names, condition, path)
+    unique = None if verdict.get["repeats"] else names
+    return _record(target, path, version, "MERGE", partition_by, parameters, unique, at, location, n_rows)
+
+
+def _laid_out(rows: DataFrame, partition_by: Sequence[str]) -> DataFrame:
+    # Also without partition columns: what a merge leaves in each task may be a few rows.
+    return clustered(rows, partition_by) if partition_by else rows.hint("rebalance")
+
+
+def _conflict(
+    rows: DataFrame, target: DataFrame, source: DataFrame, keys: Sequence[str], condition: str | None, path: str
+) -> merging.MergeConflict:
+    """The error that names some of the keys; they are looked up again, which only a failed merge pays for."""
+    if condition is None:
         conflicts = merging.merge_conflicts(target, source, keys)
-        shown = conflicts.limit(MESSAGE_ROWS).collect()
-        if shown:
-            listed = ", ".join(str(row.asDict()) for row in shown)
-            raise merging.MergeConflict(
-                f"several source rows match a row of {path}, {conflicts.count()} keys in all: {listed}"
-            )
-
-    repeated = None
-    if sorted(commit["unique_keys"] or []) != sorted(keys):
-        # Asked whether it has rows and then joined: the stored keys are counted once for both.
-        repeated = merging.repeated_keys(target, keys).persist(StorageLevel.MEMORY_AND_DISK)
-    try:
-        several = None if repeated is None or repeated.isEmpty() else repeated
-        partition_by = commit["partition_by"]
-        merged = merging.merge_repeated(target, source, keys, several, delete_unmatched, copies_per_block)
-        return _commit(
-            # Also without partition columns: what a merge leaves in each task may be a few rows.
-            clustered(merged, partition_by) if partition_by else merged.hint("rebalance"),
-            path,
-            commit["version"] + 1,
-            "MERGE",
-            partition_by,
-            {"keys": ",".join(keys), "delete_unmatched": str(delete_unmatched).lower()},
-            keys if source_unique and several is None else None,
-            at,
-        )
-    finally:
-        if repeated is not None:
-            repeated.unpersist()
+    else:
+        found = [F.col(f"_key_{i}").alias(k) for i, k in enumerate(keys)]
+        conflicts = rows.filter("_conflict").groupBy(*found).agg(F.count(F.lit(1)).alias("rows"))
+    shown = conflicts.limit(MESSAGE_ROWS).collect()
+    listed = ", ".join(str(row.asDict()) for row in shown)
+    return merging.MergeConflict(
+        f"several source rows match a row of {path}, {conflicts.count()} keys in all: {listed}"
+    )
 
 
 def write_or_merge(
@@ -294,11 +336,12 @@ def write_or_merge(
     delete_unmatched: bool = True,
     source_keys_unique: bool = False,
     at: datetime | str | None = None,
+    condition: str | None = None,
 ) -> int:
-    """Create the table on the first run, merge into it on later ones."""
+    """Create the table on the first run, merge into it on later ones, by ``condition`` as well where one is given."""
     commit = current_commit(df.sparkSession, path)
     if commit is not None:
-        return _merge_into(commit, df, path, keys, delete_unmatched, source_keys_unique, at)
+        return _merge_into(commit, df, path, keys, delete_unmatched, source_keys_unique, at, condition=condition)
     df, keys = merging.paired(df, keys)
     return _replace(None, df, path, partition_by, keys if source_keys_unique else None, at)
 

@@ -78,31 +78,91 @@ def test_a_hot_key_is_written_in_blocks(spark):
         F.expr("IF(id % 3 = 0, 7, 1000 + id)").cast("int").alias("k"), F.lit("t").alias("v")
     )
     source = spark.createDataFrame([(7, "s"), (8, "s"), (None, "s")], SCHEMA)
-    repeated = merge.repeated_keys(target, ["k"])
-    written = merge.written_rows(source, ["k"], repeated, copies_per_block=100)
+    written = merge.merge(target, source, ["k"], copies_per_block=100)
     assert rows(written) == Counter({(7, "s"): 10_000, (8, "s"): 1, (None, "s"): 1})
     per_task = written.filter("k = 7").groupBy(F.spark_partition_id()).count().collect()
     assert len(per_task) == 8
     assert max(r["count"] for r in per_task) < 5_000
+    kept = merge.merge(target, source, ["k"], delete_unmatched=False, copies_per_block=100)
+    assert rows(kept) == rows(written) + rows(target.filter("k <> 7"))
+
+
+def test_hot_keys_on_either_side_change_nothing(spark):
+    source = spark.createDataFrame([(k, "s") for k in range(1, 8)] + [(9, "s")] * 5 + [(None, "s")], SCHEMA)
+    target = spark.createDataFrame([(k, "t") for k in range(0, 8) for _ in range(k + 1)] + [(None, "t")] * 3, SCHEMA)
+    for delete_unmatched in (True, False):
+        expected = brute_force(list(map(tuple, target.collect())), list(map(tuple, source.collect())), delete_unmatched)
+        for size in (1, 2, 3, 100):
+            assert rows(merge.merge(target, source, ["k"], delete_unmatched, copies_per_block=size)) == expected
+    twice = source.union(spark.createDataFrame([(3, "s")] * 4, SCHEMA))
+    for size in (1, 3, 100):
+        with pytest.raises(Exception, match="several source rows match a target row"):
+            merge.merge(target, twice, ["k"], copies_per_block=size).count()
 
 
-def test_blocks_cover_odd_counts(spark):
-    source = spark.createDataFrame([(k, "s") for k in range(1, 8)], SCHEMA)
-    target = spark.createDataFrame([(k, "t") for k in range(1, 8) for _ in range(k)], SCHEMA)
-    repeated = merge.repeated_keys(target, ["k"])
-    for size in (1, 2, 3, 100):
-        written = merge.written_rows(source, ["k"], repeated, copies_per_block=size)
-        assert rows(written) == Counter({(k, "s"): k for k in range(1, 8)})
+@pytest.mark.parametrize("delete_unmatched", [True, False])
+@pytest.mark.parametrize("condition", [None, "source.v > target.v"])
+def test_each_side_is_read_once(spark, tmp_path, delete_unmatched, condition):
+    target, source = frames(spark, TARGET, SOURCE)
+    for name, side in (("t", target), ("s", source)):
+        side.write.parquet(str(tmp_path / name))
+    read = [spark.read.parquet(str(tmp_path / name)) for name in ("t", "s")]
+    settings = {"spark.sql.autoBroadcastJoinThreshold": "-1"}
+    before = {key: spark.conf.get(key) for key in settings}
+    for key, value in settings.items():
+        spark.conf.set(key, value)
+    try:
+        merged = merge.merge(*read, ["k"], delete_unmatched, condition=condition)
+        plan = merged._jdf.queryExecution().executedPlan().toString()
+        assert plan.count("FileScan parquet") == 2
+        assert plan.count("Exchange hashpartitioning") == 1 and "Join" not in plan
+    finally:
+        for key, value in before.items():
+            spark.conf.set(key, value)
+
+
+def where_by_hand(target, source, delete_unmatched, met):
+    """Rows match by equal first column and ``met``; sources match at most one per target row here."""
+    result, taken = Counter(), set()
+    for t in target:
+        hits = [i for i, s in enumerate(source) if t[0] is not None and s[0] == t[0] and met(s, t)]
+        assert len(hits) < 2
+        taken.update(hits)
+        if hits:
+            result[source[hits[0]]] += 1
+        elif not delete_unmatched:
+            result[t] += 1
+    for i, s in enumerate(source):
+        if i not in taken:
+            result[s] += 1
+    return result
 
 
-def test_only_hot_keys_are_dealt_out(spark):
-    source = spark.createDataFrame([(1, "s"), (2, "s"), (3, "s")], SCHEMA)
-    target = spark.createDataFrame([(k, "t") for k in (1, 1, 2)], SCHEMA)
-    repeated = merge.repeated_keys(target, ["k"])
-    written = merge.written_rows(source, ["k"], repeated, copies_per_block=2)
-    assert rows(written) == Counter({(1, "s"): 2, (2, "s"): 1, (3, "s"): 1})
-    hot = merge.written_rows(source, ["k"], repeated, copies_per_block=1)
-    assert rows(hot) == rows(written)
+@pytest.mark.parametrize("size", [1, 1_000])
+@pytest.mark.parametrize("delete_unmatched", [True, False])
+def test_a_condition_over_repeated_keys(spark, size, delete_unmatched):
+    """Several source rows of a key, each for other target rows; with a hot key it is a join."""
+    target = [(i % 5 or None, i) for i in range(60)]
+    source = [(k, low) for k in range(1, 7) for low in (0, 25, 50)] + [(None, 1)]
+    t, s = spark.createDataFrame(target, "k int, v int"), spark.createDataFrame(source, "k int, v int")
+    condition = "target.v >= source.v AND target.v < source.v + 20"
+    merged = merge.merge(t, s, ["k"], delete_unmatched, condition=condition, copies_per_block=size)
+    assert rows(merged) == where_by_hand(target, source, delete_unmatched, lambda a, b: a[1] <= b[1] < a[1] + 20)
+
+
+def test_target_rows_without_a_source_are_not_shuffled(spark, tmp_path):
+    target = spark.range(0, 50_000, 1, 8).selectExpr("IF(id % 100 = 0, NULL, id % 40000) AS k", "'t' AS v")
+    source = spark.createDataFrame([(5, "s"), (39_999, "s"), (-1, "s"), (None, "s")], "k long, v string")
+    asked = merge.may_match(target, source, ["k"])
+    assert asked.filter("_may_match").select("k").distinct().count() < 20
+    assert {r.k for r in asked.filter("_may_match").select("k").distinct().collect()} >= {5, 39_999}
+    for bits in (8, merge.KEY_BITS):
+        merged = merge.merge_delta(target, source, ["k"], bits=bits)
+        assert rows(merged) == rows(merge.merge(target, source, ["k"], delete_unmatched=False))
+    plan = merge.merge_delta(target, source, ["k"])._jdf.queryExecution().executedPlan().toString()
+    untouched = plan[plan.index("Union") : plan.index("Filter", plan.index("Union") + 1) + 4_000]
+    assert "SortMergeJoin" not in untouched
+    assert rows(merge.merge_delta(target, source.limit(0), ["k"])) == rows(target)
 
 
 def test_unique_targets_need_no_join_to_sync(spark):
