@@ -103,66 +103,111 @@ def _encode_owned(path: str):
     return task
 
 
-class Joiner:
-    """Sets encoded pieces of one text end to end."""
-
-    def __init__(self, words: Words) -> None:
-        self.words = words
-        self.repaired = 0
-
-    def join(self, left: bytes, left_ids: np.ndarray, right: bytes, right_ids: np.ndarray) -> np.ndarray:
-        """Ids of ``left + right``, given those of either side."""
-        if not left or not right or left[-1:].isspace() or right[:1].isspace():
-            return np.concatenate([left_ids, right_ids])
-        self.repaired += 1
-        encode = self.words.encode_bytes
-        around = AROUND
+class Joined:
+    """A text's ids as its pieces are set end to end; a join looks only at the words around the cut.
+
+    The ids are a list of arrays, put together once at the end, and the bytes
+    are those of the whole text, so a join costs the same wherever it is.
+    """
+
+    def __init__(self, words: Words, data: bytes) -> None:
+        self.words, self.data = words, data
+        self.ids: list[np.ndarray] = []
+        self.stop = 0
+
+    def _end(self, n: int) -> np.ndarray:
+        """The last ``n`` ids so far, all of them if there are fewer."""
+        parts, found = [], 0
+        for part in reversed(self.ids):
+            if found >= n:
+                break
+            parts.append(part)
+            found += len(part)
+        ids = np.concatenate(parts[::-1]) if parts else np.zeros(0, "<u2")
+        return ids[max(0, len(ids) - n) :]
+
+    def _drop(self, n: int) -> None:
+        while n:
+            last = self.ids.pop()
+            if len(last) > n:
+                self.ids.append(last[: len(last) - n])
+            n = max(0, n - len(last))
+
+    def add(self, stop: int, right_ids: np.ndarray) -> None:
+        """Takes on the piece from where the last one ended to ``stop``, with its ids."""
+        data, begin = self.data, self.stop
+        self.stop = stop
+        if not begin or begin == stop or data[begin - 1 : begin].isspace() or data[begin : begin + 1].isspace():
+            self.ids.append(right_ids)
+            return
+        encode, around = self.words.encode_bytes, AROUND
         while True:
-            tail, head = _last_words(left, around), _first_words(right, around)
-            whole = len(tail) == len(left), len(head) == len(right)
-            old_tail = left_ids if whole[0] else encode(tail)
+            tail, head = _last_words(data, begin, around), _first_words(data, begin, stop, around)
+            whole = len(tail) == begin, len(head) == stop - begin
+            old_tail = self._end(sum(map(len, self.ids))) if whole[0] else encode(tail)
             old_head = right_ids if whole[1] else encode(head)
             new = encode(tail + head)
             # Beyond the two fragments at the cut, old and new must be the same.
-            far_left = 0 if whole[0] else len(encode(tail[: len(tail) - len(_last_words(tail, 1))]))
-            far_right = 0 if whole[1] else len(encode(head[len(_first_words(head, 1)) :]))
+            far_left = 0 if whole[0] else len(encode(tail[: len(tail) - len(_last_words(tail, len(tail), 1))]))
+            far_right = 0 if whole[1] else len(encode(head[len(_first_words(head, 0, len(head), 1)) :]))
             agreed = (
-                np.array_equal(left_ids[len(left_ids) - len(old_tail) :], old_tail)
+                np.array_equal(self._end(len(old_tail)), old_tail)
                 and np.array_equal(right_ids[: len(old_head)], old_head)
                 and np.array_equal(new[:far_left], old_tail[:far_left])
                 and np.array_equal(new[len(new) - far_right :], old_head[len(old_head) - far_right :])
             )
             if agreed:
-                kept = left_ids[: len(left_ids) - len(old_tail)]
-                return np.concatenate([kept, new, right_ids[len(old_head) :]])
+                self._drop(len(old_tail))
+                self.ids += [new, right_ids[len(old_head) :]]
+                return
             around *= 2
 
+    def all(self) -> np.ndarray:
+        return np.concatenate(self.ids) if self.ids else np.zeros(0, "<u2")
+
 
-def _last_words(data: bytes, n: int) -> bytes:
-    """The end of the bytes from the begin of the n-th last word; all of them if there are fewer."""
-    parts = data.rsplit(None, n)
-    # The first part is the begin of the bytes without the white space behind it.
-    return data if len(parts) <= n else data[len(parts[0]) :].lstrip()
+#: Bytes beside a cut that are looked at first for its words.
+_NEAR = 256
 
 
-def _first_words(data: bytes, n: int) -> bytes:
-    """The begin of the bytes up to the end of the n-th word; all of them if there are fewer."""
-    parts = data.split(None, n)
-    return data if len(parts) <= n else data[: len(data) - len(parts[n])].rstrip()
+def _last_words(data: bytes, stop: int, n: int) -> bytes:
+    """The end of the first ``stop`` bytes from the begin of the n-th last word; all of them if there are fewer."""
+    near = _NEAR
+    while True:
+        seen = data[max(0, stop - near) : stop]
+        parts = seen.rsplit(None, n)
+        # The first part is the begin of the bytes without the white space behind it.
+        if len(parts) > n:
+            return seen[len(parts[0]) :].lstrip()
+        if near >= stop:
+            return seen
+        near *= 4
+
+
+def _first_words(data: bytes, begin: int, stop: int, n: int) -> bytes:
+    """The bytes from ``begin`` to the end of the n-th word; up to ``stop`` if there are fewer."""
+    near = _NEAR
+    while True:
+        seen = data[begin : min(stop, begin + near)]
+        parts = seen.split(None, n)
+        if len(parts) > n:
+            return seen[: len(seen) - len(parts[n])].rstrip()
+        if near >= stop - begin:
+            return seen
+        near *= 4
 
 
 def _finish(path: str):
     def task(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         words = words_of(path)
-        joiner = Joiner(words)
         for batch in batches:
             for part in text_slices(batch, "packed", SENT_BYTES):
-                yield _finished(part, words, joiner)
+                yield _finished(part, words)
 
     return task
 
 
-def _finished(part: pa.RecordBatch, words: Words, joiner: Joiner) -> pa.RecordBatch:
+def _finished(part: pa.RecordBatch, words: Words) -> pa.RecordBatch:
     texts, shared = _raw(part), part.column("shared").to_pylist()
     own: list[str] = []
     plans = []
@@ -189,13 +234,14 @@ def _finished(part: pa.RecordBatch, words: Words, joiner: Joiner) -> pa.RecordBa
             done, at, n = ids[bounds[at] : bounds[at + 1]], at + 1, 0
         else:
             data, plan = entry
-            done, n = np.zeros(0, "<u2"), 0
-            for begin, stop, known in plan:
+            joined, n = Joined(words, data), 0
+            for _, stop, known in plan:
                 if known is None:
                     known, at = ids[bounds[at] : bounds[at + 1]], at + 1
                 else:
                     n += 1
-                done = joiner.join(data[:begin], done, data[begin:stop], known)
+                joined.add(stop, known)
+            done = joined.all()
         n_tokens.append(len(done))
         reused.append(n)
         ids_digest.append(sha256(done.astype("<u4").tobytes()).hexdigest())
@@ -219,9 +265,9 @@ def encode(
         F.col(id_column).alias("doc_id"), F.coalesce(F.col(text_column).cast("string"), F.lit("")).alias("text")
     )
     kind = chosen.schema["doc_id"].dataType.simpleString()
-    keyed = chosen.select(
-        "doc_id", F.md5(F.concat_ws("|", F.col("doc_id").cast("string"), "text")).alias("key"), "text"
-    )
+    # The id with its length in front, so that no two pairs of id and text read alike.
+    named = "coalesce(concat(octet_length(CAST(doc_id AS STRING)), ':', CAST(doc_id AS STRING)), '-')"
+    keyed = chosen.select("doc_id", F.expr(f"md5(concat({named}, '|', text))").alias("key"), "text")
     chunks = keyed.select("key", "text").mapInArrow(_chunks, "key string, begin long, stop long, digest binary")
     chunks = stored(chunks, "chunks")
     shared = chunks.groupBy("digest").agg(F.count("*").alias("n"), F.min(F.struct("key", "begin")).alias("owner"))

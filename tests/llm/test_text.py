@@ -3,6 +3,7 @@
 import base64
 import json
 import random
+import time
 import zlib
 from collections import Counter
 from hashlib import sha256
@@ -12,6 +13,7 @@ import pyarrow as pa
 import pytest
 
 from siltstone.llm import bpe, exact, packing, secrets, setsketch, tokens, toxicity
+from tests.llm.test_removal import thue_morse
 from tests.llm.brute import base_secrets, near_components
 
 ODD = [
@@ -54,13 +56,44 @@ def test_chunks_are_shared_and_joined(documents, words):
 
 
 def test_joins_widen_until_they_agree(words):
-    joiner = bpe.Joiner(words)
     text = "alpha beta gam" "ma delta,epsi" "lon zeta".replace("\n", " ")
+    whole = words.encode_bytes(text.encode()).tolist()
+    apart = 0
     for cut in range(len(text) + 1):
         left, right = text[:cut].encode(), text[cut:].encode()
-        joined = joiner.join(left, words.encode_bytes(left), right, words.encode_bytes(right))
-        assert joined.tolist() == words.encode_bytes(text.encode()).tolist()
-    assert joiner.repaired
+        joined = bpe.Joined(words, text.encode())
+        joined.add(cut, words.encode_bytes(left))
+        joined.add(len(text), words.encode_bytes(right))
+        assert joined.all().tolist() == whole
+        apart += words.encode_bytes(left).tolist() + words.encode_bytes(right).tolist() != whole
+    assert apart
+
+
+def test_joining_is_linear(words):
+    """One text of 8 MB in pieces of a kilobyte, cut anywhere."""
+    data = (b"alpha beta gamma, delta\xc3\xa9 " * 40 + b"x" * 600 + b" ") * 5_000
+    cuts = [c for c in range(1_000, len(data), 1_000) if data[c] & 0xC0 != 0x80] + [len(data)]
+    pieces = [data[a:b] for a, b in zip([0, *cuts], cuts, strict=False)]
+    ids = [words.encode_bytes(p) for p in pieces]
+    begun = time.perf_counter()
+    joined = bpe.Joined(words, data)
+    for stop, own in zip(cuts, ids, strict=True):
+        joined.add(stop, own)
+    assert time.perf_counter() - begun < 4
+    assert np.array_equal(joined.all(), words.encode_bytes(data))
+
+
+def test_ids_and_texts_that_read_alike_together(documents, words):
+    """An id that ends like the text begins, and no id where the text begins with one."""
+    rng = random.Random(3)
+    prose = " ".join("".join(rng.choice("aeinrst") for _ in range(rng.randint(1, 9))) for _ in range(2_500))
+    rows = [("a|b", prose), ("a", "b|" + prose), (None, "5|" + prose), ("5", prose), ("-", prose), (None, prose)]
+    found = {(r.doc_id, r.n_tokens, r.ids_sha256) for r in bpe.encode(documents(rows, "string")).collect()}
+    expected = set()
+    for doc, text in rows:
+        ids = words.library.encode(text, add_special_tokens=False).ids
+        expected.add((doc, len(ids), sha256(np.array(ids, "<u4").tobytes()).hexdigest()))
+    assert found == expected
 
 
 def test_packing_is_whole_and_tight(documents, words):
@@ -143,6 +176,25 @@ def test_near_duplicates(documents, monkeypatch):
     assert setsketch.near_duplicates(documents([])).collect() == []
 
 
+def test_texts_of_one_id_are_all_compared(documents):
+    """Each of the texts of an id links it, and their links hang together by the id."""
+    rng = random.Random(8)
+    a, b, c = (" ".join(f"{rng.choice('bcdfg')}{rng.choice('aeiou')}{i}" for i in range(100)) for _ in range(3))
+    rows = [(1, a), (1, b), (2, a + " x"), (3, b + " x"), (4, c), (None, a), (5, None), (5, c + " y")]
+    for order in (rows, rows[::-1]):
+        found = {(r.doc_id, r.component_id, r.kept) for r in setsketch.near_duplicates(documents(order)).collect()}
+        assert found == {
+            (1, 1, True), (2, 1, False), (3, 1, False), (4, 4, True), (None, None, True), (5, 5, True), (5, 4, False)
+        }
+
+
+def test_words_alike_in_sums_of_powers_do_not_link(documents):
+    one, other = thue_morse(2_048)
+    rows = [(i, " ".join(f"{w}{k}" for k in range(9))) for i, w in ((1, one), (2, other), (3, one))]
+    found = {r.doc_id: r.component_id for r in setsketch.near_duplicates(documents(rows)).collect()}
+    assert found == {1: 1, 2: 2, 3: 1}
+
+
 def test_near_duplicates_by_blocks_alone(documents, monkeypatch):
     """Without further leaders, blocks of two classes each have to find what is left."""
     monkeypatch.setattr(setsketch, "STAR_ROUNDS", 1)
@@ -313,3 +365,12 @@ def test_toxicity_without_labels(spark, documents):
     none = spark.createDataFrame([], "doc_id long, toxic int")
     assert [r.score for r in toxicity.toxicity(documents([(1, "a")]), none).collect()] == [0.5]
     assert toxicity.toxicity(documents([]), none).collect() == []
+
+
+def test_the_training_sample_is_bounded_by_ids(spark):
+    docs = spark.createDataFrame([(i % 10, f"text {i} of many") for i in range(500)], "doc_id long, text string")
+    labels = spark.createDataFrame([(i, i % 2) for i in range(10)], "doc_id long, toxic int")
+    taught = [i for i in range(10) if zlib.crc32(str(i).encode()) % 3 != 1]
+    assert toxicity.training_sample(docs, labels, "toxic", 2).count() == 2
+    found = toxicity.training_sample(docs, labels, "toxic", 100).collect()
+    assert sorted(int(r.text.split()[1]) % 10 for r in found) == taught
