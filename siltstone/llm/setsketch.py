@@ -357,7 +357,8 @@ def near_duplicates(
     document with the least id of a component stays. A null text, or one
     without words, has an empty set and links with nothing, so it stays; so
     does a row without an id, with a null component. Rows that repeat an id
-    are one node. An empty table gives no rows. Columns besides the two named
+    hang together, whatever their texts are; one of them with an empty set
+    stands alone. An empty table gives no rows. Columns besides the two named
     are not read.
     """
     chosen = documents.select(F.col(id_column).alias("doc_id"), F.col(text_column).cast("string").alias("text"))
@@ -371,26 +372,25 @@ def near_duplicates(
         "sketches",
     )
     named = sketches.filter("doc_id IS NOT NULL AND n_shingles > 0")
+    # A class is a node, whatever ids its documents have; ids come back in when the components are known.
     classes = stored(
         named.groupBy("class")
         .agg(F.min(F.struct("doc_id", "text_hash")).alias("first"), F.first("n_shingles").alias("n_shingles"),
              F.first("registers").alias("registers"))
-        .select("class", F.col("first.doc_id").alias("node"), F.col("first.text_hash").alias("text_hash"),
-                "n_shingles", "registers"),
+        .select("class", F.monotonically_increasing_id().alias("node"), F.col("first.doc_id").alias("doc_id"),
+                F.col("first.text_hash").alias("text_hash"), "n_shingles", "registers"),
         "classes",
     )
-    banded = classes.select("node", "registers").mapInArrow(_bands, f"bucket long, band int, node {kind}")
+    banded = classes.select("node", "registers").mapInArrow(_bands, "bucket long, band int, node long")
     shared = banded.groupBy("bucket").agg(F.count("*").alias("n")).filter("n > 1")
     buckets = stored(banded.join(shared, "bucket").select("bucket", "band", "node"), "buckets")
 
     meeting = classes.join(buckets.select("node").distinct(), "node", "left_semi")
-    texts = chosen.join(
-        meeting.select(F.col("node").alias("doc_id"), "text_hash"), ["doc_id", "text_hash"], "left_semi"
-    ).select(F.col("doc_id").alias("node"), "text")
+    texts = chosen.join(meeting.select("node", "doc_id", "text_hash"), ["doc_id", "text_hash"]).select("node", "text")
     compared = _Classes(classes, stored(texts.dropDuplicates(["node"]), "texts"), width, percent)
 
-    # Texts that share a node's id but not its words hang together through the node itself.
-    links = tried = None
+    links = stored(_of_one_id(named, classes), "same-ids")
+    tried = None
     reached = buckets.withColumn("component", F.col("node"))
     for turn in range(STAR_ROUNDS):
         order = "node" if turn == 0 else f"struct(xxhash64(node, bucket, {turn}L), node)"
@@ -410,7 +410,7 @@ def near_duplicates(
         found = compared.confirmed(compared.estimated(pairs))
         if turn and found.isEmpty():
             break
-        links = found if links is None else links.union(found)
+        links = links.union(found)
         joined = components(links)
         reached = _open(buckets, joined)
         if reached.isEmpty():
@@ -420,9 +420,9 @@ def near_duplicates(
         if not found.isEmpty():
             joined = components(links.union(found))
 
-    by_class = classes.join(joined, classes["node"] == joined["node"], "left").select(
-        "class", F.coalesce("component", classes["node"]).alias("component_id")
-    )
+    placed = classes.join(joined, "node", "left").select("class", "doc_id", F.coalesce("component", "node").alias("component"))
+    least = placed.groupBy("component").agg(F.min("doc_id").alias("component_id"))
+    by_class = placed.join(least, "component").select("class", "component_id")
     filled = sketches.select("doc_id", "class", "n_shingles").join(by_class, "class", "left")
     own = F.when(F.col("n_shingles") > 0, F.col("component_id")).otherwise(F.col("doc_id"))
     return filled.select(
@@ -433,6 +433,15 @@ def near_duplicates(
     )
 
 
+def _of_one_id(named: DataFrame, classes: DataFrame) -> DataFrame:
+    """Links between the classes of ids that have several: documents of one id hang together."""
+    several = named.groupBy("doc_id").agg(F.min("class").alias("l"), F.max("class").alias("g")).filter("l <> g")
+    held = named.join(several.select("doc_id"), "doc_id", "left_semi").join(classes.select("class", "node"), "class")
+    held = held.select("doc_id", "node").distinct()
+    first = held.groupBy("doc_id").agg(F.min("node").alias("b"))
+    return held.join(first, "doc_id").filter("node <> b").select(F.col("node").alias("a"), "b")
+
+
 def _open(buckets: DataFrame, joined: DataFrame) -> DataFrame:
     """Members of the buckets that still hold several components."""
     members = buckets.join(joined, "node", "left").select(

@@ -116,8 +116,19 @@ def window_hashes(sums: np.ndarray, width: int) -> np.ndarray:
 
 
 def word_hashes(data: np.ndarray, begins: np.ndarray, ends: np.ndarray) -> np.ndarray:
-    """A 64-bit hash of each word's bytes."""
-    return span_hashes(prefix_sums(data), begins, ends)
+    """A 64-bit hash of each word's bytes.
+
+    Each byte is scrambled together with its place in the word and these are
+    added up. Words can be of any length, and sums of powers, as above, are
+    equal for certain pairs of 1,024 bytes or more.
+    """
+    if not len(begins):
+        return np.zeros(0, _U)
+    lengths = ends - begins
+    heads = np.cumsum(lengths) - lengths
+    place = np.arange(int(lengths.sum()), dtype=np.int64) - np.repeat(heads, lengths)
+    values = mixed(data[expanded(begins, lengths)].astype(_U) + (place.astype(_U) << _U(8)) + _U(_BASE))
+    return mixed(np.add.reduceat(values, heads) + lengths.astype(_U))
 
 
 def sliding_minimum(values: np.ndarray, width: int) -> np.ndarray:

@@ -109,3 +109,17 @@ def test_subtrees_find_equal_sequences(most):
         key = tuple(words[s : s + 8])
         best[key] = min(best.get(key, 1 << 60), p)
     assert least.tolist() == [best[tuple(words[s : s + 8])] for s in starts]
+
+
+def thue_morse(length):
+    """A word of "a" and "b" and its complement; sums of powers modulo 2 ** 64 take them as equal from 1,024 on."""
+    bits = [bin(i).count("1") % 2 for i in range(length)]
+    return "".join("ab"[b] for b in bits), "".join("ba"[b] for b in bits)
+
+
+def test_long_words_alike_in_sums_of_powers_are_told_apart(documents):
+    one, other = thue_morse(2_048)
+    rows = [(i, " ".join(f"{w}{i}" for i in range(25))) for i, w in ((1, one), (2, other), (3, one))]
+    found = suffix_tree.remove_repeated_words(documents(rows), words=20).collect()
+    assert {r[0]: tuple(r)[1:] for r in found} == repeated_words(rows, 20)
+    assert {r.doc_id: r.n_removed for r in found} == {1: 0, 2: 0, 3: 25}
