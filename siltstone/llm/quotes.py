@@ -146,8 +146,12 @@ def link_quotations(
 
 
 def _step(column: str) -> str:
-    """A turn as text of one width, so that paths sort as turns do."""
-    return f"lpad(cast({column} AS string), 12, '0')"
+    """A turn as text that sorts as turns do: twelve digits, longer ones behind all of these, negative ones before."""
+    return (
+        f"CASE WHEN {column} < 0 THEN concat('-', lpad(CAST({column} & 9223372036854775807 AS STRING), 19, '0')) "
+        f"WHEN {column} < 1000000000000 THEN lpad(CAST({column} AS STRING), 12, '0') "
+        f"ELSE concat('~', lpad(CAST({column} AS STRING), 19, '0')) END"
+    )
 
 
 def _paths(replies: DataFrame) -> DataFrame:

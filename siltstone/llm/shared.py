@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import os
 from pathlib import Path
 
 from pyspark.sql import DataFrame, SparkSession
@@ -34,6 +35,9 @@ def ship(spark: SparkSession) -> None:
     here hold whole texts, so Arrow batches get fewer rows than Spark's
     default, unless the session has a number of its own.
     """
-    spark.sparkContext.environment.setdefault("PYTHONPATH", ROOT)
+    environment = spark.sparkContext.environment
+    known = environment.get("PYTHONPATH", "").split(os.pathsep)
+    if ROOT not in known:
+        environment["PYTHONPATH"] = os.pathsep.join([ROOT, *filter(None, known)])
     if spark.conf.get(_ROWS, _DEFAULT_ROWS) == _DEFAULT_ROWS:
         spark.conf.set(_ROWS, _FEW_ROWS)

@@ -121,12 +121,18 @@ class Classifier:
 
 
 def training_sample(documents: DataFrame, labels: DataFrame, label: str, sample: int) -> DataFrame:
-    """``sample`` labelled documents at most. Ids whose CRC-32 leaves 1 modulo 3 are never among them."""
+    """``sample`` labelled ids at most, with a text each. Ids whose CRC-32 leaves 1 modulo 3 are never among them.
+
+    Of several texts of an id the one with the least hash is taken, whatever
+    number of rows there are.
+    """
     usable = labels.select(F.col("doc_id"), F.col(label).alias("label")).dropna()
     usable = usable.filter("crc32(cast(doc_id AS string)) % 3 <> 1").groupBy("doc_id").agg(F.max("label").alias("label"))
     few = usable.orderBy(F.xxhash64("doc_id"), "doc_id").limit(sample)
-    # At most ``sample`` rows of an id and a label.
-    return documents.select("doc_id", "text").join(F.broadcast(few), "doc_id").select("text", F.col("label").cast("int").alias("label"))
+    # ``sample`` rows of an id and a label are broadcast.
+    met = documents.select("doc_id", "text").join(F.broadcast(few), "doc_id")
+    once = met.groupBy("doc_id").agg(F.min_by("text", F.xxhash64("text")).alias("text"), F.max("label").alias("label"))
+    return once.select("text", F.col("label").cast("int").alias("label"))
 
 
 def _presences(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

@@ -105,3 +105,13 @@ def test_linking_runs_no_python(spark):
     frame = spark.createDataFrame(MESSAGES, "conv_id long, turn long, role string, text string")
     plan = quotes.link_quotations(frame)._jdf.queryExecution().toString()
     assert not any(word in plan for word in ("Python", "Pandas", "Arrow", "Cartesian", "NestedLoop"))
+
+
+def test_turns_of_any_size_sort_as_numbers(spark):
+    turns = [-(10**18), -5, -1, 0, 7, 999_999_999_999, 10**12, 10**12 + 5, 10**13 + 51, 9_223_372_036_854_775_807]
+    rows = [(1, t, "user", f"own words of turn {t}") for t in turns]
+    found = quotes.link_quotations(spark.createDataFrame(rows, "conv_id long, turn long, role string, text string")).collect()
+    paths = {r.turn: r.path for r in found}
+    assert len(set(paths.values())) == len(turns)
+    assert sorted(turns, key=paths.get) == turns
+    assert paths[7] == "000000000007"
