@@ -11,6 +11,7 @@ from siltstone.llm import (
     exact,
     lines,
     merkle,
+    oracles,
     packing,
     quotes,
     secrets,
@@ -99,7 +100,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     )
 }
 
-ORACLES = {
+ORACLES = oracles.ORACLES | {
     "op6_nearest_neighbours": """
 WITH usable AS (
   SELECT vec_id, embedding::DOUBLE[] AS v FROM embeddings
