@@ -24,25 +24,45 @@ def toxicity_filter(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFr
     return toxicity.reject_toxic(docs, spark.read.parquet(f"{sf_dir}/labels.parquet"))
 
 
+def _fresh(docs: DataFrame, name: str) -> str:
+    """A column name that the documents do not have."""
+    taken = {column.lower() for column in docs.columns}
+    while name in taken:
+        name = f"_{name}"
+    return name
+
+
 def exact_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Of documents with the same text the one with the largest id stays, and of its repeated rows one.
 
     Different texts under one id are different documents, and all of them stay.
     """
     ship(spark)
+    sha = _fresh(docs, "sha")
+    kept_id, kept_sha = _fresh(docs, "kept_id"), _fresh(docs, "kept_sha")
     found = exact.exact_duplicates(docs).filter("kept OR doc_id IS NULL")
-    kept = found.select(F.col("doc_id").alias("_id"), F.col("text_sha256").alias("_sha")).distinct()
-    same = F.col("_id").eqNullSafe(F.col("doc_id")) & (F.col("_sha") == F.sha2(F.coalesce("text", F.lit("")), 256))
-    once = docs.join(kept, same, "left_semi")
-    named = once.filter("doc_id IS NOT NULL").withColumn("_sha", F.sha2(F.coalesce("text", F.lit("")), 256))
-    return named.dropDuplicates(["doc_id", "_sha"]).drop("_sha").union(once.filter("doc_id IS NULL"))
+    kept = found.select(F.col("doc_id").alias(kept_id), F.col("text_sha256").alias(kept_sha)).distinct()
+    hashed = docs.withColumn(sha, F.sha2(F.coalesce("text", F.lit("")), 256))
+    same = F.col("doc_id").eqNullSafe(F.col(kept_id)) & (F.col(sha) == F.col(kept_sha))
+    once = hashed.join(kept, same, "left_semi")
+    named = once.filter("doc_id IS NOT NULL").dropDuplicates(["doc_id", sha])
+    return named.union(once.filter("doc_id IS NULL")).drop(sha)
 
 
 def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Of documents that hang together by near-equal texts the one with the least id stays."""
+    """Of documents that hang together by texts of 85 per cent or more the one with the least id stays.
+
+    A document is told by its id and text: another text under the id of one
+    that goes stays. Of several texts under the least id the one whose hash is
+    least stays.
+    """
     ship(spark)
-    kept = setsketch.near_duplicates(docs).filter("kept").select(F.col("doc_id").alias("_id")).distinct()
-    return docs.join(kept, F.col("_id").eqNullSafe(F.col("doc_id")), "left_semi")
+    key, gone = _fresh(docs, "near_key"), _fresh(docs, "gone_key")
+    told = F.struct("doc_id", F.sha2(F.coalesce("text", F.lit("")), 256).alias("sha"))
+    keyed = docs.withColumn(key, F.when(F.col("doc_id").isNotNull(), told))
+    found = setsketch.near_duplicates(keyed, id_column=key, percent=85).filter("NOT kept")
+    dropped = found.select(F.col("doc_id").alias(gone)).distinct()
+    return keyed.join(dropped, F.col(key) == F.col(gone), "left_anti").drop(key)
 
 
 def secret_masking(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

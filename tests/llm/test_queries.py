@@ -1,6 +1,7 @@
 """The registered queries, and the pipeline against plain forms of its stages."""
 
 import os
+import random
 from pathlib import Path
 
 import duckdb
@@ -33,7 +34,7 @@ def test_matches_sql(spark, oracle, name):
 
 
 def test_each_operator_has_its_query():
-    assert {name.split("_")[0] for name in QUERIES} >= {f"op{n}" for n in range(1, 11)}
+    assert {name.split("_")[0] for name in QUERIES} >= {f"op{n}" for n in range(1, 14)}
 
 
 def test_pipeline_keeps_what_the_stages_should(spark):
@@ -72,3 +73,22 @@ def test_different_texts_of_one_id_all_stay(spark, documents):
     assert found.columns == docs.columns
     kept = sorted(((r.doc_id, r.text or "") for r in found.collect()), key=str)
     assert kept == sorted([(1, "a"), (2, "b"), (3, ""), (3, "c"), (None, "a")], key=str)
+
+
+def test_near_dedup_tells_texts_of_one_id_apart(spark, documents):
+    rng = random.Random(4)
+    one, other = (" ".join(rng.choice("abcdefgh") + rng.choice("aeiou") + str(i) for i in range(80)) for _ in range(2))
+    docs = documents([(1, one), (5, one + " x"), (5, other), (None, one), (7, None)])
+    found = corpus_pipeline.near_dedup(spark, docs, SF_DIR)
+    assert found.columns == docs.columns
+    assert {(r.doc_id, r.text) for r in found.collect()} == {(1, one), (5, other), (None, one), (7, None)}
+
+
+@pytest.mark.parametrize("extra", [["_id", "_sha"], ["sha", "kept_id", "kept_sha", "near_key", "gone_key", "_near_key"]])
+def test_stages_take_any_extra_columns(spark, extra):
+    rows = [(1, "a b c", *["x"] * len(extra)), (2, "a b c", *["y"] * len(extra)), (3, None, *["z"] * len(extra))]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, " + ", ".join(f"{c} string" for c in extra))
+    for stage in (corpus_pipeline.exact_dedup, corpus_pipeline.near_dedup):
+        docs = stage(spark, docs, SF_DIR)
+        assert docs.columns == ["doc_id", "text", *extra]
+        assert sorted(tuple(r)[:3] for r in docs.collect()) == [(2, "a b c", "y"), (3, None, "z")]
