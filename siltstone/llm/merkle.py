@@ -6,7 +6,9 @@ in order of their sources give the root in the same way. Each inner node is a
 stored row: its children's digests, and a link to its parent. A recursive
 query then starts at all leaves at once and goes up these links; each step
 appends the siblings it met to the proof and folds the leaf's digest, taken of
-the tampered row where there is one, with them.
+the tampered row where there is one, with them. Every step sends all leaves once,
+so it takes ``STRIDE`` levels: the rows it stops at have the siblings of the
+next levels beside their children, and are linked to the ancestor above these.
 
 Near the root all leaves would meet in one node row. So a node row is kept
 once per block of ``BLOCK`` neighbouring leaves below it, and a leaf joins its
@@ -26,6 +28,8 @@ from siltstone.llm.shared import stored
 
 #: Children of a node.
 RUN = 3
+#: Levels that a step of the climb takes.
+STRIDE = 3
 #: Leaves that share their copies of the nodes above them.
 BLOCK = 2_048
 #: The fields of a leaf, in this order.
@@ -151,6 +155,7 @@ class Manifest:
         for part in parts:
             nodes = part if nodes is None else nodes.unionByName(part)
         self.nodes = None if nodes is None else stored(nodes, "nodes")
+        self.ways = None if nodes is None else stored(self._ways(), "ways")
 
     def _linked(self, level: DataFrame, height: int, code: int) -> DataFrame:
         """Node rows of a level, one per block of leaves below each."""
@@ -161,14 +166,33 @@ class Manifest:
             f"({base} + pos * {width}) * {_HEIGHTS} + {code + height} AS node", "children",
             f"{parent} AS parent", f"{slot} AS parent_slot", f"{of_source} AS subroot",
             f"explode(sequence(low DIV {BLOCK}, high DIV {BLOCK})) AS block",
+            # How far up a way enters the tree of sources depends on the source.
+            f"{bool(code) or height % STRIDE == 1 % STRIDE} AS stop",
         )
 
+    def _ways(self) -> DataFrame:
+        """The rows a climb stops at, with ``left_i`` and ``right_i`` of the next levels (null above the root)."""
+        ways = self.nodes.filter("stop").drop("stop")
+        up = self.nodes.select(
+            F.col("node").alias("_node"), F.col("block").alias("_block"), F.col("children").alias("_children"),
+            F.col("parent").alias("_parent"), F.col("parent_slot").alias("_slot"), F.col("subroot").alias("_subroot"),
+        )
+        for i in range(1, STRIDE):
+            same = (F.col("parent") == F.col("_node")) & (F.col("block") == F.col("_block"))
+            ways = ways.join(up, same, "left").selectExpr(
+                "node", "block", "children", *[f"{side}_{k}" for k in range(1, i) for side in ("left", "right")],
+                f"substring(_children, 1, 32 * parent_slot) AS left_{i}",
+                f"substring(_children, 32 * parent_slot + 33) AS right_{i}",
+                "_parent AS parent", "_slot AS parent_slot", "coalesce(subroot, _subroot) AS subroot",
+            )
+        return ways
+
     def climb(self, digest: str, carried: list[str]) -> DataFrame:
         """One row per leaf and step of its way up: ``at, step, folded, siblings, subroot``.
 
         Step 0 is the leaf, folded is there ``digest`` and ``carried`` its
         columns, which are null further up. The last step has the digest that
-        the way ended with; siblings stand left to right, 32 bytes each.
+        the way ended with; siblings stand level by level and left to right, 32 bytes each.
         """
         node, slot = _above(0, self.sources)
         anchor = self.leaves.selectExpr(
@@ -181,16 +205,20 @@ class Manifest:
             return anchor.drop("block", "node", "slot")
         nothing = ", ".join(f"CAST(NULL AS {anchor.schema[c].dataType.simpleString()})" for c in carried)
         left, right = "substring(n.children, 1, 32 * c.slot)", "substring(n.children, 32 * c.slot + 33)"
+        folded, met = _digest(f"concat({left}, c.folded, {right})"), [left, right]
+        for i in range(1, STRIDE):
+            folded = f"IF(n.left_{i} IS NULL, {folded}, {_digest(f'concat(n.left_{i}, {folded}, n.right_{i})')})"
+            met += [f"coalesce(n.{side}_{i}, {_NO_SIBLINGS})" for side in ("left", "right")]
         query = f"""
             WITH RECURSIVE climb({", ".join(anchor.columns)}) AS (
               SELECT * FROM {{anchor}}
               UNION ALL
               SELECT c.at, c.block, c.step + 1, n.parent, n.parent_slot,
-                     {_digest(f"concat({left}, c.folded, {right})")}, concat({left}, {right}), n.subroot, {nothing}
-              FROM climb c JOIN {{nodes}} n ON c.node = n.node AND c.block = n.block)
+                     {folded}, concat({", ".join(met)}), n.subroot, {nothing}
+              FROM climb c JOIN {{ways}} n ON c.node = n.node AND c.block = n.block)
             SELECT * FROM climb"""
         with _unlimited(spark):
-            steps = stored(spark.sql(query, anchor=anchor, nodes=self.nodes), "climb")
+            steps = stored(spark.sql(query, anchor=anchor, ways=self.ways), "climb")
         return steps.drop("block", "node", "slot")
 
 
