@@ -2,8 +2,11 @@
 
 from __future__ import annotations
 
+from dataclasses import replace
+
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
 from siltstone.catalog.inputs import (
     ACCOUNT_LEAVES,
@@ -16,8 +19,8 @@ from siltstone.catalog.inputs import (
     table,
 )
 from siltstone.operators import enrich, filters
-from siltstone.plans import RawSpec, Run, load_raw
-from siltstone.sources import landing, tables
+from siltstone.plans import MalformedRecords, RawSpec, Run, load_raw
+from siltstone.sources import landing, layout, tables, variants
 from siltstone.sources.scratch import scratch_path
 
 
@@ -91,16 +94,70 @@ def array_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def malformed_load(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Events as JSON lines of which some are cut off: left out, counted, and within the limit."""
+    """Events as JSON lines of which some are cut off: left out and counted up to the limit, refused one below it."""
     landed, path = scratch_path(spark, "broken"), scratch_path(spark, "raw")
     line = F.to_json(F.struct("event_id", "event_type"))
     cut = F.when(F.col("event_type") == "error", F.substring(line, 1, 12)).otherwise(line)
     events = table(spark, sf_dir, "events")
     events.select(cut.alias("value")).write.text(landed)
-    spec = RawSpec("event_id bigint, event_type string", "events", max_malformed=events.count())
+    broken = events.filter("event_type = 'error'").count()
+    spec = RawSpec("event_id bigint, event_type string", "events", max_malformed=broken)
+    try:
+        load_raw(spark, landed, path, replace(spec, max_malformed=broken - 1), Run("0", LOADED_AT))
+        refused = False
+    except MalformedRecords:
+        refused = True
     result = load_raw(spark, landed, path, spec, Run("1", LOADED_AT))
     raw = tables.read_parquet(spark, path)
-    return raw.select("event_id", "event_type", F.lit(result.malformed).alias("n_left_out"))
+    return raw.select("event_id", "event_type", F.lit(result.malformed).alias("n_left_out"), F.lit(refused).alias("refused"))
+
+
+def _drifted_orders(spark: SparkSession, sf_dir: str) -> str:
+    """Orders as JSON lines whose shape changed: later ones nest their customer, and some price is a text."""
+    path = scratch_path(spark, "drifted")
+    orders = table(spark, sf_dir, "orders")
+    early = orders.select(
+        F.col("o_orderkey").alias("key"), F.col("o_custkey").alias("customer"), F.col("o_orderstatus").alias("status")
+    )
+    late = orders.select(
+        F.col("o_orderkey").alias("key"),
+        F.struct(F.col("o_custkey").alias("id"), F.array("o_orderpriority").alias("tags")).alias("buyer"),
+        F.when(F.col("o_orderstatus") == "P", F.lit("open").cast("string")).alias("note"),
+    )
+    early.filter("key % 2 = 0").write.json(f"{path}/early")
+    late.filter("key % 2 = 1").write.json(f"{path}/late")
+    return f"{path}/*"
+
+
+def variant_landing_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All fields of drifted files, in a layout derived from the records."""
+    records = variants.read_records(spark, _drifted_orders(spark, sf_dir))
+    rows = variants.typed(records)
+    return rows.select(
+        "key", "customer", "status", F.col("buyer.id").alias("buyer_id"),
+        F.element_at("buyer.tags", 1).alias("tag"), "note",
+    )
+
+
+def variant_contract(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The paths in which drifted files differ from what is declared."""
+    declared = StructType.fromDDL("key string, customer bigint, status string, region string")
+    return variants.drift(variants.read_records(spark, _drifted_orders(spark, sf_dir)), declared)
+
+
+def sorted_write(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Lines in files sorted by date, with how many of its files reach into the next one's dates."""
+    path = scratch_path(spark, "sorted")
+    layout.write_sorted(table(spark, sf_dir, "lineitem"), path, ["l_shipdate", "l_orderkey"], files=6)
+    rows = spark.read.parquet(path)
+    files = rows.groupBy(F.input_file_name().alias("file")).agg(
+        F.min("l_shipdate").alias("first"), F.max("l_shipdate").alias("last")
+    )
+    # A row per file, and as many files as were asked for.
+    follows = F.lead("first").over(Window.orderBy(F.regexp_extract("file", "part-([0-9]+)", 1)))
+    mixed = files.withColumn("next", follows).agg(F.count_if(F.col("last") > F.col("next")).alias("n_mixed"), F.count("*").alias("n_files"))
+    late = rows.filter(F.col("l_shipdate") >= F.lit("1998-06-01").cast("timestamp_ntz"))
+    return late.select("l_orderkey", "l_linenumber", "l_shipdate").crossJoin(F.broadcast(mixed))
 
 
 def parquet_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -165,6 +222,9 @@ QUERIES = {
     "indented_array_scan": indented_array_scan,
     "indented_array_load": indented_array_load,
     "array_scan": array_scan,
+    "variant_landing_scan": variant_landing_scan,
+    "variant_contract": variant_contract,
+    "sorted_write": sorted_write,
     "malformed_load": malformed_load,
     "parquet_scan": parquet_scan,
     "bronze_enrich": bronze_enrich,
@@ -191,9 +251,26 @@ ORACLES = {
     "array_scan": r"""
         SELECT o_orderkey AS key, o_custkey AS customer_id, 'a } b ] "c" { \ [ ' || o_orderstatus AS note,
                o_orderstatus || '|}, {|\"' AS tags FROM orders""",
+    "variant_landing_scan": """
+        SELECT o_orderkey AS key, CASE WHEN o_orderkey % 2 = 0 THEN o_custkey END AS customer,
+               CASE WHEN o_orderkey % 2 = 0 THEN o_orderstatus END AS status,
+               CASE WHEN o_orderkey % 2 = 1 THEN o_custkey END AS buyer_id,
+               CASE WHEN o_orderkey % 2 = 1 THEN o_orderpriority END AS tag,
+               CASE WHEN o_orderkey % 2 = 1 AND o_orderstatus = 'P' THEN 'open' END AS note FROM orders""",
+    "variant_contract": """
+        WITH odd AS (SELECT * FROM orders WHERE o_orderkey % 2 = 1)
+        SELECT 'buyer.id' AS path, NULL::VARCHAR AS declared_type, 'bigint' AS found_type, count(*) AS n_records FROM odd
+        UNION ALL SELECT 'buyer.tags', NULL, 'array<string>', count(*) FROM odd
+        UNION ALL SELECT 'note', NULL, 'string', count(*) FROM odd WHERE o_orderstatus = 'P'
+        UNION ALL SELECT 'key', 'string', 'bigint', count(*) FROM orders
+        UNION ALL SELECT 'region', 'string', NULL, 0""",
+    "sorted_write": """
+        SELECT l_orderkey, l_linenumber, l_shipdate, 0::BIGINT AS n_mixed, 6::BIGINT AS n_files
+        FROM lineitem WHERE l_shipdate >= TIMESTAMP '1998-06-01'""",
     "malformed_load": """
         SELECT event_id, event_type,
-               (SELECT count(*) FROM events WHERE event_type = 'error')::INTEGER AS n_left_out
+               (SELECT count(*) FROM events WHERE event_type = 'error')::INTEGER AS n_left_out,
+               TRUE AS refused
         FROM events WHERE event_type <> 'error'""",
     "parquet_scan": f"SELECT *, {_YEAR_MONTH} FROM orders",
     "bronze_enrich": (

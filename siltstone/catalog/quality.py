@@ -19,7 +19,7 @@ from siltstone.catalog.inputs import (
     totals,
 )
 from siltstone.operators import contract, filters, profile, reports
-from siltstone.sources import ledger
+from siltstone.sources import ledger, quarantine, states
 from siltstone.sources.scratch import scratch_path
 
 
@@ -160,6 +160,38 @@ def non_empty_guard(spark: SparkSession, sf_dir: str) -> DataFrame:
     return counts[0].unionByName(counts[1])
 
 
+def quality_report_appended(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Three appends, the second stored twice; the report adds up what is stored of them and reads no row again."""
+    path = scratch_path(spark, "states")
+    rows = labelled(spark, sf_dir)
+    for run in (0, 1, 1, 2):
+        appended = rows.filter(F.col("doc_id") % 3 == run).select(*SLICE)
+        states.add_quality_state(appended, path, f"{run:04}", ["source"])
+    return states.stored_quality_report(spark, path)
+
+
+def rule_report_appended(spark: SparkSession, sf_dir: str) -> DataFrame:
+    path = scratch_path(spark, "states")
+    for run in range(3):
+        states.add_rule_state(totals(spark, sf_dir).filter(F.col("id") % 3 == run), path, f"{run:04}", "code", "total")
+    return states.stored_rule_report(spark, path)
+
+
+def gated_load(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Events by type: errors lack their value, clicks come twice, and both types are set apart."""
+    path = scratch_path(spark, "gated")
+    events = table(spark, sf_dir, "events").select(
+        "event_id", "event_type", F.when(F.col("event_type") != "error", F.col("value")).alias("value")
+    )
+    twice = events.unionByName(events.filter("event_type = 'click'"))
+    routed = quarantine.write_gated(
+        twice, path, "0001", ["event_id"], ["event_type"], fail_on_nulls=True, fail_on_duplicates=True
+    )
+    loaded = quarantine.read_loaded(spark, path).withColumn("violations", F.lit(""))
+    both = loaded.unionByName(quarantine.read_quarantined(spark, path)).drop("run_id")
+    return both.withColumns({"n_loaded": F.lit(routed.loaded).cast("long"), "n_apart": F.lit(routed.quarantined).cast("long")})
+
+
 QUERIES = {
     "contract_columns": contract_columns,
     "non_empty_guard": non_empty_guard,
@@ -185,6 +217,9 @@ QUERIES = {
     "rule_report_sink": rule_report_sink,
     "audit_append": audit_append,
     "audit_record": audit_record,
+    "quality_report_appended": quality_report_appended,
+    "rule_report_appended": rule_report_appended,
+    "gated_load": gated_load,
 }
 
 DOCUMENT_COLUMNS = ["doc_id", "text", "lang", "source", "n_chars", "quality", "toxic"]
@@ -329,4 +364,15 @@ ORACLES = {
                1.23::DOUBLE AS execution_time, '1.0.0' AS version,
                '{LOADED_AT}' AS "timestamp"
         FROM ({_rule_sql(TOTALS_SQL)})""",
+    "quality_report_appended": _REPEATS,
+    "rule_report_appended": _rule_sql(TOTALS_SQL),
+    "gated_load": """
+        WITH twice AS (
+            SELECT event_id, event_type, CASE WHEN event_type <> 'error' THEN value END AS value FROM events
+            UNION ALL SELECT event_id, event_type, value FROM events WHERE event_type = 'click'),
+        judged AS (
+            SELECT *, CASE event_type WHEN 'error' THEN 'nulls' WHEN 'click' THEN 'duplicates' ELSE '' END AS violations
+            FROM twice)
+        SELECT *, count(*) FILTER (violations = '') OVER () AS n_loaded,
+               count(*) FILTER (violations <> '') OVER () AS n_apart FROM judged""",
 }

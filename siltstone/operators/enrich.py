@@ -49,9 +49,16 @@ def with_date_parts(df: DataFrame, timestamp_column: str) -> DataFrame:
     return df.withColumns({"year": F.year(ts), "month": F.month(ts)})
 
 
-def enrich(df: DataFrame, source_system: str, at: datetime | str | None = None) -> DataFrame:
-    """The five load columns of a raw table."""
-    loaded = with_source_file(with_ingestion(df, source_system, at))
+def enrich(
+    df: DataFrame, source_system: str, at: datetime | str | None = None, file_column: str | None = None
+) -> DataFrame:
+    """The five load columns of a raw table. ``file_column`` has the rows' files where the reader brought them along."""
+    loaded = with_ingestion(df, source_system, at)
+    if file_column is None:
+        loaded = with_source_file(loaded)
+    else:
+        # Behind the load time, as in other raw tables.
+        loaded = loaded.withColumn("file_name", F.col(file_column)).drop(file_column)
     return with_date_parts(loaded, "ingestion_timestamp")
 
 

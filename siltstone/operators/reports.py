@@ -89,6 +89,11 @@ def quality_report(df: DataFrame, key: Sequence[str], by: Sequence[str] = ()) ->
             *_exprs([f"coalesce(bit_or({m}), 0) AS {m}" for m in masks]),
         )
     )
+    return quality_columns(counts, by, masks)
+
+
+def quality_columns(counts: DataFrame, by: Sequence[str], masks: Sequence[str]) -> DataFrame:
+    """The report's columns from the counts of each batch."""
     return graded(counts, "records", "duplicates", "null_records").selectExpr(
         *_batch_names(by),
         "records",
@@ -108,8 +113,7 @@ def rule_report(df: DataFrame, key: str, measure: str, by: Sequence[str] = ()) -
     Unlike ``quality_report`` this counts invalid rows, not distinct ones.
     """
     batch = [f"by_{i}" for i in range(len(by))]
-    sums = _total("total", "null_keys", "negative_totals", "zero_totals", "invalid_records")
-    counts = (
+    per_key = (
         df.select(
             *_exprs(_aliases(by, "by")),
             named(key).alias("key"),
@@ -130,9 +134,14 @@ def rule_report(df: DataFrame, key: str, measure: str, by: Sequence[str] = ()) -
                 ]
             )
         )
-        .groupBy(*batch)
-        .agg(*_exprs(["count_if(total > 1) AS duplicate_keys", *sums]))
     )
+    return rule_columns(per_key, batch, by)
+
+
+def rule_columns(per_key: DataFrame, batch: Sequence[str], by: Sequence[str]) -> DataFrame:
+    """The report's columns from the counts of each key; ``batch`` are the columns that stand for ``by``."""
+    sums = _total("total", "null_keys", "negative_totals", "zero_totals", "invalid_records")
+    counts = per_key.groupBy(*batch).agg(*_exprs(["count_if(total > 1) AS duplicate_keys", *sums]))
     return graded(counts, "total", "duplicate_keys", "invalid_records").selectExpr(
         *_batch_names(by),
         "total",

@@ -3,6 +3,7 @@
 from siltstone.plans.medallion import (
     AggregateSpec,
     LoadResult,
+    MalformedRecords,
     RawSpec,
     RefinedSpec,
     Run,
@@ -15,6 +16,7 @@ from siltstone.plans.medallion import (
 __all__ = [
     "AggregateSpec",
     "LoadResult",
+    "MalformedRecords",
     "RawSpec",
     "RefinedSpec",
     "Run",

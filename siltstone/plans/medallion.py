@@ -29,13 +29,14 @@ from siltstone.operators.filters import check_not_empty, rejected_rows, require_
 from siltstone.operators.profile import invalid_row_detail
 from siltstone.operators.reports import check_gate, gate, quality_report, rule_report
 from siltstone.sources import ledger, snapshots
-from siltstone.sources.landing import MALFORMED, read_indented_array, read_json
+from siltstone.sources.landing import MALFORMED, read_array, read_indented_array, read_json
 from siltstone.sources.rows import as_frame, one_row
 from siltstone.sources.tables import read_parquet, read_table, write_partitioned
 
 log = logging.getLogger(__name__)
 
-LINES, DOCUMENTS, INDENTED = "lines", "documents", "indented"
+LINES, DOCUMENTS, INDENTED, ARRAY = "lines", "documents", "indented", "array"
+_FILE = "_landing_file"
 
 
 def _new_id() -> str:
@@ -58,8 +59,9 @@ class Run:
 class RawSpec:
     """``schema`` is a struct type or a DDL string. ``layout`` says how records stand in the
     landing files: ``lines``, ``documents`` (whole-document JSON, a task per
-    file) or ``indented`` (a pretty-printed array, split by record, with
-    ``indent`` spaces). Text that is no record fails the load; in the first
+    file), ``indented`` (a pretty-printed array, split by record, with
+    ``indent`` spaces) or ``array`` (one array per file in any layout, split by
+    record, for a shuffle of the text). Text that is no record fails the load; in the first
     two layouts up to ``max_malformed`` such texts are left out and counted.
     ``mode`` is ``static`` (keep the last run only) or ``dynamic``."""
 
@@ -88,6 +90,9 @@ class RefinedSpec:
     every invalid row to ``<ledger>/invalid``. ``raw_filter`` is a predicate
     on raw columns, its partition columns best, that says which rows this run
     is about; only for upserts, since a sync would delete all others.
+    ``raw_schema`` are the raw columns to read, partition columns aside; without it the
+    footers of all raw files are read for them in every run, whatever the
+    filter is. The contract is then one with that schema.
     """
 
     columns: Mapping[str, str]
@@ -104,6 +109,7 @@ class RefinedSpec:
     retention_hours: float | None = None
     store_rejects: bool = False
     raw_filter: str | None = None
+    raw_schema: StructType | str | None = None
 
     def __post_init__(self) -> None:
         if self.raw_filter and self.delete_unmatched:
@@ -205,6 +211,8 @@ def landed_rows(spark: SparkSession, landing: str, spec: RawSpec) -> DataFrame:
     """The landing records; with ``max_malformed``, other texts are among them."""
     if spec.layout == INDENTED:
         return read_indented_array(spark, landing, spec.schema, spec.indent)
+    if spec.layout == ARRAY:
+        return read_array(spark, landing, spec.schema, _FILE)
     if spec.layout not in (LINES, DOCUMENTS):
         raise ValueError(f"no landing layout {spec.layout!r}")
     return read_json(spark, landing, spec.schema, spec.layout == DOCUMENTS, spec.max_malformed > 0)
@@ -228,7 +236,7 @@ def raw_rows(spark: SparkSession, landing: str, spec: RawSpec, run: Run) -> Data
     landed = landed_rows(spark, landing, spec)
     if MALFORMED in landed.columns:
         landed = landed.filter(f"{MALFORMED} IS NULL").drop(MALFORMED)
-    return enrich(landed, spec.source_system, run.at)
+    return enrich(landed, spec.source_system, run.at, _FILE if spec.layout == ARRAY else None)
 
 
 def load_raw(
@@ -295,7 +303,7 @@ def load_refined(
     run = run or Run()
 
     def load() -> LoadResult:
-        raw = read_parquet(spark, raw_path, merge_schema=True)
+        raw = read_parquet(spark, raw_path, spec.raw_schema, merge_schema=spec.raw_schema is None)
         extra = check_contract(raw, spec.contract) if spec.contract else []
         if spec.raw_filter:
             raw = raw.filter(spec.raw_filter)

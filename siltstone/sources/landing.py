@@ -58,7 +58,9 @@ def read_indented_array(
     chunks = spark.read.option("lineSep", close).text(path)
     # A file's last chunk brings the array's own end and lacks no brace; a record may end in a list as well.
     body = "substring(value, instr(value, '{'))"
-    ends = f"value RLIKE '\\\\]\\\\s*$' AND try_parse_json(concat('[', {body}, '}}]')) IS NULL"
+    went_on = f"""from_json(concat('[', {body}, '}}, {{"{_END}":true}}]'), 'array<variant>')"""
+    reached = f"coalesce(try_variant_get(element_at({went_on}, -1), '$.{_END}', 'boolean'), false)"
+    ends = f"value RLIKE '\\\\]\\\\s*$' AND NOT {reached}"
     open_end = f"IF({ends}, regexp_replace({body}, '\\\\]\\\\s*$', ''), concat({body}, '}}'))"
     marked = F.concat(F.lit("["), F.expr(open_end), F.lit(f',{{"{_END}":true}}]'))
     element = StructType([*_struct(schema).fields, StructField(_END, BooleanType())])
@@ -134,7 +136,9 @@ def _block_states(pieces: DataFrame) -> DataFrame:
     )
 
 
-def read_array(spark: SparkSession, path: str, schema: StructType | str) -> DataFrame:
+def read_array(
+    spark: SparkSession, path: str, schema: StructType | str, file_column: str | None = None
+) -> DataFrame:
     """A JSON array of objects per file, of any layout, read by many tasks.
 
     Compact on one line, indented or mixed; records may hold lists, objects,
@@ -147,6 +151,7 @@ def read_array(spark: SparkSession, path: str, schema: StructType | str) -> Data
     Every record is returned or the read fails: on elements that are no
     objects, text between records, an array that does not end, a value that
     does not fit the schema. An empty array and a blank file have no records.
+    ``file_column`` names a column for the file a record was in.
     """
     pieces = _pieces(spark, path)
     states = _block_states(pieces.drop("value"))
@@ -176,14 +181,13 @@ def read_array(spark: SparkSession, path: str, schema: StructType | str) -> Data
         F.min(F.struct("_block", "_number")).alias("_begin"),
     )
     first = "_begin._block = 0 AND _begin._number = 0"
-    records = parts.filter(whole).select("_text", F.lit(True).alias("_ended"), F.lit(False).alias("_first")).unionByName(
-        joined.select("_text", "_ended", F.expr(first).alias("_first"))
-    )
+    records = parts.filter(whole).select("_file", "_text", F.lit(True).alias("_ended"), F.lit(False).alias("_first"))
+    records = records.unionByName(joined.select("_file", "_text", "_ended", F.expr(first).alias("_first")))
     mark = F.when(F.col("_first"), F.lit("[")).otherwise(F.lit(","))
     opened = F.regexp_extract("_text", r"^\uFEFF?\s*([\[,])\s*\{", 1) == mark
     closed = F.col("_text").rlike(r"^\s*\]\s*$") & ~F.col("_first") | F.col("_text").rlike(r"^(\s*\[\s*\])?\s*$") & F.col("_first")
     failed = F.raise_error(F.concat(F.lit("no array of records: "), F.substring("_text", 1, 200))).cast("boolean")
     kept = F.when(F.col("_ended") & opened, True).when(~F.col("_ended") & closed, False).otherwise(failed)
     body = F.expr("substring(_text, instr(_text, '{'))")
-    parsed = records.filter(kept).select(F.from_json(body, _struct(schema), {"mode": "FAILFAST"}).alias("_parsed"))
-    return parsed.select("_parsed.*")
+    parsed = records.filter(kept).select("_file", F.from_json(body, _struct(schema), {"mode": "FAILFAST"}).alias("_parsed"))
+    return parsed.select("_parsed.*", *([] if file_column is None else [F.col("_file").alias(file_column)]))

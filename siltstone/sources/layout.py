@@ -5,6 +5,7 @@ from __future__ import annotations
 from collections.abc import Sequence
 
 from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
 
 from siltstone.functions import named
 
@@ -19,3 +20,24 @@ def clustered(df: DataFrame, partition_by: Sequence[str]) -> DataFrame:
     if not partition_by:
         return df
     return df.hint("rebalance", *map(named, partition_by))
+
+
+def write_sorted(df: DataFrame, path: str, order: Sequence[str], files: int | None = None) -> None:
+    """Overwrite a Parquet table with files that follow one another in ascending order.
+
+    Ordered by their names, the files hold the rows in order (nulls first), so
+    a read of a range of the first column opens the row groups of that range
+    alone. Rows of equal values are told apart by where they stood, so a value
+    that many rows have fills several files instead of one. ``files`` is their
+    number; without it the session's shuffle partitions are merged up to its
+    advisory size.
+    """
+    taken = {c.lower() for c in df.columns}
+    tie = "_tie"
+    while tie in taken:
+        tie = f"_{tie}"
+    keys = [named(c) for c in order]
+    tied = df.withColumn(tie, F.monotonically_increasing_id())
+    count = [] if files is None else [files]
+    ranged = tied.repartitionByRange(*count, *keys, tie).sortWithinPartitions(*keys, tie)
+    ranged.drop(tie).write.mode("overwrite").parquet(path)

@@ -167,7 +167,7 @@ def test_retention_is_part_of_a_load_when_asked(spark, raw, tmp_path):
         snapshots.read_snapshot(spark, path, version=0)
 
 
-@pytest.mark.parametrize("layout", ["documents", "indented"])
+@pytest.mark.parametrize("layout", ["documents", "indented", "array"])
 def test_chain_with_an_array_landing(spark, tmp_path, layout):
     (tmp_path / "a.json").write_text("[\n  " + ",\n  ".join(LINES) + "\n]\n")
     raw = replace(RAW, layout=layout)
@@ -242,3 +242,15 @@ def test_part_of_raw_is_for_upserts_alone(spark, raw, tmp_path):
     path = str(tmp_path / "refined")
     spec = replace(REFINED, raw_filter="c_custkey = 1", delete_unmatched=False)
     assert load_refined(spark, raw, path, spec, RUN).records == 1
+
+
+def test_a_raw_schema_leaves_other_partitions_unopened(spark, raw, tmp_path):
+    schema = spark.read.parquet(f"{raw}/year=2025/month=1").schema
+    older = tmp_path / "raw" / "year=2001" / "month=1"
+    older.mkdir(parents=True)
+    (older / "part-0.parquet").write_bytes(b"damaged")
+    spec = replace(REFINED, raw_filter="year = 2025", delete_unmatched=False)
+    with pytest.raises(Exception, match="footer|FAILED_READ_FILE|CANNOT_READ"):
+        load_refined(spark, raw, str(tmp_path / "failed"), spec, RUN)
+    result = load_refined(spark, raw, str(tmp_path / "refined"), replace(spec, raw_schema=schema), RUN)
+    assert result.records == 3

@@ -158,7 +158,7 @@ def test_compaction_queries_hold_for_any_size(spark, monkeypatch, small_bytes, a
     try:
         counted = versions.file_inventory(spark, "/root/testdata/sf0.01").collect()
         n = spark.read.parquet("/root/testdata/sf0.01/orders.parquet").count()
-        assert sorted(map(tuple, counted)) == [(0, n, True, True), (1, n, True, True)]
+        assert sorted(map(tuple, counted)) == [(0, n, True, 3), (1, n, True, 3)]
         path = versions._scattered_orders(spark, "/root/testdata/sf0.01")
         assert snapshots.current_commit(spark, path)["operation"] == "OPTIMIZE"
     finally:
@@ -338,3 +338,32 @@ def test_the_warehouse_stands_in_for_a_missing_setting():
 
     assert scratch.shared_folder(Session(sql_warehouse_dir="hdfs:/w")) == "hdfs:/w/scratch"
     assert scratch.shared_folder(Session(sql_warehouse_dir="hdfs:/w", checkpoint_dir="hdfs:/c/")) == "hdfs:/c"
+
+
+def test_a_stored_merge_by_a_condition(spark, tmp_path):
+    path = str(tmp_path / "t")
+    df = spark.createDataFrame([(1, 5), (2, 5), (3, 5), (None, 5)], "k int, v int")
+    snapshots.write_snapshot(df, path)
+    delta = spark.createDataFrame([(1, 9), (2, 3), (4, 1), (None, 1)], "key int, v int")
+    pair, condition = [("k", "key")], "source.v > target.v"
+    assert snapshots.write_or_merge(delta, path, pair, delete_unmatched=False, condition=condition) == 1
+    found = rows(snapshots.read_snapshot(spark, path))
+    assert found == Counter({(1, 9): 1, (2, 5): 1, (2, 3): 1, (3, 5): 1, (None, 5): 1, (4, 1): 1, (None, 1): 1})
+    assert snapshots.current_commit(spark, path)["parameters"]["condition"] == condition
+    assert snapshots.current_commit(spark, path)["unique_keys"] is None
+    assert snapshots.merge_snapshot(delta.limit(0), path, pair, condition=condition) == 2
+    assert snapshots.read_snapshot(spark, path).isEmpty()
+
+
+@pytest.mark.parametrize("condition", [None, "source.v > target.v"])
+def test_a_conflict_leaves_no_version_and_no_rows(spark, tmp_path, condition):
+    path = str(tmp_path / "t")
+    df = spark.createDataFrame([(1, 5), (2, 5)], "k int, v int")
+    snapshots.write_snapshot(df, path)
+    twice = spark.createDataFrame([(1, 9), (1, 8), (2, 9), (7, 1), (7, 1)], "k int, v int")
+    for delete_unmatched in (True, False):
+        with pytest.raises(MergeConflict, match="1 keys in all: .'k': 1"):
+            snapshots.write_or_merge(twice, path, ["k"], delete_unmatched=delete_unmatched, condition=condition)
+    assert [r.version for r in snapshots.history(spark, path).collect()] == [0]
+    assert len(list((tmp_path / "t" / "data").iterdir())) == 1
+    assert rows(snapshots.read_snapshot(spark, path)) == rows(df)
