@@ -50,13 +50,13 @@ from siltstone.llm.textbytes import (
 
 #: Windows of one piece at most; longer runs of one anchor are several pieces.
 PIECE_WINDOWS = 4_096
-#: Runs of an anchor beyond which its windows are dealt out one by one.
+#: Runs of an anchor beyond which its windows go by name, one by one.
 HOT = 10_000
 #: Text bytes of a slice, and of one part: what a task holds of anchors or pieces grows with the latter.
 SLICE_BYTES = 1 << 20
 PART_BYTES = 32 << 20
 #: Bytes of pieces that are solved at once; one anchor's pieces are never split.
-SHARD_BYTES = 2 << 20
+SHARD_BYTES = 512 << 10
 
 _U = np.uint64
 
@@ -126,13 +126,16 @@ class Repeats:
     windows' places in them; it returns a flag for each window of each piece,
     one piece after the other: whether it starts earlier in another one.
     ``later`` is a condition under which all windows of a place start later
-    than those of its piece's first place. ``finish`` makes the output columns
-    from texts and their runs of such windows.
+    than those of its piece's first place, and ``later_windows`` says the same
+    of windows (``id, slice, doc, start``) and the first ones of their names.
+    ``finish`` makes the output columns from texts and their runs of such
+    windows.
     """
 
     symbols: Symbols
     solve: Callable[[list[bytes], list[tuple], np.ndarray], np.ndarray]
     later: str
+    later_windows: Callable[[pa.Table, pa.Table], np.ndarray]
     finish: Callable[[list[bytes], list[list[tuple[int, int]]]], list[pa.Array]]
     columns: str
 
@@ -150,10 +153,11 @@ class Repeats:
         anchors = slices.mapInArrow(partial(_anchors, self.symbols, parts), "part int, slice long, anchors binary, counts binary")
         told = (
             anchors.repartition(parts, "part").sortWithinPartitions("part")
-            .mapInArrow(_repeated, "slice long, anchors binary, hot binary")
-            .groupBy("slice").agg(F.collect_list(F.struct("anchors", "hot")).alias("told"))
+            .mapInArrow(_repeated, "slice long, anchors binary, hot binary, any_hot boolean")
+            .groupBy("slice").agg(F.collect_list(F.struct("anchors", "hot")).alias("told"), F.max("any_hot").alias("any_hot"))
         )
-        met = slices.join(stored(told, "told"), "slice")
+        told = stored(told, "told")
+        met = slices.join(told.drop("any_hot"), "slice")
         pieces = met.mapInArrow(partial(_pieces, self.symbols, parts), "part int, pieces binary")
         solved = pieces.repartition(parts, "part").sortWithinPartitions("part").mapInArrow(
             partial(_solved, self.solve, self.symbols),
@@ -172,8 +176,17 @@ class Repeats:
             .groupBy("slice")
             .agg(F.collect_list(F.struct("doc", "runs")).alias("runs"))
         )
-        return slices.join(runs, "slice", "left").select("payload", "runs").mapInArrow(
-            partial(_finished, self.finish, self.columns), f"doc_id {kind}, {self.columns}"
+        # Windows of hot anchors go by name, packed by slice and part, and what is known of them comes back alike.
+        crowded = slices.join(told.filter("any_hot").drop("any_hot"), "slice")
+        named = crowded.mapInArrow(partial(_hot_windows, self.symbols, parts), "part int, slice long, windows binary")
+        firsts = (
+            named.repartition(parts, "part").sortWithinPartitions("part")
+            .mapInArrow(_hot_firsts, "slice long, firsts binary")
+            .groupBy("slice").agg(F.collect_list("firsts").alias("firsts"))
+        )
+        judged = slices.join(runs, "slice", "left").join(firsts, "slice", "left")
+        return judged.select("slice", "payload", "runs", "firsts").mapInArrow(
+            partial(_finished, self), f"doc_id {kind}, {self.columns}"
         )
 
 
@@ -277,37 +290,138 @@ def _repeated(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             keep = often[low:high]
             own.append(block[keep].tobytes())
             hot.append((n[at[low:high][keep]] > HOT).tobytes())
-        columns = [table.column("slice").combine_chunks(), pa.array(own, pa.binary()), pa.array(hot, pa.binary())]
-        kept = pa.RecordBatch.from_arrays(columns, ["slice", "anchors", "hot"])
+        crowded = pa.array([b"\1" in flags for flags in hot])
+        columns = [table.column("slice").combine_chunks(), pa.array(own, pa.binary()), pa.array(hot, pa.binary()), crowded]
+        kept = pa.RecordBatch.from_arrays(columns, ["slice", "anchors", "hot", "any_hot"])
         yield kept.filter(pc.greater(pc.binary_length(kept.column("anchors")), 0))
 
 
-def _cut(symbols: Symbols, payload: bytes, told: list[dict]) -> tuple:
-    """Pieces of the runs whose anchors are told: table of the slice, document, first window, windows, anchor, bytes."""
+@dataclass
+class _Read:
+    """A slice, and the runs of those of its anchors that repeat: text, first window, number of windows, anchor."""
+
+    table: pa.Table
+    data: np.ndarray
+    begins: np.ndarray
+    ends: np.ndarray
+    first: np.ndarray
+    hashes: np.ndarray
+    cold: tuple[np.ndarray, ...]
+    hot: tuple[np.ndarray, ...]
+
+
+def _read(symbols: Symbols, payload: bytes, told: list[dict]) -> _Read:
     table = _unpack(payload)
     data, begins, ends, first, hashes = symbols.read(_texts(table))
-    text, start, length, anchor = symbols.runs(first, hashes)
+    runs = symbols.runs(first, hashes)
     known = np.frombuffer(b"".join(t["anchors"] for t in told), _U)
     known_hot = np.frombuffer(b"".join(t["hot"] for t in told), bool)
     order = np.argsort(known)
     known, known_hot = known[order], known_hot[order]
-    at = np.minimum(np.searchsorted(known, anchor), len(known) - 1)
-    found = known[at] == anchor
+    at = np.minimum(np.searchsorted(known, runs[3]), len(known) - 1)
+    found = known[at] == runs[3]
     hot = found & known_hot[at]
     cold = found & ~hot
-    single = np.repeat(text[hot], length[hot])
-    offset = expanded(start[hot], length[hot])
-    text, start, length, anchor = (x[cold] for x in (text, start, length, anchor))
-    if len(single):
-        windows = window_hashes(prefix_sums(hashes), symbols.width)
-        named = mixed(windows[first[single] + offset] ^ _U(symbols.width))
-        text, start = np.append(text, single), np.append(start, offset)
-        length, anchor = np.append(length, np.ones(len(single), np.int64)), np.append(anchor, named)
-    at = first[text] + start
-    raw = data.tobytes()
+    return _Read(table, data, begins, ends, first, hashes, tuple(x[cold] for x in runs), tuple(x[hot] for x in runs))
+
+
+def _cut(symbols: Symbols, payload: bytes, told: list[dict]) -> tuple:
+    """Pieces of the runs whose anchors are told and not hot: table of the slice, document, first window, windows, anchor, bytes."""
+    own = _read(symbols, payload, told)
+    text, start, length, anchor = own.cold
+    at = own.first[text] + start
+    raw = own.data.tobytes()
     stop = at + length + symbols.width - 2
-    pieces = [raw[a:b] for a, b in zip(begins[at].tolist(), ends[stop].tolist(), strict=True)] if len(at) else []
-    return table, text, start, length, anchor, pieces
+    pieces = [raw[a:b] for a, b in zip(own.begins[at].tolist(), own.ends[stop].tolist(), strict=True)] if len(at) else []
+    return own.table, text, start, length, anchor, pieces
+
+
+def window_names(symbols: Symbols, hashes: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """128 bits for every window, as two columns; equal windows have the same, wherever they stand."""
+    other = mixed(hashes.astype(_U) + _U(symbols.width))
+    return window_hashes(prefix_sums(hashes), symbols.width), window_hashes(prefix_sums(other), symbols.width)
+
+
+def _hot_windows(symbols: Symbols, parts: int, batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """By part, the names of a slice's windows of hot anchors, each with its first place and its number there."""
+    for number, payload, told in _met(batches):
+        own = _read(symbols, payload, told)
+        text, start, length, _ = own.hot
+        if not len(text):
+            continue
+        doc, offset = np.repeat(text, length), expanded(start, length)
+        a, b = (x[own.first[doc] + offset] for x in window_names(symbols, own.hashes))
+        rank = np.empty(own.table.num_rows, np.int64)
+        rank[pc.sort_indices(_column(own.table, "id")).to_numpy()] = np.arange(own.table.num_rows)
+        order = np.lexsort((offset, rank[doc], b, a))
+        a, b, doc, offset = a[order], b[order], doc[order], offset[order]
+        heads = np.flatnonzero(np.append(True, (a[1:] != a[:-1]) | (b[1:] != b[:-1])))
+        n = np.diff(np.append(heads, len(a)))
+        a, b, doc, offset = a[heads], b[heads], doc[heads], offset[heads]
+        names = pa.table(
+            {
+                "a": pa.array(a.view(np.int64)), "b": pa.array(b.view(np.int64)), "id": _column(own.table, "id").take(pa.array(doc)),
+                "slice": pa.array(np.full(len(a), number)), "doc": pa.array(doc.astype(np.int64)), "start": pa.array(offset),
+                "n": pa.array(n.astype(np.int64)),
+            }
+        )
+        rows = [(p, _pack(names.take(pa.array(i)))) for p, i in _blocks((a % _U(parts)).astype(np.int64), parts)]
+        columns = [
+            pa.array([r[0] for r in rows], pa.int32()), pa.array([number] * len(rows), pa.int64()),
+            pa.array([r[1] for r in rows], pa.binary()),
+        ]
+        yield pa.RecordBatch.from_arrays(columns, ["part", "slice", "windows"])
+
+
+_PLACE = ["id", "slice", "doc", "start"]
+
+
+def _hot_firsts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """To each slice the names of its windows that stand more than once anywhere, with their first place."""
+    for rows in _by_part(batches):
+        table = pa.concat_tables([_unpack(x) for x in rows.column("windows").to_pylist()])
+        keys = [(name, "ascending") for name in ("a", "b", *_PLACE)]
+        table = table.take(pc.sort_indices(table.select([k for k, _ in keys]), keys)).combine_chunks()
+        a, b = (_column(table, c).to_numpy() for c in ("a", "b"))
+        new = np.append(True, (a[1:] != a[:-1]) | (b[1:] != b[:-1]))
+        heads, group = np.flatnonzero(new), np.cumsum(new) - 1
+        often = np.flatnonzero(np.add.reduceat(_column(table, "n").to_numpy(), heads)[group] > 1)
+        if not len(often):
+            continue
+        first = table.take(pa.array(heads[group[often]]))
+        answer = pa.table({"a": pa.array(a[often]), "b": pa.array(b[often]), **{c: first.column(c) for c in _PLACE}}).combine_chunks()
+        asked = _column(table, "slice").to_numpy()[often]
+        slices, at = np.unique(asked, return_inverse=True)
+        packed = [_pack(answer.take(pa.array(i))) for _, i in _blocks(at, len(slices))]
+        yield pa.RecordBatch.from_arrays([pa.array(slices), pa.array(packed, pa.binary())], ["slice", "firsts"])
+
+
+def _hot_runs(repeats: Repeats, number: int, table: pa.Table, packed: list[bytes]) -> Iterator[tuple[int, int, int]]:
+    """Document, first window and the one behind the last of each run of windows that start later than their first."""
+    symbols = repeats.symbols
+    known = pa.concat_tables([_unpack(x) for x in packed])
+    known = known.take(pc.sort_indices(_column(known.combine_chunks(), "a"))).combine_chunks()
+    _, _, _, first, hashes = symbols.read(_texts(table))
+    counts = np.maximum(np.diff(first) - symbols.width + 1, 0)
+    doc = np.repeat(np.arange(len(counts)), counts)
+    start = expanded(np.zeros(len(counts), np.int64), counts)
+    a, b = (x.view(np.int64)[first[doc] + start] for x in window_names(symbols, hashes))
+    known_a, known_b = (_column(known, c).to_numpy() for c in ("a", "b"))
+    at = np.minimum(np.searchsorted(known_a, a), len(known_a) - 1)
+    found = np.flatnonzero((known_a[at] == a) & (known_b[at] == b))
+    doc, start = doc[found], start[found]
+    places = pa.table(
+        {
+            "id": _column(table, "id").take(pa.array(doc)), "slice": pa.array(np.full(len(doc), number)),
+            "doc": pa.array(doc), "start": pa.array(start),
+        }
+    )
+    later = repeats.later_windows(places, known.take(pa.array(at[found])).combine_chunks())
+    doc, start = doc[later], start[later]
+    if len(doc):
+        heads = np.flatnonzero(np.append(True, (doc[1:] != doc[:-1]) | (start[1:] != start[:-1] + 1)))
+        tails = np.append(heads[1:], len(doc)) - 1
+        yield from zip(doc[heads].tolist(), start[heads].tolist(), (start[tails] + 1).tolist(), strict=True)
 
 
 def _digests(pieces: list[bytes]) -> np.ndarray:
@@ -410,15 +524,18 @@ def _ranges(flags: np.ndarray, bounds: np.ndarray) -> list[list[dict]]:
     return out
 
 
-def _finished(finish, columns: str, batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    names = ["doc_id", *(c.split()[0] for c in columns.split(","))]
+def _finished(repeats: Repeats, batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    names = ["doc_id", *(c.split()[0] for c in repeats.columns.split(","))]
     for batch in batches:
         for i in range(batch.num_rows):
-            table = _unpack(batch.column("payload")[i].as_py())
+            number, payload, found, packed = (batch.column(c)[i].as_py() for c in ("slice", "payload", "runs", "firsts"))
+            table = _unpack(payload)
             runs: list[list[tuple[int, int]]] = [[] for _ in range(table.num_rows)]
-            for found in batch.column("runs")[i].as_py() or ():
-                runs[found["doc"]] += [(r["begin"], r["stop"]) for r in found["runs"]]
-            made = finish(_column(table, "text").to_pylist(), runs)
+            for own in found or ():
+                runs[own["doc"]] += [(r["begin"], r["stop"]) for r in own["runs"]]
+            for doc, begin, stop in _hot_runs(repeats, number, table, packed) if packed else ():
+                runs[doc].append((begin, stop))
+            made = repeats.finish(_column(table, "text").to_pylist(), runs)
             yield pa.RecordBatch.from_arrays([_column(table, "id"), *made], names)
 
 

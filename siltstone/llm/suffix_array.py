@@ -38,7 +38,7 @@ def _kinds(text: np.ndarray) -> np.ndarray:
 
 
 def _grouped(symbols: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """A stable order by symbol, and each entry's number among those of its symbol."""
+    """A stable order by symbol, and each entry's number among those of its symbol; sixteen bits are sorted by radix."""
     order = np.argsort(symbols, kind="stable")
     same = symbols[order]
     new = np.ones(len(same), bool)
@@ -52,6 +52,8 @@ def _induce(text: np.ndarray, s_kind: np.ndarray, leftmost: np.ndarray, size: in
     counts = np.bincount(text, minlength=size)
     ends = np.cumsum(counts)
     begins = ends - counts
+    if size <= 1 << 16:
+        text = text.astype(np.uint16)
     array = np.full(len(text), -1, np.int64)
     symbols = text[leftmost]
     order, number = _grouped(symbols)
@@ -95,7 +97,7 @@ def _doubled(names: np.ndarray, depth: int) -> np.ndarray:
     while True:
         key = rank * (n + 1)
         key[: n - reach] += rank[reach:] + 1
-        order = np.argsort(key, kind="stable")
+        order = np.argsort(key)
         ranked = key[order]
         new = np.zeros(n, np.int64)
         new[1:] = ranked[1:] != ranked[:-1]
@@ -221,6 +223,12 @@ def _finish(width: int, texts: list[bytes], runs: list[list[tuple[int, int]]]) -
     return [*(pa.array(x, pa.int64()) for x in (sizes, removed, spans)), pa.array(digests, pa.string())]
 
 
+def _other_place(places: pa.Table, firsts: pa.Table) -> np.ndarray:
+    """Whether each window starts elsewhere than the first one of its name."""
+    pairs = [(places.column(c).to_numpy(), firsts.column(c).to_numpy()) for c in ("slice", "doc", "start")]
+    return np.logical_or.reduce([own != first for own, first in pairs])
+
+
 def remove_repeated_bytes(
     documents: DataFrame, id_column: str = "doc_id", text_column: str = "text", length: int = LENGTH
 ) -> DataFrame:
@@ -237,6 +245,7 @@ def remove_repeated_bytes(
         Symbols(length, min(GRAM, length), False),
         partial(_solve, length),
         "NOT (slice = first_slice AND doc = first_doc AND start = first_start)",
+        _other_place,
         partial(_finish, length),
         "n_bytes long, n_removed long, n_spans long, kept_sha256 string",
     ).apply(documents, id_column, text_column)

@@ -19,6 +19,7 @@ from hashlib import sha256
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 
 from siltstone.llm.anchors import Repeats, Symbols, covered
@@ -124,6 +125,11 @@ def _finish(width: int, texts: list[bytes], runs: list[list[tuple[int, int]]]) -
     return [pa.array(size, pa.int64()), pa.array(removed, pa.int64()), pa.array(digests, pa.string())]
 
 
+def _other_document(places: pa.Table, firsts: pa.Table) -> np.ndarray:
+    """Whether each window's document has a greater id than the first one of its name."""
+    return pc.greater(places.column("id"), firsts.column("id")).to_numpy(zero_copy_only=False)
+
+
 def remove_repeated_words(
     documents: DataFrame, id_column: str = "doc_id", text_column: str = "text", words: int = WORDS
 ) -> DataFrame:
@@ -140,6 +146,7 @@ def remove_repeated_words(
         Symbols(words, min(GRAM, words), True),
         partial(_solve, words),
         "id > first_id",
+        _other_document,
         partial(_finish, words),
         "n_words long, n_removed long, kept_sha256 string",
     ).apply(documents, id_column, text_column)

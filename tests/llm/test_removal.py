@@ -40,24 +40,47 @@ def test_words_against_brute_force(documents):
     assert {r[0]: tuple(r)[1:] for r in found} == repeated_words(rows, 20)
 
 
-def test_hot_anchors_are_dealt_by_window(monkeypatch):
-    """One by one, in this process: a line that is in many texts with other words around it."""
+def _common_line(n):
+    """A line that is in all texts with other words around it, some of them copies, and some texts without it."""
     rng = random.Random(5)
-    line = "this line stands in every text of the table and is long enough to be found "
-    rows = [(i, f"{rng.random()} {line * 2} {rng.random()}") for i in range(30)]
-    texts = [t.encode() for _, t in rows]
+    line = "this line stands in every text of the table and is long enough to be found and a hundred and thirty bytes long, or even longer "
+    rows = [(i, f"{rng.random()} {line * rng.choice([1, 1, 2])} {rng.random()}") for i in range(n)]
+    rows += [(n + i, rows[i * 7 % n][1]) for i in range(n // 10)] + [(2 * n + i, f"{rng.random()}") for i in range(20)]
+    rng.shuffle(rows)
+    return rows
+
+
+def test_hot_anchors_go_by_window():
+    """One by one, in this process."""
     symbols = anchors.Symbols(60, 32, False)
+    texts = [t.encode() for _, t in _common_line(30)]
     data = anchors.pa.array(texts, anchors.pa.binary())
     _, _, _, first, hashes = symbols.read(data)
     anchor = np.unique(symbols.runs(first, hashes)[3])
-    payload = anchors._pack(anchors.pa.table({"id": list(range(30)), "text": data}))
+    payload = anchors._pack(anchors.pa.table({"id": list(range(len(texts))), "text": data}))
     told = [{"anchors": anchor.tobytes(), "hot": np.ones(len(anchor), bool).tobytes()}]
-    _, text, start, length, keys, pieces = anchors._cut(symbols, payload, told)
-    assert (length == 1).all() and len(pieces) == sum(len(t) - 59 for t in texts)
-    assert all(p == texts[i][s : s + 60] for p, i, s in zip(pieces, text, start, strict=True))
-    by_key = {}
-    for key, piece in zip(keys.tolist(), pieces, strict=True):
-        assert by_key.setdefault(key, piece) == piece
+    own = anchors._read(symbols, payload, told)
+    assert not len(own.cold[0]) and own.hot[2].sum() == sum(max(len(t) - 59, 0) for t in texts)
+    batch = anchors.pa.RecordBatch.from_pylist([{"slice": 5, "payload": payload, "told": told}])
+    (named,) = anchors._hot_windows(symbols, 1, iter([batch]))
+    (answer,) = anchors._hot_firsts(iter([named]))
+    seen, expected = {}, set()
+    for i, t in enumerate(texts):
+        for s in range(len(t) - 59):
+            if seen.setdefault(t[s : s + 60], (i, s)) != (i, s):
+                expected.add((i, s))
+    repeats = suffix_array.Repeats(symbols, None, "", suffix_array._other_place, None, "")
+    runs = anchors._hot_runs(repeats, 5, anchors._unpack(payload), answer.column("firsts").to_pylist())
+    assert {(doc, s) for doc, begin, stop in runs for s in range(begin, stop)} == expected
+
+
+def test_a_common_line_end_to_end(documents):
+    """More texts with one line than an anchor may have runs."""
+    rows = _common_line(anchors.HOT + 200)
+    found = suffix_array.remove_repeated_bytes(documents(rows)).collect()
+    assert {r[0]: tuple(r)[1:] for r in found} == repeated_bytes(rows, 100)
+    found = suffix_tree.remove_repeated_words(documents(rows), words=12).collect()
+    assert {r[0]: tuple(r)[1:] for r in found} == repeated_words(rows, 12)
 
 
 def test_repeated_ids_null_ids_and_nothing(spark, documents):
