@@ -41,6 +41,7 @@ from siltstone.llm.textbytes import (
     mixed,
     prefix_sums,
     sliding_minimum,
+    span_hashes,
     text_bytes,
     text_slices,
     window_hashes,
@@ -336,10 +337,24 @@ def _cut(symbols: Symbols, payload: bytes, told: list[dict]) -> tuple:
     return own.table, text, start, length, anchor, pieces
 
 
-def window_names(symbols: Symbols, hashes: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """128 bits for every window, as two columns; equal windows have the same, wherever they stand."""
-    other = mixed(hashes.astype(_U) + _U(symbols.width))
-    return window_hashes(prefix_sums(hashes), symbols.width), window_hashes(prefix_sums(other), symbols.width)
+def window_names(symbols: Symbols, hashes: np.ndarray, at: np.ndarray | None = None) -> np.ndarray:
+    """64 bits for every window, or the windows ``at``; equal windows have the same, wherever they stand."""
+    sums = prefix_sums(hashes)
+    return window_hashes(sums, symbols.width) if at is None else span_hashes(sums, at, at + symbols.width)
+
+
+def second_names(symbols: Symbols, hashes: np.ndarray, at: np.ndarray) -> np.ndarray:
+    """64 bits more for the windows ``at``."""
+    return window_names(symbols, mixed(hashes.astype(_U) + _U(symbols.width)), at)
+
+
+#: Bits of a window's place in its text; the others number a slice's texts.
+_OFFSET_BITS = 40
+
+
+def _split_names(a: np.ndarray, b: np.ndarray) -> bool:
+    """Whether windows with one first name, side by side, have several second ones; chance hardly ever makes any."""
+    return bool(((a[1:] == a[:-1]) & (b[1:] != b[:-1])).any())
 
 
 def _hot_windows(symbols: Symbols, parts: int, batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -350,14 +365,20 @@ def _hot_windows(symbols: Symbols, parts: int, batches: Iterator[pa.RecordBatch]
         if not len(text):
             continue
         doc, offset = np.repeat(text, length), expanded(start, length)
-        a, b = (x[own.first[doc] + offset] for x in window_names(symbols, own.hashes))
+        at = own.first[doc] + offset
+        a, b = window_names(symbols, own.hashes, at), second_names(symbols, own.hashes, at)
+        by_id = pc.sort_indices(_column(own.table, "id")).to_numpy()
         rank = np.empty(own.table.num_rows, np.int64)
-        rank[pc.sort_indices(_column(own.table, "id")).to_numpy()] = np.arange(own.table.num_rows)
-        order = np.lexsort((offset, rank[doc], b, a))
-        a, b, doc, offset = a[order], b[order], doc[order], offset[order]
+        rank[by_id] = np.arange(own.table.num_rows)
+        place = rank[doc] << _OFFSET_BITS | offset
+        order = np.argsort(a)
+        if _split_names(a[order], b[order]):
+            order = np.lexsort((b, a))
+        a, b = a[order], b[order]
         heads = np.flatnonzero(np.append(True, (a[1:] != a[:-1]) | (b[1:] != b[:-1])))
         n = np.diff(np.append(heads, len(a)))
-        a, b, doc, offset = a[heads], b[heads], doc[heads], offset[heads]
+        least = np.minimum.reduceat(place[order], heads)
+        a, b, doc, offset = a[heads], b[heads], by_id[least >> _OFFSET_BITS], least & (1 << _OFFSET_BITS) - 1
         names = pa.table(
             {
                 "a": pa.array(a.view(np.int64)), "b": pa.array(b.view(np.int64)), "id": _column(own.table, "id").take(pa.array(doc)),
@@ -373,13 +394,23 @@ def _hot_windows(symbols: Symbols, parts: int, batches: Iterator[pa.RecordBatch]
         yield pa.RecordBatch.from_arrays(columns, ["part", "slice", "windows"])
 
 
+_MARK_BITS = 20
 _PLACE = ["id", "slice", "doc", "start"]
 
 
 def _hot_firsts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """To each slice the names of its windows that stand more than once anywhere, with their first place."""
     for rows in _by_part(batches):
-        table = pa.concat_tables([_unpack(x) for x in rows.column("windows").to_pylist()])
+        table = pa.concat_tables([_unpack(x) for x in rows.column("windows").to_pylist()]).combine_chunks()
+        # Most windows beside a common line stand once; they go before anything is put in order of its place.
+        a = _column(table, "a").to_numpy()
+        order = np.argsort(a)
+        heads = np.flatnonzero(np.append(True, a[order][1:] != a[order][:-1]))
+        total = np.add.reduceat(_column(table, "n").to_numpy()[order], heads)
+        often = order[np.repeat(total > 1, np.diff(np.append(heads, len(order))))]
+        if not len(often):
+            continue
+        table = table.take(pa.array(often)).combine_chunks()
         keys = [(name, "ascending") for name in ("a", "b", *_PLACE)]
         table = table.take(pc.sort_indices(table.select([k for k, _ in keys]), keys)).combine_chunks()
         a, b = (_column(table, c).to_numpy() for c in ("a", "b"))
@@ -400,23 +431,36 @@ def _hot_runs(repeats: Repeats, number: int, table: pa.Table, packed: list[bytes
     """Document, first window and the one behind the last of each run of windows that start later than their first."""
     symbols = repeats.symbols
     known = pa.concat_tables([_unpack(x) for x in packed])
-    known = known.take(pc.sort_indices(_column(known.combine_chunks(), "a"))).combine_chunks()
+    known = known.take(pc.sort_indices(known.select(["a", "b"]), [("a", "ascending"), ("b", "ascending")])).combine_chunks()
     _, _, _, first, hashes = symbols.read(_texts(table))
     counts = np.maximum(np.diff(first) - symbols.width + 1, 0)
-    doc = np.repeat(np.arange(len(counts)), counts)
-    start = expanded(np.zeros(len(counts), np.int64), counts)
-    a, b = (x.view(np.int64)[first[doc] + start] for x in window_names(symbols, hashes))
     known_a, known_b = (_column(known, c).to_numpy() for c in ("a", "b"))
+    names = window_names(symbols, hashes).view(np.int64)
+    # A table of some bits of the names leaves few windows to be looked up.
+    marked = np.zeros(1 << _MARK_BITS, bool)
+    marked[known_a & (1 << _MARK_BITS) - 1] = True
+    starts = np.repeat(first[:-1], counts) + expanded(np.zeros(len(counts), np.int64), counts)
+    likely = np.flatnonzero(marked[names[starts] & (1 << _MARK_BITS) - 1])
+    a = names[starts[likely]]
     at = np.minimum(np.searchsorted(known_a, a), len(known_a) - 1)
-    found = np.flatnonzero((known_a[at] == a) & (known_b[at] == b))
-    doc, start = doc[found], start[found]
+    met = np.flatnonzero(known_a[at] == a)
+    likely, at = likely[met], at[met]
+    b = second_names(symbols, hashes, starts[likely]).view(np.int64)
+    # Names alike in their first half stand side by side.
+    while len(step := np.flatnonzero((known_b[at] != b) & (known_a[np.minimum(at + 1, len(known_a) - 1)] == known_a[at]) & (at + 1 < len(known_a)))):
+        at[step] += 1
+    found = np.flatnonzero(known_b[at] == b)
+    likely, at = likely[found], at[found]
+    bounds = np.cumsum(counts)
+    doc = np.searchsorted(bounds, likely, side="right")
+    start = likely - (bounds - counts)[doc]
     places = pa.table(
         {
             "id": _column(table, "id").take(pa.array(doc)), "slice": pa.array(np.full(len(doc), number)),
             "doc": pa.array(doc), "start": pa.array(start),
         }
     )
-    later = repeats.later_windows(places, known.take(pa.array(at[found])).combine_chunks())
+    later = repeats.later_windows(places, known.take(pa.array(at)).combine_chunks())
     doc, start = doc[later], start[later]
     if len(doc):
         heads = np.flatnonzero(np.append(True, (doc[1:] != doc[:-1]) | (start[1:] != start[:-1] + 1)))
