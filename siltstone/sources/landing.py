@@ -2,6 +2,12 @@
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+from itertools import pairwise
+
+import numpy as np
+import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql.types import ArrayType, BooleanType, StringType, StructField, StructType
@@ -94,9 +100,8 @@ def _pieces(spark: SparkSession, path: str) -> DataFrame:
     """
     files = spark.read.option("lineSep", "}").option("recursiveFileLookup", True).text(path)
     pieces = files.select(
-        "value", F.col("_metadata.file_path").alias("_file"), F.col("_metadata.file_block_start").alias("_block"),
-        F.monotonically_increasing_id().alias("_at"),
-    )
+        "value", F.col("_metadata.file_path").alias("_file"), F.col("_metadata.file_block_start").alias("_block")
+    )
     # An escape and what it escapes are never cut apart: a brace is not escaped.
     pieces = pieces.withColumn("_bare", F.regexp_replace("value", r"\\.", ""))
     pieces = pieces.withColumn("_quotes", _count("_bare", '"') % 2)
@@ -109,33 +114,120 @@ def _pieces(spark: SparkSession, path: str) -> DataFrame:
     return pieces.drop("_bare", "_out")
 
 
-def _by_state(state: Column) -> Column:
-    return F.when(state == 0, F.col("_deeper_0")).otherwise(F.col("_deeper_1"))
+def _stretches():
+    """The file, block, first row and the row behind the last of each stretch of one block in a batch.
+
+    Made here, like the tasks below, so that workers need not import this package.
+    """
+
+    def stretches(batch: pa.RecordBatch) -> Iterator[tuple[str, int, int, int]]:
+        file, block = batch.column("_file"), batch.column("_block").to_numpy()
+        new = pc.not_equal(file[1:], file[:-1]).to_numpy(zero_copy_only=False) | (block[1:] != block[:-1])
+        for start, stop in pairwise([0, *(np.flatnonzero(new) + 1).tolist(), len(block)]):
+            yield file[start].as_py(), int(block[start]), start, stop
+
+    return stretches
+
+
+def _summed():
+    """A row for each block: how many pieces it has, and what they do to a scan begun outside a string, and inside one."""
+    stretches = _stretches()
+
+    def task(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        names = ["_file", "_block", "_count", "_turns", "_from_0", "_from_1"]
+        known, sums = None, [0, 0, 0, 0]
+
+        def row() -> pa.RecordBatch:
+            return pa.RecordBatch.from_arrays([pa.array([x]) for x in (*known, *sums)], names)
+
+        for batch in batches:
+            if not batch.num_rows:
+                continue
+            quotes, *deeper = (batch.column(c).to_numpy() for c in ("_quotes", "_deeper_0", "_deeper_1"))
+            for file, block, start, stop in stretches(batch):
+                if known != (file, block):
+                    if known is not None:
+                        yield row()
+                    known, sums = (file, block), [0, 0, 0, 0]
+                own, (outside, inside) = quotes[start:stop], (d[start:stop] for d in deeper)
+                turned = (sums[1] + np.cumsum(own) - own) % 2 == 1
+                sums[0] += stop - start
+                sums[1] = (sums[1] + int(own.sum())) % 2
+                sums[2] += int(np.where(turned, inside, outside).sum())
+                sums[3] += int(np.where(turned, outside, inside).sum())
+        if known is not None:
+            yield row()
+
+    return task
 
 
 def _block_states(pieces: DataFrame) -> DataFrame:
-    """For each block of a file how its scan begins: inside a string or not, and at which level.
+    """For each block of a file how its scan begins, inside a string or not and at which level, and its last piece if it ends the file.
 
-    A block is summed up for either beginning, and the sums of the blocks
-    before it are added up: a row per block is all that meets in one task.
+    A block is summed up for either beginning in the task that reads it, and
+    the sums of the blocks before it are added up: no piece leaves its task,
+    and a row per block is all that meets in one.
     """
-    block = Window.partitionBy("_file", "_block").orderBy("_at").rowsBetween(Window.unboundedPreceding, -1)
-    turned = F.coalesce(F.sum("_quotes").over(block), F.lit(0)) % 2
-    sums = pieces.withColumn("_turned", turned).groupBy("_file", "_block").agg(
-        (F.sum("_quotes") % 2).alias("_turns"),
-        F.sum(_by_state(F.col("_turned"))).alias("_from_0"),
-        F.sum(_by_state(1 - F.col("_turned"))).alias("_from_1"),
+    sums = pieces.select("_file", "_block", "_quotes", "_deeper_0", "_deeper_1").mapInArrow(
+        _summed(), "_file string, _block long, _count long, _turns long, _from_0 long, _from_1 long"
     )
     before = Window.partitionBy("_file").orderBy("_block").rowsBetween(Window.unboundedPreceding, -1)
     inside = sums.withColumn("_inside", F.coalesce(F.sum("_turns").over(before), F.lit(0)) % 2)
     goes = F.when(F.col("_inside") == 0, F.col("_from_0")).otherwise(F.col("_from_1"))
+    ends_file = F.col("_block") == F.max("_block").over(Window.partitionBy("_file"))
     return inside.withColumn("_goes", goes).select(
         F.col("_file").alias("_of_file"), F.col("_block").alias("_of_block"), "_inside",
         F.coalesce(F.sum("_goes").over(before), F.lit(0)).alias("_level"),
-        (F.col("_block") == F.max("_block").over(Window.partitionBy("_file"))).alias("_last_block"),
+        F.when(ends_file, F.col("_count") - 1).otherwise(-1).alias("_last"),
     )
 
 
+def _cut_records():
+    """The pieces of a block put together up to each end of a record, and what is left behind the last."""
+    stretches = _stretches()
+
+    def task(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        # The block that is read, the state of its scan, its pieces and texts so far, and the pieces of the text begun.
+        known, last, state, level, seen, number = None, -1, 0, 0, 0, 0
+        begun: list[str] = []
+
+        def made(texts: list[str], ended: bool) -> pa.RecordBatch:
+            n = len(texts)
+            columns = [[known[0]] * n, [known[1]] * n, list(range(number, number + n)), [ended] * n, texts]
+            return pa.RecordBatch.from_arrays(list(map(pa.array, columns)), ["_file", "_block", "_number", "_ended", "_text"])
+
+        def rest() -> list[pa.RecordBatch]:
+            # The piece that ends the file lacks no brace.
+            return [made(["}".join(begun) + ("}" if last < 0 else "")], False)] if begun else []
+
+        for batch in batches:
+            if not batch.num_rows:
+                continue
+            quotes, *deeper = (batch.column(c).to_numpy() for c in ("_quotes", "_deeper_0", "_deeper_1"))
+            values = batch.column("value").to_pylist()
+            for file, block, start, stop in stretches(batch):
+                if known != (file, block):
+                    yield from rest()
+                    known, seen, number, begun = (file, block), 0, 0, []
+                    state, level, last = (batch.column(c)[start].as_py() for c in ("_inside", "_level", "_last"))
+                own, (outside, inside) = quotes[start:stop], (d[start:stop] for d in deeper)
+                within = (state + np.cumsum(own) - own) % 2
+                depth = level + np.cumsum(np.where(within == 1, inside, outside), dtype=np.int64)
+                ends = ((within + own) % 2 == 0) & (depth == 1) & (np.arange(seen, seen + stop - start) != last)
+                state, level, seen = int(within[-1] + own[-1]) % 2, int(depth[-1]), seen + stop - start
+                texts, at = [], start
+                for end in (np.flatnonzero(ends) + start + 1).tolist():
+                    texts.append("}".join([*begun, *values[at:end]]) + "}")
+                    begun, at = [], end
+                if texts:
+                    yield made(texts, True)
+                    number += len(texts)
+                begun += values[at:stop]
+        yield from rest()
+
+    return task
+
+
 def read_array(
     spark: SparkSession, path: str, schema: StructType | str, file_column: str | None = None
 ) -> DataFrame:
@@ -154,23 +246,11 @@ def read_array(
     ``file_column`` names a column for the file a record was in.
     """
     pieces = _pieces(spark, path)
-    states = _block_states(pieces.drop("value"))
+    states = _block_states(pieces)
     same = (F.col("_file") == F.col("_of_file")) & (F.col("_block") == F.col("_of_block"))
-    block = Window.partitionBy("_file", "_block").orderBy("_at")
-    upto, before = block.rowsBetween(Window.unboundedPreceding, 0), block.rowsBetween(Window.unboundedPreceding, -1)
-    known = pieces.join(states, same).drop("_of_file", "_of_block")
-    scanned = known.withColumn("_in", (F.coalesce(F.sum("_quotes").over(before), F.lit(0)) + F.col("_inside")) % 2)
-    scanned = scanned.withColumn("_depth", F.col("_level") + F.sum(_by_state(F.col("_in"))).over(upto))
-    scanned = scanned.withColumn("_last", F.col("_last_block") & F.lead("_at").over(block).isNull())
-    ends = ((F.col("_in") + F.col("_quotes")) % 2 == 0) & (F.col("_depth") == 1) & ~F.col("_last")
-    scanned = scanned.withColumn("_ends", ends)
-    scanned = scanned.withColumn("_number", F.coalesce(F.sum(F.col("_ends").cast("int")).over(before), F.lit(0)))
-    text = "array_join(array_sort(collect_list(struct(_at, value))).value, '}')"
-    parts = scanned.groupBy("_file", "_block", "_number").agg(
-        F.bool_or("_ends").alias("_ended"),
-        F.bool_or("_last").alias("_final"),
-        F.expr(f"concat({text}, IF(bool_or(_last), '', '}}'))").alias("_text"),
-    )
+    # The join leaves pieces where they were read, in their order.
+    known = pieces.join(F.broadcast(states), same).drop("_of_file", "_of_block")
+    parts = known.mapInArrow(_cut_records(), "_file string, _block long, _number long, _ended boolean, _text string")
     # Whole records begin behind another one's end in the same block; what else there is are two parts a block.
     whole = "_number > 0 AND _ended"
     of_file = Window.partitionBy("_file").orderBy("_block", "_number").rowsBetween(Window.unboundedPreceding, -1)

@@ -2,6 +2,7 @@
 
 import json
 import random
+import re
 
 import pytest
 
@@ -99,3 +100,11 @@ def test_indented_records_that_end_in_a_list(spark, tmp_path):
     (tmp_path / "a.json").write_text(json.dumps(records, indent=2))
     found = landing.read_indented_array(spark, str(tmp_path), "id int, tags array<string>").orderBy("id").collect()
     assert [r.asDict() for r in found] == records
+
+
+def test_pieces_stay_where_they_are_read(spark, tmp_path, capsys):
+    (tmp_path / "a.json").write_text(json.dumps(_records(20, 9)))
+    landing.read_array(spark, str(tmp_path), SCHEMA).explain("formatted")
+    exchanges = re.findall(r"\n\(\d+\) Exchange\nInput \[\d+\]: \[(.*)\]", capsys.readouterr().out)
+    assert exchanges
+    assert not any(column.startswith("value#") for inputs in exchanges for column in inputs.split(", "))
