@@ -79,35 +79,45 @@ class Symbols:
         places = np.arange(len(data) + 1)
         return data, places[:-1], places[1:], offsets, data
 
-    def runs(self, first: np.ndarray, symbols: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    def grams(self, symbols: np.ndarray) -> np.ndarray:
+        return window_hashes(prefix_sums(symbols), self.gram)
+
+    def windows(self, first: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """How many windows each text has, and which of all windows do not reach into the next text."""
+        sizes = np.diff(first)
+        counts = np.maximum(sizes - self.width + 1, 0)
+        inside = np.repeat(np.tile([True, False], len(counts)), np.stack([counts, sizes - counts], 1).ravel())
+        return counts, inside[: max(len(inside) - self.width + 1, 0)]
+
+    def runs(
+        self, first: np.ndarray, symbols: np.ndarray, grams: np.ndarray | None = None
+    ) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
         """Text, first window (in its text), number of windows and anchor of each run."""
-        grams = window_hashes(prefix_sums(symbols), self.gram)
         none = np.zeros(0, np.int64)
         if len(symbols) < self.width:
             return none, none, none, np.zeros(0, _U)
-        anchors = sliding_minimum(grams, self.width - self.gram + 1)
-        counts = np.maximum(np.diff(first) - self.width + 1, 0)
-        text = np.repeat(np.arange(len(counts)), counts)
-        starts = np.arange(len(text)) - np.repeat(np.cumsum(counts) - counts, counts)
-        anchor = anchors[np.repeat(first[:-1], counts) + starts]
-        new = np.ones(len(text), bool)
-        new[1:] = (anchor[1:] != anchor[:-1]) | (text[1:] != text[:-1])
+        anchors = sliding_minimum(self.grams(symbols) if grams is None else grams, self.width - self.gram + 1)
+        counts, new = self.windows(first)
+        new[1:] &= anchors[1:] != anchors[:-1]
+        new[first[:-1][counts > 0]] = True
         heads = np.flatnonzero(new)
-        lengths = np.diff(np.append(heads, len(text)))
+        text = np.searchsorted(first, heads, side="right") - 1
+        starts, anchor = heads - first[text], anchors[heads]
+        lengths = np.minimum(np.append(heads[1:], len(anchors)) - heads, counts[text] - starts)
         if len(heads) and lengths.max() > PIECE_WINDOWS:
             # Long runs in equal steps from their own begin, so equal stretches are mostly cut alike.
             parts = -(-lengths // PIECE_WINDOWS)
             step = np.arange(parts.sum()) - np.repeat(np.cumsum(parts) - parts, parts)
-            heads = np.repeat(heads, parts) + step * PIECE_WINDOWS
+            text, anchor = np.repeat(text, parts), np.repeat(anchor, parts)
+            starts = np.repeat(starts, parts) + step * PIECE_WINDOWS
             lengths = np.minimum(np.repeat(lengths, parts) - step * PIECE_WINDOWS, PIECE_WINDOWS)
-        return text[heads], starts[heads], lengths, anchor[heads]
+        return text, starts, lengths, anchor
 
-    def marks(self, first: np.ndarray, symbols: np.ndarray, runs: tuple) -> np.ndarray:
+    def marks(self, first: np.ndarray, grams: np.ndarray, runs: tuple) -> np.ndarray:
         """How often each run has its anchor: more than once where a text repeats within a window's length."""
         text, start, length, anchor = runs
         if not len(text):
             return np.zeros(0, np.int64)
-        grams = window_hashes(prefix_sums(symbols), self.gram)
         spans = length + self.width - self.gram
         bounds = np.cumsum(spans) - spans
         out = np.empty(len(text), np.int64)
@@ -249,9 +259,10 @@ def _anchors(symbols: Symbols, parts: int, batches: Iterator[pa.RecordBatch]) ->
     for batch in batches:
         for number, payload in zip(*(batch.column(c).to_pylist() for c in ("slice", "payload")), strict=True):
             _, _, _, first, hashes = symbols.read(_texts(_unpack(payload)))
-            runs = symbols.runs(first, hashes)
+            grams = symbols.grams(hashes)
+            runs = symbols.runs(first, hashes, grams)
             anchor, at = np.unique(runs[3], return_inverse=True)
-            n = np.bincount(at, symbols.marks(first, hashes, runs), len(anchor))
+            n = np.bincount(at, symbols.marks(first, grams, runs), len(anchor))
             n = np.minimum(n, 255).astype(np.uint8)
             rows = [(p, anchor[i].tobytes(), n[i].tobytes()) for p, i in _blocks((anchor % _U(parts)).astype(np.int64), parts)]
             columns = [
@@ -345,7 +356,9 @@ def window_names(symbols: Symbols, hashes: np.ndarray, at: np.ndarray | None = N
 
 def second_names(symbols: Symbols, hashes: np.ndarray, at: np.ndarray) -> np.ndarray:
     """64 bits more for the windows ``at``."""
-    return window_names(symbols, mixed(hashes.astype(_U) + _U(symbols.width)), at)
+    if symbols.words:
+        return window_names(symbols, mixed(hashes.astype(_U) + _U(symbols.width)), at)
+    return window_names(symbols, mixed(np.arange(256, dtype=_U) + _U(symbols.width))[hashes], at)
 
 
 #: Bits of a window's place in its text; the others number a slice's texts.
@@ -433,27 +446,25 @@ def _hot_runs(repeats: Repeats, number: int, table: pa.Table, packed: list[bytes
     known = pa.concat_tables([_unpack(x) for x in packed])
     known = known.take(pc.sort_indices(known.select(["a", "b"]), [("a", "ascending"), ("b", "ascending")])).combine_chunks()
     _, _, _, first, hashes = symbols.read(_texts(table))
-    counts = np.maximum(np.diff(first) - symbols.width + 1, 0)
+    _, inside = symbols.windows(first)
     known_a, known_b = (_column(known, c).to_numpy() for c in ("a", "b"))
     names = window_names(symbols, hashes).view(np.int64)
     # A table of some bits of the names leaves few windows to be looked up.
     marked = np.zeros(1 << _MARK_BITS, bool)
     marked[known_a & (1 << _MARK_BITS) - 1] = True
-    starts = np.repeat(first[:-1], counts) + expanded(np.zeros(len(counts), np.int64), counts)
-    likely = np.flatnonzero(marked[names[starts] & (1 << _MARK_BITS) - 1])
-    a = names[starts[likely]]
+    likely = np.flatnonzero(marked[names & (1 << _MARK_BITS) - 1] & inside)
+    a = names[likely]
     at = np.minimum(np.searchsorted(known_a, a), len(known_a) - 1)
     met = np.flatnonzero(known_a[at] == a)
     likely, at = likely[met], at[met]
-    b = second_names(symbols, hashes, starts[likely]).view(np.int64)
+    b = second_names(symbols, hashes, likely).view(np.int64)
     # Names alike in their first half stand side by side.
     while len(step := np.flatnonzero((known_b[at] != b) & (known_a[np.minimum(at + 1, len(known_a) - 1)] == known_a[at]) & (at + 1 < len(known_a)))):
         at[step] += 1
     found = np.flatnonzero(known_b[at] == b)
     likely, at = likely[found], at[found]
-    bounds = np.cumsum(counts)
-    doc = np.searchsorted(bounds, likely, side="right")
-    start = likely - (bounds - counts)[doc]
+    doc = np.searchsorted(first, likely, side="right") - 1
+    start = likely - first[doc]
     places = pa.table(
         {
             "id": _column(table, "id").take(pa.array(doc)), "slice": pa.array(np.full(len(doc), number)),

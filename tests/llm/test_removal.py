@@ -146,3 +146,20 @@ def test_long_words_alike_in_sums_of_powers_are_told_apart(documents):
     found = suffix_tree.remove_repeated_words(documents(rows), words=20).collect()
     assert {r[0]: tuple(r)[1:] for r in found} == repeated_words(rows, 20)
     assert {r.doc_id: r.n_removed for r in found} == {1: 0, 2: 0, 3: 25}
+
+
+def test_windows_of_texts_of_any_size():
+    dice = np.random.default_rng(7)
+    for width, gram in ((10, 4), (7, 7)):
+        symbols = anchors.Symbols(width, gram, False)
+        for _ in range(200):
+            sizes = dice.integers(0, 30, 6) * dice.integers(0, 2, 6)
+            first = np.append(0, np.cumsum(sizes))
+            data = dice.integers(0, 2, first[-1]).astype(np.uint8)
+            counts, inside = symbols.windows(first)
+            assert counts.tolist() == [max(n - width + 1, 0) for n in sizes]
+            begins = [b + i for b, n in zip(first.tolist(), counts.tolist(), strict=False) for i in range(n)]
+            assert np.flatnonzero(inside).tolist() == begins
+            text, start, length, _ = symbols.runs(first, data)
+            found = [first[t] + s + i for t, s, n in zip(text, start, length, strict=True) for i in range(n)]
+            assert found == begins
