@@ -45,6 +45,8 @@ SLACK = 5.0
 STAR_ROUNDS = 3
 #: Classes of one bucket that are compared with each other in one task.
 BLOCK = 512
+#: Text bytes that are sketched at once; hashing takes about sixty times as much memory.
+SKETCH_BYTES = 128 << 10
 
 _U = np.uint64
 _RANDOM = np.random.default_rng(20_221)
@@ -119,7 +121,7 @@ def estimate(a: np.ndarray, b: np.ndarray, n_a: np.ndarray, n_b: np.ndarray) ->
 def _sketch(width: int):
     def task(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for part in text_slices(batch, "text"):
+            for part in text_slices(batch, "text", SKETCH_BYTES):
                 texts = [normalised((t or "").encode()) for t in part.column("text").to_pylist()]
                 sets = _shingle_sets(texts, width)
                 full = [i for i, s in enumerate(sets) if len(s)]

@@ -26,14 +26,16 @@ def stored(frame: DataFrame, name: str) -> DataFrame:
 
 _ROWS = "spark.sql.execution.arrow.maxRecordsPerBatch"
 _DEFAULT_ROWS, _FEW_ROWS = "10000", "1000"
+_BYTES = "spark.sql.execution.arrow.maxBytesPerBatch"
+_FEW_BYTES = "512k"
 
 
 def ship(spark: SparkSession) -> None:
     """Readies a session for the Python tasks of this package.
 
     Workers started from now on import it from where the driver has it. Rows
-    here hold whole texts, so Arrow batches get fewer rows than Spark's
-    default, unless the session has a number of its own.
+    here hold whole texts, so Arrow batches get fewer rows and bytes than
+    Spark's defaults, unless the session has numbers of its own.
     """
     environment = spark.sparkContext.environment
     known = environment.get("PYTHONPATH", "").split(os.pathsep)
@@ -41,3 +43,5 @@ def ship(spark: SparkSession) -> None:
         environment["PYTHONPATH"] = os.pathsep.join([ROOT, *filter(None, known)])
     if spark.conf.get(_ROWS, _DEFAULT_ROWS) == _DEFAULT_ROWS:
         spark.conf.set(_ROWS, _FEW_ROWS)
+    if _BYTES not in spark.conf.getAll:
+        spark.conf.set(_BYTES, _FEW_BYTES)
