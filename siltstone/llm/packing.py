@@ -21,7 +21,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from siltstone.llm.shared import stored
-from siltstone.llm.textbytes import text_slices
+from siltstone.llm.textbytes import joined_slices
 from siltstone.llm.tokens import vocabulary_path, words_of
 
 LIMIT = 4096
@@ -85,20 +85,20 @@ def _pack_locally(path: str, limit: int, end_id: int, id_column: str, text_colum
         words = words_of(path)
         number = TaskContext.get().partitionId() << 32
         ids, rows, kind = [], [], pa.int64()
-        for batch in batches:
-            kind = batch.schema.field(id_column).type
-            for part in text_slices(batch, text_column, TEXT_BYTES):
-                tokens, bounds = words.encode(part.column(text_column))
-                for i, doc in enumerate(part.column(id_column).to_pylist()):
-                    own = np.append(tokens[bounds[i] : bounds[i + 1]], end_id).astype("<u4")
-                    for piece, start in enumerate(range(0, len(own), limit)):
-                        cut = own[start : start + limit]
-                        ids.append(doc)
-                        rows.append((piece, start, len(cut), zlib.crc32(cut.tobytes())))
-                if len(rows) >= TOGETHER:
-                    out, number = _packed(ids, rows, limit, number, kind)
-                    yield out
-                    ids, rows = [], []
+        # Arrow batches are far smaller, and each slice pays for its distinct words once.
+        for part in joined_slices(batches, text_column, TEXT_BYTES):
+            kind = part.schema.field(id_column).type
+            tokens, bounds = words.encode(part.column(text_column))
+            for i, doc in enumerate(part.column(id_column).to_pylist()):
+                own = np.append(tokens[bounds[i] : bounds[i + 1]], end_id).astype("<u4")
+                for piece, start in enumerate(range(0, len(own), limit)):
+                    cut = own[start : start + limit]
+                    ids.append(doc)
+                    rows.append((piece, start, len(cut), zlib.crc32(cut.tobytes())))
+            if len(rows) >= TOGETHER:
+                out, number = _packed(ids, rows, limit, number, kind)
+                yield out
+                ids, rows = [], []
         if rows:
             yield _packed(ids, rows, limit, number, kind)[0]
 

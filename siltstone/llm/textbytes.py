@@ -35,6 +35,22 @@ def text_slices(batch: pa.RecordBatch, column: str, size: int = SLICE_BYTES) ->
         start = stop
 
 
+def joined_slices(batches: Iterator[pa.RecordBatch], column: str, size: int) -> Iterator[pa.RecordBatch]:
+    """All batches in runs of whole rows, each of ``size`` text bytes at most or one row; short batches are put together."""
+    held: list[pa.RecordBatch] = []
+    total = 0
+    for batch in batches:
+        for part in text_slices(batch, column, size):
+            own = pc.sum(pc.binary_length(part.column(column))).as_py() or 0
+            if held and total + own > size:
+                yield pa.concat_batches(held)
+                held, total = [], 0
+            held.append(part)
+            total += own
+    if held:
+        yield pa.concat_batches(held)
+
+
 def text_bytes(texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     """All bytes of the texts in a row, and where each begins (one more entry); null is empty."""
     kind = pa.large_binary() if pa.types.is_large_string(texts.type) else pa.binary()

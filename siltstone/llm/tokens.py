@@ -59,7 +59,8 @@ class Words:
         self._marks = {mark: self._pieces(mark) for mark in ".,"} | {"": b""}
 
     def _pieces(self, letters: str) -> bytes:
-        shown = letters.encode().decode("latin-1").translate(self._letters)
+        # Each ASCII letter or mark stands for itself.
+        shown = letters if letters.isascii() else letters.encode().decode("latin-1").translate(self._letters)
         two = self._two
         return b"".join([two[t.id] for t in self.library.model.tokenize(shown)])
 
@@ -67,16 +68,19 @@ class Words:
         """Ids of words that no earlier slice kept."""
         cores, marks, new, odd = self._cores, self._marks, {}, []
         for word in words:
-            if plain := _PLAIN.fullmatch(word):
-                core = plain[1].lower()
-                found = cores.get(core)
-                if found is None:
-                    found = self._pieces(core)
-                    if len(cores) < KEPT_WORDS:
-                        cores[core] = found
-                new[word] = found + marks[plain[2]]
+            if word.isalpha() and word.isascii():
+                core, mark = word.lower(), ""
+            elif plain := _PLAIN.fullmatch(word):
+                core, mark = plain[1].lower(), plain[2]
             else:
                 odd.append(word)
+                continue
+            found = cores.get(core)
+            if found is None:
+                found = self._pieces(core)
+                if len(cores) < KEPT_WORDS:
+                    cores[core] = found
+            new[word] = found + marks[mark]
         encoded = self.library.encode_batch_fast(odd, add_special_tokens=False) if odd else []
         for word, encoding in zip(odd, encoded, strict=True):
             new[word] = np.array(encoding.ids, "<u2").tobytes()
@@ -98,7 +102,7 @@ class Words:
         split = pc.ascii_split_whitespace(pc.fill_null(texts, ""))
         words = split.flatten().dictionary_encode()
         bounds = np.concatenate([[0], np.cumsum(pc.list_value_length(split).to_numpy(zero_copy_only=False))]).astype(np.int64)
-        pieces = self._word_ids(words.dictionary.to_pylist())
+        pieces = self._word_ids(words.dictionary.to_numpy(zero_copy_only=False).tolist())
         lengths = np.fromiter(map(len, pieces), np.int64, len(pieces)) // 2
         flat = np.frombuffer(b"".join(pieces), "<u2")
         begins = np.cumsum(lengths) - lengths

@@ -1,9 +1,12 @@
 """How much text a Python task is handed at once."""
 
+from types import SimpleNamespace
+
 import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
+from siltstone.llm import packing
 from siltstone.llm.setsketch import SKETCH_BYTES
 from siltstone.llm.shared import ship
 from siltstone.llm.textbytes import text_slices
@@ -49,3 +52,24 @@ def test_sketches_take_small_slices():
     sizes = [part.nbytes for part in text_slices(batch, "text", SKETCH_BYTES)]
     assert len(sizes) > 4
     assert max(sizes) < 1 << 18
+
+
+def test_packing_tokenizes_short_batches_together(monkeypatch):
+    words = packing.words_of(packing.vocabulary_path())
+    sizes = []
+
+    def encode(texts):
+        sizes.append(len(texts))
+        return words.encode(texts)
+
+    monkeypatch.setattr(packing, "words_of", lambda path: SimpleNamespace(encode=encode))
+    monkeypatch.setattr(packing, "TaskContext", SimpleNamespace(get=lambda: SimpleNamespace(partitionId=lambda: 0)))
+    monkeypatch.setattr(packing, "TEXT_BYTES", 1_000)
+    rows = [(i, "some words " * (i % 5)) for i in range(60)] + [(60, None), (61, "long " * 400), (62, "")]
+    table = pa.table({"doc_id": [i for i, _ in rows], "text": pa.array([t for _, t in rows], pa.string())})
+    task = packing._pack_locally("", 4096, 1, "doc_id", "text")
+    found = pa.Table.from_batches(task(iter(table.to_batches(max_chunksize=2))))
+    assert sorted(found.column("doc_id").to_pylist()) == list(range(63))
+    assert sum(sizes) == 63
+    # 32 batches of up to 88 bytes: about 1,300 bytes, then one long text.
+    assert len(sizes) <= 4
