@@ -37,16 +37,6 @@ def _kinds(text: np.ndarray) -> np.ndarray:
     return np.append(np.append(step, 1)[following] > 0, True)
 
 
-def _grouped(symbols: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """A stable order by symbol, and each entry's number among those of its symbol; sixteen bits are sorted by radix."""
-    order = np.argsort(symbols, kind="stable")
-    same = symbols[order]
-    new = np.ones(len(same), bool)
-    new[1:] = same[1:] != same[:-1]
-    heads = np.flatnonzero(new)
-    return order, np.arange(len(same)) - np.repeat(heads, np.diff(np.append(heads, len(same))))
-
-
 def _induce(text: np.ndarray, s_kind: np.ndarray, leftmost: np.ndarray, size: int) -> np.ndarray:
     """The array of all suffixes from the leftmost S suffixes in order."""
     counts = np.bincount(text, minlength=size)
@@ -55,17 +45,23 @@ def _induce(text: np.ndarray, s_kind: np.ndarray, leftmost: np.ndarray, size: in
     if size <= 1 << 16:
         text = text.astype(np.uint16)
     array = np.full(len(text), -1, np.int64)
-    symbols = text[leftmost]
-    order, number = _grouped(symbols)
-    lms = np.bincount(symbols, minlength=size)
-    array[(ends - lms)[symbols[order]] + number] = leftmost[order]
+    steps = np.arange(len(text))
 
     def send(found: np.ndarray, free: np.ndarray, way: int) -> None:
         """Appends suffixes to their buckets' free places, upwards or downwards."""
         at = text[found]
-        order, number = _grouped(at)
-        array[free[at[order]] + way * number] = found[order]
-        free += way * np.bincount(at, minlength=size)
+        n = np.bincount(at, minlength=size)
+        if len(found) == 1:
+            array[free[at]] = found
+        elif len(found):
+            # A stable order; sixteen bits are sorted by radix.
+            order = at.argsort(kind="stable")
+            heads = n.cumsum() - n
+            array[(free - way * heads)[at[order]] + way * steps[: len(found)]] = found[order]
+        free += way * n
+
+    lms = np.bincount(text[leftmost], minlength=size)
+    send(leftmost, ends - lms, 1)
 
     free = begins.copy()
     for symbol in np.flatnonzero(counts).tolist():

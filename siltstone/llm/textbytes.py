@@ -82,13 +82,26 @@ def word_spans(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.nd
     return begins, ends, np.searchsorted(begins, offsets)
 
 
-def mixed(values: np.ndarray) -> np.ndarray:
-    """Each 64-bit value scrambled, one to one."""
-    values = values ^ (values >> _U(30))
+#: Values that are worked on together, so that they stay in the processor's cache from step to step.
+_NEAR = 1 << 14
+
+
+def _mix(values: np.ndarray) -> None:
+    shifted = values >> _U(30)
+    values ^= shifted
     values *= _U(0xBF58476D1CE4E5B9)
-    values ^= values >> _U(27)
+    np.right_shift(values, _U(27), out=shifted)
+    values ^= shifted
     values *= _U(0x94D049BB133111EB)
-    values ^= values >> _U(31)
+    np.right_shift(values, _U(31), out=shifted)
+    values ^= shifted
+
+
+def mixed(values: np.ndarray) -> np.ndarray:
+    """Each 64-bit value scrambled, one to one."""
+    values = np.array(values, _U)
+    for low in range(0, len(values), _NEAR):
+        _mix(values[low : low + _NEAR])
     return values
 
 
@@ -114,8 +127,11 @@ def prefix_sums(symbols: np.ndarray) -> np.ndarray:
     """Sums S with which ``window_hashes`` hashes any stretch of the symbols; arithmetic is modulo 2**64."""
     _POWERS.reach(len(symbols) + 1)
     sums = np.zeros(len(symbols) + 1, _U)
-    np.cumsum((symbols.astype(_U) + _U(1)) * _POWERS.up[: len(symbols)], out=sums[1:])
-    return sums
+    for low in range(0, len(symbols), _NEAR):
+        own = sums[low + 1 : low + 1 + _NEAR]
+        np.add(symbols[low : low + _NEAR], _U(1), out=own, dtype=_U, casting="unsafe")
+        own *= _POWERS.up[low : low + len(own)]
+    return np.cumsum(sums, out=sums)
 
 
 def span_hashes(sums: np.ndarray, begins: np.ndarray, ends: np.ndarray) -> np.ndarray:
@@ -128,7 +144,13 @@ def window_hashes(sums: np.ndarray, width: int) -> np.ndarray:
     n = len(sums) - width
     if n <= 0:
         return np.zeros(0, _U)
-    return mixed((sums[width:] - sums[:n]) * _POWERS.down[:n])
+    out = np.empty(n, _U)
+    for low in range(0, n, _NEAR):
+        own = out[low : low + _NEAR]
+        np.subtract(sums[low + width : low + width + len(own)], sums[low : low + len(own)], out=own)
+        own *= _POWERS.down[low : low + len(own)]
+        _mix(own)
+    return out
 
 
 def word_hashes(data: np.ndarray, begins: np.ndarray, ends: np.ndarray) -> np.ndarray:
@@ -149,13 +171,16 @@ def word_hashes(data: np.ndarray, begins: np.ndarray, ends: np.ndarray) -> np.nd
 
 def sliding_minimum(values: np.ndarray, width: int) -> np.ndarray:
     """The least of every ``width`` neighbouring values."""
-    done, least = 1, values
-    while done * 2 <= width:
-        least = np.minimum(least[:-done], least[done:])
-        done *= 2
-    if rest := width - done:
-        least = np.minimum(least[:-rest], least[rest:])
-    return least
+    out = np.empty(max(len(values) - width + 1, 0), values.dtype)
+    for low in range(0, len(out), _NEAR):
+        done, least = 1, values[low : low + _NEAR + width - 1]
+        while done * 2 <= width:
+            least = np.minimum(least[:-done], least[done:])
+            done *= 2
+        if rest := width - done:
+            least = np.minimum(least[:-rest], least[rest:])
+        out[low : low + _NEAR] = least
+    return out
 
 
 def expanded(begins: np.ndarray, lengths: np.ndarray) -> np.ndarray:

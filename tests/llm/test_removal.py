@@ -1,11 +1,14 @@
 """Repeated bytes and words against plain forms."""
 
 import random
+import sys
+import tracemalloc
 
 import numpy as np
 import pytest
 
-from siltstone.llm import anchors, suffix_array, suffix_tree
+from siltstone.llm import anchors, suffix_array, suffix_tree, textbytes
+from siltstone.llm.textbytes import mixed, prefix_sums, sliding_minimum, window_hashes
 from tests.llm.brute import repeated_bytes, repeated_words
 
 
@@ -163,3 +166,44 @@ def test_windows_of_texts_of_any_size():
             text, start, length, _ = symbols.runs(first, data)
             found = [first[t] + s + i for t, s, n in zip(text, start, length, strict=True) for i in range(n)]
             assert found == begins
+
+
+def _peak(action):
+    tracemalloc.start()
+    try:
+        made = action()
+        return made.nbytes, tracemalloc.get_traced_memory()[1]
+    finally:
+        tracemalloc.stop()
+
+
+def test_hashes_are_made_without_copies_of_the_whole():
+    data = np.random.default_rng(3).integers(0, 256, 200_000).astype(np.uint8)
+    sums = prefix_sums(data)
+    for action in (lambda: prefix_sums(data), lambda: window_hashes(sums, 32), lambda: sliding_minimum(sums, 69)):
+        made, peak = _peak(action)
+        assert peak < 1.6 * made + (1 << 18)
+    for i in (0, 16_383, 16_384, 199_000):
+        value = (int(sums[i + 32]) - int(sums[i])) * pow(textbytes._INVERSE, i, 1 << 64) % (1 << 64)
+        assert window_hashes(sums, 32)[i] == mixed(np.array([value], np.uint64))[0]
+    assert sliding_minimum(sums, 69).tolist() == np.lib.stride_tricks.sliding_window_view(sums, 69).min(axis=1).tolist()
+
+
+def test_a_pass_over_a_bucket_takes_few_calls():
+    rng = np.random.default_rng(4)
+    text = np.append(rng.integers(1, 257, 20_000), 0)
+    calls = 0
+
+    def count(frame, event, argument):
+        nonlocal calls
+        calls += event in ("call", "c_call")
+
+    sys.setprofile(count)
+    try:
+        array = suffix_array.suffix_array(text, 257, 100)
+    finally:
+        sys.setprofile(None)
+    # Two inductions of two passes over 256 buckets, and a few rounds in each.
+    assert calls < 40_000, calls
+    raw = text.astype(">u2").tobytes()
+    assert array.tolist() == sorted(range(len(text)), key=lambda i: raw[2 * i : 2 * i + 200])
