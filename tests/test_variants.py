@@ -76,3 +76,30 @@ def test_files_follow_one_another_and_ranges_skip_them(spark, tmp_path):
     narrow._jdf.queryExecution().toRdd().count()
     scanned = read.collectLeaves().apply(0).metrics().apply("numOutputRows").value()
     assert 0 < scanned < 10_000
+
+
+def test_large_files_are_sorted_in_pieces(spark, tmp_path, monkeypatch):
+    monkeypatch.setattr(layout, "SORTED_BYTES", 100_000)
+    df = spark.range(0, 60_000, 1, 8).selectExpr(
+        "IF(id % 3 = 0, 500, CAST(pmod(xxhash64(id), 1000) AS INT)) AS k", "IF(id % 50 = 0, NULL, id) AS v",
+        "repeat('x', CAST(id % 40 AS INT)) AS text", "array(id, k) AS nested",
+    )
+    path = str(tmp_path / "sorted")
+    sizes = []
+    in_order = layout._in_order
+
+    def seen(session, scratch, schema):
+        sizes.extend(r[0] for r in session.read.parquet(scratch).groupBy(F.input_file_name()).count().select("count").collect())
+        return in_order(session, scratch, schema)
+
+    monkeypatch.setattr(layout, "_in_order", seen)
+    layout.write_sorted(df, path, ["k", "v"], files=3)
+    # About 6 MB of values: no task sorted more than a small part of a file.
+    assert len(sizes) > 30 and sum(sizes) == 60_000 and max(sizes) < 4_000
+    files = sorted(p.name for p in (tmp_path / "sorted").glob("*.parquet"))
+    assert len(files) == 3
+    parts = [spark.read.parquet(f"{path}/{f}").collect() for f in files]
+    assert max(map(len, parts)) < 24_000
+    found = [(r.k, r.v) for part in parts for r in part]
+    assert found == sorted(((r.k, r.v) for r in df.collect()), key=lambda x: (x[0], x[1] is not None, x[1] or 0))
+    assert Counter(map(str, spark.read.parquet(path).collect())) == Counter(map(str, df.collect()))
