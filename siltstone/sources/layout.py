@@ -26,8 +26,9 @@ def clustered(df: DataFrame, partition_by: Sequence[str]) -> DataFrame:
     return df.hint("rebalance", *map(named, partition_by))
 
 
-#: Bytes of values that a task of a sorted write sorts, about; in memory they take up to twice as much.
-SORTED_BYTES = 128 << 20
+#: Bytes of values that a task of a sorted write sorts, about; in memory they take up to twice as much. Smaller pieces
+#: are more pieces, and beyond 200 of them Spark's shuffle holds the rows of an input split in memory while it deals them.
+SORTED_BYTES = 256 << 20
 
 _LOCALITY = "spark.sql.sources.ignoreDataLocality"
 
