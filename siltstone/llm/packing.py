@@ -20,7 +20,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from siltstone.llm.shared import stored
+from siltstone.llm.shared import handing_back, stored
 from siltstone.llm.textbytes import joined_slices
 from siltstone.llm.tokens import vocabulary_path, words_of
 
@@ -102,7 +102,7 @@ def _pack_locally(path: str, limit: int, end_id: int, id_column: str, text_colum
         if rows:
             yield _packed(ids, rows, limit, number, kind)[0]
 
-    return task
+    return handing_back(task)
 
 
 def _merge_bins(limit: int, carried: int, full: int):

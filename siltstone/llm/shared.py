@@ -3,8 +3,10 @@
 from __future__ import annotations
 
 import os
+from collections.abc import Callable, Iterator
 from pathlib import Path
 
+import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 
 from siltstone.sources.scratch import scratch_path
@@ -24,6 +26,26 @@ def stored(frame: DataFrame, name: str) -> DataFrame:
     return spark.read.schema(frame.schema).parquet(path)
 
 
+Task = Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]
+
+
+def handing_back(task: Task) -> Task:
+    """The task, and at its end the memory that it freed goes back to the system.
+
+    Spark keeps its Python workers for later tasks. What the allocators of
+    Arrow and of the C library hold for reuse would count to the executor until then.
+    """
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        try:
+            yield from task(batches)
+        finally:
+            for pool in (pa.default_memory_pool(), pa.system_memory_pool()):
+                pool.release_unused()
+
+    return run
+
+
 _ROWS = "spark.sql.execution.arrow.maxRecordsPerBatch"
 _DEFAULT_ROWS, _FEW_ROWS = "10000", "1000"
 _BYTES = "spark.sql.execution.arrow.maxBytesPerBatch"

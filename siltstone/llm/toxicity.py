@@ -22,7 +22,7 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from siltstone.llm.shared import stored
+from siltstone.llm.shared import handing_back, stored
 from siltstone.llm.textbytes import expanded, prefix_sums, text_bytes, text_slices, window_hashes
 
 ORDERS = (3, 4, 5, 6, 7)
@@ -37,6 +37,8 @@ STEPS = 400
 #: Bytes of text that are scored together, and of which all n-grams are counted together.
 SCORED_BYTES = 3 << 20
 COUNTED_BYTES = 1 << 19
+#: N-grams of whole documents that are told apart at once.
+TOGETHER = 1 << 18
 
 _U = np.uint64
 
@@ -73,18 +75,35 @@ class Features:
         return out
 
 
-def document_grams(texts: pa.Array, features: Features | None = None) -> tuple[np.ndarray, np.ndarray]:
-    """Document and n-gram of each presence, distinct and in order of documents.
+def _runs(document: np.ndarray, totals: np.ndarray) -> Iterator[slice]:
+    """Whole documents of about ``TOGETHER`` n-grams at a time; ``totals`` are those up to each entry."""
+    low = 0
+    while low < len(document):
+        before = totals[low - 1] if low else 0
+        high = max(low + 1, int(np.searchsorted(totals, before + TOGETHER, side="right")))
+        if high < len(document):
+            cut = int(np.searchsorted(document, document[high]))
+            high = cut if cut > low else int(np.searchsorted(document, document[low], side="right"))
+        yield slice(low, high)
+        low = high
 
-    The n-gram is its feature's number, or without features its hash. Each
-    distinct word's n-grams are looked up once, and only words that have a
+
+def document_grams(texts: pa.Array, features: Features | None = None) -> tuple[np.ndarray, Iterator[tuple[np.ndarray, np.ndarray]]]:
+    """Hashes of the n-grams, in order, and document and n-gram of each presence.
+
+    An n-gram goes by its place among the hashes, which are the features, or
+    without them all that occur. Presences are distinct and in order, and come
+    in runs of whole documents, as all of a slice's take many times its bytes.
+    Each distinct word's n-grams are looked up once, and only words that have a
     feature are followed back to their documents.
     """
     split = pc.ascii_split_whitespace(pc.utf8_lower(pc.fill_null(texts, "")))
     words = split.flatten().dictionary_encode()
     owner, gram = word_grams(words.dictionary)
-    if features is not None:
-        gram = features.number(gram)
+    if features is None:
+        hashes, gram = np.unique(gram, return_inverse=True)
+    else:
+        hashes, gram = features.hashes, features.number(gram)
         owner, gram = owner[gram >= 0], gram[gram >= 0]
     order = np.argsort(owner, kind="stable")
     owner, gram = owner[order], gram[order]
@@ -98,12 +117,15 @@ def document_grams(texts: pa.Array, features: Features | None = None) -> tuple[n
     # A word that a document repeats adds nothing new.
     pairs = np.unique(document[telling] * len(counts) + at[telling])
     document, at = np.divmod(pairs, max(len(counts), 1))
-    found, document = gram[expanded(begins[at], counts[at])], np.repeat(document, counts[at])
-    order = np.lexsort((found, document))
-    found, document = found[order], document[order]
-    new = np.ones(len(found), bool)
-    new[1:] = (found[1:] != found[:-1]) | (document[1:] != document[:-1])
-    return document[new], found[new]
+
+    def presences() -> Iterator[tuple[np.ndarray, np.ndarray]]:
+        for run in _runs(document, np.cumsum(counts[at])):
+            own = counts[at[run]]
+            keys = np.repeat(document[run] * len(hashes), own)
+            keys += gram[expanded(begins[at[run]], own)]
+            yield np.divmod(np.unique(keys), len(hashes))
+
+    return hashes, presences()
 
 
 @dataclass(frozen=True)
@@ -115,9 +137,10 @@ class Classifier:
     intercept: float
 
     def scores(self, texts: pa.Array, features: Features) -> np.ndarray:
-        document, feature = document_grams(texts, features)
-        sums = np.bincount(document, self.weights[feature], len(texts)) + self.intercept
-        return 1 / (1 + np.exp(-np.clip(sums, -500, 500)))
+        sums = np.zeros(len(texts))
+        for document, feature in document_grams(texts, features)[1]:
+            sums += np.bincount(document, self.weights[feature], len(texts))
+        return 1 / (1 + np.exp(-np.clip(sums + self.intercept, -500, 500)))
 
 
 def training_sample(documents: DataFrame, labels: DataFrame, label: str, sample: int) -> DataFrame:
@@ -140,10 +163,11 @@ def _presences(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
         for part in text_slices(batch, "text", COUNTED_BYTES):
             label = part.column("label").to_numpy(zero_copy_only=False) > 0
-            document, gram = document_grams(part.column("text"))
-            hashes, number = np.unique(gram, return_inverse=True)
-            toxic = np.bincount(number[label[document]], minlength=len(hashes))
-            clean = np.bincount(number[~label[document]], minlength=len(hashes))
+            hashes, runs = document_grams(part.column("text"))
+            toxic, clean = np.zeros((2, len(hashes)), np.int64)
+            for document, gram in runs:
+                toxic += np.bincount(gram[label[document]], minlength=len(hashes))
+                clean += np.bincount(gram[~label[document]], minlength=len(hashes))
             columns = [pa.array(hashes.view(np.int64)), pa.array(clean), pa.array(toxic)]
             yield pa.RecordBatch.from_arrays(columns, ["gram", "clean", "toxic"])
 
@@ -153,9 +177,11 @@ def _rows(hashes: np.ndarray):
         features = Features(hashes)
         for batch in batches:
             for part in text_slices(batch, "text"):
-                document, feature = document_grams(part.column("text"), features)
-                bounds = np.searchsorted(document, np.arange(part.num_rows + 1))
-                own = [feature[a:b].astype("<u2").tobytes() for a, b in zip(bounds, bounds[1:], strict=False)]
+                own = [b""] * part.num_rows
+                for document, feature in document_grams(part.column("text"), features)[1]:
+                    found, starts = np.unique(document, return_index=True)
+                    for number, features_of in zip(found.tolist(), np.split(feature.astype("<u2"), starts[1:]), strict=True):
+                        own[number] = features_of.tobytes()
                 yield pa.RecordBatch.from_arrays([part.column("label"), pa.array(own, pa.binary())], ["label", "features"])
 
     return task
@@ -191,7 +217,7 @@ def train(documents: DataFrame, labels: DataFrame, label: str = "toxic", sample:
     clean, toxic = totals.get(False, 0), totals.get(True, 0)
     if not clean or not toxic:
         return Classifier(np.zeros(0, _U), np.zeros(0), 4.0 * (bool(toxic) - bool(clean)))
-    grams = chosen.mapInArrow(_presences, "gram long, clean long, toxic long").groupBy("gram")
+    grams = chosen.mapInArrow(handing_back(_presences), "gram long, clean long, toxic long").groupBy("gram")
     grams = grams.agg(F.sum("clean").alias("clean"), F.sum("toxic").alias("toxic")).selectExpr(
         "gram",
         f"ln((toxic + {SMOOTHING}) / {toxic + 2 * SMOOTHING}) - ln((clean + {SMOOTHING}) / {clean + 2 * SMOOTHING}) AS ratio",
@@ -205,7 +231,7 @@ def train(documents: DataFrame, labels: DataFrame, label: str = "toxic", sample:
     order = np.argsort(hashes)
     hashes, ratio = hashes[order], best["ratio"].to_numpy(float)[order]
     # At most ``sample`` rows, of two bytes a feature.
-    rows = chosen.mapInArrow(_rows(hashes), "label int, features binary").toPandas()
+    rows = chosen.mapInArrow(handing_back(_rows(hashes)), "label int, features binary").toPandas()
     own = [np.frombuffer(bytes(x), "<u2") for x in rows["features"]]
     place = np.repeat(np.arange(len(own)), [len(x) for x in own])
     present = np.concatenate(own).astype(np.int64)
@@ -241,7 +267,7 @@ def toxicity(documents: DataFrame, labels: DataFrame, label: str = "toxic", samp
     model = train(chosen, labels, label, sample)
     folded = chosen.withColumn("held_out", F.coalesce(F.expr("crc32(cast(doc_id AS string)) % 3 = 1"), F.lit(False)))
     kind = chosen.schema["doc_id"].dataType.simpleString()
-    return folded.mapInArrow(_scores(model), f"doc_id {kind}, held_out boolean, score double, predicted int")
+    return folded.mapInArrow(handing_back(_scores(model)), f"doc_id {kind}, held_out boolean, score double, predicted int")
 
 
 def reject_toxic(
@@ -256,4 +282,4 @@ def reject_toxic(
             for part in text_slices(batch, "text", SCORED_BYTES):
                 yield part.filter(pa.array(model.scores(part.column("text"), features) < threshold))
 
-    return documents.mapInArrow(task, documents.schema)
+    return documents.mapInArrow(handing_back(task), documents.schema)
